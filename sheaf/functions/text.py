@@ -16,16 +16,17 @@ def split_words(text: Column) -> Column:
     return F.split(text, WORD_SEPARATOR, -1)
 
 
-def java_split_pieces(line: Column) -> Column:
-    """Pieces of a line as Java's ``String.split(regex)`` returns them, as an array.
+def java_split_candidates(line: Column) -> Column:
+    """Pieces of a line to explode with their index; ``keep_java_piece`` then keeps
+    exactly the pieces Java's ``String.split(regex)`` returns.
 
-    Java keeps a leading empty piece when the line starts with a separator and has a
-    word after it, drops trailing empty pieces, and returns ``[""]`` for an empty line.
-    Spark's ``split`` keeps every piece and returns ``[]`` for an empty line, so the
-    pieces are filtered here with the piece index (rule D1).
+    Java returns ``[""]`` for an empty line where Spark's ``split`` returns ``[]``.
     """
-    pieces = split_words(line)
-    has_word = line.rlike(WORD_CHAR)
-    return F.when(line == "", F.array(F.lit(""))).otherwise(
-        F.filter(pieces, lambda w, i: (w != "") | ((i == 0) & has_word))
-    )
+    return F.when(line == "", F.array(F.lit(""))).otherwise(split_words(line))
+
+
+def keep_java_piece(word: Column, index: Column, line: Column) -> Column:
+    """Rule D1. Java drops trailing empty pieces and keeps a leading empty piece only
+    when a word follows it; an empty line yields one empty word. A run of separators
+    never leaves an empty piece in the middle, so empty pieces sit only at the ends."""
+    return (word != "") | ((index == 0) & ((line == "") | line.rlike(WORD_CHAR)))

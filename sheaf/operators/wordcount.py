@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import java_split_pieces, split_words
+from sheaf.functions.text import java_split_candidates, keep_java_piece, split_words
 from sheaf.sources.text import lines_of
 
 
@@ -31,7 +31,8 @@ def raw_words(df: DataFrame, text_col: str = "value", by_lines: bool = True) ->
     ``by_lines=False`` each row already is one line (a ``spark.read.text`` scan).
     """
     lines = lines_of(df, text_col) if by_lines else df.select(F.col(text_col).alias("line"))
-    return lines.select(F.explode(java_split_pieces(F.col("line"))).alias("word"))
+    pieces = lines.select("line", F.posexplode(java_split_candidates(F.col("line"))).alias("i", "word"))
+    return pieces.filter(keep_java_piece(F.col("word"), F.col("i"), F.col("line"))).select("word")
 
 
 def count_words(word_rows: DataFrame) -> DataFrame:

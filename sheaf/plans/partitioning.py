@@ -1,0 +1,22 @@
+"""Input spreading for scans that come out in fewer partitions than the cluster has
+task slots (a single file or row group becomes one task)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` over the default parallelism, but only when its
+    plan yields fewer partitions than that; a large, already split input is returned as
+    it is, so no shuffle is added where the scan is parallel.
+
+    ``keys`` should be unique or near-unique (a row id): hashing on them is deterministic,
+    so a retried task after an executor loss rebuilds the same partition, and no value
+    can pile a third of the rows into one task. Without keys the rows are dealt round
+    robin (Spark sorts each input partition first, which keeps that deterministic too).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)

@@ -31,9 +31,10 @@ def parse_quoted(df: DataFrame, schema: str, line_col: str = "value", *keep: str
     Quotes around a field are removed; cells that do not fit their type become NULL.
     """
     rec = F.from_csv(F.col(line_col), schema, {"mode": "PERMISSIVE"})
-    return df.select(*keep, rec.alias("_rec"), quoted_field_count(F.col(line_col)).alias("field_count")).select(
-        *keep, "_rec.*", "field_count"
-    )
+    # ``inline`` of a one-element array turns the record into columns in a generator, so
+    # filters on parsed fields stay above it instead of being rewritten into extra copies
+    # of the parser call: each line is parsed once.
+    return df.select(*keep, quoted_field_count(F.col(line_col)).alias("field_count"), F.inline(F.array(rec)))
 
 
 def read_quoted(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:

@@ -18,12 +18,25 @@ def lines_of(df: DataFrame, text_col: str = "text", *keep: str) -> DataFrame:
     """Split a text column into its lines the way a file is read line by line.
 
     A terminator ends a line, so text ending in a terminator has no extra empty last
-    line, and an empty text has no line at all. Output: ``*keep, line_no, line``.
+    line, and an empty text has no line at all. Output: ``*keep, line``.
+
+    The final terminator is cut before the split (rather than dropping the last piece by
+    its position), so the generator input is one expression per text and no per-line
+    column refers back to the whole text.
     """
-    parts = F.split(F.col(text_col), LINE_BREAK, -1)
-    exploded = df.select(*keep, F.size(parts).alias("_n"), F.posexplode(parts).alias("line_no", "line"))
-    last_and_empty = (F.col("line_no") == F.col("_n") - 1) & (F.col("line") == "")
-    return exploded.filter(~last_and_empty).drop("_n")
+    t = F.col(text_col)
+    n = F.length(t)
+    body = (
+        F.when(t.endswith("\r\n"), t.substr(F.lit(1), n - 2))
+        .when(t.endswith("\n") | t.endswith("\r"), t.substr(F.lit(1), n - 1))
+        .otherwise(t)
+    )
+    pieces = (
+        F.when(t == "", F.array().cast("array<string>"))
+        .when(body == "", F.array(F.lit("")))
+        .otherwise(F.split(body, LINE_BREAK, -1))
+    )
+    return df.select(*keep, F.explode(pieces).alias("line"))
 
 
 def non_blank(col: str | Column) -> Column:

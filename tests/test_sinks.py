@@ -1,0 +1,34 @@
+import os
+
+from pyspark.sql import functions as F
+
+from sheaf.sources import sinks
+
+
+def test_run_path_and_renderings(spark):
+    assert sinks.run_path("out/words", 1478473144935) == "out/words_1478473144935"
+    df = spark.createDataFrame([("dig", 4)], "word STRING, n INT")
+    row = df.select(
+        sinks.tuple_text("word", "n").alias("t"),
+        sinks.tuple_text("word", sinks.tuple_text(F.lit("x"), "n")).alias("nested"),
+        sinks.tab_text("word", "n").alias("tab"),
+    ).first()
+    assert (row.t, row.nested, row.tab) == ("(dig,4)", "(dig,(x,4))", "dig\t4")
+
+
+def test_hashed_sorted_and_single_sorted_file(spark, tmp_path):
+    words = spark.createDataFrame([(w, i) for i, w in enumerate("the cat sat on a mat by the door".split())], "word STRING, n INT")
+    hashed = sinks.hashed_sorted(words, 17, "word")
+    assert hashed.rdd.getNumPartitions() == 17
+    for part in hashed.rdd.glom().collect():
+        keys = [r.word for r in part]
+        assert keys == sorted(keys)
+    out = sinks.run_path(str(tmp_path / "sorted"), 1)
+    sinks.write_sorted_lines(sinks.tuple_text("word", "n"), words, ["word", "n"], out, single_file=True)
+    files = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(files) == 1
+    lines = open(os.path.join(out, files[0])).read().splitlines()
+    assert lines[0] == "(a,4)" and lines[-1] == "(the,7)"
+    tab_out = str(tmp_path / "tab")
+    sinks.write_lines(sinks.tab_text("word", "n"), words, tab_out)
+    assert spark.read.text(tab_out).count() == 9
