@@ -1,0 +1,88 @@
+import os
+
+from sheaf.plans import jobs
+
+
+def read_parts(folder):
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    return [open(os.path.join(folder, p)).read().splitlines() for p in parts]
+
+
+def test_word_count_jobs(spark, tmp_path):
+    src = tmp_path / "texts"
+    src.mkdir()
+    (src / "a").write_text("The cat, the hat.\n\n  4d\n")
+    out = jobs.word_count_job(spark, str(src), str(tmp_path / "mr"))
+    assert os.path.basename(out).startswith("mr_")
+    parts = read_parts(out)
+    # 17 hash parts; Spark writes no file for an empty part
+    assert 1 < len(parts) <= jobs.WORD_COUNT_PARTS
+    lines = [line for part in parts for line in part]
+    assert sorted(lines) == sorted(["The\t1", "cat\t1", "the\t1", "hat\t1", "4d\t1"])
+    for part in parts:
+        assert part == sorted(part)
+    out2 = jobs.word_count_job(spark, str(src), str(tmp_path / "rdd"), keep_empty=True)
+    lines2 = [line for part in read_parts(out2) for line in part]
+    assert lines2 == ["(,2)", "(4d,1)", "(The,1)", "(cat,1)", "(hat,1)", "(the,1)"]
+
+
+def test_screener_job(spark, tmp_path):
+    src = tmp_path / "listings"
+    src.mkdir()
+    (src / "nasdaq.csv").write_text(
+        '"Symbol","Name","LastSale","MarketCap","IPOyear","Sector","industry","Summary Quote",\n'
+        '"BBB","B, Inc.","1","$2M","n/a","Tech","x","u",\n'
+        '"AAA","A","1","$1.5M","n/a","Tech","x","u",\n'
+        '"CCC","C","1","$3B","n/a","Tech","x","u",\n'
+    )
+    out = jobs.screener_job(spark, str(src), str(tmp_path / "screen"))
+    sectors = [line for p in read_parts(os.path.join(out, "sectors")) for line in p]
+    assert sectors == [
+        "(Tech,(Sector capital = 3500000.00,Ticker count = 2))\t"
+        "Total tickers for Tech = 2; Total capitalization for Tech= $3500000"
+    ]
+    tickers = [line for p in read_parts(os.path.join(out, "tickers")) for line in p]
+    assert tickers == ["Tech\tAAA", "Tech\tBBB"]
+
+
+def test_fundamentals_job_counts_in_one_pass(spark, tmp_path):
+    src = tmp_path / "sp"
+    src.mkdir()
+    rows = [
+        "Symbol,Name,Sector,Price,Dividend Yield,Price/Earnings,a,b,c,d,e,f,g,h,i",
+        "ZZ,Z,S,1,2.5,10.0,a,b,c,d,e,f,g,h,i",
+        "AA,A,S,1,,,a,b,c,d,e,f,g,h,i",
+        "BB,B,S,1,n/a,1.0,a,b,c,d,e,f,g,h,i",
+    ]
+    (src / "f.csv").write_text("\n".join(rows) + "\n")
+    out, totals = jobs.fundamentals_job(spark, str(src), str(tmp_path / "fund"))
+    lines = [line for p in read_parts(out) for line in p]
+    assert lines == ["(AA,0.0,-Infinity)", "(ZZ,2.5,10.0)"]
+    assert totals == {"total_lines": 4, "valid": 2, "no_dividend": 1, "invalid_rows": 3, "invalid_events": 3}
+
+
+def test_growth_job(spark, tmp_path):
+    fund = tmp_path / "sp"
+    fund.mkdir()
+    header = "Symbol,Name,Sector,Price,Dividend Yield,Price/Earnings,a,b,52 week low,52 week high,e,f,g,h,i"
+    (fund / "f.csv").write_text(
+        "\n".join([
+            header,
+            "AA,A,S,1,1.5,1,a,b,10,15,e,f,g,h,i",
+            "BB,B,S,1,n/a,1,a,b,n/a,5,e,f,g,h,i",
+            "CC,C,S,1,3.0,1,a,b,1,4,e,f,g,h,i",
+            "DD,D,S,1,9.0,1,a,b,1,2,e,f,g,h,i",
+        ]) + "\n"
+    )
+    lst = tmp_path / "nasdaq"
+    lst.mkdir()
+    (lst / "n.csv").write_text(
+        '"Symbol","Name","LastSale","MarketCap","IPOyear","Sector","industry","Summary Quote",\n'
+        + "".join(f'"{s}","{s} Inc","1","$1M","n/a","Tech","x","u",\n' for s in ["AA", "BB", "CC", "EE"])
+    )
+    out, report = jobs.growth_job(spark, str(fund), str(lst), str(tmp_path / "growth"), k=2)
+    assert report["count"].first().n_symbols == 3
+    assert [(r.symbol, r.growth) for r in report["top_growth"].collect()] == [("CC", 300.0), ("AA", 50.0)]
+    assert [(r.symbol, r.dividend) for r in report["top_dividend"].collect()] == [("CC", 3.0), ("AA", 1.5)]
+    lines = [line for p in read_parts(out) for line in p]
+    assert lines == ["(CC,3.0,300.0)", "(AA,1.5,50.0)", "(BB,0.0,null)"]

@@ -1,0 +1,46 @@
+import datetime
+
+from sheaf.operators import screener, wordcount
+from sheaf.sources.delimited import drop_header, read_quoted, read_tab
+from sheaf.sources.derive import LISTING_SCHEMA
+from sheaf.sources.tables import table
+from sheaf.sources.text import read_lines
+from tests.conftest import SF_SMALL
+
+
+def test_text_scan_of_a_folder(spark, tmp_path):
+    (tmp_path / "one").write_text("a b\n\n")
+    (tmp_path / "two").write_text("b c\r\nc")
+    lines = read_lines(spark, str(tmp_path))
+    assert lines.count() == 4
+    got = {r.word: r.occurrences for r in wordcount.word_count(lines).collect()}
+    assert got == {"a": 1, "b": 2, "c": 2}
+    raw = {r.word: r.occurrences for r in wordcount.word_count_raw(lines, by_lines=False).collect()}
+    assert raw[""] == 1
+
+
+def test_quoted_csv_files_with_concatenated_headers(spark, tmp_path):
+    header = '"Symbol","Name","LastSale","MarketCap","IPOyear","Sector","industry","Summary Quote",'
+    body = '"AAA","A, Inc.","1","$10.5M","n/a","Tech","x","u",'
+    for i in range(2):
+        (tmp_path / f"list{i}.csv").write_text(header + "\n" + body + "\n")
+    df = drop_header(read_quoted(spark, str(tmp_path), LISTING_SCHEMA), "sector", "Sector")
+    rows = df.collect()
+    assert [(r.symbol, r.name, r.market_cap) for r in rows] == [("AAA", "A, Inc.", "$10.5M")] * 2
+    # the same lines through the column parser give the same fields
+    lines = spark.read.text(str(tmp_path))
+    parsed = screener.listing_records(lines).collect()
+    assert [(r.symbol, r.name, r.market_cap, r.field_count) for r in parsed] == [("AAA", "A, Inc.", "$10.5M", 9)] * 2
+
+
+def test_tab_files(spark, tmp_path):
+    (tmp_path / "r.tsv").write_text("2014-01-02 03:04:05\t1\t2\t300\tok\n")
+    row = read_tab(spark, str(tmp_path), "posted TIMESTAMP_NTZ, cust_id INT, prod_id INT, rating TINYINT, message STRING").first()
+    assert row.posted == datetime.datetime(2014, 1, 2, 3, 4, 5) and row.rating is None and row.message == "ok"
+
+
+def test_table_reader_prunes_columns(spark):
+    df = table(spark, SF_SMALL, "lineitem", "l_orderkey", "l_quantity").filter("l_quantity = 1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "struct<l_orderkey:bigint,l_quantity:double>" in plan
+    assert "EqualTo(l_quantity,1.0)" in plan
