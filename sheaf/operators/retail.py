@@ -41,6 +41,23 @@ def group_count_ranked(df: DataFrame, group: str, counted: str, alias: str = "n"
     return df.groupBy(group).agg(F.count(F.col(counted)).alias(alias)).orderBy(F.col(alias).desc(), F.col(group))
 
 
+def group_count_ranked_named(
+    facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str, name: str, counted: str, alias: str = "n"
+) -> DataFrame:
+    """A11/O6 through a join: ``count(counted)`` per dimension name, largest first.
+
+    Facts are counted per key before the join and the counts re-added per name after it
+    (equal to join-then-group), so the join moves one row per key; joining every fact
+    row on a key with few values would send all of them to as many reducers."""
+    per_key = facts.groupBy(fact_key).agg(F.count(F.col(counted)).alias("_n"))
+    joined = per_key.join(dims.select(F.col(dim_key).alias(fact_key), name), fact_key, "inner")
+    return (
+        joined.groupBy(name)
+        .agg(F.sum("_n").alias(alias))
+        .orderBy(F.col(alias).desc(), F.col(name))
+    )
+
+
 def top_sum(df: DataFrame, key: str, value: str, k: int, alias: str) -> DataFrame:
     """Sum per key, the ``k`` largest, ties by key."""
     return df.groupBy(key).agg(F.sum(value).alias(alias)).orderBy(F.col(alias).desc(), F.col(key)).limit(k)

@@ -16,7 +16,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     can pile a third of the rows into one task. Without keys the rows are dealt round
     robin (Spark sorts each input partition first, which keeps that deterministic too).
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        # Planning only: for a scan this builds the file splits, it runs no job.
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no JVM context at hand (e.g. a Spark Connect session)
+        return df
+    if current >= slots:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)

@@ -195,8 +195,9 @@ def count_distinct_concat(spark, sf):
 def group_count_ranked(spark, sf):
     customers = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     nations = table(spark, sf, "nation", "n_nationkey", "n_name")
-    joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    return retail.group_count_ranked(joined, "n_name", "c_custkey", "n_customers")
+    return retail.group_count_ranked_named(
+        customers, nations, "c_nationkey", "n_nationkey", "n_name", "c_custkey", "n_customers"
+    )
 
 
 @query("top3_quantity")

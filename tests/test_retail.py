@@ -79,3 +79,10 @@ def test_sql_form_gives_same_answer(spark):
 def test_date_parts(spark):
     got = {(r.year, r.month, r.day): r.n_orders for r in retail.date_part_counts(orders(spark)).collect()}
     assert got == {(2014, 5, 16): 2, (2014, 5, 17): 4, (2014, 5, 18): 2}
+
+
+def test_group_count_ranked_named_equals_join_then_group(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 10), (3, 20), (None, 20), (5, 30)], "id INT, key INT")
+    dims = spark.createDataFrame([(10, "PR"), (20, "CA"), (30, "PR"), (40, "NY")], "k INT, name STRING")
+    got = [(r.name, r.n) for r in retail.group_count_ranked_named(facts, dims, "key", "k", "name", "id").collect()]
+    assert got == [("PR", 3), ("CA", 1)]
