@@ -38,7 +38,7 @@ def _ticker(key: Column) -> Column:
 
 
 def _with_header(lines: DataFrame, header: str) -> DataFrame:
-    head = lines.sparkSession.range(1).select(F.lit(header).alias("value"))
+    head = lines.sparkSession.range(1, numPartitions=1).select(F.lit(header).alias("value"))
     return head.unionByName(lines)
 
 

@@ -44,3 +44,12 @@ def test_table_reader_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "struct<l_orderkey:bigint,l_quantity:double>" in plan
     assert "EqualTo(l_quantity,1.0)" in plan
+
+
+def test_declared_schemas_match_the_files(spark):
+    from sheaf.sources.tables import TABLES
+
+    for name in TABLES:
+        declared = table(spark, SF_SMALL, name).schema
+        inferred = table(spark, SF_SMALL, name, infer=True).schema
+        assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
