@@ -48,12 +48,21 @@ def market_cap_flags(records: DataFrame) -> DataFrame:
     )
 
 
-def screen(records: DataFrame) -> DataFrame:
-    """Listings that enter the rollup: full width (F4) and a known, non-billion cap.
+def screen(records: DataFrame, rule: str = "suffix", check_width: bool = True) -> DataFrame:
+    """Listings that enter the rollup. Canonical: full width (F4) and a cap that is not
+    ``n/a`` and does not end in ``B`` (F3, the MapReduce job). ``rule="substring"`` with
+    ``check_width=False`` is the RDD job's filter (F2: no ``B``, no ``n/a`` anywhere).
     ``cap`` is exact (NULL when unparsable), ``cap_double`` the floating-point parse."""
     cap = F.col("market_cap")
-    kept = records.filter((F.col("field_count") == LISTING_WIDTH) & keep_cap_by_suffix(cap))
-    return kept.select(
+    if rule == "suffix":
+        keep = keep_cap_by_suffix(cap)
+    elif rule == "substring":
+        keep = keep_cap_by_substring(cap)
+    else:
+        raise ValueError(f"unknown cap rule {rule!r}")
+    if check_width:
+        keep = keep & (F.col("field_count") == LISTING_WIDTH)
+    return records.filter(keep).select(
         "sector",
         F.col("symbol").alias("ticker"),
         money_value(cap).alias("cap"),

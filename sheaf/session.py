@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,33 @@ def get_session(
     return spark
 
 
+def scale_settings(
+    input_bytes: int,
+    cores: int,
+    split_bytes: int = 256 * 1024 * 1024,
+    shuffle_bytes_per_partition: int = 128 * 1024 * 1024,
+    shuffle_ratio: float = 0.25,
+) -> dict[str, str]:
+    """Partition settings for a large run, to pass as ``extra`` to ``get_session``.
+
+    Scan splits of ``split_bytes``; the initial shuffle width sized so that the expected
+    shuffle volume (``shuffle_ratio`` of the input, after partial aggregation and
+    pruning) lands near ``shuffle_bytes_per_partition`` per reducer, at least two waves
+    of tasks and at most 100,000 reducers (map x reduce blocks stay manageable). AQE then
+    coalesces small reducers to the advisory size and splits skewed ones.
+    """
+    expected_shuffle = input_bytes * shuffle_ratio
+    reducers = max(2 * cores, math.ceil(expected_shuffle / shuffle_bytes_per_partition))
+    reducers = min(reducers, 100_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(reducers),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes_per_partition),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_bytes_per_partition),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 

@@ -65,3 +65,13 @@ def test_sector_report_lines(spark):
     got = {r.sector: r for r in screener.sector_report(screener.screen(records(spark))).collect()}
     assert got["n/a"].capital_line == "(n/a,(Sector capital = 1000000.00,Ticker count = 1))"
     assert got["n/a"].totals_line == "Total tickers for n/a = 1; Total capitalization for n/a= $1000000"
+
+
+def test_substring_rule_without_width_check(spark):
+    lines = LISTINGS + ['"HHH","H","1","$4Bn/a","n/a","Tech","x","u",', '"III","I","1","$5.0MB?","n/a","Tech","x","u",']
+    recs = screener.listing_records(lines_df(spark, lines))
+    canonical = {r.ticker for r in screener.screen(recs).collect()}
+    rdd_rule = {r.ticker for r in screener.screen(recs, rule="substring", check_width=False).collect()}
+    assert canonical == {"AAA", "DDD", "GGG", "EEE     ", "HHH", "III"}
+    # the substring rule drops HHH and III (both hold a B) and keeps the 8-field FFF
+    assert rdd_rule == {"AAA", "DDD", "GGG", "EEE     ", "FFF"}
