@@ -7,7 +7,7 @@ comma shifts the later fields; ``naive_scan`` exposes that with a ``shifted`` fl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import NEGATIVE_INFINITY_TEXT, ZERO_TEXT, blank_to, is_blank, is_plain_decimal
@@ -57,20 +57,22 @@ def extract(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return c.select("symbol", "dividend", "pe", F.col("pe").try_cast("double").alias("pe_value"))
 
 
-def quality(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """One row of counts (D3), computed in one aggregate pass:
-    ``total_lines, valid, no_dividend, invalid_rows, invalid_events``.
-
-    ``invalid_events`` is the reference's invalid counter: a wrong-width or blank-field
-    row adds one and a filtered row adds one more."""
-    c = classify(lines, line_col)
-    return c.agg(
+def quality_metrics() -> list[Column]:
+    """The D3 counts over ``classify`` rows: ``total_lines, valid, no_dividend,
+    invalid_rows, invalid_events``. ``invalid_events`` is the reference's invalid counter:
+    a wrong-width or blank-field row adds one and a filtered row adds one more."""
+    return [
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if("valid").alias("valid"),
         F.count_if("no_dividend").alias("no_dividend"),
         F.count_if(F.col("short_or_blank") | ~F.col("valid")).alias("invalid_rows"),
         (F.count_if("short_or_blank") + F.count_if(~F.col("valid"))).alias("invalid_events"),
-    )
+    ]
+
+
+def quality(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """One row of counts (``quality_metrics``) in one aggregate pass."""
+    return classify(lines, line_col).agg(*quality_metrics())
 
 
 def naive_scan(lines: DataFrame, line_col: str = "value") -> DataFrame:

@@ -10,7 +10,7 @@ such as a per-symbol aggregate, is not shuffled again). Top lists use ``limit``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -30,7 +30,7 @@ def count_symbols(joined: DataFrame) -> DataFrame:
     return joined.agg(F.count(F.lit(1)).alias("n_symbols"))
 
 
-def _number(df: DataFrame, name: str, blank_too: bool) -> F.Column:
+def _number(df: DataFrame, name: str, blank_too: bool) -> Column:
     c = F.col(name)
     if isinstance(df.schema[name].dataType, StringType):
         return to_double(missing_to_zero(c, blank_too))

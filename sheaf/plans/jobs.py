@@ -1,6 +1,6 @@
-"""The reference's programs as whole jobs over files: read, compute, write to a fresh
-``<base>_<millis>`` folder. Each returns the output folder (and any printed totals as
-values), so callers run them the way the reference's programs were run.
+"""The batch programs as whole jobs over files: read, compute, write to a fresh
+``<base>_<millis>`` folder. Each returns the output folder (and the totals the programs
+print, as values).
 """
 
 from __future__ import annotations
@@ -59,22 +59,15 @@ def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) ->
     out = run_path(output_base)
     classified = fundamentals.classify(read_lines(spark, input_path)).orderBy("symbol")
     observed = Observation("fundamentals_quality")
-    classified = classified.observe(
-        observed,
-        F.count(F.lit(1)).alias("total_lines"),
-        F.count_if("valid").alias("valid"),
-        F.count_if("no_dividend").alias("no_dividend"),
-        F.count_if(F.col("short_or_blank") | ~F.col("valid")).alias("invalid_rows"),
-        (F.count_if("short_or_blank") + F.count_if(~F.col("valid"))).alias("invalid_events"),
-    )
+    classified = classified.observe(observed, *fundamentals.quality_metrics())
     kept = classified.filter("valid").select(tuple_text("symbol", "dividend", "pe").alias("value"))
     kept.write.mode("errorifexists").text(out)
     return out, dict(observed.get)
 
 
-def _keyed_fields(lines: DataFrame, positions: dict[str, int], strip_quotes: bool) -> DataFrame:
-    text = F.replace(F.col("value"), F.lit('"'), F.lit("")) if strip_quotes else F.col("value")
-    t = naive_fields(text)
+def _keyed_fields(lines: DataFrame, positions: dict[str, int]) -> DataFrame:
+    """Named fields of a plain comma split (S2), by position."""
+    t = naive_fields(F.col("value"))
     return lines.select(*[F.get(t, i).alias(name) for name, i in positions.items()])
 
 
@@ -91,7 +84,6 @@ def growth_job(
         _keyed_fields(
             read_lines(spark, fundamentals_path),
             {"symbol": 0, "dividend": 4, "week52_low": 8, "week52_high": 9},
-            strip_quotes=False,
         ),
         "symbol",
         fundamentals.HEADER_SYMBOL,
