@@ -19,7 +19,7 @@ WIDTH = 15
 HEADER_SYMBOL = "Symbol"
 
 
-def classify(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def classify(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame:
     """Every line with its fields and one flag per rule.
 
     ``short_or_blank``: wrong width, or blank dividend or P/E (counted, row kept).
@@ -28,6 +28,7 @@ def classify(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """
     t = naive_fields(F.col(line_col))
     fields = lines.select(
+        *keep,
         F.get(t, SYMBOL).alias("symbol"),
         F.get(t, DIVIDEND).alias("dividend_raw"),
         F.get(t, PRICE_EARNINGS).alias("pe_raw"),
@@ -40,6 +41,7 @@ def classify(lines: DataFrame, line_col: str = "value") -> DataFrame:
     pe_ok = F.coalesce(pe == NEGATIVE_INFINITY_TEXT, F.lit(False)) | is_plain_decimal(pe)
     not_header = ~F.col("symbol").eqNullSafe(HEADER_SYMBOL)
     return fields.select(
+        *keep,
         "symbol",
         dividend.alias("dividend"),
         pe.alias("pe"),

@@ -60,9 +60,13 @@ def growth_report(fundamentals: DataFrame, listings: DataFrame, k: int = 10) ->
     """The whole job: the joined growth table is written once to the shared checkpoint
     folder (K6), then the count, both top lists and the growth-ordered table read it."""
     table = cut_lineage(growth_table(join_on_symbol(fundamentals, listings)))
+    # Ids taken on the checkpointed rows are fixed across retries; they break ties so
+    # that copies of one symbol can be split over range partitions in the full sort.
+    with_id = table.withColumn("_row_id", F.monotonically_increasing_id())
+    by_growth = with_id.orderBy(F.col("growth").desc_nulls_last(), F.col(KEY).asc(), "_row_id").drop("_row_id")
     return {
         "count": count_symbols(table),
         "top_growth": top_k(table, "growth", k),
         "top_dividend": top_k(table, "dividend", k),
-        "by_growth": table.orderBy(F.col("growth").desc_nulls_last(), F.col(KEY).asc()),
+        "by_growth": by_growth,
     }

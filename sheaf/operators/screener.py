@@ -29,9 +29,9 @@ SECTOR_HEADER = "Sector"
 LISTING_WIDTH = 9
 
 
-def listing_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def listing_records(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame:
     """Quote-aware fields of each line with its field count; header dropped."""
-    parsed = parse_quoted(lines, LISTING_SCHEMA, line_col).drop("trailing")
+    parsed = parse_quoted(lines, LISTING_SCHEMA, line_col, *keep).drop("trailing")
     return drop_header(parsed, "sector", SECTOR_HEADER)
 
 
@@ -48,21 +48,23 @@ def market_cap_flags(records: DataFrame) -> DataFrame:
     )
 
 
-def screen(records: DataFrame, rule: str = "suffix", check_width: bool = True) -> DataFrame:
+def screen(records: DataFrame, rule: str = "suffix", check_width: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Listings that enter the rollup. Canonical: full width (F4) and a cap that is not
     ``n/a`` and does not end in ``B`` (F3, the MapReduce job). ``rule="substring"`` with
     ``check_width=False`` is the RDD job's filter (F2: no ``B``, no ``n/a`` anywhere).
-    ``cap`` is exact (NULL when unparsable), ``cap_double`` the floating-point parse."""
+    ``cap`` is exact (NULL when unparsable), ``cap_double`` the floating-point parse;
+    ``keep`` names input columns to carry along."""
     cap = F.col("market_cap")
     if rule == "suffix":
-        keep = keep_cap_by_suffix(cap)
+        kept = keep_cap_by_suffix(cap)
     elif rule == "substring":
-        keep = keep_cap_by_substring(cap)
+        kept = keep_cap_by_substring(cap)
     else:
         raise ValueError(f"unknown cap rule {rule!r}")
     if check_width:
-        keep = keep & (F.col("field_count") == LISTING_WIDTH)
-    return records.filter(keep).select(
+        kept = kept & (F.col("field_count") == LISTING_WIDTH)
+    return records.filter(kept).select(
+        *keep,
         "sector",
         F.col("symbol").alias("ticker"),
         money_value(cap).alias("cap"),

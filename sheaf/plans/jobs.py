@@ -14,7 +14,7 @@ from sheaf.operators import fundamentals, growth, screener, wordcount
 from sheaf.sources.delimited import drop_header, naive_fields, read_quoted
 from sheaf.sources.derive import LISTING_SCHEMA
 from sheaf.sources.sinks import hashed_sorted, run_path, tab_text, tuple_text, write_sorted_lines
-from sheaf.sources.text import read_lines
+from sheaf.sources.text import LINE_ID, read_lines
 
 # Fixed value: the MapReduce word count's number of reduce tasks (output parts).
 WORD_COUNT_PARTS = 17
@@ -43,10 +43,14 @@ def screener_job(spark: SparkSession, input_path: str, output_base: str) -> str:
     out = run_path(output_base)
     # Lines go through the column parser, which also counts the quote-aware fields that
     # the width check needs (the CSV file reader does not expose a count).
-    screened = screener.screen(screener.listing_records(read_lines(spark, input_path)))
+    records = screener.listing_records(read_lines(spark, input_path, line_id=True), "value", LINE_ID)
+    screened = screener.screen(records, keep=(LINE_ID,))
     report = screener.sector_report(screened)
     write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], os.path.join(out, "sectors"))
-    write_sorted_lines(tab_text("sector", "ticker"), screened, ["sector", "ticker"], os.path.join(out, "tickers"))
+    # the line id splits copies of one listing across range partitions
+    write_sorted_lines(
+        tab_text("sector", "ticker"), screened, ["sector", "ticker", LINE_ID], os.path.join(out, "tickers")
+    )
     return out
 
 
@@ -57,7 +61,9 @@ def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) ->
     The observation sits above the sort, in the stage that writes: below it, the range
     sort's sampling job would run it a second time and double the totals."""
     out = run_path(output_base)
-    classified = fundamentals.classify(read_lines(spark, input_path)).orderBy("symbol")
+    lines = read_lines(spark, input_path, line_id=True)
+    # the line id splits copies of one symbol across range partitions
+    classified = fundamentals.classify(lines, "value", LINE_ID).orderBy("symbol", LINE_ID)
     observed = Observation("fundamentals_quality")
     classified = classified.observe(observed, *fundamentals.quality_metrics())
     kept = classified.filter("valid").select(tuple_text("symbol", "dividend", "pe").alias("value"))

@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 LINE_BREAK = r"\r\n|\r|\n"
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``value STRING``, one row per line; accepts files, folders and globs."""
-    return spark.read.text(path)
+LINE_ID = "_line_id"
+
+
+def read_lines(spark: SparkSession, path: str | list[str], line_id: bool = False) -> DataFrame:
+    """``value STRING``, one row per line; accepts files, folders and globs.
+
+    ``line_id`` adds ``_line_id``, unique per line and taken right at the scan, where the
+    row order is fixed by the files, so a retried task gives every line the same id. It
+    breaks ties in sorts: a range sort cannot split rows with equal keys, and copies of
+    one record may be a third of the input."""
+    lines = spark.read.text(path)
+    return lines.withColumn(LINE_ID, F.monotonically_increasing_id()) if line_id else lines
 
 
 def lines_of(df: DataFrame, text_col: str = "text", *keep: str) -> DataFrame:

@@ -84,3 +84,24 @@ def test_growth_table_keeps_one_row_per_join_match(spark):
     fund = spark.createDataFrame([("A", "1", 1.0, 2.0)], "symbol STRING, dividend STRING, week52_low DOUBLE, week52_high DOUBLE")
     listings = spark.createDataFrame([("A",), ("A",)], "symbol STRING")
     assert growth.growth_table(growth.join_on_symbol(fund, listings)).count() == 2
+
+
+def test_line_id_splits_copies_in_a_range_sort(spark, tmp_path):
+    from sheaf.operators import fundamentals
+    from sheaf.sources.text import LINE_ID, read_lines
+
+    copy = ",".join(["HOT", "N", "S", "1", "1.0", "2.0"] + ["1"] * 9)
+    others = [",".join([f"S{i:04d}", "N", "S", "1", "1.0", "2.0"] + ["1"] * 9) for i in range(2000)]
+    (tmp_path / "f.csv").write_text("\n".join([copy] * 1000 + others) + "\n")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = read_lines(spark, str(tmp_path), line_id=True)
+        c = fundamentals.classify(lines, "value", LINE_ID)
+        with_id = c.orderBy("symbol", LINE_ID).filter("symbol = 'HOT'").select(F.spark_partition_id().alias("p"))
+        without = c.orderBy("symbol").filter("symbol = 'HOT'").select(F.spark_partition_id().alias("p"))
+        assert with_id.distinct().count() > 1
+        assert without.distinct().count() == 1
+        assert with_id.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
