@@ -92,6 +92,7 @@ def naive_scan(lines: DataFrame, line_col: str = "value") -> DataFrame:
     )
 
 
-def sorted_by_symbol(extracted: DataFrame) -> DataFrame:
-    """O2: ascending by symbol (range-partitioned sort, not one task)."""
-    return extracted.orderBy("symbol")
+def sorted_by_symbol(extracted: DataFrame, *tiebreak: str) -> DataFrame:
+    """O2: ascending by symbol (range-partitioned sort, not one task); ``tiebreak``
+    columns let the range partitioner split copies of one symbol."""
+    return extracted.orderBy("symbol", *tiebreak)

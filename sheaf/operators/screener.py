@@ -90,10 +90,11 @@ def sector_rollup_truncated(screened: DataFrame) -> DataFrame:
     )
 
 
-def sector_tickers(screened: DataFrame) -> DataFrame:
+def sector_tickers(screened: DataFrame, *tiebreak: str) -> DataFrame:
     """``sector, ticker`` sorted (A4 in row form; padding blanks kept, D11). The sort is
-    a range exchange on both columns, so one large sector spreads over many tasks."""
-    return screened.select("sector", "ticker").orderBy("sector", "ticker")
+    a range exchange on both columns, so one large sector spreads over many tasks;
+    ``tiebreak`` (e.g. a scan-time line id) also splits copies of one ticker."""
+    return screened.orderBy("sector", "ticker", *tiebreak).select("sector", "ticker")
 
 
 def sector_report(screened: DataFrame) -> DataFrame:
