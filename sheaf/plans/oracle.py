@@ -305,3 +305,9 @@ SELECT * FROM (VALUES
   ('order_value', 'struct<min:bigint,max:bigint,avg:bigint,total:bigint>')) AS t(col_name, data_type)
 """,
 }
+
+# Order and layout do not change the rows: the sorted and hash-partitioned forms share
+# the oracle of the plain query.
+ORACLE_SQL["word_count_sorted"] = ORACLE_SQL["word_count"]
+ORACLE_SQL["word_count_hashed"] = ORACLE_SQL["word_count"]
+ORACLE_SQL["fundamentals_sorted"] = ORACLE_SQL["fundamentals_extract"]

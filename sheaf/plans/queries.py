@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.operators import fundamentals, growth, nested, retail, screener, wordcount
+from sheaf.plans.jobs import WORD_COUNT_PARTS
 from sheaf.plans.partitioning import spread
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
-from sheaf.sources.sinks import tab_text, tuple_text
+from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,19 @@ def word_count_raw(spark, sf):
     return wordcount.word_count_raw(_documents(spark, sf), "text")
 
 
+@query("word_count_sorted")
+def word_count_sorted(spark, sf):
+    """The counts in global byte order (range-partitioned sort)."""
+    return wordcount.sorted_by_word(wordcount.word_count(_documents(spark, sf), "text"))
+
+
+@query("word_count_hashed")
+def word_count_hashed(spark, sf):
+    """The counts in 17 hash parts on the word, each sorted by word."""
+    counts = wordcount.word_count(_documents(spark, sf), "text")
+    return hashed_sorted(counts, WORD_COUNT_PARTS, "word")
+
+
 # ---- listings: quote-aware scan, cap parsing, sector rollups ---------------------------
 
 def _customer(spark, sf):
@@ -127,6 +141,12 @@ def fundamentals_extract(spark, sf):
     return fundamentals.extract(_fundamentals_lines(spark, sf))
 
 
+@query("fundamentals_sorted")
+def fundamentals_sorted(spark, sf):
+    """O2: the extract in ascending symbol order."""
+    return fundamentals.sorted_by_symbol(fundamentals.extract(_fundamentals_lines(spark, sf)))
+
+
 @query("fundamentals_quality")
 def fundamentals_quality(spark, sf):
     return fundamentals.quality(_fundamentals_lines(spark, sf))

@@ -18,6 +18,9 @@ from sheaf.session import get_session  # noqa: E402
 NOTES = {
     "word_count": "explode + partial count per task, one shuffle on the word; a hot word ships one row per task",
     "word_count_raw": "same as word_count, with two generators (lines, then pieces); no per-line reference back to the whole text",
+    "word_count_sorted": "word_count, then a range exchange on the (unique) word: the sort spreads over all reducers",
+    "word_count_hashed": "word_count re-partitioned into 17 hash parts, each sorted locally (no global sort)",
+    "fundamentals_sorted": "row-wise extract, then a range-partitioned sort on the symbol",
     "csv_quoted_scan": "row-wise parse, no shuffle; the parser runs once per line (inline generator)",
     "market_cap_parse": "row-wise, no shuffle",
     "sector_rollup": "partial sum/count per task, shuffle of (sector, partials) only",
