@@ -158,13 +158,13 @@ GROUP BY word
 SELECT symbol, name, last_sale, market_cap, ipo_year, sector, industry, summary_quote, field_count FROM rec
 """,
     "market_cap_parse": _LISTING + """
-SELECT symbol, market_cap AS cap_text, cap AS cap_value,
+SELECT symbol, market_cap AS cap_text, CAST(cap AS DOUBLE) AS cap_value,
        (NOT contains(market_cap, 'B') AND NOT contains(market_cap, 'n/a')) AS keep_substring,
        (market_cap <> 'n/a' AND NOT ends_with(market_cap, 'B')) AS keep_suffix
 FROM parsed
 """,
     "sector_rollup": _LISTING + """
-SELECT sector, count(*) AS ticker_count, CAST(sum(cap) AS DECIMAL(38,2)) AS total_cap,
+SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS DOUBLE) AS total_cap,
        count(*) FILTER (WHERE cap IS NULL) AS unparsed_caps
 FROM screened GROUP BY sector
 """,
@@ -262,10 +262,10 @@ SELECT count(order_id) AS n_orders FROM o
 WHERE order_status = 'F' AND CAST(substr(order_datestr, 1, 10) AS DATE) = DATE '{CUTOFF}'
 """,
     "revenue_semi_join": _REVENUE + """
-SELECT revenue FROM r
+SELECT CAST(revenue AS DOUBLE) AS revenue FROM r
 """,
     "revenue_decimal": _REVENUE + """
-SELECT CAST(revenue AS DECIMAL(18,2)) AS revenue FROM r
+SELECT CAST(CAST(revenue AS DECIMAL(18,2)) AS VARCHAR) AS revenue FROM r
 """,
     "revenue_formatted": _REVENUE + """
 SELECT printf('$%.2f', CAST(revenue AS DOUBLE)) AS revenue_text FROM r
@@ -278,7 +278,7 @@ FROM d GROUP BY 1, 2, 3
 """,
     "ratings_scan": """
 SELECT ts AS posted, CAST(user_id AS INTEGER) AS cust_id, CAST(event_id AS INTEGER) AS prod_id,
-       TRY_CAST(floor(value) AS TINYINT) AS rating, event_type || ' ' || props AS message
+       CAST(TRY_CAST(floor(value) AS TINYINT) AS DOUBLE) AS rating, event_type || ' ' || props AS message
 FROM events
 """,
     "ratings_count": """

@@ -27,6 +27,14 @@ COMPLETE = "F"
 CUTOFF_DAY = "1998-10-03"
 
 
+def _exact_as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Exact DECIMAL results leave the query as DOUBLE: one correctly rounded conversion
+    at the end (both engines give the same double below 2^53 units of the last place),
+    so the result compares equal however the rows are fetched (Python objects or pandas,
+    where DECIMAL becomes ``Decimal`` on one side and ``float64`` on the other)."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def query(name: str):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -87,12 +95,12 @@ def csv_quoted_scan(spark, sf):
 
 @query("market_cap_parse")
 def market_cap_parse(spark, sf):
-    return screener.market_cap_flags(_listing_records(spark, sf))
+    return _exact_as_double(screener.market_cap_flags(_listing_records(spark, sf)), "cap_value")
 
 
 @query("sector_rollup")
 def sector_rollup(spark, sf):
-    return screener.sector_rollup(_screened(spark, sf))
+    return _exact_as_double(screener.sector_rollup(_screened(spark, sf)), "total_cap")
 
 
 @query("sector_rollup_truncated")
@@ -261,12 +269,13 @@ def _revenue(spark, sf):
 
 @query("revenue_semi_join")
 def revenue_semi_join(spark, sf):
-    return _revenue(spark, sf)
+    return _exact_as_double(_revenue(spark, sf), "revenue")
 
 
 @query("revenue_decimal")
 def revenue_decimal(spark, sf):
-    return _revenue(spark, sf).select(F.col("revenue").cast("decimal(18,2)").alias("revenue"))
+    """The sum as DECIMAL with two places, shown as the SQL shell prints it."""
+    return _revenue(spark, sf).select(F.col("revenue").cast("decimal(18,2)").cast("string").alias("revenue"))
 
 
 @query("revenue_formatted")
@@ -288,7 +297,10 @@ def _ratings(spark, sf):
 
 @query("ratings_scan")
 def ratings_scan(spark, sf):
-    return _ratings(spark, sf)
+    # The cell is parsed as TINYINT (an overflow reads back as NULL); the nullable small
+    # integer leaves the query as DOUBLE, which every fetch path (Python objects or
+    # pandas, where a nullable integer turns into float64 or Int8) returns alike.
+    return _ratings(spark, sf).withColumn("rating", F.col("rating").cast("double"))
 
 
 @query("ratings_count")
