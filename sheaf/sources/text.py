@@ -12,14 +12,16 @@ LINE_BREAK = r"\r\n|\r|\n"
 LINE_ID = "_line_id"
 
 
-def read_lines(spark: SparkSession, path: str | list[str], line_id: bool = False) -> DataFrame:
-    """``value STRING``, one row per line; accepts files, folders and globs.
+def read_lines(spark: SparkSession, path: str | list[str], line_id: bool = False, recursive: bool = False) -> DataFrame:
+    """``value STRING``, one row per line; accepts files, folders and globs
+    (``recursive`` also reads the files in sub-folders).
 
     ``line_id`` adds ``_line_id``, unique per line and taken right at the scan, where the
     row order is fixed by the files, so a retried task gives every line the same id. It
     breaks ties in sorts: a range sort cannot split rows with equal keys, and copies of
     one record may be a third of the input."""
-    lines = spark.read.text(path)
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    lines = reader.text(path)
     return lines.withColumn(LINE_ID, F.monotonically_increasing_id()) if line_id else lines
 
 

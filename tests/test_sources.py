@@ -53,3 +53,13 @@ def test_declared_schemas_match_the_files(spark):
         declared = table(spark, SF_SMALL, name).schema
         inferred = table(spark, SF_SMALL, name, infer=True).schema
         assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
+
+
+def test_recursive_text_scan(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "x.txt").write_text("one two\n")
+    (tmp_path / "b" / "y.txt").write_text("two\n")
+    assert read_lines(spark, str(tmp_path), recursive=True).count() == 2
+    with_ids = read_lines(spark, str(tmp_path), line_id=True, recursive=True)
+    assert with_ids.select("_line_id").distinct().count() == 2
