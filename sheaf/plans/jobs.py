@@ -37,14 +37,18 @@ def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_
     return out
 
 
-def screener_job(spark: SparkSession, input_path: str, output_base: str) -> str:
+def screener_job(
+    spark: SparkSession, input_path: str, output_base: str, rule: str = "suffix", check_width: bool = True
+) -> str:
     """Sector screener over listing CSV files: ``<out>/sectors`` holds one report line per
-    sector, ``<out>/tickers`` the ``sector<TAB>ticker`` lines, both sorted."""
+    sector, ``<out>/tickers`` the ``sector<TAB>ticker`` lines, both sorted. The defaults
+    are the MapReduce program's filter; ``rule="substring", check_width=False`` is the
+    RDD program's."""
     out = run_path(output_base)
     # Lines go through the column parser, which also counts the quote-aware fields that
     # the width check needs (the CSV file reader does not expose a count).
     records = screener.listing_records(read_lines(spark, input_path, line_id=True), "value", LINE_ID)
-    screened = screener.screen(records, keep=(LINE_ID,))
+    screened = screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,))
     report = screener.sector_report(screened)
     write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], os.path.join(out, "sectors"))
     # the line id splits copies of one listing across range partitions

@@ -43,6 +43,13 @@ def test_screener_job(spark, tmp_path):
     ]
     tickers = [line for p in read_parts(os.path.join(out, "tickers")) for line in p]
     assert tickers == ["Tech\tAAA", "Tech\tBBB"]
+    (src / "more.csv").write_text('"DDD","D","1","$1M","n/a","Tech","x",\n"EEE","E","1","$1MB","n/a","Tech","x","u",\n')
+    canonical = jobs.screener_job(spark, str(src), str(tmp_path / "screen_mr"))
+    rdd_like = jobs.screener_job(spark, str(src), str(tmp_path / "screen_rdd"), rule="substring", check_width=False)
+    t1 = [line for p in read_parts(os.path.join(canonical, "tickers")) for line in p]
+    t2 = [line for p in read_parts(os.path.join(rdd_like, "tickers")) for line in p]
+    assert t1 == ["Tech\tAAA", "Tech\tBBB"]  # DDD has 8 fields, EEE's cap ends in B
+    assert t2 == ["Tech\tAAA", "Tech\tBBB", "Tech\tDDD"]  # EEE's cap holds a B
 
 
 def test_fundamentals_job_counts_in_one_pass(spark, tmp_path):
