@@ -32,7 +32,7 @@ def main() -> None:
     spark = get_session(
         f"local[{cpus}]",
         app_name="sheaf-bench",
-        shuffle_partitions=cpus * 2,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")},
     )
     qs = queries()
