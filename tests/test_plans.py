@@ -105,3 +105,26 @@ def test_line_id_splits_copies_in_a_range_sort(spark, tmp_path):
         assert with_id.count() == 1000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_bucketed_listing_side_is_not_shuffled(spark):
+    from sheaf.operators import catalog
+    from sheaf.sources import derive
+    from sheaf.sources.tables import table
+
+    catalog.drop_table(spark, "listings_bucketed")
+    listings = derive.listings_by_customer(table(spark, SF_SMALL, "customer"))
+    catalog.save_bucketed(listings, "listings_bucketed", "symbol", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = table(spark, SF_SMALL, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
+        joined = growth.join_on_symbol(derive.fundamentals_by_customer(orders), spark.table("listings_bucketed"))
+        plan = physical(joined)
+        assert "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 1  # the per-symbol aggregate only
+        n = joined.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        catalog.drop_table(spark, "listings_bucketed")
+    assert n == queries()["listing_join_count"](spark, SF_SMALL).first().n_symbols
