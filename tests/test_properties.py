@@ -69,3 +69,41 @@ def test_quoted_parse_equals_csv_module(spark, records):
     # the CSV reader returns an empty quoted field as NULL
     parsed = [(r.a or "", r.b or "", r.c or "", r.field_count) for r in got]
     assert sorted(parsed) == sorted((a, b, c, 3) for a, b, c in records)
+
+
+PLAIN_DECIMAL = re.compile(r"[0-9]*\.[0-9]*")
+
+
+def model_fundamentals(line: str):
+    """The extract rules on one line: (valid, symbol, dividend, pe, short_or_blank, no_div)."""
+    t = line.split(",")
+    div = t[4] if len(t) > 4 else None
+    pe = t[5] if len(t) > 5 else None
+    no_div, no_pe = div == "", pe == ""
+    short_or_blank = len(t) != 15 or no_div or no_pe
+    div = "0.0" if no_div else div
+    pe = "-Infinity" if no_pe else pe
+    div_ok = div is not None and PLAIN_DECIMAL.fullmatch(div) is not None
+    pe_ok = pe is not None and (pe == "-Infinity" or PLAIN_DECIMAL.fullmatch(pe) is not None)
+    valid = div_ok and pe_ok and t[0] != "Symbol"
+    return valid, t[0], div, pe, short_or_blank, no_div
+
+
+cells = st.sampled_from(["", "1.5", "12", ".", "3.", "-1.0", "n/a", "x", "Symbol", '"A', 'B"'])
+
+
+@SETTINGS
+@given(st.lists(st.lists(cells, min_size=1, max_size=17).map(",".join), min_size=1, max_size=12))
+def test_fundamentals_rules_equal_model(spark, lines):
+    from sheaf.operators import fundamentals
+
+    df = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    models = [model_fundamentals(x) for x in lines]
+    got = sorted((r.symbol, r.dividend, r.pe) for r in fundamentals.extract(df).collect())
+    assert got == sorted((s, d, p) for v, s, d, p, _, _ in models if v)
+    q = fundamentals.quality(df).first()
+    valid = sum(m[0] for m in models)
+    blank = sum(m[4] for m in models)
+    assert (q.total_lines, q.valid, q.no_dividend) == (len(lines), valid, sum(m[5] for m in models))
+    assert q.invalid_events == blank + (len(lines) - valid)
+    assert q.invalid_rows == sum(1 for m in models if m[4] or not m[0])
