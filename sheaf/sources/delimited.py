@@ -31,10 +31,12 @@ def parse_quoted(df: DataFrame, schema: str, line_col: str = "value", *keep: str
     Quotes around a field are removed; cells that do not fit their type become NULL.
     """
     rec = F.from_csv(F.col(line_col), schema, {"mode": "PERMISSIVE"})
-    # ``inline`` of a one-element array turns the record into columns in a generator, so
-    # filters on parsed fields stay above it instead of being rewritten into extra copies
-    # of the parser call: each line is parsed once.
-    return df.select(*keep, quoted_field_count(F.col(line_col)).alias("field_count"), F.inline(F.array(rec)))
+    # The record and its field count leave a generator (``inline`` of a one-element
+    # array), so filters on them stay above it instead of being rewritten into extra
+    # copies of the parser call or of the expression that built the line: each line is
+    # parsed and counted once.
+    packed = F.struct(rec.alias("_rec"), quoted_field_count(F.col(line_col)).alias("field_count"))
+    return df.select(*keep, F.inline(F.array(packed))).select(*keep, "_rec.*", "field_count")
 
 
 def read_quoted(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:

@@ -42,12 +42,15 @@ def lines_of(df: DataFrame, text_col: str = "text", *keep: str) -> DataFrame:
         .when(t.endswith("\n") | t.endswith("\r"), t.substr(F.lit(1), n - 1))
         .otherwise(t)
     )
+    # The body is cut once, in a projection under the generator.
+    cut = df.select(*keep, (t == "").alias("_empty"), body.alias("_body"))
+    b = F.col("_body")
     pieces = (
-        F.when(t == "", F.array().cast("array<string>"))
-        .when(body == "", F.array(F.lit("")))
-        .otherwise(F.split(body, LINE_BREAK, -1))
+        F.when(F.col("_empty"), F.array().cast("array<string>"))
+        .when(b == "", F.array(F.lit("")))
+        .otherwise(F.split(b, LINE_BREAK, -1))
     )
-    return df.select(*keep, F.explode(pieces).alias("line"))
+    return cut.select(*keep, F.explode(pieces).alias("line"))
 
 
 def non_blank(col: str | Column) -> Column:
