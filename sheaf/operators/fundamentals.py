@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import NEGATIVE_INFINITY_TEXT, ZERO_TEXT, blank_to, is_blank, is_plain_decimal
-from sheaf.sources.delimited import naive_fields, quoted_field_count
+from sheaf.sources.delimited import naive_fields, project_once, quoted_field_count
 
 # Field positions and width of a fundamentals line, and the header symbol.
 SYMBOL, DIVIDEND, PRICE_EARNINGS = 0, 4, 5
@@ -26,13 +26,16 @@ def classify(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame
     ``valid``: dividend and P/E pass the number test (P/E may be ``-Infinity``) and the
     row is not the header. A line too short to hold a field has NULL there and fails.
     """
-    t = naive_fields(F.col(line_col))
-    fields = lines.select(
-        *keep,
-        F.get(t, SYMBOL).alias("symbol"),
-        F.get(t, DIVIDEND).alias("dividend_raw"),
-        F.get(t, PRICE_EARNINGS).alias("pe_raw"),
-        F.size(t).alias("field_count"),
+    # Split once in a projection; the generator only reads the array.
+    split_lines = lines.select(*keep, naive_fields(F.col(line_col)).alias("_t"))
+    t = F.col("_t")
+    fields = project_once(
+        split_lines,
+        keep,
+        symbol=F.get(t, SYMBOL),
+        dividend_raw=F.get(t, DIVIDEND),
+        pe_raw=F.get(t, PRICE_EARNINGS),
+        field_count=F.size(t),
     )
     no_dividend = is_blank(F.col("dividend_raw"))
     no_pe = is_blank(F.col("pe_raw"))

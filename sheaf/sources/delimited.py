@@ -25,18 +25,25 @@ def quoted_field_count(line: Column) -> Column:
     return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
 
 
+def project_once(df: DataFrame, keep: tuple[str, ...] = (), **columns: Column) -> DataFrame:
+    """``df.select(*keep, **columns)``, with the new columns produced by a generator
+    (``inline`` of a one-element array of one struct).
+
+    Later filters on these columns cannot be pushed below a generator, so the optimizer
+    does not rewrite them into copies of the expressions (a parser call, a split, or the
+    expression that built the line): each row computes them once."""
+    packed = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(packed)))
+
+
 def parse_quoted(df: DataFrame, schema: str, line_col: str = "value", *keep: str) -> DataFrame:
     """S3 on a column of lines: quote-aware fields, typed by ``schema`` (a DDL string).
 
     Quotes around a field are removed; cells that do not fit their type become NULL.
     """
     rec = F.from_csv(F.col(line_col), schema, {"mode": "PERMISSIVE"})
-    # The record and its field count leave a generator (``inline`` of a one-element
-    # array), so filters on them stay above it instead of being rewritten into extra
-    # copies of the parser call or of the expression that built the line: each line is
-    # parsed and counted once.
-    packed = F.struct(rec.alias("_rec"), quoted_field_count(F.col(line_col)).alias("field_count"))
-    return df.select(*keep, F.inline(F.array(packed))).select(*keep, "_rec.*", "field_count")
+    parsed = project_once(df, keep, _rec=rec, field_count=quoted_field_count(F.col(line_col)))
+    return parsed.select(*keep, "_rec.*", "field_count")
 
 
 def read_quoted(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
