@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheaf.operators.wordcount import word_count
@@ -36,7 +35,7 @@ def start_word_count(
     """Start the stream. ``sink="memory"`` keeps the totals in a table named
     ``query_name`` (for small runs and tests, complete mode); any other file sink gets
     one row per word whose count changed in each batch (update mode, via foreachBatch
-    appending to ``output_path``). The checkpoint goes under the session's shared
+    into ``output_path/batch_id=<n>``, rewritten if the batch runs again). The checkpoint goes under the session's shared
     checkpoint folder unless given."""
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", query_name)
     counts = word_count_stream(spark, folder)
@@ -46,7 +45,10 @@ def start_word_count(
     if output_path is None:
         raise ValueError("output_path is required for a file sink")
 
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").format(sink).save(output_path)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # One folder per batch, overwritten: a batch re-run after a failure replaces its
+        # own output instead of adding a second copy (the folders read back as a table
+        # partitioned by batch_id).
+        batch.write.mode("overwrite").format(sink).save(os.path.join(output_path, f"batch_id={batch_id}"))
 
-    return writer.outputMode("update").foreachBatch(append_batch).start()
+    return writer.outputMode("update").foreachBatch(write_batch).start()
