@@ -311,3 +311,4 @@ SELECT * FROM (VALUES
 ORACLE_SQL["word_count_sorted"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_hashed"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["fundamentals_sorted"] = ORACLE_SQL["fundamentals_extract"]
+ORACLE_SQL["revenue_semi_join_sql"] = ORACLE_SQL["revenue_semi_join"]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.operators import fundamentals, growth, nested, retail, screener, wordcount
+from sheaf.operators import catalog, fundamentals, growth, nested, retail, screener, wordcount
 from sheaf.plans.jobs import WORD_COUNT_PARTS
 from sheaf.plans.partitioning import spread
 from sheaf.sources import derive
@@ -272,6 +272,26 @@ def revenue_semi_join(spark, sf):
     return _exact_as_double(_revenue(spark, sf), "revenue")
 
 
+@query("revenue_semi_join_sql")
+def revenue_semi_join_sql(spark, sf):
+    """The same question as one SQL statement; ``IN (subquery)`` plans as a left
+    semi-join. DataFrames are bound to the placeholders, no global view is created."""
+    items = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice")
+    return catalog.run_sql(
+        spark,
+        f"""
+        SELECT CAST(CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS DOUBLE) AS revenue
+        FROM {{items}} o
+        WHERE o.l_orderkey IN (
+            SELECT order_id FROM {{orders}}
+            WHERE order_status = '{COMPLETE}'
+              AND CAST(substr(order_datestr, 1, 10) AS DATE) <= DATE'{CUTOFF_DAY}')
+        """,
+        items=items,
+        orders=_orders_text(spark, sf),
+    )
+
+
 @query("revenue_decimal")
 def revenue_decimal(spark, sf):
     """The sum as DECIMAL with two places, shown as the SQL shell prints it."""

@@ -128,3 +128,9 @@ def test_bucketed_listing_side_is_not_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         catalog.drop_table(spark, "listings_bucketed")
     assert n == queries()["listing_join_count"](spark, SF_SMALL).first().n_symbols
+
+
+def test_sql_in_subquery_plans_as_semi_join(spark):
+    df = queries()["revenue_semi_join_sql"](spark, SF_SMALL)
+    assert "LeftSemi" in physical(df)
+    assert df.first().revenue == queries()["revenue_semi_join"](spark, SF_SMALL).first().revenue

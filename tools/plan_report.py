@@ -48,6 +48,7 @@ NOTES = {
     "orders_on_date": "as above",
     "revenue_semi_join": "left-semi join on the order key: broadcast of order keys below the threshold, else sort-merge with AQE skew split",
     "revenue_decimal": "as revenue_semi_join",
+    "revenue_semi_join_sql": "the SQL text plans the same left-semi join as revenue_semi_join",
     "revenue_formatted": "as revenue_semi_join",
     "date_parts": "partial count per (year, month, day)",
     "ratings_scan": "row-wise parse, no shuffle",
