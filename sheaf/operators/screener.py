@@ -24,9 +24,12 @@ from sheaf.functions.money import (
 from sheaf.sources.delimited import drop_header, parse_quoted
 from sheaf.sources.derive import LISTING_SCHEMA
 
-# The header's sector text and the width of a listing line.
+# The header's sector text, the width of a listing line, and the report
+# line formats of the two screener programs (RDD job, then MapReduce job).
 SECTOR_HEADER = "Sector"
 LISTING_WIDTH = 9
+CAPITAL_LINE = "(%s,(Sector capital = %s,Ticker count = %d))"
+TOTALS_LINE = "Total tickers for %s = %d; Total capitalization for %s= $%d"
 
 
 def listing_records(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame:
@@ -105,11 +108,6 @@ def sector_report(screened: DataFrame) -> DataFrame:
         F.sum("cap").cast(CAP_TYPE).alias("_cap"),
         F.sum(truncated_float_long(F.col("cap_double"))).alias("_cap_long"),
     )
-    capital_line = F.format_string(
-        "(%s,(Sector capital = %s,Ticker count = %d))", F.col("sector"), F.col("_cap").cast("string"), F.col("_n")
-    )
-    totals_line = F.format_string(
-        "Total tickers for %s = %d; Total capitalization for %s= $%d",
-        F.col("sector"), F.col("_n"), F.col("sector"), F.col("_cap_long"),
-    )
+    capital_line = F.format_string(CAPITAL_LINE, F.col("sector"), F.col("_cap").cast("string"), F.col("_n"))
+    totals_line = F.format_string(TOTALS_LINE, F.col("sector"), F.col("_n"), F.col("sector"), F.col("_cap_long"))
     return g.select("sector", capital_line.alias("capital_line"), totals_line.alias("totals_line"))

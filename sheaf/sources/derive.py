@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.dates import as_text
 
-# Header lines of the two listing files (as in the reference's inputs).
+# Header lines of the two listing file formats (an exchange's company list,
+# and an index's constituents with financials).
 LISTING_HEADER = '"Symbol","Name","LastSale","MarketCap","IPOyear","Sector","industry","Summary Quote",'
 FUNDAMENTALS_HEADER = (
     "Symbol,Name,Sector,Price,Dividend Yield,Price/Earnings,Earnings/Share,Book Value,"
