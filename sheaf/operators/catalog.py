@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sheaf.sources.delimited import TAB_OPTIONS
+
 
 def create_table(spark: SparkSession, name: str, schema: str, fmt: str = "parquet") -> None:
     """An empty typed table."""
     spark.sql(f"CREATE TABLE {name} ({schema}) USING {fmt}")
 
 
+def create_delimited_table(spark: SparkSession, name: str, schema: str, location: str, sep: str = "\t") -> None:
+    """T1/S5 in SQL: a typed table over delimited text files at ``location`` (the Spark
+    form of ``ROW FORMAT DELIMITED FIELDS TERMINATED BY``), read with the same options
+    as ``delimited.read_tab``: no quoting, a bad cell reads as NULL."""
+    options = {**TAB_OPTIONS, "sep": sep, "path": location}
+    clause = ", ".join(f"{k} '{_sql_text(v)}'" for k, v in options.items())
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING csv OPTIONS ({clause})")
+
+
+def _sql_text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'").replace("\t", "\\t")
+
+
 def load_into(df: DataFrame, name: str) -> None:
     """Append rows to an existing table (by position, like ``LOAD DATA``)."""
     df.write.insertInto(name, overwrite=False)

@@ -27,3 +27,29 @@ def test_save_as_table(spark):
     catalog.save_as_table(df, "ratings_t")
     assert spark.table("ratings_t").first().rating == 5
     catalog.drop_table(spark, "ratings_t")
+
+
+def test_tab_delimited_table_in_sql(spark, tmp_path):
+    import datetime
+
+    location = tmp_path / "ratings"
+    location.mkdir()
+    (location / "part1.tsv").write_text("2014-01-02 03:04:05\t1\t2\t4\tfine\n2014-01-03 00:00:00\t3\t4\t300\tbad rating\n")
+    catalog.drop_table(spark, "ratings")
+    catalog.create_delimited_table(
+        spark, "ratings", "posted TIMESTAMP_NTZ, cust_id INT, prod_id INT, rating TINYINT, message STRING", str(location)
+    )
+    try:
+        assert spark.sql("SELECT count(*) AS n FROM ratings").first().n == 2
+        rows = {r.cust_id: r for r in spark.table("ratings").collect()}
+        assert rows[1].posted == datetime.datetime(2014, 1, 2, 3, 4, 5) and rows[1].rating == 4
+        assert rows[3].rating is None and rows[3].message == "bad rating"
+        # LOAD DATA: more rows appended to the same table
+        more = spark.createDataFrame(
+            [(datetime.datetime(2014, 1, 4), 5, 6, 1, "more")],
+            "posted TIMESTAMP_NTZ, cust_id INT, prod_id INT, rating TINYINT, message STRING",
+        )
+        catalog.load_into(more, "ratings")
+        assert spark.sql("SELECT count(*) AS n FROM ratings").first().n == 3
+    finally:
+        catalog.drop_table(spark, "ratings")
