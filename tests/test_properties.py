@@ -107,3 +107,63 @@ def test_fundamentals_rules_equal_model(spark, lines):
     assert (q.total_lines, q.valid, q.no_dividend) == (len(lines), valid, sum(m[5] for m in models))
     assert q.invalid_events == blank + (len(lines) - valid)
     assert q.invalid_rows == sum(1 for m in models if m[4] or not m[0])
+
+
+def model_money(text: str):
+    """P5 on exact decimals: drop $, a text holding M is in millions; else unparsable."""
+    from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+
+    digits = text.replace("$", "")
+    millions = "M" in digits
+    if millions:
+        digits = digits.replace("M", "")
+    if not re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)", digits.strip()):
+        return None
+    try:
+        value = Decimal(digits.strip()).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    except InvalidOperation:
+        return None
+    return value * 1000000 if millions else value
+
+
+money_texts = st.builds(
+    lambda pre, num, suf: pre + num + suf,
+    st.sampled_from(["$", "", "$$"]),
+    st.sampled_from(["1", "10.5", "0.01", "-3.25", "12.345", "x", "", "n/a", "7."]),
+    st.sampled_from(["", "M", "B", "MB"]),
+)
+
+
+@SETTINGS
+@given(st.lists(money_texts, min_size=1, max_size=10))
+def test_money_rules_equal_model(spark, caps):
+    from sheaf.functions.money import keep_cap_by_substring, keep_cap_by_suffix, money_value
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(caps)], "i INT, cap STRING")
+    got = {
+        r.i: (r.v, r.sub, r.suf)
+        for r in df.select(
+            "i",
+            money_value(F.col("cap")).alias("v"),
+            keep_cap_by_substring(F.col("cap")).alias("sub"),
+            keep_cap_by_suffix(F.col("cap")).alias("suf"),
+        ).collect()
+    }
+    for i, c in enumerate(caps):
+        v, sub, suf = got[i]
+        assert v == model_money(c), c
+        assert sub == ("B" not in c and "n/a" not in c)
+        assert suf == (c != "n/a" and not c.endswith("B"))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("ABCDE"), st.one_of(st.none(), st.sampled_from([0.0, 1.5, 2.0, 50.0]))),
+                min_size=1, max_size=15))
+def test_top_k_equals_sorted_model(spark, rows):
+    from sheaf.operators import growth
+
+    df = spark.createDataFrame(rows, "symbol STRING, growth DOUBLE")
+    got = [(r.symbol, r.growth) for r in growth.top_k(df, "growth", 4).collect()]
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))[:4]
+    assert got == want
