@@ -56,17 +56,23 @@ def top_k(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return df.orderBy(F.col(column).desc_nulls_last(), F.col(KEY).asc()).limit(k).select(KEY, column)
 
 
+def _sorted_with_ties_split(df: DataFrame, *order) -> DataFrame:
+    """``orderBy(*order)`` plus a row id as the last key, so copies of one key can be
+    split over range partitions. Used on checkpointed rows only: there the ids are
+    fixed, so a retried task places every row as before."""
+    return df.withColumn("_row_id", F.monotonically_increasing_id()).orderBy(*order, "_row_id").drop("_row_id")
+
+
 def growth_report(fundamentals: DataFrame, listings: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """The whole job: the joined growth table is written once to the shared checkpoint
-    folder (K6), then the count, both top lists and the growth-ordered table read it."""
-    table = cut_lineage(growth_table(join_on_symbol(fundamentals, listings)))
-    # Ids taken on the checkpointed rows are fixed across retries; they break ties so
-    # that copies of one symbol can be split over range partitions in the full sort.
-    with_id = table.withColumn("_row_id", F.monotonically_increasing_id())
-    by_growth = with_id.orderBy(F.col("growth").desc_nulls_last(), F.col(KEY).asc(), "_row_id").drop("_row_id")
+    """The whole job. The join (J1/J2, both inputs' columns) is written once to the
+    shared checkpoint folder (K6); the growth table, the count, both top lists and the
+    two sorted listings all read it, so the join runs once and survives executor loss."""
+    joined = cut_lineage(join_on_symbol(fundamentals, listings))
+    table = growth_table(joined)
     return {
-        "count": count_symbols(table),
+        "joined": _sorted_with_ties_split(joined, F.col(KEY).asc()),
+        "count": count_symbols(joined),
         "top_growth": top_k(table, "growth", k),
         "top_dividend": top_k(table, "dividend", k),
-        "by_growth": by_growth,
+        "by_growth": _sorted_with_ties_split(table, F.col("growth").desc_nulls_last(), F.col(KEY).asc()),
     }

@@ -85,7 +85,9 @@ def growth_job(
     spark: SparkSession, fundamentals_path: str, listings_path: str, output_base: str, k: int = 10
 ) -> tuple[str, dict[str, DataFrame]]:
     """Join of the fundamentals and listing files on the symbol, growth over the 52-week
-    range, both top-``k`` lists; the growth table is written sorted by growth.
+    range, both top-``k`` lists. ``<out>/joined`` lists each matched symbol with the
+    fields of both files (sorted by symbol), ``<out>/growth`` the growth table sorted by
+    growth.
 
     Fields are taken by name after a split (dividend 4, low 8, high 9 of a fundamentals
     line; symbol, sector and cap of a listing), headers dropped on both sides."""
@@ -102,10 +104,10 @@ def growth_job(
         "symbol", "name", "sector", "market_cap"
     )
     report = growth.growth_report(fund, listings, k)
-    write_sorted_lines(
-        tuple_text("symbol", "dividend", "growth"),
-        report["by_growth"],
-        [F.col("growth").desc_nulls_last(), F.col("symbol")],
-        out,
+    # Both frames are already sorted (ties split by row id); writing keeps that order.
+    joined = report["joined"]
+    joined.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns])).write.text(
+        os.path.join(out, "joined")
     )
+    report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(os.path.join(out, "growth"))
     return out, report

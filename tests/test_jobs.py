@@ -91,5 +91,8 @@ def test_growth_job(spark, tmp_path):
     assert report["count"].first().n_symbols == 3
     assert [(r.symbol, r.growth) for r in report["top_growth"].collect()] == [("CC", 300.0), ("AA", 50.0)]
     assert [(r.symbol, r.dividend) for r in report["top_dividend"].collect()] == [("CC", 3.0), ("AA", 1.5)]
-    lines = [line for p in read_parts(out) for line in p]
+    lines = [line for p in read_parts(os.path.join(out, "growth")) for line in p]
     assert lines == ["(CC,3.0,300.0)", "(AA,1.5,50.0)", "(BB,0.0,null)"]
+    joined = [line.split("\t") for p in read_parts(os.path.join(out, "joined")) for line in p]
+    assert [j[0] for j in joined] == ["AA", "BB", "CC"]
+    assert joined[1] == ["BB", "n/a", "n/a", "5", "BB Inc", "Tech", "$1M"]
