@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheaf.operators import fundamentals, growth, screener, wordcount
 from sheaf.sources.delimited import drop_header, naive_fields, read_quoted
 from sheaf.sources.derive import LISTING_SCHEMA
-from sheaf.sources.sinks import hashed_sorted, run_path, tab_text, tuple_text, write_sorted_lines
+from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_hadoop_parts, write_sorted_lines
 from sheaf.sources.text import LINE_ID, read_lines
 
 # Fixed value: the MapReduce word count's number of reduce tasks (output parts).
@@ -23,17 +23,18 @@ WORD_COUNT_PARTS = 17
 def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False) -> str:
     """Word count of a folder of text files.
 
-    ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in 17 hash parts, each
-    sorted by word. ``keep_empty=True``: the RDD job (empty word counted), ``(word,count)``
-    lines globally sorted by word (a range-partitioned sort over many parts)."""
+    ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in ``<out>/part=<n>``
+    for the 17 parts its partitioner gives each word, each part sorted by word.
+    ``keep_empty=True``: the RDD job (empty word counted), ``(word,count)`` lines globally
+    sorted by word (a range-partitioned sort over many parts)."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path)
     if keep_empty:
         counts = wordcount.word_count_raw(lines, "value", by_lines=False)
         write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out)
     else:
-        counts = hashed_sorted(wordcount.word_count(lines, "value"), WORD_COUNT_PARTS, "word")
-        counts.select(tab_text("word", "occurrences").alias("value")).write.text(out)
+        counts = wordcount.word_count(lines, "value")
+        write_hadoop_parts(tab_text("word", "occurrences"), counts, "word", WORD_COUNT_PARTS, out)
     return out
 
 

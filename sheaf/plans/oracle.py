@@ -312,3 +312,20 @@ ORACLE_SQL["word_count_sorted"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_hashed"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["fundamentals_sorted"] = ORACLE_SQL["fundamentals_extract"]
 ORACLE_SQL["revenue_semi_join_sql"] = ORACLE_SQL["revenue_semi_join"]
+ORACLE_SQL["word_count_parts"] = r"""
+WITH c AS (
+  SELECT word, count(*) AS occurrences
+  FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS word FROM documents)
+  WHERE word <> ''
+  GROUP BY word),
+b AS (
+  SELECT word, occurrences,
+         list_transform(regexp_extract_all(hex(encode(word)), '..'),
+                        lambda h: CASE WHEN ('0x' || h)::INTEGER > 127 THEN ('0x' || h)::INTEGER - 256
+                                       ELSE ('0x' || h)::INTEGER END) AS bytes
+  FROM c)
+SELECT word, occurrences,
+       CAST((list_reduce(bytes, lambda acc, x: (((acc * 31 + x) % 4294967296) + 4294967296) % 4294967296, 1::BIGINT)
+             & 2147483647) % 17 AS INTEGER) AS part
+FROM b
+"""

@@ -16,7 +16,7 @@ from sheaf.plans.jobs import WORD_COUNT_PARTS
 from sheaf.plans.partitioning import spread
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
-from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
+from sheaf.sources.sinks import hadoop_text_part, hashed_sorted, tab_text, tuple_text
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def word_count_hashed(spark, sf):
     return hashed_sorted(counts, WORD_COUNT_PARTS, "word")
 
 
+@query("word_count_parts")
+def word_count_parts(spark, sf):
+    """K4: each word's count with the reduce part the MapReduce job writes it to."""
+    counts = wordcount.word_count(_documents(spark, sf), "text")
+    return counts.withColumn("part", hadoop_text_part("word", WORD_COUNT_PARTS))
+
+
 # ---- listings: quote-aware scan, cap parsing, sector rollups ---------------------------
 
 def _customer(spark, sf):

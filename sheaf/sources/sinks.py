@@ -29,6 +29,34 @@ def tab_text(key: str | Column, value: str | Column) -> Column:
     return F.concat_ws("\t", _text(key), _text(value))
 
 
+def hadoop_text_part(key: str | Column, parts: int) -> Column:
+    """The reduce part a MapReduce job's default partitioner gives a text key: the
+    ``Text`` hash (h = 31*h + b over the key's UTF-8 bytes as signed values, starting at
+    1, in 32-bit arithmetic), masked to non-negative, modulo ``parts``. Built from
+    column functions (bytes via hex), so it runs JVM-side."""
+    col = F.col(key) if isinstance(key, str) else key
+    pairs = F.regexp_extract_all(F.hex(F.encode(col, "UTF-8")), F.lit("(..)"), 1)
+    signed = F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("bigint"))
+    signed = F.transform(signed, lambda b: F.when(b > 127, b - 256).otherwise(b))
+    h32 = F.aggregate(signed, F.lit(1).cast("bigint"), lambda acc, b: F.pmod(acc * 31 + b, F.lit(1 << 32)))
+    return F.pmod(h32.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(parts)).cast("int")
+
+
+def write_hadoop_parts(lines: Column, df: DataFrame, key: str, parts: int, path: str) -> None:
+    """K4/O8 with the MapReduce layout: rows go to ``<path>/part=<n>`` by
+    ``hadoop_text_part``, one file per part, sorted by ``key``. Each part is written by
+    one task, as each reduce part was by one reducer."""
+    placed = df.withColumn("part", hadoop_text_part(key, parts))
+    (
+        placed.repartition("part")
+        .sortWithinPartitions("part", key)
+        .select(lines.alias("value"), "part")
+        .write.partitionBy("part")
+        .mode("errorifexists")
+        .text(path)
+    )
+
+
 def hashed_sorted(df: DataFrame, partitions: int, key: str) -> DataFrame:
     """``partitions`` hash parts on ``key``, each sorted by ``key``."""
     return df.repartition(partitions, key).sortWithinPartitions(key)

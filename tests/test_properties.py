@@ -167,3 +167,23 @@ def test_top_k_equals_sorted_model(spark, rows):
     got = [(r.symbol, r.growth) for r in growth.top_k(df, "growth", 4).collect()]
     want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))[:4]
     assert got == want
+
+
+def model_hadoop_part(word: str, parts: int) -> int:
+    h = 1
+    for byte in word.encode("utf-8"):
+        h = (31 * h + (byte - 256 if byte > 127 else byte)) & 0xFFFFFFFF
+    return (h & 0x7FFFFFFF) % parts
+
+
+@SETTINGS
+@given(st.lists(st.text(max_size=12), min_size=1, max_size=20), st.sampled_from([1, 7, 17]))
+def test_hadoop_text_part_equals_model(spark, words, parts):
+    from pyspark.sql import functions as F
+
+    from sheaf.sources.sinks import hadoop_text_part
+
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i INT, w STRING")
+    got = {r.i: r.p for r in df.select("i", hadoop_text_part(F.col("w"), parts).alias("p")).collect()}
+    assert got == {i: model_hadoop_part(w, parts) for i, w in enumerate(words)}
+

@@ -1,11 +1,13 @@
 """Compare word counts over a text corpus with a stored word-count output.
 
-    python tools/golden_words.py CORPUS_DIR STORED_FILE [--raw] [--recursive]
+    python tools/golden_words.py CORPUS_DIR STORED_FILE [--raw] [--recursive] [--part N --of M]
 
 ``word<TAB>count`` lines (one hash part of a MapReduce output): every stored row must equal
 our count. ``(word,count)`` lines (one part of a range-sorted output): our rows whose word
 lies between the first and last stored word must equal the stored rows exactly. ``--raw``
 counts the empty word (the RDD job's rule); otherwise empty words are dropped.
+``--part N --of M`` also checks that the stored words are exactly our words that the
+MapReduce partitioner sends to part N of M.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from sheaf.operators import wordcount  # noqa: E402
 from sheaf.session import get_session  # noqa: E402
+from sheaf.sources.sinks import hadoop_text_part  # noqa: E402
 from sheaf.sources.text import read_lines  # noqa: E402
 
 
@@ -35,16 +38,29 @@ def stored_rows(path: str) -> tuple[str, list[tuple[str, int]]]:
 
 
 def main() -> int:
-    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    argv = sys.argv[1:]
+    part = of = None
+    if "--part" in argv:
+        i = argv.index("--part")
+        part, of = int(argv[i + 1]), int(argv[argv.index("--of") + 1])
+        argv = [a for j, a in enumerate(argv) if j not in (i, i + 1, argv.index("--of"), argv.index("--of") + 1)]
+    args = [a for a in argv if not a.startswith("--")]
     raw = "--raw" in sys.argv
     corpus, stored = args
     spark = get_session("local[8]", shuffle_partitions=8)
     lines = read_lines(spark, corpus, recursive="--recursive" in sys.argv)
     counts = wordcount.word_count_raw(lines, by_lines=False) if raw else wordcount.word_count(lines)
     ours = {r.word: r.occurrences for r in counts.collect()}
+    if part is not None:
+        in_part = {
+            r.word
+            for r in counts.select("word", hadoop_text_part("word", of).alias("p")).filter(f"p = {part}").collect()
+        }
     form, rows = stored_rows(stored)
     if form == "tab":
         bad = [(w, c, ours.get(w)) for w, c in rows if ours.get(w) != c]
+        if part is not None:
+            bad += sorted(in_part ^ {w for w, _ in rows})
     else:
         lo, hi = rows[0][0], rows[-1][0]
         mine = sorted((w, c) for w, c in ours.items() if lo <= w <= hi)
