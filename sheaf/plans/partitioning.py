@@ -11,6 +11,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     plan yields fewer partitions than that; a large, already split input is returned as
     it is, so no shuffle is added where the scan is parallel.
 
+    The partition count of a scan is its number of file splits. A split that holds no
+    row group reads nothing, so a file with one large row group can plan several splits
+    and still be read by one task. Large inputs are many row groups and stay parallel
+    either way; this check is aimed at small or single-file inputs.
+
     ``keys`` should be unique or near-unique (a row id): hashing on them is deterministic,
     so a retried task after an executor loss rebuilds the same partition, and no value
     can pile a third of the rows into one task. Without keys the rows are dealt round
