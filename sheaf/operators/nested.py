@@ -36,5 +36,9 @@ def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
 
 def describe(df: DataFrame) -> DataFrame:
     """``col_name, data_type`` per top-level column, as ``DESCRIBE`` prints them."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "col_name STRING, data_type STRING")
+    rows = [
+        F.struct(F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("data_type"))
+        for f in df.schema.fields
+    ]
+    # A one-row range expanded by ``inline``: the rows are built JVM-side, no Python worker.
+    return df.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
