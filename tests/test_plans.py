@@ -134,3 +134,24 @@ def test_sql_in_subquery_plans_as_semi_join(spark):
     df = queries()["revenue_semi_join_sql"](spark, SF_SMALL)
     assert "LeftSemi" in physical(df)
     assert df.first().revenue == queries()["revenue_semi_join"](spark, SF_SMALL).first().revenue
+
+
+def test_semi_join_prefilters_the_large_side_with_a_bloom_filter(spark):
+    """At scale the order keys are too many to broadcast; Spark then filters the line
+    items with a bloom filter of the keys before the shuffle. The default applies it to
+    scans over 10 GB; a lower threshold shows it here."""
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = queries()["revenue_semi_join"](spark, SF_SMALL)
+        assert "might_contain" in physical(df)
+        got = df.first().revenue
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == queries()["revenue_semi_join"](spark, SF_SMALL).first().revenue
