@@ -79,6 +79,7 @@ def test_growth_job(spark, tmp_path):
             "BB,B,S,1,n/a,1,a,b,n/a,5,e,f,g,h,i",
             "CC,C,S,1,3.0,1,a,b,1,4,e,f,g,h,i",
             "DD,D,S,1,9.0,1,a,b,1,2,e,f,g,h,i",
+            "CA,CA Corp,S,1,2.0,1,a,b,CA,4,e,f,g,h,i",
         ]) + "\n"
     )
     lst = tmp_path / "nasdaq"
@@ -86,13 +87,19 @@ def test_growth_job(spark, tmp_path):
     (lst / "n.csv").write_text(
         '"Symbol","Name","LastSale","MarketCap","IPOyear","Sector","industry","Summary Quote",\n'
         + "".join(f'"{s}","{s} Inc","1","$1M","n/a","Tech","x","u",\n' for s in ["AA", "BB", "CC", "EE"])
+        + '"CA","CA, CA Corp","1","$1M","n/a","Tech","x","u",\n'
     )
     out, report = jobs.growth_job(spark, str(fund), str(lst), str(tmp_path / "growth"), k=2)
-    assert report["count"].first().n_symbols == 3
+    # CA's symbol text also sits in its name and in a field; fields are taken by
+    # position, never by removing the symbol from the line (D6), so only its bad low
+    # (text "CA", no number) makes its growth NULL
+    ca = [r for r in report["joined"].collect() if r.symbol == "CA"][0]
+    assert (ca.name, ca.dividend, ca.week52_low, ca.week52_high) == ("CA, CA Corp", "2.0", "CA", "4")
+    assert report["count"].first().n_symbols == 4
     assert [(r.symbol, r.growth) for r in report["top_growth"].collect()] == [("CC", 300.0), ("AA", 50.0)]
-    assert [(r.symbol, r.dividend) for r in report["top_dividend"].collect()] == [("CC", 3.0), ("AA", 1.5)]
+    assert [(r.symbol, r.dividend) for r in report["top_dividend"].collect()] == [("CC", 3.0), ("CA", 2.0)]
     lines = [line for p in read_parts(os.path.join(out, "growth")) for line in p]
-    assert lines == ["(CC,3.0,300.0)", "(AA,1.5,50.0)", "(BB,0.0,null)"]
+    assert lines == ["(CC,3.0,300.0)", "(AA,1.5,50.0)", "(BB,0.0,null)", "(CA,2.0,null)"]
     joined = [line.split("\t") for p in read_parts(os.path.join(out, "joined")) for line in p]
-    assert [j[0] for j in joined] == ["AA", "BB", "CC"]
+    assert [j[0] for j in joined] == ["AA", "BB", "CA", "CC"]
     assert joined[1] == ["BB", "n/a", "n/a", "5", "BB Inc", "Tech", "$1M"]
