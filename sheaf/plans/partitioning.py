@@ -13,8 +13,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     The partition count of a scan is its number of file splits. A split that holds no
     row group reads nothing, so a file with one large row group can plan several splits
-    and still be read by one task. Large inputs are many row groups and stay parallel
-    either way; this check is aimed at small or single-file inputs.
+    and still be read by one task; for small inputs the file count is taken as a bound
+    too. Large inputs are many row groups and stay parallel either way.
 
     ``keys`` should be unique or near-unique (a row id): hashing on them is deterministic,
     so a retried task after an executor loss rebuilds the same partition, and no value
@@ -24,9 +24,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         # Planning only: for a scan this builds the file splits, it runs no job.
-        current = df.rdd.getNumPartitions()
+        splits = df.rdd.getNumPartitions()
+        if splits >= 4 * slots:
+            return df  # a large input; its files are not listed
+        # A small input: a file may plan several splits yet hold one row group, so the
+        # number of files also bounds the reading tasks (a non-file input has none).
+        files = len(df.inputFiles()) or splits
     except Exception:  # no JVM context at hand (e.g. a Spark Connect session)
         return df
-    if current >= slots:
+    if min(splits, files) >= slots:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)

@@ -155,3 +155,15 @@ def test_semi_join_prefilters_the_large_side_with_a_bloom_filter(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert got == queries()["revenue_semi_join"](spark, SF_SMALL).first().revenue
+
+
+def test_spread_counts_files_of_a_small_input(spark, tmp_path):
+    # one file, one row group, but several planned splits: still one reading task
+    path = str(tmp_path / "one")
+    spark.range(0, 200000).selectExpr("id", "repeat('x', 200) AS text").coalesce(1).write.option(
+        "parquet.block.size", str(1 << 30)
+    ).parquet(path)
+    df = spark.read.parquet(path)
+    slots = spark.sparkContext.defaultParallelism
+    assert len(df.inputFiles()) == 1
+    assert spread(df, "id").rdd.getNumPartitions() == slots
