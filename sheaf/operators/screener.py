@@ -22,12 +22,16 @@ from sheaf.functions.money import (
     truncated_float_long,
 )
 from sheaf.sources.delimited import drop_header, parse_quoted
-from sheaf.sources.derive import LISTING_SCHEMA
 
-# The header's sector text, the width of a listing line, and the report
-# line formats of the two screener programs (RDD job, then MapReduce job).
+# The header's sector text, the width and fields of a listing line (the
+# last one is the blank after the trailing comma), and the report line formats of the
+# two screener programs (RDD job, then MapReduce job).
 SECTOR_HEADER = "Sector"
 LISTING_WIDTH = 9
+LISTING_SCHEMA = (
+    "symbol STRING, name STRING, last_sale STRING, market_cap STRING, ipo_year STRING, "
+    "sector STRING, industry STRING, summary_quote STRING, trailing STRING"
+)
 CAPITAL_LINE = "(%s,(Sector capital = %s,Ticker count = %d))"
 TOTALS_LINE = "Total tickers for %s = %d; Total capitalization for %s= $%d"
 

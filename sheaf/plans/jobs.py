@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from sheaf.operators import fundamentals, growth, screener, wordcount
 from sheaf.sources.delimited import drop_header, naive_fields, read_quoted
-from sheaf.sources.derive import LISTING_SCHEMA
 from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_hadoop_parts, write_sorted_lines
 from sheaf.sources.text import LINE_ID, read_lines
 
@@ -101,14 +100,12 @@ def growth_job(
         "symbol",
         fundamentals.HEADER_SYMBOL,
     )
-    listings = drop_header(read_quoted(spark, listings_path, LISTING_SCHEMA), "sector", screener.SECTOR_HEADER).select(
-        "symbol", "name", "sector", "market_cap"
-    )
+    listing_rows = read_quoted(spark, listings_path, screener.LISTING_SCHEMA)
+    listings = drop_header(listing_rows, "sector", screener.SECTOR_HEADER).select("symbol", "name", "sector", "market_cap")
     report = growth.growth_report(fund, listings, k)
     # Both frames are already sorted (ties split by row id); writing keeps that order.
     joined = report["joined"]
-    joined.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns])).write.text(
-        os.path.join(out, "joined")
-    )
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns]
+    joined.select(F.concat_ws("\t", *fields)).write.text(os.path.join(out, "joined"))
     report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(os.path.join(out, "growth"))
     return out, report

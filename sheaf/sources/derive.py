@@ -22,10 +22,6 @@ FUNDAMENTALS_HEADER = (
     "52 week low,52 week high,Market Cap,EBITDA,Price/Sales,Price/Book,SEC Filings"
 )
 
-LISTING_SCHEMA = (
-    "symbol STRING, name STRING, last_sale STRING, market_cap STRING, ipo_year STRING, "
-    "sector STRING, industry STRING, summary_quote STRING, trailing STRING"
-)
 RATINGS_SCHEMA = "posted TIMESTAMP_NTZ, cust_id INT, prod_id INT, rating TINYINT, message STRING"
 
 

@@ -2,7 +2,6 @@ import datetime
 
 from sheaf.operators import screener, wordcount
 from sheaf.sources.delimited import drop_header, read_quoted, read_tab
-from sheaf.sources.derive import LISTING_SCHEMA
 from sheaf.sources.tables import table
 from sheaf.sources.text import read_lines
 from tests.conftest import SF_SMALL
@@ -24,7 +23,7 @@ def test_quoted_csv_files_with_concatenated_headers(spark, tmp_path):
     body = '"AAA","A, Inc.","1","$10.5M","n/a","Tech","x","u",'
     for i in range(2):
         (tmp_path / f"list{i}.csv").write_text(header + "\n" + body + "\n")
-    df = drop_header(read_quoted(spark, str(tmp_path), LISTING_SCHEMA), "sector", "Sector")
+    df = drop_header(read_quoted(spark, str(tmp_path), screener.LISTING_SCHEMA), "sector", "Sector")
     rows = df.collect()
     assert [(r.symbol, r.name, r.market_cap) for r in rows] == [("AAA", "A, Inc.", "$10.5M")] * 2
     # the same lines through the column parser give the same fields
