@@ -51,3 +51,20 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["sector", "ticker_count", "total_cap", "unparsed_caps"]
     assert df.count() > 0
+
+
+def plain(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted(tuple(str(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_oracle_through_pandas(spark, duck, name):
+    """The same comparison on pandas frames with plain ``str`` values: column types must
+    agree too (a DECIMAL or a nullable integer changes type on one side only)."""
+    pdf = entry.queries()[name](spark, SF_SMALL).toPandas()
+    odf = duck.sql(entry.oracle_sql()[name]).df()
+    assert sorted(pdf.columns) == sorted(odf.columns)
+    rows_s = list(pdf.itertuples(index=False))
+    rows_o = list(odf.itertuples(index=False))
+    assert plain(list(pdf.columns), rows_s) == plain(list(odf.columns), rows_o)
