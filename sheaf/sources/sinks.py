@@ -44,11 +44,15 @@ def hadoop_text_part(key: str | Column, parts: int) -> Column:
 
 def write_hadoop_parts(lines: Column, df: DataFrame, key: str, parts: int, path: str) -> None:
     """K4/O8 with the MapReduce layout: rows go to ``<path>/part=<n>`` by
-    ``hadoop_text_part``, one file per part, sorted by ``key``. Each part is written by
-    one task, as each reduce part was by one reducer."""
+    ``hadoop_text_part``, sorted by ``key`` within each part.
+
+    The rows are range-partitioned on (part, key), so a large part is written by several
+    tasks holding consecutive key ranges; its files, taken in name order, form one sorted
+    run. A part is never gathered into one task (one reducer per part does not scale),
+    and a small part still comes out as one file."""
     placed = df.withColumn("part", hadoop_text_part(key, parts))
     (
-        placed.repartition("part")
+        placed.repartitionByRange("part", key)
         .sortWithinPartitions("part", key)
         .select(lines.alias("value"), "part")
         .write.partitionBy("part")
