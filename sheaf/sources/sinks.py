@@ -62,7 +62,9 @@ def write_hadoop_parts(lines: Column, df: DataFrame, key: str, parts: int, path:
 
 
 def hashed_sorted(df: DataFrame, partitions: int, key: str) -> DataFrame:
-    """``partitions`` hash parts on ``key``, each sorted by ``key``."""
+    """``partitions`` hash parts on ``key``, each sorted by ``key``. The part
+    count is the task count, so this layout suits aggregated or otherwise bounded
+    outputs; ``write_hadoop_parts`` spreads a large part over several tasks."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
