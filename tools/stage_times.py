@@ -39,7 +39,7 @@ def main() -> None:
             queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.stop()
     log = [p for p in glob.glob(os.path.join(log_dir, "*")) if os.path.isfile(p)][0]
-    group_of_stage, stages = {}, {}
+    group_of_stage, stages, task_ms = {}, {}, {}
     for line in open(log, encoding="utf-8"):
         event = json.loads(line)
         kind = event["Event"]
@@ -47,6 +47,9 @@ def main() -> None:
             group = (event.get("Properties") or {}).get("spark.jobGroup.id", "")
             for stage_id in event["Stage IDs"]:
                 group_of_stage[stage_id] = group
+        elif kind == "SparkListenerTaskEnd":
+            info = event["Task Info"]
+            task_ms.setdefault(event["Stage ID"], []).append(info["Finish Time"] - info["Launch Time"])
         elif kind == "SparkListenerStageCompleted":
             info = event["Stage Info"]
             took = info.get("Completion Time", 0) - info.get("Submission Time", 0)
@@ -55,7 +58,9 @@ def main() -> None:
         group = group_of_stage.get(stage_id, "")
         if group.endswith("#2"):
             tasks, took, label = stages[stage_id]
-            print(f"{group[:-2]:28s} stage {stage_id:4d} tasks {tasks:4d} {took:6d} ms  {label}")
+            times = sorted(task_ms.get(stage_id, [0]))
+            spread_ms = f"task ms min/median/max {times[0]}/{times[len(times) // 2]}/{times[-1]}"
+            print(f"{group[:-2]:28s} stage {stage_id:4d} tasks {tasks:4d} {took:6d} ms  {spread_ms}  {label}")
 
 
 if __name__ == "__main__":
