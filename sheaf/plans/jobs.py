@@ -19,18 +19,21 @@ from sheaf.sources.text import LINE_ID, read_lines
 WORD_COUNT_PARTS = 17
 
 
-def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False) -> str:
+def word_count_job(
+    spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False, single_file: bool = False
+) -> str:
     """Word count of a folder of text files.
 
     ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in ``<out>/part=<n>``
     for the 17 parts its partitioner gives each word, each part sorted by word.
     ``keep_empty=True``: the RDD job (empty word counted), ``(word,count)`` lines globally
-    sorted by word (a range-partitioned sort over many parts)."""
+    sorted by word (a range-partitioned sort over many parts; ``single_file`` merges the
+    sorted parts into one file, for small results)."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path)
     if keep_empty:
         counts = wordcount.word_count_raw(lines, "value", by_lines=False)
-        write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out)
+        write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out, single_file=single_file)
     else:
         counts = wordcount.word_count(lines, "value")
         write_hadoop_parts(tab_text("word", "occurrences"), counts, "word", WORD_COUNT_PARTS, out)
@@ -58,12 +61,15 @@ def screener_job(
     return out
 
 
-def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) -> tuple[str, dict]:
+def fundamentals_job(
+    spark: SparkSession, input_path: str, output_base: str, single_file: bool = False
+) -> tuple[str, dict]:
     """Fundamentals extract: ``(symbol,dividend,pe)`` lines sorted by symbol, and the
     record-quality totals, gathered during the same write through an ``Observation``.
 
     The observation sits above the sort, in the stage that writes: below it, the range
-    sort's sampling job would run it a second time and double the totals."""
+    sort's sampling job would run it a second time and double the totals. ``single_file``
+    merges the sorted parts into one file, for small results."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path, line_id=True)
     # the line id splits copies of one symbol across range partitions
@@ -71,7 +77,7 @@ def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) ->
     observed = Observation("fundamentals_quality")
     classified = classified.observe(observed, *fundamentals.quality_metrics())
     kept = classified.filter("valid").select(tuple_text("symbol", "dividend", "pe").alias("value"))
-    kept.write.mode("errorifexists").text(out)
+    (kept.coalesce(1) if single_file else kept).write.mode("errorifexists").text(out)
     return out, dict(observed.get)
 
 
@@ -82,7 +88,12 @@ def _keyed_fields(lines: DataFrame, positions: dict[str, int]) -> DataFrame:
 
 
 def growth_job(
-    spark: SparkSession, fundamentals_path: str, listings_path: str, output_base: str, k: int = 10
+    spark: SparkSession,
+    fundamentals_path: str,
+    listings_path: str,
+    output_base: str,
+    k: int = 10,
+    single_file: bool = False,
 ) -> tuple[str, dict[str, DataFrame]]:
     """Join of the fundamentals and listing files on the symbol, growth over the 52-week
     range, both top-``k`` lists. ``<out>/joined`` lists each matched symbol with the
@@ -106,6 +117,10 @@ def growth_job(
     # Both frames are already sorted (ties split by row id); writing keeps that order.
     joined = report["joined"]
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns]
-    joined.select(F.concat_ws("\t", *fields)).write.text(os.path.join(out, "joined"))
-    report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(os.path.join(out, "growth"))
+    joined_lines = joined.select(F.concat_ws("\t", *fields))
+    growth_lines = report["by_growth"].select(tuple_text("symbol", "dividend", "growth"))
+    if single_file:  # merging sorted parts keeps their order; for small results
+        joined_lines, growth_lines = joined_lines.coalesce(1), growth_lines.coalesce(1)
+    joined_lines.write.text(os.path.join(out, "joined"))
+    growth_lines.write.text(os.path.join(out, "growth"))
     return out, report

@@ -66,6 +66,8 @@ def test_fundamentals_job_counts_in_one_pass(spark, tmp_path):
     lines = [line for p in read_parts(out) for line in p]
     assert lines == ["(AA,0.0,-Infinity)", "(ZZ,2.5,10.0)"]
     assert totals == {"total_lines": 4, "valid": 2, "no_dividend": 1, "invalid_rows": 3, "invalid_events": 3}
+    one, totals_one = jobs.fundamentals_job(spark, str(src), str(tmp_path / "fund1"), single_file=True)
+    assert len(read_parts(one)) == 1 and read_parts(one)[0] == lines and totals_one == totals
 
 
 def test_growth_job(spark, tmp_path):
