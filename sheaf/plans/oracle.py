@@ -167,6 +167,13 @@ FROM parsed
 SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS DOUBLE) AS total_cap,
        count(*) FILTER (WHERE cap IS NULL) AS unparsed_caps
 FROM screened GROUP BY sector
+""",
+    "sector_rollup_substring": _LISTING + """
+SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS DOUBLE) AS total_cap,
+       count(*) FILTER (WHERE cap IS NULL) AS unparsed_caps
+FROM parsed
+WHERE NOT contains(market_cap, 'B') AND NOT contains(market_cap, 'n/a')
+GROUP BY sector
 """,
     "sector_rollup_truncated": _LISTING + """
 SELECT sector, count(*) AS ticker_count,

@@ -110,6 +110,13 @@ def sector_rollup(spark, sf):
     return _exact_as_double(screener.sector_rollup(_screened(spark, sf)), "total_cap")
 
 
+@query("sector_rollup_substring")
+def sector_rollup_substring(spark, sf):
+    """the rollup under the RDD program's filter (no B, no n/a anywhere; no width check)."""
+    screened = screener.screen(_listing_records(spark, sf), rule="substring", check_width=False)
+    return _exact_as_double(screener.sector_rollup(screened), "total_cap")
+
+
 @query("sector_rollup_truncated")
 def sector_rollup_truncated(spark, sf):
     return screener.sector_rollup_truncated(_screened(spark, sf))

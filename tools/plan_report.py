@@ -26,6 +26,7 @@ NOTES = {
     "market_cap_parse": "row-wise, no shuffle",
     "sector_rollup": "partial sum/count per task, shuffle of (sector, partials) only",
     "sector_rollup_truncated": "as sector_rollup",
+    "sector_rollup_substring": "as sector_rollup, under the other filter rule",
     "sector_tickers": "range exchange on (sector, ticker): a large sector spreads over many tasks; no collect",
     "sector_report": "as sector_rollup; the ticker list is in sector_tickers",
     "rendered_rows": "customers counted per nation before the join; nation joined by size-checked broadcast",
