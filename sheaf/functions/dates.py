@@ -18,6 +18,13 @@ def text_to_date(text: Column) -> Column:
     return F.substring(text, 1, 10).try_cast("date")
 
 
+def day_epoch_seconds(text: Column) -> Column:
+    """Seconds since the epoch of the text's calendar day at midnight UTC (the
+    time of day is ignored, as a ``yyyy-MM-dd`` pattern ignores it). Built on
+    ``unix_date``, so it does not depend on the session time zone."""
+    return F.unix_date(text_to_date(text)).cast("bigint") * F.lit(86400)
+
+
 def on_or_before_lexical(text: Column, day: str) -> Column:
     """text compared as text (misses times on ``day`` itself)."""
     return text <= F.lit(day)

@@ -86,3 +86,21 @@ def test_group_count_ranked_named_equals_join_then_group(spark):
     dims = spark.createDataFrame([(10, "PR"), (20, "CA"), (30, "PR"), (40, "NY")], "k INT, name STRING")
     got = [(r.name, r.n) for r in retail.group_count_ranked_named(facts, dims, "key", "k", "name", "id").collect()]
     assert got == [("PR", 3), ("CA", 1)]
+
+
+def test_day_epoch_seconds_orders_like_the_day(spark):
+    from sheaf.functions.dates import day_epoch_seconds
+
+    o = orders(spark)
+    cut = spark.createDataFrame([("2014-05-17",)], "d STRING").select(day_epoch_seconds(F.col("d")).alias("s")).first().s
+    assert cut == 1400284800
+    n = o.filter((F.col("order_status") == "COMPLETE") & (day_epoch_seconds(F.col("order_datestr")) <= F.lit(cut))).count()
+    assert n == retail.count_until(o, "COMPLETE", "2014-05-17").first().n_orders
+
+
+def test_revenue_beyond_ten_digit_decimal(spark):
+    # The sum passes decimal(10,2)'s 8 integer digits; DECIMAL(38,2) holds it exactly
+    o = orders(spark)
+    items = spark.createDataFrame([(0, 99999999.99)] * 12, "oid INT, subtotal DOUBLE")
+    got = retail.semi_join_revenue(items, o, "oid", "subtotal", "COMPLETE", "2014-05-17").first().revenue
+    assert got == Decimal("1199999999.88")
