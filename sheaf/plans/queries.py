@@ -45,37 +45,37 @@ def query(name: str):
 
 # ---- word counts -------------------------------------------------------------------
 
-def _documents(spark, sf):
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
     # Spread by the document id when the scan is under-split (one file is one task);
     # a scan that is already split across the cluster is left alone.
     return spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id")
 
 
 @query("word_count")
-def word_count(spark, sf):
+def word_count(spark: SparkSession, sf: str) -> DataFrame:
     return wordcount.word_count(_documents(spark, sf), "text")
 
 
 @query("word_count_raw")
-def word_count_raw(spark, sf):
+def word_count_raw(spark: SparkSession, sf: str) -> DataFrame:
     return wordcount.word_count_raw(_documents(spark, sf), "text")
 
 
 @query("word_count_sorted")
-def word_count_sorted(spark, sf):
+def word_count_sorted(spark: SparkSession, sf: str) -> DataFrame:
     """The counts in global byte order (range-partitioned sort)."""
     return wordcount.sorted_by_word(wordcount.word_count(_documents(spark, sf), "text"))
 
 
 @query("word_count_hashed")
-def word_count_hashed(spark, sf):
+def word_count_hashed(spark: SparkSession, sf: str) -> DataFrame:
     """The counts in 17 hash parts on the word, each sorted by word."""
     counts = wordcount.word_count(_documents(spark, sf), "text")
     return hashed_sorted(counts, WORD_COUNT_PARTS, "word")
 
 
 @query("word_count_parts")
-def word_count_parts(spark, sf):
+def word_count_parts(spark: SparkSession, sf: str) -> DataFrame:
     """K4: each word's count with the reduce part the MapReduce job writes it to."""
     counts = wordcount.word_count(_documents(spark, sf), "text")
     return counts.withColumn("part", hadoop_text_part("word", WORD_COUNT_PARTS))
@@ -83,57 +83,57 @@ def word_count_parts(spark, sf):
 
 # ---- listings: quote-aware scan, cap parsing, sector rollups ---------------------------
 
-def _customer(spark, sf):
+def _customer(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
-def _listing_records(spark, sf):
+def _listing_records(spark: SparkSession, sf: str) -> DataFrame:
     return screener.listing_records(derive.listing_lines(_customer(spark, sf)))
 
 
-def _screened(spark, sf):
+def _screened(spark: SparkSession, sf: str) -> DataFrame:
     return screener.screen(_listing_records(spark, sf))
 
 
 @query("csv_quoted_scan")
-def csv_quoted_scan(spark, sf):
+def csv_quoted_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _listing_records(spark, sf)
 
 
 @query("market_cap_parse")
-def market_cap_parse(spark, sf):
+def market_cap_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _exact_as_double(screener.market_cap_flags(_listing_records(spark, sf)), "cap_value")
 
 
 @query("sector_rollup")
-def sector_rollup(spark, sf):
+def sector_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return _exact_as_double(screener.sector_rollup(_screened(spark, sf)), "total_cap")
 
 
 @query("sector_rollup_substring")
-def sector_rollup_substring(spark, sf):
+def sector_rollup_substring(spark: SparkSession, sf: str) -> DataFrame:
     """the rollup under the RDD program's filter (no B, no n/a anywhere; no width check)."""
     screened = screener.screen(_listing_records(spark, sf), rule="substring", check_width=False)
     return _exact_as_double(screener.sector_rollup(screened), "total_cap")
 
 
 @query("sector_rollup_truncated")
-def sector_rollup_truncated(spark, sf):
+def sector_rollup_truncated(spark: SparkSession, sf: str) -> DataFrame:
     return screener.sector_rollup_truncated(_screened(spark, sf))
 
 
 @query("sector_tickers")
-def sector_tickers(spark, sf):
+def sector_tickers(spark: SparkSession, sf: str) -> DataFrame:
     return screener.sector_tickers(_screened(spark, sf))
 
 
 @query("sector_report")
-def sector_report(spark, sf):
+def sector_report(spark: SparkSession, sf: str) -> DataFrame:
     return screener.sector_report(_screened(spark, sf))
 
 
 @query("rendered_rows")
-def rendered_rows(spark, sf):
+def rendered_rows(spark: SparkSession, sf: str) -> DataFrame:
     per_nation = table(spark, sf, "customer", "c_nationkey").groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("n_customers")
     )
@@ -149,34 +149,34 @@ def rendered_rows(spark, sf):
 
 # ---- fundamentals: plain split, quality counts --------------------------------------------
 
-def _fundamentals_lines(spark, sf):
+def _fundamentals_lines(spark: SparkSession, sf: str) -> DataFrame:
     return derive.fundamentals_lines(_customer(spark, sf))
 
 
 @query("csv_naive_scan")
-def csv_naive_scan(spark, sf):
+def csv_naive_scan(spark: SparkSession, sf: str) -> DataFrame:
     return fundamentals.naive_scan(_fundamentals_lines(spark, sf))
 
 
 @query("fundamentals_extract")
-def fundamentals_extract(spark, sf):
+def fundamentals_extract(spark: SparkSession, sf: str) -> DataFrame:
     return fundamentals.extract(_fundamentals_lines(spark, sf))
 
 
 @query("fundamentals_sorted")
-def fundamentals_sorted(spark, sf):
+def fundamentals_sorted(spark: SparkSession, sf: str) -> DataFrame:
     """O2: the extract in ascending symbol order."""
     return fundamentals.sorted_by_symbol(fundamentals.extract(_fundamentals_lines(spark, sf)))
 
 
 @query("fundamentals_quality")
-def fundamentals_quality(spark, sf):
+def fundamentals_quality(spark: SparkSession, sf: str) -> DataFrame:
     return fundamentals.quality(_fundamentals_lines(spark, sf))
 
 
 # ---- two-file join, growth, top lists ---------------------------------------------------
 
-def _joined(spark, sf):
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
     return growth.join_on_symbol(
         derive.fundamentals_by_customer(orders), derive.listings_by_customer(_customer(spark, sf))
@@ -184,57 +184,57 @@ def _joined(spark, sf):
 
 
 @query("listing_join")
-def listing_join(spark, sf):
+def listing_join(spark: SparkSession, sf: str) -> DataFrame:
     return _joined(spark, sf)
 
 
 @query("listing_join_count")
-def listing_join_count(spark, sf):
+def listing_join_count(spark: SparkSession, sf: str) -> DataFrame:
     return growth.count_symbols(_joined(spark, sf))
 
 
 @query("listing_growth")
-def listing_growth(spark, sf):
+def listing_growth(spark: SparkSession, sf: str) -> DataFrame:
     return growth.growth_table(_joined(spark, sf))
 
 
 @query("top_growth")
-def top_growth(spark, sf):
+def top_growth(spark: SparkSession, sf: str) -> DataFrame:
     return growth.top_k(growth.growth_table(_joined(spark, sf)), "growth", 10)
 
 
 @query("top_dividend")
-def top_dividend(spark, sf):
+def top_dividend(spark: SparkSession, sf: str) -> DataFrame:
     return growth.top_k(growth.growth_table(_joined(spark, sf)), "dividend", 10)
 
 
 # ---- retail questions -----------------------------------------------------------------
 
 @query("like_and_equals_filter")
-def like_and_equals_filter(spark, sf):
+def like_and_equals_filter(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
     return retail.like_and_equals(customers, "c_name", "C%7", "c_mktsegment", "BUILDING")
 
 
 @query("zero_value_filter")
-def zero_value_filter(spark, sf):
+def zero_value_filter(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_discount")
     return retail.equals_value(items, "l_discount", 0.0)
 
 
 @query("count_rows")
-def count_rows(spark, sf):
+def count_rows(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_column(table(spark, sf, "customer", "c_custkey"), "c_custkey", "n_customers")
 
 
 @query("count_distinct_concat")
-def count_distinct_concat(spark, sf):
+def count_distinct_concat(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer", "c_mktsegment", "c_nationkey")
     return retail.count_distinct_concat(customers, ["c_mktsegment", "c_nationkey"], "households")
 
 
 @query("group_count_ranked")
-def group_count_ranked(spark, sf):
+def group_count_ranked(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     nations = table(spark, sf, "nation", "n_nationkey", "n_name")
     return retail.group_count_ranked_named(
@@ -243,51 +243,51 @@ def group_count_ranked(spark, sf):
 
 
 @query("top3_quantity")
-def top3_quantity(spark, sf):
+def top3_quantity(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_partkey", "l_quantity")
     top = retail.top_sum(items, "l_partkey", "l_quantity", 3, "totalqty")
     return top.select(F.col("totalqty").cast("bigint").alias("totalqty"), F.col("l_partkey").alias("id"))
 
 
 @query("top3_quantity_named")
-def top3_quantity_named(spark, sf):
+def top3_quantity_named(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_partkey", "l_quantity")
     parts = table(spark, sf, "part", "p_partkey", "p_name")
     top = retail.top_sum_named(items, parts, "l_partkey", "p_partkey", "p_name", "l_quantity", 3, "totalqty")
     return top.select(F.col("totalqty").cast("bigint").alias("totalqty"), "l_partkey", F.col("p_name").alias("name"))
 
 
-def _orders_text(spark, sf):
+def _orders_text(spark: SparkSession, sf: str) -> DataFrame:
     return derive.orders_with_text_dates(table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus"))
 
 
 @query("orders_until_date_lexical")
-def orders_until_date_lexical(spark, sf):
+def orders_until_date_lexical(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_until_lexical(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
 
 
 @query("orders_until_date")
-def orders_until_date(spark, sf):
+def orders_until_date(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_until(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
 
 
 @query("orders_on_date")
-def orders_on_date(spark, sf):
+def orders_on_date(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_on(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
 
 
-def _revenue(spark, sf):
+def _revenue(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice")
     return retail.semi_join_revenue(items, _orders_text(spark, sf), "l_orderkey", "l_extendedprice", COMPLETE, CUTOFF_DAY)
 
 
 @query("revenue_semi_join")
-def revenue_semi_join(spark, sf):
+def revenue_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return _exact_as_double(_revenue(spark, sf), "revenue")
 
 
 @query("revenue_semi_join_sql")
-def revenue_semi_join_sql(spark, sf):
+def revenue_semi_join_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The same question as one SQL statement; ``IN (subquery)`` plans as a left
     semi-join. DataFrames are bound to the placeholders, no global view is created."""
     items = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice")
@@ -307,30 +307,30 @@ def revenue_semi_join_sql(spark, sf):
 
 
 @query("revenue_decimal")
-def revenue_decimal(spark, sf):
+def revenue_decimal(spark: SparkSession, sf: str) -> DataFrame:
     """The sum as DECIMAL with two places, shown as the SQL shell prints it."""
     return _revenue(spark, sf).select(F.col("revenue").cast("decimal(18,2)").cast("string").alias("revenue"))
 
 
 @query("revenue_formatted")
-def revenue_formatted(spark, sf):
+def revenue_formatted(spark: SparkSession, sf: str) -> DataFrame:
     return retail.as_dollars(_revenue(spark, sf), "revenue", "revenue_text")
 
 
 @query("date_parts")
-def date_parts(spark, sf):
+def date_parts(spark: SparkSession, sf: str) -> DataFrame:
     return retail.date_part_counts(_orders_text(spark, sf))
 
 
 # ---- tab-delimited ratings ----------------------------------------------------------------
 
-def _ratings(spark, sf):
+def _ratings(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events", "ts", "user_id", "event_id", "value", "event_type", "props")
     return parse_tab(derive.rating_lines(events), derive.RATINGS_SCHEMA)
 
 
 @query("ratings_scan")
-def ratings_scan(spark, sf):
+def ratings_scan(spark: SparkSession, sf: str) -> DataFrame:
     # The cell is parsed as TINYINT (an overflow reads back as NULL); the nullable small
     # integer leaves the query as DOUBLE, which every fetch path (Python objects or
     # pandas, where a nullable integer turns into float64 or Int8) returns alike.
@@ -338,37 +338,37 @@ def ratings_scan(spark, sf):
 
 
 @query("ratings_count")
-def ratings_count(spark, sf):
+def ratings_count(spark: SparkSession, sf: str) -> DataFrame:
     return _ratings(spark, sf).agg(F.count(F.lit(1)).alias("n_ratings"))
 
 
 # ---- nested loyalty table ---------------------------------------------------------------------
 
-def _loyalty(spark, sf):
+def _loyalty(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
     return derive.loyalty_program(_customer(spark, sf), orders)
 
 
 @query("map_lookup")
-def map_lookup(spark, sf):
+def map_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return nested.lookup_map(_loyalty(spark, sf), "status_orders", "F", "finished_orders")
 
 
 @query("array_index")
-def array_index(spark, sf):
+def array_index(spark: SparkSession, sf: str) -> DataFrame:
     return nested.lookup_array(_loyalty(spark, sf), "order_counts", 2, "pending_orders")
 
 
 @query("struct_field")
-def struct_field(spark, sf):
+def struct_field(spark: SparkSession, sf: str) -> DataFrame:
     return nested.lookup_struct(_loyalty(spark, sf), "order_value", "total", "total_value")
 
 
 @query("rename_column")
-def rename_column(spark, sf):
+def rename_column(spark: SparkSession, sf: str) -> DataFrame:
     return nested.rename_column(_loyalty(spark, sf), "level", "status").select("cust_id", "status")
 
 
 @query("describe_schema")
-def describe_schema(spark, sf):
+def describe_schema(spark: SparkSession, sf: str) -> DataFrame:
     return nested.describe(nested.rename_column(_loyalty(spark, sf), "level", "status"))
