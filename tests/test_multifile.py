@@ -25,11 +25,10 @@ OFFSET_KEYS = {
 @pytest.fixture(scope="module")
 def multi_dir(spark, tmp_path_factory):
     out = tmp_path_factory.mktemp("multifile")
-    copies = spark.range(COPIES).withColumnRenamed("id", "copy")
     for name in TABLES:
         df = table(spark, SF_SMALL, name)
         if name in OFFSET_KEYS:
-            df = df.crossJoin(copies)
+            df = df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
             for key in OFFSET_KEYS[name]:
                 df = df.withColumn(key, F.col(key) * COPIES + F.col("copy"))
             df = df.drop("copy")
