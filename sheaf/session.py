@@ -69,6 +69,9 @@ def scale_settings(
         "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes_per_partition),
+        # size reducers by the advisory size rather than maximising their number: on a
+        # shared cluster that avoids many tiny tasks
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_bytes_per_partition),
     }
 
