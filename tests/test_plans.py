@@ -167,3 +167,46 @@ def test_spread_counts_files_of_a_small_input(spark, tmp_path):
     slots = spark.sparkContext.defaultParallelism
     assert len(df.inputFiles()) == 1
     assert spread(df, "id").rdd.getNumPartitions() == slots
+
+
+def test_hot_order_key_in_the_semi_join_is_split_by_aqe(spark):
+    """A third of the line items on one order key: with broadcast off, AQE's skew-join
+    handling splits that key's partition (thresholds lowered to this data size)."""
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        n = 60000
+        # varied amounts: skew is judged on compressed shuffle bytes, and a constant
+        # column would compress the hot partition away
+        items = spark.range(n, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("oid"),
+            (F.col("id") / 100).alias("amount"),
+        )
+        orders = spark.range(0, n, 2, numPartitions=8).select(
+            F.col("id").alias("order_id"),
+            F.lit("2014-01-01 00:00:00").alias("order_datestr"),
+            F.lit("C").alias("order_status"),
+        )
+        df = retail.semi_join_revenue(items, orders, "oid", "amount", "C", "2014-12-31")
+        got = df.collect()[0].revenue
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+    # every hot row (key 7 is not an even order id) is dropped; even non-hot ids are kept
+    want = sum(i for i in range(n) if i % 3 != 0 and i % 2 == 0) / 100
+    assert float(got) == want
