@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from sheaf.plans import sql_queries  # noqa: F401  (registers the SQL-text queries)
 from sheaf.plans.oracle import ORACLE_SQL
 from sheaf.plans.queries import QUERIES, Query
+from sheaf.plans.sql_queries import TWIN
 
 FLAGSHIP = "sector_rollup"
 
@@ -28,4 +30,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ORACLE_SQL[name] for name in QUERIES if name in ORACLE_SQL}
+    """Every query's oracle; a SQL-text query shares its DataFrame twin's."""
+    return {name: ORACLE_SQL[TWIN.get(name, name)] for name in QUERIES if TWIN.get(name, name) in ORACLE_SQL}

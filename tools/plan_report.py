@@ -70,6 +70,14 @@ NOT_OPERATORS = {
 }
 
 
+def note(name: str) -> str:
+    if name in NOTES:
+        return NOTES[name]
+    if name.endswith("_sql"):
+        return f"SQL text of `{name.removesuffix('_sql')}` (the join forms written as in SQL, without the pre-aggregation)"
+    return ""
+
+
 def outside_codegen(final_plan: str) -> str:
     """Operators of the final adaptive plan that run outside whole-stage codegen."""
     names = set()
@@ -129,7 +137,7 @@ def main() -> None:
         final = ran._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         out.append(
             f"| `{name}` | {s['scans'] or '—'} | {s['exchanges']} | {s['joins']} | {s['partial_agg']} | "
-            f"{s['top_k']} | {s['generate']} | {outside_codegen(final)} | {NOTES.get(name, '')} |"
+            f"{s['top_k']} | {s['generate']} | {outside_codegen(final)} | {note(name)} |"
         )
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out) + "\n")
