@@ -112,3 +112,19 @@ def _register(name: str, text: str, tables: tuple[str, ...]) -> None:
 
 for _name, (_text, _tables) in STATEMENTS.items():
     _register(_name, _text, _tables)
+
+
+@query("describe_schema_sql")
+def describe_schema_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """T3/T5 in SQL: ``DESCRIBE`` of the loyalty table read through the renamed column."""
+    described = run_sql(
+        spark,
+        "DESCRIBE QUERY SELECT cust_id, fname, lname, email, level AS status, status_orders, order_counts, "
+        "order_value FROM {loyalty}",
+        loyalty=_loyalty(spark, sf),
+    )
+    return described.select("col_name", "data_type")
+
+
+TWIN["describe_schema_sql"] = "describe_schema"
+
