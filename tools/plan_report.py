@@ -74,7 +74,7 @@ def note(name: str) -> str:
     if name in NOTES:
         return NOTES[name]
     if name.endswith("_sql"):
-        return f"SQL text of `{name.removesuffix('_sql')}` (the join forms written as in SQL, without the pre-aggregation)"
+        return f"SQL text of `{name.removesuffix('_sql')}`; same plan shape (joins pre-aggregate in a subquery)"
     return ""
 
 
