@@ -187,3 +187,22 @@ def test_hadoop_text_part_equals_model(spark, words, parts):
     got = {r.i: r.p for r in df.select("i", hadoop_text_part(F.col("w"), parts).alias("p")).collect()}
     assert got == {i: model_hadoop_part(w, parts) for i, w in enumerate(words)}
 
+
+
+date_texts = st.builds(
+    lambda d, hh, mm, bare: f"2014-05-{d:02d}" if bare else f"2014-05-{d:02d} {hh:02d}:{mm:02d}:00",
+    st.integers(15, 19), st.integers(0, 23), st.integers(0, 59), st.booleans(),
+)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(date_texts, st.sampled_from(["COMPLETE", "PENDING"])), min_size=1, max_size=20))
+def test_date_readings_equal_model(spark, rows):
+    from sheaf.operators import retail
+
+    df = spark.createDataFrame([(i, d, s) for i, (d, s) in enumerate(rows)], "order_id INT, order_datestr STRING, order_status STRING")
+    day = "2014-05-17"
+    done = [d for d, s in rows if s == "COMPLETE"]
+    assert retail.count_until_lexical(df, "COMPLETE", day).first().n_orders == sum(d <= day for d in done)
+    assert retail.count_until(df, "COMPLETE", day).first().n_orders == sum(d[:10] <= day for d in done)
+    assert retail.count_on(df, "COMPLETE", day).first().n_orders == sum(d[:10] == day for d in done)
