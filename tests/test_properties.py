@@ -206,3 +206,33 @@ def test_date_readings_equal_model(spark, rows):
     assert retail.count_until_lexical(df, "COMPLETE", day).first().n_orders == sum(d <= day for d in done)
     assert retail.count_until(df, "COMPLETE", day).first().n_orders == sum(d[:10] <= day for d in done)
     assert retail.count_on(df, "COMPLETE", day).first().n_orders == sum(d[:10] == day for d in done)
+
+
+number_texts = st.sampled_from(["n/a", "", "0", "0.0", "1.5", "10", "12.25", "x"])
+
+
+def model_growth(dividend: str, low: str, high: str):
+    def num(t, blank_too):
+        if t == "n/a" or (blank_too and t == ""):
+            t = "0.0"
+        try:
+            return float(t)
+        except ValueError:
+            return None
+
+    d, lo, hi = num(dividend, True), num(low, False), num(high, False)
+    growth = None if lo is None or hi is None or lo == 0 else (hi - lo) / lo * 100.0
+    return d, growth
+
+
+@SETTINGS
+@given(st.lists(st.tuples(number_texts, number_texts, number_texts), min_size=1, max_size=12))
+def test_growth_rules_equal_model(spark, rows):
+    from sheaf.operators import growth
+
+    df = spark.createDataFrame(
+        [(f"S{i}", d, lo, hi) for i, (d, lo, hi) in enumerate(rows)],
+        "symbol STRING, dividend STRING, week52_low STRING, week52_high STRING",
+    )
+    got = {r.symbol: (r.dividend, r.growth) for r in growth.growth_table(df).collect()}
+    assert got == {f"S{i}": model_growth(*row) for i, row in enumerate(rows)}
