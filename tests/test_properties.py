@@ -236,3 +236,26 @@ def test_growth_rules_equal_model(spark, rows):
     )
     got = {r.symbol: (r.dividend, r.growth) for r in growth.growth_table(df).collect()}
     assert got == {f"S{i}": model_growth(*row) for i, row in enumerate(rows)}
+
+
+facts_rows = st.lists(st.tuples(st.integers(0, 5), st.integers(1, 9)), min_size=1, max_size=25)
+dims_rows = st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", "c"])), min_size=1, max_size=8)
+
+
+@SETTINGS
+@given(facts_rows, dims_rows)
+def test_aggregate_then_join_equals_join_then_group(spark, facts, dims):
+    from sheaf.operators import retail
+
+    f = spark.createDataFrame(facts, "k INT, v INT")
+    d = spark.createDataFrame(dims, "dk INT, name STRING")
+    sums, counts = Counter(), Counter()
+    for k, v in facts:
+        for dk, name in dims:
+            if k == dk:
+                sums[(k, name)] += v
+                counts[name] += 1
+    got_sums = {(r.k, r.name): r.total for r in retail.top_sum_named(f, d, "k", "dk", "name", "v", 1000, "total").collect()}
+    assert got_sums == dict(sums)
+    got_counts = {r.name: r.n for r in retail.group_count_ranked_named(f, d, "k", "dk", "name", "v").collect()}
+    assert got_counts == dict(counts)
