@@ -259,3 +259,14 @@ def test_aggregate_then_join_equals_join_then_group(spark, facts, dims):
     assert got_sums == dict(sums)
     got_counts = {r.name: r.n for r in retail.group_count_ranked_named(f, d, "k", "dk", "name", "v").collect()}
     assert got_counts == dict(counts)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["a", "ab", ""])),
+                          st.one_of(st.none(), st.sampled_from(["b", "", "c"]))), min_size=1, max_size=15))
+def test_distinct_concat_equals_model(spark, rows):
+    from sheaf.operators import retail
+
+    df = spark.createDataFrame(rows, "x STRING, y STRING")
+    want = len({x + y for x, y in rows if x is not None and y is not None})
+    assert retail.count_distinct_concat(df, ["x", "y"], "n").first().n == want
