@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import re
 from collections import Counter
 
@@ -13,7 +14,12 @@ from hypothesis import strategies as st
 from sheaf.operators import wordcount
 from sheaf.sources.delimited import parse_quoted
 
-SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# PROPERTY_EXAMPLES raises the number of random cases per property (25 by default).
+SETTINGS = settings(
+    max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "25")),
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 
 ASCII_NON_WORD = re.compile(r"[^A-Za-z0-9_]+")
 
