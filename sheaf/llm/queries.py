@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sheaf.llm import secrets
+from sheaf.llm import langid, quality, sampling, secrets
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +23,22 @@ def query(fn: Query) -> Query:
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = sampling.remainder(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    held_out = sampling.remainder(F.col("doc_id"), 4) == 2
+    model = quality.fit(docs, labels, ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")

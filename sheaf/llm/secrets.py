@@ -192,11 +192,13 @@ def digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
-    count = {f"n_{k}": F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long") for k in kinds}
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     of_base = F.filter("spans", lambda x: x["kind"].isin(kinds))
     return scanned.select(
         "doc_id",
-        *[c.alias(n) for n, c in count.items()],
+        *[count(k) for k in kinds],
         F.sha2(joined(of_base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
