@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import langid, quality, sampling, secrets
+from sheaf.llm import bpe, langid, packing, quality, sampling, secrets, warc
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,40 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = sampling.remainder(F.col("doc_id"), 4) == 2
     model = quality.fit(docs, labels, ~held_out)
     return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(packing.pieces(docs, tokenizer_path("word_bpe_49k.json")))
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.digests(bpe.round_trip(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# sha256 of the whole payload; of equal payloads of 100 bytes on, the smallest page responds
+ORACLE_SQL["op5_warc"] = """
+WITH p AS (
+    SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
