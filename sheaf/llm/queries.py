@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import bpe, langid, packing, quality, sampling, secrets, warc
+from sheaf.llm import ann, bpe, langid, mips, packing, quality, sampling, secrets, warc
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,29 @@ SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_di
        CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
 """
+
+
+@query
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = ann.vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return ann.search(points, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = mips.scaled(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return mips.search(points, F.col("vec_id") % 100 == 0)
+
+
+# doubles hold these sums of whole numbers exactly
+ORACLE_SQL["op3_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS p
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.p, c.p) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
