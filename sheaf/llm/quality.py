@@ -109,7 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, per_label: int = SAM
     )
     own = own.filter(usable)
     chosen = sampling.per_label(own, "label", "doc_id", per_label)
-    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(chosen, "doc_id")
+    # the chosen rows are 2 * per_label at most
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return sampling.fit(rows.select("doc_id", "text", F.col("label").cast("int")), train)
 
 
