@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import ann, bpe, langid, mips, packing, quality, sampling, secrets, substring, warc
+from sheaf.llm import ann, bpe, jaccard, langid, mips, packing, quality, sampling, secrets, substring, warc
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,8 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     shortened = substring.dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
     return shortened.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents", "doc_id", "text"))
