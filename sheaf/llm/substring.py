@@ -102,8 +102,8 @@ class Level:
         on this level, and close it."""
         ahead = np.concatenate([[0], np.cumsum(self.sizes)])
         n = len(self.names)
-        ends = np.minimum(np.searchsorted(ahead, ahead[:-1] + PHRASE), n)
-        tables = [_PHRASE.slices(self.names, np.arange(n), ends)]
+        ends = np.searchsorted(ahead, ahead[:-1] + PHRASE)  # n + 1 where the block ends before
+        tables = [_PHRASE.slices(self.names, np.arange(n), np.minimum(ends, n))]
         for step in (1, 2, 4):
             wider = tables[-1].copy()
             wider[:-step] = np.minimum(wider[:-step], tables[-1][step:])
