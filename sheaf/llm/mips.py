@@ -18,7 +18,6 @@ has about ``SHARD`` rows and a block ``BLOCK`` queries whatever the table's size
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -131,29 +130,23 @@ def search(points: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD,
     leading = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FLOORS).toArrow()  # a fixed number of rows
     lead_ids, lead = np.asarray(leading["vec_id"].combine_chunks()), _matrix(leading["point"])
 
-    def task(key, own: Iterator[pa.RecordBatch], asking: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, asking = pa.Table.from_batches(own), pa.Table.from_batches(asking)
+    def one_shard(own: pa.Table, asking: pa.Table) -> pa.Table:
+        kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not own.num_rows or not asking.num_rows:
-            return
+            return kinds.empty_table()
         tree = Tree(_matrix(own["point"]).copy(), np.asarray(own["vec_id"].combine_chunks()).copy())
         found: list[tuple[int, int, int]] = []
         for q, query in zip(asking["vec_id"].to_pylist(), _matrix(asking["point"]), strict=True):
             others = (lead @ query)[lead_ids != q]
             floor = np.partition(others, -k)[-k] if len(others) >= k else -np.inf
             found += [(q, i, s) for s, i in tree.search(query, q, k, floor)]
-        if found:
-            a, b, c = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
-            yield pa.record_batch({"query_id": a, "vec_id": b, "score": c})
-
-    def grouped(key, own: pa.Table, asking: pa.Table) -> pa.Table:
-        kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-        return pa.Table.from_batches(task(key, own.to_batches(), asking.to_batches()), kinds)
+        return pa.table([list(x) for x in zip(*found, strict=True)] if found else [[], [], []], schema=kinds)
 
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     put = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
     put = put.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    best = dealt.groupBy("shard", "block").cogroup(put.groupBy("shard", "block")).applyInArrow(grouped, RESULT)
+    best = dealt.groupBy("shard", "block").cogroup(put.groupBy("shard", "block")).applyInArrow(one_shard, RESULT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     ranked = best.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

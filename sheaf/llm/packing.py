@@ -1,16 +1,17 @@
 """Packing by cutting-stock column generation.
 
 Documents become ids, then pieces of at most one sequence; only the pieces' numbers move
-on. Their lengths are counted in classes of ``CLASS`` tokens (rounded up), a table of
-fixed size. The driver solves the cutting-stock linear program over it: a knapsack dynamic
+on. Pieces of up to ``SHORT`` ids are first put end to end in bundles, as rounding would cost
+them most. The lengths of these items are counted in classes of ``CLASS`` tokens (rounded
+up), a table of fixed size. The driver solves the cutting-stock linear program over it: a knapsack dynamic
 program prices new patterns (multisets of classes that fit a sequence) until none is worth
 adding. Patterns are used a whole number of times; what rounding down leaves is packed
 first fit decreasing. Every pattern then owns a range of ranks in each of its classes, so
-a piece finds its sequence from its class and its rank there alone.
+an item finds its sequence from its class and its rank there alone.
 
 Cases: a null or empty text has the end id only; null doc_ids and repeated rows are
 packed like any other; an empty table gives none; extra columns are not read. A class with
-a third of all pieces is ranked in as many parts as there are shuffle partitions.
+a third of all items is ranked in as many parts as there are shuffle partitions.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.llm.arrays import blocks
@@ -35,7 +36,14 @@ SEPARATOR = "<|startoftext|>"
 BLOCK = 8 << 20
 REMEMBERED = 600_000
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+# pieces of up to SHORT ids share an item until it has BUNDLE ids
+SHORT = 256
+BUNDLE = 512
+
+PIECE = [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ahead")]
+ITEMS = (
+    "length long, parts array<struct<doc_id:long,start:long,length:long,ids_crc32:long,doc_tokens:long,ahead:long>>"
+)
 
 
 class WordIds:
@@ -98,31 +106,46 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def pieces(docs: DataFrame, path: str) -> DataFrame:
-    """Each document's ids and end id, cut every ``SEQUENCE`` ids: PIECES."""
+def items(docs: DataFrame, path: str) -> DataFrame:
+    """Each document's ids and end id, cut every ``SEQUENCE`` ids: ITEMS of one piece or of
+    some short ones, each with the length ``ahead`` of it in the item."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = word_ids(path), END_ID.to_bytes(4, "little")
+        short: list[dict] = []
         for block in blocks(batches, "doc_id", "text", BLOCK):
-            row, start, length, crc, total = [], [], [], [], []
-            for i, raw in enumerate(tok.encode([block.text(k).decode() for k in range(len(block))])):
+            made: list[list[dict]] = []
+            keys = block.key.to_pylist()
+            for key, raw in zip(keys, tok.encode([block.text(k).decode() for k in range(len(block))]), strict=True):
                 raw += end
                 n = len(raw) // 4
                 for a in range(0, n, SEQUENCE):
                     b = min(a + SEQUENCE, n)
-                    row.append(i)
-                    start.append(a)
-                    length.append(b - a)
-                    crc.append(zlib.crc32(raw[4 * a:4 * b]))
-                    total.append(n)
-            yield pa.record_batch({
-                "doc_id": block.key.take(pa.array(row, pa.int64())), "start": pa.array(start, pa.int64()),
-                "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
-                "doc_tokens": pa.array(total, pa.int64()),
-            })
+                    piece = {
+                        "doc_id": key, "start": a, "length": b - a, "ids_crc32": zlib.crc32(raw[4 * a:4 * b]),
+                        "doc_tokens": n, "ahead": 0,
+                    }
+                    if b - a > SHORT:
+                        made.append([piece])
+                        continue
+                    piece["ahead"] = short[-1]["ahead"] + short[-1]["length"] if short else 0
+                    short.append(piece)
+                    if piece["ahead"] + piece["length"] >= BUNDLE:
+                        made.append(short)
+                        short = []
+            yield _item_batch(made)
+        if short:
+            yield _item_batch([short])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, PIECES)
+    return rows.mapInArrow(task, ITEMS)
+
+
+def _item_batch(made: list[list[dict]]) -> pa.RecordBatch:
+    length = [parts[-1]["ahead"] + parts[-1]["length"] for parts in made]
+    return pa.record_batch({
+        "length": pa.array(length, pa.int64()), "parts": pa.array(made, pa.list_(pa.struct(PIECE))),
+    })
 
 
 def best_pattern(sizes: np.ndarray, worth: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -197,10 +220,9 @@ def plan(spark: SparkSession, counts: dict[int, int], room: int) -> DataFrame:
     return spark.createDataFrame(rows, "class long, first long, until long, each long, sequence long")
 
 
-def ranked(items: DataFrame, parts: int) -> DataFrame:
+def ranked(items: DataFrame, order: list[Column], parts: int) -> DataFrame:
     """``items`` with ``rank``: its number, from 0, among those of its class. A class is
     numbered in ``parts`` parts, each behind the parts before it."""
-    order = ["doc_id", "start", "ids_crc32", "length", "doc_tokens"]
     part = F.pmod(F.xxhash64(*order), F.lit(parts))
     own = items.withColumn("_part", part).withColumn(
         "_in_part", F.row_number().over(Window.partitionBy("class", "_part").orderBy(*order)) - 1
@@ -213,20 +235,22 @@ def ranked(items: DataFrame, parts: int) -> DataFrame:
 
 
 def pack(cut: DataFrame, room: int = SEQUENCE, width: int = CLASS) -> DataFrame:
-    """PIECES with sequence_id and offset. ``cut`` is kept in the checkpoint folder, as its
-    counts and its ranks must come from the same rows."""
+    """The pieces of ITEMS with sequence_id and offset. ``cut`` is kept in the checkpoint
+    folder, as its counts and its ranks must come from the same rows."""
     spark = cut.sparkSession
-    items = cut_lineage(cut.withColumn("class", F.ceil(F.col("length") / width)))
-    counts = {r["class"]: r["count"] for r in items.groupBy("class").count().collect()}  # room / width rows at most
+    held = cut_lineage(cut.withColumn("class", F.ceil(F.col("length") / width)))
+    counts = {r["class"]: r["count"] for r in held.groupBy("class").count().collect()}  # room / width rows at most
     ranges = F.broadcast(plan(spark, counts, room // width))  # a few thousand rows at most
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = ranked(items, parts).join(ranges, "class").filter(
+    order = [F.col("parts")[0][c] for c in ("doc_id", "start", "ids_crc32")] + [F.col("length")]
+    placed = ranked(held, order, parts).join(ranges, "class").filter(
         (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("until"))
     )
-    at = F.col("rank") - F.col("first")
     placed = placed.withColumn("sequence_id", F.col("sequence") + F.expr("(rank - first) div each"))
-    row = Window.partitionBy("sequence_id").orderBy(F.desc("class"), at).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("length").over(row), F.lit(0))
-    return placed.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", offset.alias("offset")
+    row = Window.partitionBy("sequence_id").orderBy(F.desc("class"), "rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("at", F.coalesce(F.sum("length").over(row), F.lit(0)))
+    pieces = placed.select("sequence_id", "at", F.explode("parts").alias("p"))
+    return pieces.select(
+        "p.doc_id", "p.start", "p.length", "p.ids_crc32", "p.doc_tokens", "sequence_id",
+        (F.col("at") + F.col("p.ahead")).alias("offset"),
     )

@@ -53,7 +53,7 @@ def tokenizer_path(name: str) -> str:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.pack(packing.pieces(docs, tokenizer_path("word_bpe_49k.json")))
+    return packing.pack(packing.items(docs, tokenizer_path("word_bpe_49k.json")))
 
 
 @query

@@ -242,10 +242,12 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str, least: int =
             for i in range(batch.num_rows):
                 name, content, repeats = (batch.column(c)[i].as_py() for c in ("archive", "content", "repeats"))
                 known = {x["n"]: x["of"] for x in repeats or []}
-                yield pa.record_batch({"value": _texts([to_warc(gzip.decompress(content), name, known)])})
+                made = to_warc(gzip.decompress(content), name, known)
+                if made:  # Spark writes a file without archives where a task had no rows
+                    yield pa.record_batch({"value": _texts([made])})
 
-    made = archives.join(lists, "archive", "left").mapInArrow(task, "value string")
-    made.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", 1).text(warc_folder)
+    converted = archives.join(lists, "archive", "left").mapInArrow(task, "value string")
+    converted.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", 1).text(warc_folder)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
