@@ -35,6 +35,11 @@ def on_or_before(text: Column, day: str) -> Column:
     return text_to_date(text) <= F.lit(day).cast("date")
 
 
+def until_epoch(text: Column, seconds: int) -> Column:
+    """The parsed day, in epoch seconds, is not after ``seconds``."""
+    return day_epoch_seconds(text) <= F.lit(seconds)
+
+
 def on_day(text: Column, day: str) -> Column:
     """the parsed day is ``day``."""
     return text_to_date(text) == F.lit(day).cast("date")

@@ -24,10 +24,12 @@ def _digits(text: Column) -> tuple[Column, Column]:
 def money_value(text: Column) -> Column:
     """Exact value as DECIMAL(38,2): drop ``$``; a text holding ``M`` is in millions.
 
-    Text that does not parse (``n/a``, ``$2B``, garbage) gives NULL instead of an error.
+    The digits keep ten decimals until they have been multiplied; the value is rounded to
+    cents once, at the end. Text that does not parse (``n/a``, ``$2B``, garbage) gives NULL
+    instead of an error.
     """
     digits, in_millions = _digits(text)
-    value = digits.try_cast(DecimalType(20, 2))
+    value = digits.try_cast(DecimalType(28, 10))
     return F.when(in_millions, value * F.lit(1000000)).otherwise(value).cast(CAP_TYPE)
 
 

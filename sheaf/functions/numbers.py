@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The plain-decimal pattern (digits, a dot, digits; a lone dot passes),
+# The plain-decimal pattern (digits, a dot, digits; a lone dot passes; \z is
+# the very end, where $ would let a line end through),
 # the missing-value markers and their replacements.
-PLAIN_DECIMAL = r"^[0-9]*\.[0-9]*$"
+PLAIN_DECIMAL = r"\A[0-9]*\.[0-9]*\z"
 NEGATIVE_INFINITY_TEXT = "-Infinity"
 ZERO_TEXT = "0.0"
 NOT_AVAILABLE = "n/a"

@@ -1,8 +1,9 @@
 """Fundamentals extract with record-quality counts (rows S2, S4, P6, P7, F4-F6, A7, A8,
 O2, D3, D5).
 
-Lines are split on every comma (the reference's plain split), so a quoted name holding a
-comma shifts the later fields; ``naive_scan`` exposes that with a ``shifted`` flag.
+Fields are read quote-aware, so a quoted name holding a comma leaves the later fields in
+place. ``naive_scan`` keeps the plain split on every comma, which shifts them, next to it
+with a ``shifted`` flag.
 """
 
 from __future__ import annotations
@@ -11,12 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import NEGATIVE_INFINITY_TEXT, ZERO_TEXT, blank_to, is_blank, is_plain_decimal
-from sheaf.sources.delimited import naive_fields, project_once, quoted_field_count
+from sheaf.sources.delimited import naive_fields, parse_quoted, quoted_field_count
 
 # Field positions and width of a fundamentals line, and the header symbol.
 SYMBOL, DIVIDEND, PRICE_EARNINGS = 0, 4, 5
 WIDTH = 15
 HEADER_SYMBOL = "Symbol"
+SCHEMA = (
+    "symbol STRING, name STRING, sector STRING, price STRING, dividend STRING, pe STRING, earnings STRING, "
+    "book STRING, week52_low STRING, week52_high STRING, market_cap STRING, ebitda STRING, price_sales STRING, "
+    "price_book STRING, filings STRING"
+)
+
+
+def records(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame:
+    """The named fields of each line, read quote-aware, with ``field_count``. An empty
+    field is an empty text; a field past the end of a short line is NULL."""
+    return parse_quoted(lines, SCHEMA, line_col, *keep)
 
 
 def classify(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame:
@@ -26,16 +38,8 @@ def classify(lines: DataFrame, line_col: str = "value", *keep: str) -> DataFrame
     ``valid``: dividend and P/E pass the number test (P/E may be ``-Infinity``) and the
     row is not the header. A line too short to hold a field has NULL there and fails.
     """
-    # Split once in a projection; the generator only reads the array.
-    split_lines = lines.select(*keep, naive_fields(F.col(line_col)).alias("_t"))
-    t = F.col("_t")
-    fields = project_once(
-        split_lines,
-        keep,
-        symbol=F.get(t, SYMBOL),
-        dividend_raw=F.get(t, DIVIDEND),
-        pe_raw=F.get(t, PRICE_EARNINGS),
-        field_count=F.size(t),
+    fields = records(lines, line_col, *keep).select(
+        *keep, "symbol", F.col("dividend").alias("dividend_raw"), F.col("pe").alias("pe_raw"), "field_count"
     )
     no_dividend = is_blank(F.col("dividend_raw"))
     no_pe = is_blank(F.col("pe_raw"))

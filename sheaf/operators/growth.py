@@ -15,11 +15,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sheaf.functions.numbers import missing_to_zero, percent_growth, to_double
-from sheaf.session import cut_lineage
+from sheaf.operators import fundamentals as fundamentals_rows
+from sheaf.operators import screener
+from sheaf.session import stored
+from sheaf.sources.delimited import drop_header
 
 KEY = "symbol"
 
 
+def fundamentals_side(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """``symbol, dividend, week52_low, week52_high`` (text) of fundamentals lines, read
+    quote-aware, header dropped."""
+    rows = drop_header(fundamentals_rows.records(lines, line_col), "symbol", fundamentals_rows.HEADER_SYMBOL)
+    return rows.select("symbol", "dividend", "week52_low", "week52_high")
+
+
+def listing_side(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """``symbol, name, sector, last_sale`` (text) of listing lines."""
+    return screener.listing_records(lines, line_col).select("symbol", "name", "sector", "last_sale")
+
+
 def join_on_symbol(fundamentals: DataFrame, listings: DataFrame) -> DataFrame:
     """Symbols in both inputs with the columns of both; duplicates multiply."""
     return fundamentals.join(listings, KEY, "inner")
@@ -58,16 +73,16 @@ def top_k(df: DataFrame, column: str, k: int = 10) -> DataFrame:
 
 def _sorted_with_ties_split(df: DataFrame, *order) -> DataFrame:
     """``orderBy(*order)`` plus a row id as the last key, so copies of one key can be
-    split over range partitions. Used on checkpointed rows only: there the ids are
+    split over range partitions. Used on stored rows only: there the ids are
     fixed, so a retried task places every row as before."""
     return df.withColumn("_row_id", F.monotonically_increasing_id()).orderBy(*order, "_row_id").drop("_row_id")
 
 
 def growth_report(fundamentals: DataFrame, listings: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """The whole job. The join (J1/J2, both inputs' columns) is written once to the
-    shared checkpoint folder (K6); the growth table, the count, both top lists and the
+    """The whole job. The join (J1/J2, both inputs' columns) is written once as a Parquet
+    table below the shared checkpoint folder (K6), of which each output reads its columns; the growth table, the count, both top lists and the
     two sorted listings all read it, so the join runs once and survives executor loss."""
-    joined = cut_lineage(join_on_symbol(fundamentals, listings))
+    joined = stored(join_on_symbol(fundamentals, listings))
     table = growth_table(joined)
     return {
         "joined": _sorted_with_ties_split(joined, F.col(KEY).asc()),

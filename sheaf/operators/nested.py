@@ -1,5 +1,5 @@
-"""The nested loyalty table: map, array and struct access, column rename, describe
-(rows F9, X14-X16, T2, T3, T5)."""
+"""The nested loyalty table: map, array and struct access, column rename
+(rows F9, X14-X16, T2, T5; T3 is ``catalog.describe_table``)."""
 
 from __future__ import annotations
 
@@ -32,13 +32,3 @@ def lookup_struct(df: DataFrame, struct_col: str, field: str, alias: str, key: s
 def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
     """The column under a new name; the data is not rewritten (a projection)."""
     return df.withColumnRenamed(old, new)
-
-
-def describe(df: DataFrame) -> DataFrame:
-    """``col_name, data_type`` per top-level column, as ``DESCRIBE`` prints them."""
-    rows = [
-        F.struct(F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("data_type"))
-        for f in df.schema.fields
-    ]
-    # A one-row range expanded by ``inline``: the rows are built JVM-side, no Python worker.
-    return df.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*rows)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.dates import on_day, on_or_before, on_or_before_lexical
+from sheaf.functions.dates import on_day, on_or_before, on_or_before_lexical, until_epoch
 
 MONEY = "decimal(38,2)"
 
@@ -58,9 +58,14 @@ def group_count_ranked_named(
     )
 
 
+def _exact_sum(value: str) -> Column:
+    return F.sum(F.col(value).cast("decimal(18,2)"))
+
+
 def top_sum(df: DataFrame, key: str, value: str, k: int, alias: str) -> DataFrame:
-    """Sum per key, the ``k`` largest, ties by key."""
-    return df.groupBy(key).agg(F.sum(value).alias(alias)).orderBy(F.col(alias).desc(), F.col(key)).limit(k)
+    """Exact sum per key (a DECIMAL, whatever the order of the rows), the ``k``
+    largest, ties by key."""
+    return df.groupBy(key).agg(_exact_sum(value).alias(alias)).orderBy(F.col(alias).desc(), F.col(key)).limit(k)
 
 
 def top_sum_named(
@@ -71,7 +76,7 @@ def top_sum_named(
     The facts are summed per key before the join and the partial sums re-added per
     (key, name) after it, which equals join-then-group for any multiplicity of the
     key in ``dims`` and joins one row per key instead of every fact row."""
-    per_key = facts.groupBy(fact_key).agg(F.sum(value).alias("_part"))
+    per_key = facts.groupBy(fact_key).agg(_exact_sum(value).alias("_part"))
     joined = per_key.join(dims.select(F.col(dim_key).alias(fact_key), name), fact_key, "inner")
     return (
         joined.groupBy(fact_key, name)
@@ -97,6 +102,12 @@ def count_until(orders: DataFrame, status: str, day: str, alias: str = "n_orders
     return _count_where(orders, pred, "order_id", alias)
 
 
+def count_until_epoch(orders: DataFrame, status: str, seconds: int, alias: str = "n_orders") -> DataFrame:
+    """The parsed day compared in seconds since the epoch."""
+    pred = (F.col("order_status") == status) & until_epoch(F.col("order_datestr"), seconds)
+    return _count_where(orders, pred, "order_id", alias)
+
+
 def count_on(orders: DataFrame, status: str, day: str, alias: str = "n_orders") -> DataFrame:
     """orders on ``day`` itself (what the question asks)."""
     pred = (F.col("order_status") == status) & on_day(F.col("order_datestr"), day)
@@ -107,18 +118,20 @@ def semi_join_revenue(
     items: DataFrame, orders: DataFrame, item_order_key: str, amount: str, status: str, day: str, alias: str = "revenue"
 ) -> DataFrame:
     """Exact sum of ``amount`` over items whose order has ``status`` and
-    a day on or before ``day``. Joined on the order key (D9) as a left semi-join: an
-    item is kept once however its order matches; the order side is only keys."""
-    keys = orders.filter(
-        (F.col("order_status") == status) & on_or_before(F.col("order_datestr"), day)
-    ).select(F.col("order_id").alias(item_order_key))
+    a day on or before ``day``. The day is bounded on the stored date ``order_ts``, so the
+    bound reaches the scan. Joined on the order key (D9) as a left semi-join: an item is
+    kept once however its order matches; the order side is only keys."""
+    next_day = F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
+    keys = orders.filter((F.col("order_status") == status) & (F.col("order_ts") < next_day)).select(
+        F.col("order_id").alias(item_order_key)
+    )
     kept = items.join(keys, item_order_key, "left_semi")
     return kept.agg(F.sum(F.col(amount).cast("decimal(18,2)")).cast(MONEY).alias(alias))
 
 
 def as_dollars(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """``$%.2f`` text of an amount that already has two decimals."""
-    return df.select(F.format_string("$%.2f", F.col(column).cast("double")).alias(alias))
+    """``$<amount>`` with two decimals, from the decimal's own digits."""
+    return df.select(F.concat(F.lit("$"), F.col(column).cast(MONEY).cast("string")).alias(alias))
 
 
 def date_part_counts(orders: DataFrame, alias: str = "n_orders") -> DataFrame:

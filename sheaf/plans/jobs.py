@@ -11,32 +11,25 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.operators import fundamentals, growth, screener, wordcount
-from sheaf.sources.delimited import drop_header, naive_fields, read_quoted
-from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_hadoop_parts, write_sorted_lines
+from sheaf.session import stored
+from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_key_ranges, write_sorted_lines
 from sheaf.sources.text import LINE_ID, read_lines
 
-# Fixed value: the MapReduce word count's number of reduce tasks (output parts).
-WORD_COUNT_PARTS = 17
 
-
-def word_count_job(
-    spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False, single_file: bool = False
-) -> str:
+def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False) -> str:
     """Word count of a folder of text files.
 
-    ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in ``<out>/part=<n>``
-    for the 17 parts its partitioner gives each word, each part sorted by word.
-    ``keep_empty=True``: the RDD job (empty word counted), ``(word,count)`` lines globally
-    sorted by word (a range-partitioned sort over many parts; ``single_file`` merges the
-    sorted parts into one file, for small results)."""
+    ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in parts by ranges of the
+    word, each sorted. ``keep_empty=True``: the RDD job (empty word counted),
+    ``(word,count)`` lines globally sorted by word."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path)
     if keep_empty:
         counts = wordcount.word_count_raw(lines, "value", by_lines=False)
-        write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out, single_file=single_file)
+        write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out)
     else:
         counts = wordcount.word_count(lines, "value")
-        write_hadoop_parts(tab_text("word", "occurrences"), counts, "word", WORD_COUNT_PARTS, out)
+        write_key_ranges(tab_text("word", "occurrences"), counts, "word", out)
     return out
 
 
@@ -51,7 +44,8 @@ def screener_job(
     # Lines go through the column parser, which also counts the quote-aware fields that
     # the width check needs (the CSV file reader does not expose a count).
     records = screener.listing_records(read_lines(spark, input_path, line_id=True), "value", LINE_ID)
-    screened = screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,))
+    # parsed once: both outputs, and the sampling before each sort, read the stored rows
+    screened = stored(screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,)))
     report = screener.sector_report(screened)
     write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], os.path.join(out, "sectors"))
     # the line id splits copies of one listing across range partitions
@@ -61,66 +55,35 @@ def screener_job(
     return out
 
 
-def fundamentals_job(
-    spark: SparkSession, input_path: str, output_base: str, single_file: bool = False
-) -> tuple[str, dict]:
+def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) -> tuple[str, dict]:
     """Fundamentals extract: ``(symbol,dividend,pe)`` lines sorted by symbol, and the
-    record-quality totals, gathered during the same write through an ``Observation``.
-
-    The observation sits above the sort, in the stage that writes: below it, the range
-    sort's sampling job would run it a second time and double the totals. ``single_file``
-    merges the sorted parts into one file, for small results."""
+    record-quality totals, gathered through an ``Observation`` while the one parse of the
+    files is stored; only the valid rows are sorted."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path, line_id=True)
-    # the line id splits copies of one symbol across range partitions
-    classified = fundamentals.classify(lines, "value", LINE_ID).orderBy("symbol", LINE_ID)
     observed = Observation("fundamentals_quality")
-    classified = classified.observe(observed, *fundamentals.quality_metrics())
-    kept = classified.filter("valid").select(tuple_text("symbol", "dividend", "pe").alias("value"))
-    (kept.coalesce(1) if single_file else kept).write.mode("errorifexists").text(out)
+    classified = fundamentals.classify(lines, "value", LINE_ID).observe(observed, *fundamentals.quality_metrics())
+    kept = stored(classified.filter("valid").select("symbol", "dividend", "pe", LINE_ID))
+    # the line id splits copies of one symbol across range partitions
+    write_sorted_lines(tuple_text("symbol", "dividend", "pe"), kept, ["symbol", LINE_ID], out)
     return out, dict(observed.get)
 
 
-def _keyed_fields(lines: DataFrame, positions: dict[str, int]) -> DataFrame:
-    """Named fields of a plain comma split (S2), by position."""
-    t = naive_fields(F.col("value"))
-    return lines.select(*[F.get(t, i).alias(name) for name, i in positions.items()])
-
-
 def growth_job(
-    spark: SparkSession,
-    fundamentals_path: str,
-    listings_path: str,
-    output_base: str,
-    k: int = 10,
-    single_file: bool = False,
+    spark: SparkSession, fundamentals_path: str, listings_path: str, output_base: str, k: int = 10
 ) -> tuple[str, dict[str, DataFrame]]:
     """Join of the fundamentals and listing files on the symbol, growth over the 52-week
     range, both top-``k`` lists. ``<out>/joined`` lists each matched symbol with the
     fields of both files (sorted by symbol), ``<out>/growth`` the growth table sorted by
-    growth.
-
-    Fields are taken by name after a split (dividend 4, low 8, high 9 of a fundamentals
-    line; symbol, sector and cap of a listing), headers dropped on both sides."""
+    growth. Both files are read quote-aware, headers dropped on both sides; the join is
+    stored once and every output reads it."""
     out = run_path(output_base)
-    fund = drop_header(
-        _keyed_fields(
-            read_lines(spark, fundamentals_path),
-            {"symbol": 0, "dividend": 4, "week52_low": 8, "week52_high": 9},
-        ),
-        "symbol",
-        fundamentals.HEADER_SYMBOL,
-    )
-    listing_rows = read_quoted(spark, listings_path, screener.LISTING_SCHEMA)
-    listings = drop_header(listing_rows, "sector", screener.SECTOR_HEADER).select("symbol", "name", "sector", "market_cap")
+    fund = growth.fundamentals_side(read_lines(spark, fundamentals_path))
+    listings = screener.listing_records(read_lines(spark, listings_path)).select("symbol", "name", "sector", "market_cap")
     report = growth.growth_report(fund, listings, k)
     # Both frames are already sorted (ties split by row id); writing keeps that order.
     joined = report["joined"]
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns]
-    joined_lines = joined.select(F.concat_ws("\t", *fields))
-    growth_lines = report["by_growth"].select(tuple_text("symbol", "dividend", "growth"))
-    if single_file:  # merging sorted parts keeps their order; for small results
-        joined_lines, growth_lines = joined_lines.coalesce(1), growth_lines.coalesce(1)
-    joined_lines.write.text(os.path.join(out, "joined"))
-    growth_lines.write.text(os.path.join(out, "growth"))
+    joined.select(F.concat_ws("\t", *fields)).write.text(os.path.join(out, "joined"))
+    report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(os.path.join(out, "growth"))
     return out, report

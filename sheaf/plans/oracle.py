@@ -8,7 +8,8 @@ from __future__ import annotations
 
 CUTOFF = "1998-10-03"
 
-# Listing records as the quote-aware parse must return them.
+# Listing records as the quote-aware parse must return them: names without any quote,
+# the backslash kept, widths as the lines were cut.
 _LISTING = r"""
 WITH b AS (
   SELECT c_custkey AS k, c_name, c_nationkey, c_mktsegment,
@@ -16,34 +17,43 @@ WITH b AS (
   FROM customer),
 rec AS (
   SELECT CASE WHEN k % 50 = 0 THEN rpad('T' || k, 14, ' ') ELSE 'T' || k END AS symbol,
-         c_name || ', Inc.' AS name,
+         CASE k % 11 WHEN 3 THEN c_name || ' Q Inc.' WHEN 5 THEN c_name || '\' ELSE c_name || ', Inc.' END AS name,
          bal AS last_sale,
-         CASE k % 5 WHEN 0 THEN 'n/a' WHEN 2 THEN '$' || bal || 'B' WHEN 3 THEN '$' || bal
-                    ELSE '$' || bal || 'M' END AS market_cap,
+         CASE k % 16 WHEN 0 THEN 'n/a' WHEN 2 THEN '$' || bal || 'B' WHEN 3 THEN '$' || bal
+                     WHEN 4 THEN '' WHEN 5 THEN 'unknown'
+                     WHEN 6 THEN '$' || (k % 1000) || '.' || lpad(CAST((k * 37) % 10000 AS VARCHAR), 4, '0') || 'M'
+                     WHEN 7 THEN '$0.00' || (k % 10) || 'M'
+                     WHEN 8 THEN '$' || bal || 'BM' WHEN 9 THEN 'n/a est.'
+                     WHEN 10 THEN '$' || (k % 1000) || '.' || lpad(CAST((k * 7919) % 1000000 AS VARCHAR), 6, '0')
+                     ELSE '$' || bal || 'M' END AS market_cap,
          CAST(1990 + c_nationkey AS VARCHAR) AS ipo_year,
          c_mktsegment AS sector,
          'Industry ' || c_nationkey AS industry,
          'quote/T' || k AS summary_quote,
-         CAST(9 AS INTEGER) AS field_count
+         CAST(CASE k % 13 WHEN 4 THEN 8 WHEN 9 THEN 10 ELSE 9 END AS INTEGER) AS field_count,
+         k, CAST(bal AS DECIMAL(12,2)) AS amount
   FROM b),
-money AS (
-  SELECT *, replace(market_cap, '$', '') AS digits_m FROM rec),
+-- the caps as numbers, from what they were written from: no text is parsed here
 parsed AS (
   SELECT *,
-    CAST(CASE WHEN contains(digits_m, 'M')
-              THEN TRY_CAST(replace(digits_m, 'M', '') AS DECIMAL(20,2)) * 1000000
-              ELSE TRY_CAST(digits_m AS DECIMAL(20,2)) END AS DECIMAL(38,2)) AS cap,
-    CASE WHEN contains(digits_m, 'M')
-         THEN TRY_CAST(replace(digits_m, 'M', '') AS DOUBLE) * 1000000.0
-         ELSE TRY_CAST(digits_m AS DOUBLE) END AS cap_double
-  FROM money),
+    CAST(CASE WHEN k % 16 IN (0, 2, 4, 5, 8, 9) THEN NULL
+              WHEN k % 16 = 3 THEN amount
+              WHEN k % 16 = 6 THEN ((k % 1000) * 10000 + (k * 37) % 10000) * 100
+              WHEN k % 16 = 7 THEN (k % 10) * 1000
+              WHEN k % 16 = 10 THEN round(CAST((k % 1000) * 1000000 + (k * 7919) % 1000000 AS DECIMAL(38,6)) / 10000, 0) / 100
+              ELSE amount * 1000000 END AS DECIMAL(38,2)) AS cap,
+    CASE WHEN contains(market_cap, 'M')
+         THEN TRY_CAST(replace(replace(market_cap, '$', ''), 'M', '') AS DOUBLE) * 1000000.0
+         ELSE TRY_CAST(replace(market_cap, '$', '') AS DOUBLE) END AS cap_double
+  FROM rec),
 screened AS (
   SELECT sector, symbol AS ticker, cap, cap_double
   FROM parsed
   WHERE field_count = 9 AND market_cap <> 'n/a' AND NOT ends_with(market_cap, 'B'))
 """
 
-# Fundamentals lines rendered as the Spark side renders them, then split on every comma.
+# Fundamentals fields by customer, and the lines as the Spark side renders them, split on
+# every comma (``c``). The quote-aware extract (``e``) takes the fields themselves.
 _FUNDAMENTALS = r"""
 WITH b AS (
   SELECT c_custkey AS k, c_name, c_mktsegment, c_nationkey, c_acctbal,
@@ -54,7 +64,7 @@ WITH b AS (
 f AS (
   SELECT k, [
     'T' || k,
-    CASE WHEN k % 13 = 0 THEN '"' || c_name || ', Inc."' ELSE c_name END,
+    CASE k % 13 WHEN 0 THEN '"' || c_name || ', Inc."' WHEN 6 THEN '"' || c_name || ' ""Q"" Co"' ELSE c_name END,
     c_mktsegment,
     bal,
     CASE k % 7 WHEN 0 THEN '' WHEN 1 THEN 'n/a' WHEN 2 THEN whole ELSE dec END,
@@ -74,11 +84,16 @@ lines AS (
 t AS (SELECT value, string_split(value, ',') AS t FROM lines),
 c AS (
   SELECT value, t, t[1] AS symbol, t[5] AS dividend_raw, t[6] AS pe_raw, CAST(len(t) AS INTEGER) AS field_count FROM t),
+by_field AS (
+  SELECT fields[1] AS symbol, fields[5] AS dividend_raw, fields[6] AS pe_raw,
+         CASE WHEN k % 17 = 0 THEN 14 ELSE 15 END AS field_count
+  FROM f
+  UNION ALL SELECT 'Symbol', 'Dividend Yield', 'Price/Earnings', 15),
 d AS (
   SELECT *, coalesce(dividend_raw = '', false) AS no_dividend, coalesce(pe_raw = '', false) AS no_pe,
          CASE WHEN dividend_raw = '' THEN '0.0' ELSE dividend_raw END AS dividend,
          CASE WHEN pe_raw = '' THEN '-Infinity' ELSE pe_raw END AS pe
-  FROM c),
+  FROM by_field),
 e AS (
   SELECT *,
     (field_count <> 15 OR no_dividend OR no_pe) AS short_or_blank,
@@ -88,22 +103,28 @@ e AS (
   FROM d)
 """
 
-_JOINED = r"""
-WITH f AS (
-  SELECT o_custkey AS symbol,
-         CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') = 0 THEN 'n/a'
-              ELSE CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS VARCHAR) END AS dividend,
-         min(o_totalprice) AS week52_low, max(o_totalprice) AS week52_high
+_JOINED = _LISTING + r"""
+, a AS (
+  SELECT o_custkey AS ck, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished,
+         min(o_totalprice) AS lo, max(o_totalprice) AS hi
   FROM orders GROUP BY o_custkey),
+f1 AS (
+  SELECT ck, 'T' || ck AS symbol,
+         CASE WHEN ck % 7 = 0 THEN '' WHEN ck % 7 = 1 OR finished = 0 THEN 'n/a' ELSE CAST(finished AS VARCHAR) END AS dividend,
+         CASE WHEN ck % 19 = 0 THEN 'n/a' WHEN ck % 29 = 0 THEN '0' ELSE CAST(CAST(lo AS DECIMAL(18,2)) AS VARCHAR) END AS week52_low,
+         CASE WHEN ck % 23 = 0 THEN 'n/a' ELSE CAST(CAST(hi AS DECIMAL(18,2)) AS VARCHAR) END AS week52_high
+  FROM a),
+fund AS (SELECT * FROM f1 UNION ALL SELECT * FROM f1 WHERE ck % 31 = 0),
 j AS (
-  SELECT f.symbol, f.dividend, f.week52_low, f.week52_high,
-         c_name AS name, c_mktsegment AS sector, c_acctbal AS last_sale
-  FROM f JOIN customer ON customer.c_custkey = f.symbol),
-g AS (
+  SELECT fund.symbol, dividend, week52_low, week52_high, rec.name, rec.sector, rec.last_sale
+  FROM fund JOIN rec ON rec.symbol = fund.symbol),
+n AS (
   SELECT symbol,
          CASE WHEN dividend IN ('n/a', '') THEN 0.0 ELSE TRY_CAST(dividend AS DOUBLE) END AS dividend,
-         (week52_high - week52_low) / nullif(week52_low, 0) * 100.0 AS growth
-  FROM j)
+         CASE WHEN week52_low = 'n/a' THEN 0.0 ELSE CAST(week52_low AS DOUBLE) END AS lo,
+         CASE WHEN week52_high = 'n/a' THEN 0.0 ELSE CAST(week52_high AS DOUBLE) END AS hi
+  FROM j),
+g AS (SELECT symbol, dividend, (hi - lo) / nullif(lo, 0) * 100.0 AS growth FROM n)
 """
 
 _ORDERS_TEXT = r"""
@@ -158,18 +179,18 @@ GROUP BY word
 SELECT symbol, name, last_sale, market_cap, ipo_year, sector, industry, summary_quote, field_count FROM rec
 """,
     "market_cap_parse": _LISTING + """
-SELECT symbol, market_cap AS cap_text, CAST(cap AS DOUBLE) AS cap_value,
+SELECT symbol, market_cap AS cap_text, CAST(cap AS VARCHAR) AS cap_value,
        (NOT contains(market_cap, 'B') AND NOT contains(market_cap, 'n/a')) AS keep_substring,
        (market_cap <> 'n/a' AND NOT ends_with(market_cap, 'B')) AS keep_suffix
 FROM parsed
 """,
     "sector_rollup": _LISTING + """
-SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS DOUBLE) AS total_cap,
+SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS VARCHAR) AS total_cap,
        count(*) FILTER (WHERE cap IS NULL) AS unparsed_caps
 FROM screened GROUP BY sector
 """,
     "sector_rollup_substring": _LISTING + """
-SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS DOUBLE) AS total_cap,
+SELECT sector, count(*) AS ticker_count, CAST(CAST(sum(cap) AS DECIMAL(38,2)) AS VARCHAR) AS total_cap,
        count(*) FILTER (WHERE cap IS NULL) AS unparsed_caps
 FROM parsed
 WHERE NOT contains(market_cap, 'B') AND NOT contains(market_cap, 'n/a')
@@ -249,13 +270,13 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name ORDER BY n_customers DESC, n_name
 """,
     "top3_quantity": """
-SELECT CAST(sum(l_quantity) AS BIGINT) AS totalqty, l_partkey AS id
-FROM lineitem GROUP BY l_partkey ORDER BY sum(l_quantity) DESC, l_partkey LIMIT 3
+SELECT CAST(trunc(sum(CAST(l_quantity AS DECIMAL(18,2)))) AS BIGINT) AS totalqty, l_partkey AS id
+FROM lineitem GROUP BY l_partkey ORDER BY sum(CAST(l_quantity AS DECIMAL(18,2))) DESC, l_partkey LIMIT 3
 """,
     "top3_quantity_named": """
-SELECT CAST(sum(l_quantity) AS BIGINT) AS totalqty, l_partkey, p_name AS name
+SELECT CAST(trunc(sum(CAST(l_quantity AS DECIMAL(18,2)))) AS BIGINT) AS totalqty, l_partkey, p_name AS name
 FROM lineitem JOIN part ON l_partkey = p_partkey
-GROUP BY l_partkey, p_name ORDER BY sum(l_quantity) DESC, l_partkey, p_name LIMIT 3
+GROUP BY l_partkey, p_name ORDER BY sum(CAST(l_quantity AS DECIMAL(18,2))) DESC, l_partkey, p_name LIMIT 3
 """,
     "orders_until_date_lexical": _ORDERS_TEXT + f"""
 SELECT count(order_id) AS n_orders FROM o WHERE order_datestr <= '{CUTOFF}' AND order_status = 'F'
@@ -269,13 +290,13 @@ SELECT count(order_id) AS n_orders FROM o
 WHERE order_status = 'F' AND CAST(substr(order_datestr, 1, 10) AS DATE) = DATE '{CUTOFF}'
 """,
     "revenue_semi_join": _REVENUE + """
-SELECT CAST(revenue AS DOUBLE) AS revenue FROM r
+SELECT CAST(revenue AS VARCHAR) AS revenue FROM r
 """,
     "revenue_decimal": _REVENUE + """
-SELECT CAST(CAST(revenue AS DECIMAL(18,2)) AS VARCHAR) AS revenue FROM r
+SELECT CAST(revenue AS VARCHAR) AS revenue FROM r
 """,
     "revenue_formatted": _REVENUE + """
-SELECT printf('$%.2f', CAST(revenue AS DOUBLE)) AS revenue_text FROM r
+SELECT '$' || CAST(revenue AS VARCHAR) AS revenue_text FROM r
 """,
     "date_parts": _ORDERS_TEXT + """
 , d AS (SELECT CAST(substr(order_datestr, 1, 10) AS DATE) AS day_value FROM o)
@@ -284,7 +305,7 @@ SELECT CAST(year(day_value) AS INTEGER) AS year, CAST(month(day_value) AS INTEGE
 FROM d GROUP BY 1, 2, 3
 """,
     "ratings_scan": """
-SELECT ts AS posted, CAST(user_id AS INTEGER) AS cust_id, CAST(event_id AS INTEGER) AS prod_id,
+SELECT ts AS posted, user_id AS cust_id, event_id AS prod_id,
        CAST(TRY_CAST(floor(value) AS TINYINT) AS DOUBLE) AS rating, event_type || ' ' || props AS message
 FROM events
 """,
@@ -294,8 +315,16 @@ SELECT count(*) AS n_ratings FROM events
     "map_lookup": _LOYALTY + """
 SELECT cust_id, CAST(nullif(n_f, 0) AS VARCHAR) AS finished_orders FROM l
 """,
-    "array_index": _LOYALTY + """
-SELECT cust_id, n_p AS pending_orders FROM l
+    "array_index": """
+SELECT vec_id, CAST(embedding[3] AS DOUBLE) AS third, embedding[101] IS NULL AS beyond_is_null FROM embeddings
+""",
+    "key_lookup": _LOYALTY + """
+SELECT cust_id, CAST(nullif(n_f, 0) AS VARCHAR) AS finished_orders, n_p AS pending_orders, cents // 100 AS total_value
+FROM l WHERE cust_id = 42
+""",
+    "orders_until_epoch": """
+SELECT count(o_orderkey) AS n_orders FROM orders
+WHERE o_orderstatus = 'F' AND epoch(date_trunc('day', o_orderdate)) <= 907372800
 """,
     "struct_field": _LOYALTY + """
 SELECT cust_id, cents // 100 AS total_value FROM l
@@ -304,12 +333,6 @@ SELECT cust_id, cents // 100 AS total_value FROM l
 SELECT c_custkey AS cust_id,
        CASE WHEN c_acctbal >= 5000 THEN 'GOLD' WHEN c_acctbal >= 1000 THEN 'SILVER' ELSE 'BRONZE' END AS status
 FROM customer
-""",
-    "describe_schema": """
-SELECT * FROM (VALUES
-  ('cust_id', 'bigint'), ('fname', 'string'), ('lname', 'string'), ('email', 'string'),
-  ('status', 'string'), ('status_orders', 'map<string,string>'), ('order_counts', 'array<bigint>'),
-  ('order_value', 'struct<min:bigint,max:bigint,avg:bigint,total:bigint>')) AS t(col_name, data_type)
 """,
 }
 
@@ -319,20 +342,3 @@ ORACLE_SQL["word_count_sorted"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_hashed"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["fundamentals_sorted"] = ORACLE_SQL["fundamentals_extract"]
 ORACLE_SQL["revenue_semi_join_sql"] = ORACLE_SQL["revenue_semi_join"]
-ORACLE_SQL["word_count_parts"] = r"""
-WITH c AS (
-  SELECT word, count(*) AS occurrences
-  FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS word FROM documents)
-  WHERE word <> ''
-  GROUP BY word),
-b AS (
-  SELECT word, occurrences,
-         list_transform(regexp_extract_all(hex(encode(word)), '..'),
-                        lambda h: CASE WHEN ('0x' || h)::INTEGER > 127 THEN ('0x' || h)::INTEGER - 256
-                                       ELSE ('0x' || h)::INTEGER END) AS bytes
-  FROM c)
-SELECT word, occurrences,
-       CAST((list_reduce(bytes, lambda acc, x: (((acc * 31 + x) % 4294967296) + 4294967296) % 4294967296, 1::BIGINT)
-             & 2147483647) % 17 AS INTEGER) AS part
-FROM b
-"""

@@ -11,12 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.functions.nested import array_item, map_value
 from sheaf.operators import catalog, fundamentals, growth, nested, retail, screener, wordcount
-from sheaf.plans.jobs import WORD_COUNT_PARTS
-from sheaf.plans.partitioning import spread
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
-from sheaf.sources.sinks import hadoop_text_part, hashed_sorted, tab_text, tuple_text
+from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,12 +26,16 @@ COMPLETE = "F"
 CUTOFF_DAY = "1998-10-03"
 
 
-def _exact_as_double(df: DataFrame, *columns: str) -> DataFrame:
-    """Exact DECIMAL results leave the query as DOUBLE: one correctly rounded conversion
-    at the end (both engines give the same double below 2^53 units of the last place),
-    so the result compares equal however the rows are fetched (Python objects or pandas,
-    where DECIMAL becomes ``Decimal`` on one side and ``float64`` on the other)."""
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+# The cut-off in seconds since the epoch: midnight UTC of that day.
+CUTOFF_SECONDS = 907372800
+# The customer that the key lookup asks for.
+LOOKUP_KEY = 42
+
+
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Exact DECIMAL results leave the query as text with all their digits, which compares
+    equal however the rows are fetched."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 def query(name: str):
@@ -46,9 +49,7 @@ def query(name: str):
 # ---- word counts -------------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    # Spread by the document id when the scan is under-split (one file is one task);
-    # a scan that is already split across the cluster is left alone.
-    return spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id")
+    return table(spark, sf, "documents", "text")
 
 
 @query("word_count")
@@ -69,16 +70,8 @@ def word_count_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("word_count_hashed")
 def word_count_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    """The counts in 17 hash parts on the word, each sorted by word."""
-    counts = wordcount.word_count(_documents(spark, sf), "text")
-    return hashed_sorted(counts, WORD_COUNT_PARTS, "word")
-
-
-@query("word_count_parts")
-def word_count_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """K4: each word's count with the reduce part the MapReduce job writes it to."""
-    counts = wordcount.word_count(_documents(spark, sf), "text")
-    return counts.withColumn("part", hadoop_text_part("word", WORD_COUNT_PARTS))
+    """The counts in hash parts on the word, each sorted by word."""
+    return hashed_sorted(wordcount.word_count(_documents(spark, sf), "text"), "word")
 
 
 # ---- listings: quote-aware scan, cap parsing, sector rollups ---------------------------
@@ -102,19 +95,19 @@ def csv_quoted_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("market_cap_parse")
 def market_cap_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return _exact_as_double(screener.market_cap_flags(_listing_records(spark, sf)), "cap_value")
+    return _as_text(screener.market_cap_flags(_listing_records(spark, sf)), "cap_value")
 
 
 @query("sector_rollup")
 def sector_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return _exact_as_double(screener.sector_rollup(_screened(spark, sf)), "total_cap")
+    return _as_text(screener.sector_rollup(_screened(spark, sf)), "total_cap")
 
 
 @query("sector_rollup_substring")
 def sector_rollup_substring(spark: SparkSession, sf: str) -> DataFrame:
     """the rollup under the RDD program's filter (no B, no n/a anywhere; no width check)."""
     screened = screener.screen(_listing_records(spark, sf), rule="substring", check_width=False)
-    return _exact_as_double(screener.sector_rollup(screened), "total_cap")
+    return _as_text(screener.sector_rollup(screened), "total_cap")
 
 
 @query("sector_rollup_truncated")
@@ -147,7 +140,7 @@ def rendered_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# ---- fundamentals: plain split, quality counts --------------------------------------------
+# ---- fundamentals: quote-aware extract, quality counts, plain split --------------------------------------------
 
 def _fundamentals_lines(spark: SparkSession, sf: str) -> DataFrame:
     return derive.fundamentals_lines(_customer(spark, sf))
@@ -179,7 +172,8 @@ def fundamentals_quality(spark: SparkSession, sf: str) -> DataFrame:
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
     return growth.join_on_symbol(
-        derive.fundamentals_by_customer(orders), derive.listings_by_customer(_customer(spark, sf))
+        growth.fundamentals_side(derive.fundamentals_order_lines(orders)),
+        growth.listing_side(derive.listing_lines(_customer(spark, sf))),
     )
 
 
@@ -271,6 +265,12 @@ def orders_until_date(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_until(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
 
 
+@query("orders_until_epoch")
+def orders_until_epoch(spark: SparkSession, sf: str) -> DataFrame:
+    """The same question in seconds since the epoch."""
+    return retail.count_until_epoch(_orders_text(spark, sf), COMPLETE, CUTOFF_SECONDS)
+
+
 @query("orders_on_date")
 def orders_on_date(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_on(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
@@ -283,7 +283,7 @@ def _revenue(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("revenue_semi_join")
 def revenue_semi_join(spark: SparkSession, sf: str) -> DataFrame:
-    return _exact_as_double(_revenue(spark, sf), "revenue")
+    return _as_text(_revenue(spark, sf), "revenue")
 
 
 @query("revenue_semi_join_sql")
@@ -294,12 +294,12 @@ def revenue_semi_join_sql(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.run_sql(
         spark,
         f"""
-        SELECT CAST(CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS DOUBLE) AS revenue
+        SELECT CAST(CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS STRING) AS revenue
         FROM {{items}} o
         WHERE o.l_orderkey IN (
             SELECT order_id FROM {{orders}}
             WHERE order_status = '{COMPLETE}'
-              AND CAST(substr(order_datestr, 1, 10) AS DATE) <= DATE'{CUTOFF_DAY}')
+              AND order_ts < CAST(date_add(DATE'{CUTOFF_DAY}', 1) AS TIMESTAMP_NTZ))
         """,
         items=items,
         orders=_orders_text(spark, sf),
@@ -309,7 +309,7 @@ def revenue_semi_join_sql(spark: SparkSession, sf: str) -> DataFrame:
 @query("revenue_decimal")
 def revenue_decimal(spark: SparkSession, sf: str) -> DataFrame:
     """The sum as DECIMAL with two places, shown as the SQL shell prints it."""
-    return _revenue(spark, sf).select(F.col("revenue").cast("decimal(18,2)").cast("string").alias("revenue"))
+    return _revenue(spark, sf).select(F.col("revenue").cast("string").alias("revenue"))
 
 
 @query("revenue_formatted")
@@ -356,7 +356,22 @@ def map_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("array_index")
 def array_index(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.lookup_array(_loyalty(spark, sf), "order_counts", 2, "pending_orders")
+    """X15 on the stored vectors: an index inside and one behind the last element."""
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
+    third, beyond = array_item(F.col("embedding"), 2), array_item(F.col("embedding"), 100)
+    return vectors.select("vec_id", third.cast("double").alias("third"), beyond.isNull().alias("beyond_is_null"))
+
+
+@query("key_lookup")
+def key_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """one customer's map, array and struct values; the key reaches both scans."""
+    rows = _loyalty(spark, sf).filter(F.col("cust_id") == LOOKUP_KEY)
+    return rows.select(
+        "cust_id",
+        map_value(F.col("status_orders"), "F").alias("finished_orders"),
+        array_item(F.col("order_counts"), 2).alias("pending_orders"),
+        F.col("order_value.total").alias("total_value"),
+    )
 
 
 @query("struct_field")
@@ -367,8 +382,3 @@ def struct_field(spark: SparkSession, sf: str) -> DataFrame:
 @query("rename_column")
 def rename_column(spark: SparkSession, sf: str) -> DataFrame:
     return nested.rename_column(_loyalty(spark, sf), "level", "status").select("cust_id", "status")
-
-
-@query("describe_schema")
-def describe_schema(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.describe(nested.rename_column(_loyalty(spark, sf), "level", "status"))

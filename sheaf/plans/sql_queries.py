@@ -45,13 +45,13 @@ STATEMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("customer", "nation"),
     ),
     "top3_quantity_sql": (
-        """SELECT CAST(sum(l_quantity) AS BIGINT) AS totalqty, l_partkey AS id FROM {lineitem}
-           GROUP BY l_partkey ORDER BY sum(l_quantity) DESC, l_partkey LIMIT 3""",
+        """SELECT CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS BIGINT) AS totalqty, l_partkey AS id FROM {lineitem}
+           GROUP BY l_partkey ORDER BY sum(CAST(l_quantity AS DECIMAL(18,2))) DESC, l_partkey LIMIT 3""",
         ("lineitem",),
     ),
     "top3_quantity_named_sql": (
         """SELECT CAST(sum(q.qty) AS BIGINT) AS totalqty, q.l_partkey, p.p_name AS name
-           FROM (SELECT l_partkey, sum(l_quantity) AS qty FROM {lineitem} GROUP BY l_partkey) q
+           FROM (SELECT l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty FROM {lineitem} GROUP BY l_partkey) q
            JOIN {part} p ON q.l_partkey = p.p_partkey
            GROUP BY q.l_partkey, p.p_name ORDER BY sum(q.qty) DESC, q.l_partkey, p.p_name LIMIT 3""",
         ("lineitem", "part"),
@@ -74,23 +74,27 @@ STATEMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("orders_corrected",),
     ),
     "revenue_decimal_sql": (
-        f"""SELECT CAST(CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS STRING) AS revenue
+        f"""SELECT CAST(CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS STRING) AS revenue
             FROM {{lineitem}} o
             WHERE o.l_orderkey IN (SELECT order_id FROM {{orders_corrected}}
                                    WHERE order_status = '{COMPLETE}'
-                                     AND try_cast(substr(order_datestr, 1, 10) AS DATE) <= DATE'{CUTOFF_DAY}')""",
+                                     AND order_ts < CAST(date_add(DATE'{CUTOFF_DAY}', 1) AS TIMESTAMP_NTZ))""",
         ("lineitem", "orders_corrected"),
     ),
     "revenue_formatted_sql": (
-        f"""SELECT printf('$%.2f', CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)) AS revenue_text
+        f"""SELECT concat('$', CAST(sum(CAST(o.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2))) AS revenue_text
             FROM {{lineitem}} o
             WHERE o.l_orderkey IN (SELECT order_id FROM {{orders_corrected}}
                                    WHERE order_status = '{COMPLETE}'
-                                     AND try_cast(substr(order_datestr, 1, 10) AS DATE) <= DATE'{CUTOFF_DAY}')""",
+                                     AND order_ts < CAST(date_add(DATE'{CUTOFF_DAY}', 1) AS TIMESTAMP_NTZ))""",
         ("lineitem", "orders_corrected"),
     ),
     "map_lookup_sql": ("SELECT cust_id, status_orders['F'] AS finished_orders FROM {loyalty}", ("loyalty",)),
-    "array_index_sql": ("SELECT cust_id, get(order_counts, 2) AS pending_orders FROM {loyalty}", ("loyalty",)),
+    "array_index_sql": (
+        """SELECT vec_id, CAST(get(embedding, 2) AS DOUBLE) AS third, get(embedding, 100) IS NULL AS beyond_is_null
+           FROM {embeddings}""",
+        ("embeddings",),
+    ),
     "struct_field_sql": ("SELECT cust_id, order_value.total AS total_value FROM {loyalty}", ("loyalty",)),
 }
 
@@ -116,19 +120,3 @@ def _register(name: str, text: str, tables: tuple[str, ...]) -> None:
 
 for _name, (_text, _tables) in STATEMENTS.items():
     _register(_name, _text, _tables)
-
-
-@query("describe_schema_sql")
-def describe_schema_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """T3/T5 in SQL: ``DESCRIBE`` of the loyalty table read through the renamed column."""
-    described = run_sql(
-        spark,
-        "DESCRIBE QUERY SELECT cust_id, fname, lname, email, level AS status, status_orders, order_counts, "
-        "order_value FROM {loyalty}",
-        loyalty=_loyalty(spark, sf),
-    )
-    return described.select("col_name", "data_type")
-
-
-TWIN["describe_schema_sql"] = "describe_schema"
-

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,18 +53,21 @@ def scale_settings(
     split_bytes: int = 256 * 1024 * 1024,
     shuffle_bytes_per_partition: int = 128 * 1024 * 1024,
     shuffle_ratio: float = 0.25,
+    most_reducers: int | None = None,
 ) -> dict[str, str]:
     """Partition settings for a large run, to pass as ``extra`` to ``get_session``.
 
     Scan splits of ``split_bytes``; the initial shuffle width sized so that the expected
     shuffle volume (``shuffle_ratio`` of the input, after partial aggregation and
-    pruning) lands near ``shuffle_bytes_per_partition`` per reducer, at least two waves
-    of tasks and at most 100,000 reducers (map x reduce blocks stay manageable). AQE then
-    coalesces small reducers to the advisory size and splits skewed ones.
+    pruning) lands near ``shuffle_bytes_per_partition`` per reducer, and at least two waves
+    of tasks. ``most_reducers`` bounds the width where the cluster's shuffle service cannot
+    serve map x reduce blocks beyond it (reducers then hold more each); by default nothing
+    does. AQE coalesces small reducers to the advisory size and splits skewed ones.
     """
     expected_shuffle = input_bytes * shuffle_ratio
     reducers = max(2 * cores, math.ceil(expected_shuffle / shuffle_bytes_per_partition))
-    reducers = min(reducers, 100_000)
+    if most_reducers is not None:
+        reducers = min(reducers, most_reducers)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(reducers),
@@ -77,24 +81,24 @@ def scale_settings(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for reliable checkpoints.
+    """The shared folder for reliable checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or an earlier ``setCheckpointDir``).
-    Only a local-mode session (tests) may get a fresh folder of its own; a cluster
-    must name a shared folder, because a machine-local one does not survive executor loss.
+    Only a local-mode session without the setting gets one, below its warehouse folder; a
+    cluster must name a shared folder, because a machine-local one does not survive
+    executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sheaf-ckpt-"))
-    return sc.getCheckpointDir()
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
+        configured = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -105,3 +109,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a new Parquet table below the checkpoint folder, and read back:
+    like ``cut_lineage``, but compressed, and later reads take only the columns they need."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4()}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

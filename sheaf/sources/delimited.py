@@ -10,9 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 QUOTED_SPAN = r'"[^"]*"'
 
+# A quote inside a quoted field is doubled; a backslash is a plain character.
+QUOTED_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+
 
 def naive_fields(line: Column) -> Column:
     """Split on every comma, keep trailing empty fields, quotes not honoured."""
@@ -39,16 +43,30 @@ def project_once(df: DataFrame, keep: tuple[str, ...] = (), **columns: Column) -
 def parse_quoted(df: DataFrame, schema: str, line_col: str = "value", *keep: str) -> DataFrame:
     """S3 on a column of lines: quote-aware fields, typed by ``schema`` (a DDL string).
 
-    Quotes around a field are removed; cells that do not fit their type become NULL.
+    Commas inside quotes do not separate, and every quote is then deleted (P4), doubled
+    ones too. An empty text field is an empty text, one past the end of a short line is
+    NULL; cells that do not fit their type become NULL.
     """
-    rec = F.from_csv(F.col(line_col), schema, {"mode": "PERMISSIVE"})
+    rec = F.from_csv(F.col(line_col), schema, QUOTED_OPTIONS)
     parsed = project_once(df, keep, _rec=rec, field_count=quoted_field_count(F.col(line_col)))
-    return parsed.select(*keep, "_rec.*", "field_count")
+    fields = parsed.schema["_rec"].dataType.fields
+    out = parsed.select(*keep, "_rec.*", "field_count")
+    return out.withColumns({
+        f.name: F.when(F.col("field_count") > i, F.coalesce(_unquoted(f.name), F.lit("")))
+        for i, f in enumerate(fields) if f.dataType == StringType()
+    })
+
+
+def _unquoted(name: str) -> Column:
+    return F.replace(F.col(name), F.lit('"'), F.lit(""))
 
 
 def read_quoted(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """S3 on files. No header option: files may be concatenated, so drop headers by value."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
+    """S3 on files, quotes deleted; an empty field is NULL here. No header option: files may
+    be concatenated, so drop headers by value."""
+    rows = spark.read.schema(schema).options(**QUOTED_OPTIONS).csv(path)
+    texts = [f.name for f in rows.schema.fields if f.dataType == StringType()]
+    return rows.withColumns({n: _unquoted(n) for n in texts})
 
 
 def drop_header(df: DataFrame, column: str, sentinel: str) -> DataFrame:

@@ -22,7 +22,7 @@ FUNDAMENTALS_HEADER = (
     "52 week low,52 week high,Market Cap,EBITDA,Price/Sales,Price/Book,SEC Filings"
 )
 
-RATINGS_SCHEMA = "posted TIMESTAMP_NTZ, cust_id INT, prod_id INT, rating TINYINT, message STRING"
+RATINGS_SCHEMA = "posted TIMESTAMP_NTZ, cust_id BIGINT, prod_id BIGINT, rating TINYINT, message STRING"
 
 
 def _money2(c: Column) -> Column:
@@ -39,26 +39,46 @@ def _with_header(lines: DataFrame, header: str) -> DataFrame:
     return head.unionByName(lines)
 
 
+def _decimals(key: Column, factor: int, digits: int) -> Column:
+    """``<key mod 1000>.<digits decimals>``, the decimals taken from the key as well."""
+    part = F.lpad(F.pmod(key * factor, 10**digits).cast("string"), digits, "0")
+    return F.concat(F.pmod(key, 1000).cast("string"), F.lit("."), part)
+
+
 def listing_lines(customer: DataFrame, with_header: bool = True) -> DataFrame:
     """NASDAQ-style lines: 8 quoted fields and a trailing comma (9 fields).
 
-    Ticker ``T<custkey>`` (every 50th padded with blanks), name ``<c_name>, Inc.``,
-    last sale = balance, cap text by key: ``n/a``, ``$<bal>M``, ``$<bal>B``, ``$<bal>``,
-    ``$<bal>M``; sector = market segment.
+    Ticker ``T<custkey>`` (every 50th padded with blanks), last sale = balance, sector =
+    market segment. By key, names hold a comma, doubled quotes or end in a backslash; some
+    lines lack the trailing comma (8 fields) or have one field more (10); caps are ``n/a``,
+    ``$<bal>M``, ``$<bal>B``, ``$<bal>``, blank, no number, four or more decimals with and
+    without ``M``, a ``B`` that is not at the end, or ``n/a`` with a remark behind it.
     """
     k = F.col("c_custkey")
     bal = _money2(F.col("c_acctbal"))
     ticker = F.when(F.pmod(k, 50) == 0, F.rpad(_ticker(k), 14, " ")).otherwise(_ticker(k))
-    style = F.pmod(k, 5)
+    style = F.pmod(k, 16)
     cap = (
         F.when(style == 0, F.lit("n/a"))
         .when(style == 2, F.concat(F.lit("$"), bal, F.lit("B")))
         .when(style == 3, F.concat(F.lit("$"), bal))
+        .when(style == 4, F.lit(""))
+        .when(style == 5, F.lit("unknown"))
+        .when(style == 6, F.concat(F.lit("$"), _decimals(k, 37, 4), F.lit("M")))
+        .when(style == 7, F.concat(F.lit("$0.00"), F.pmod(k, 10).cast("string"), F.lit("M")))
+        .when(style == 8, F.concat(F.lit("$"), bal, F.lit("BM")))
+        .when(style == 9, F.lit("n/a est."))
+        .when(style == 10, F.concat(F.lit("$"), _decimals(k, 7919, 6)))
         .otherwise(F.concat(F.lit("$"), bal, F.lit("M")))
     )
+    name = (
+        F.when(F.pmod(k, 11) == 3, F.concat(F.col("c_name"), F.lit(' ""Q"" Inc.')))
+        .when(F.pmod(k, 11) == 5, F.concat(F.col("c_name"), F.lit("\\")))
+        .otherwise(F.concat(F.col("c_name"), F.lit(", Inc.")))
+    )
     fields = [
         ticker,
-        F.concat(F.col("c_name"), F.lit(", Inc.")),
+        name,
         bal,
         cap,
         (F.lit(1990) + F.col("c_nationkey")).cast("string"),
@@ -67,21 +87,24 @@ def listing_lines(customer: DataFrame, with_header: bool = True) -> DataFrame:
         F.concat(F.lit("quote/"), _ticker(k)),
     ]
     quoted = [F.concat(F.lit('"'), f, F.lit('"')) for f in fields]
-    lines = customer.select(F.concat(F.concat_ws(",", *quoted), F.lit(",")).alias("value"))
+    end = F.when(F.pmod(k, 13) == 4, F.lit("")).when(F.pmod(k, 13) == 9, F.lit(",extra,")).otherwise(F.lit(","))
+    lines = customer.select(F.concat(F.concat_ws(",", *quoted), end).alias("value"))
     return _with_header(lines, LISTING_HEADER) if with_header else lines
 
 
 def fundamentals_lines(customer: DataFrame, with_header: bool = True) -> DataFrame:
-    """S&P-style lines, 15 plain comma-separated fields (dividend 4, P/E 5, low 8, high 9).
+    """S&P-style lines, 15 comma-separated fields (dividend 4, P/E 5, low 8, high 9).
 
-    By key: every 13th name is quoted and holds a comma (16 naive fields); dividend is
-    blank, ``n/a``, a whole number or ``d.dd``; P/E is blank, negative or the balance;
-    every 17th line lacks its last field.
+    By key: some names are quoted and hold a comma (16 naive fields) or doubled quotes;
+    dividend is blank, ``n/a``, a whole number or ``d.dd``; P/E is blank, negative or the
+    balance; every 17th line lacks its last field.
     """
     k = F.col("c_custkey")
     bal = _money2(F.col("c_acctbal"))
-    name = F.when(F.pmod(k, 13) == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(', Inc."'))).otherwise(
-        F.col("c_name")
+    name = (
+        F.when(F.pmod(k, 13) == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(', Inc."')))
+        .when(F.pmod(k, 13) == 6, F.concat(F.lit('"'), F.col("c_name"), F.lit(' ""Q"" Co"')))
+        .otherwise(F.col("c_name"))
     )
     whole = F.pmod(k, 500).cast("string")
     decimal = F.concat(whole, F.lit("."), F.lpad(F.pmod(k * 7, 100).cast("string"), 2, "0"))
@@ -116,8 +139,34 @@ def fundamentals_lines(customer: DataFrame, with_header: bool = True) -> DataFra
     return _with_header(lines, FUNDAMENTALS_HEADER) if with_header else lines
 
 
+def fundamentals_order_lines(orders: DataFrame) -> DataFrame:
+    """Fundamentals lines with a header, one per customer with orders (every 31st twice).
+
+    By key: dividend is blank, ``n/a`` or the number of finished orders; the low is
+    ``n/a``, ``0`` or the smallest order price, the high ``n/a`` or the largest; some names
+    are quoted and hold a comma."""
+    g = fundamentals_by_customer(orders)
+    k = F.col("symbol")
+    name = F.when(F.pmod(k, 13) == 0, F.concat(F.lit('"Co '), k.cast("string"), F.lit(', Inc."'))).otherwise(
+        F.concat(F.lit("Co "), k.cast("string"))
+    )
+    dividend = F.when(F.pmod(k, 7) == 0, F.lit("")).when(F.pmod(k, 7) == 1, F.lit("n/a")).otherwise(F.col("dividend"))
+    low = F.when(F.pmod(k, 19) == 0, F.lit("n/a")).when(F.pmod(k, 29) == 0, F.lit("0")).otherwise(
+        F.col("week52_low").cast("decimal(18,2)").cast("string")
+    )
+    high = F.when(F.pmod(k, 23) == 0, F.lit("n/a")).otherwise(F.col("week52_high").cast("decimal(18,2)").cast("string"))
+    filler = [F.lit(x) for x in ("1.0", "1", "1.00")]
+    fields = [
+        _ticker(k), name, F.lit("S"), F.lit("1.00"), dividend, *filler, low, high,
+        *[F.lit(x) for x in ("0", "0", "1.50", "2.50")], F.concat(F.lit("filings/"), _ticker(k)),
+    ]
+    copies = F.when(F.pmod(k, 31) == 0, F.lit(2)).otherwise(F.lit(1))
+    lines = g.select(F.concat_ws(",", *fields).alias("value"), F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
+    return _with_header(lines.select("value"), FUNDAMENTALS_HEADER)
+
+
 def fundamentals_by_customer(orders: DataFrame) -> DataFrame:
-    """The fundamentals side of the listing join, one row per customer with orders:
+    """What the fundamentals lines of the listing join say, one row per customer with orders:
     ``symbol``, ``dividend`` (text; ``n/a`` when no order is finished), ``week52_low``
     and ``week52_high`` (smallest and largest order price). One partial+final aggregate."""
     g = orders.groupBy("o_custkey").agg(
@@ -156,9 +205,11 @@ def rating_lines(events: DataFrame) -> DataFrame:
 
 
 def orders_with_text_dates(orders: DataFrame) -> DataFrame:
-    """``orders_corrected`` shape: ``order_id, order_datestr, order_status``."""
+    """``orders_corrected`` shape: ``order_id, order_datestr, order_status``, and the date
+    as it is stored (``order_ts``), on which a filter reaches the scan."""
     return orders.select(
         F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderdate").alias("order_ts"),
         as_text(F.col("o_orderdate")).alias("order_datestr"),
         F.col("o_orderstatus").alias("order_status"),
     )

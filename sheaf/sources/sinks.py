@@ -29,43 +29,16 @@ def tab_text(key: str | Column, value: str | Column) -> Column:
     return F.concat_ws("\t", _text(key), _text(value))
 
 
-def hadoop_text_part(key: str | Column, parts: int) -> Column:
-    """The reduce part a MapReduce job's default partitioner gives a text key: the
-    ``Text`` hash (h = 31*h + b over the key's UTF-8 bytes as signed values, starting at
-    1, in 32-bit arithmetic), masked to non-negative, modulo ``parts``. Built from
-    column functions (bytes via hex), so it runs JVM-side."""
-    col = F.col(key) if isinstance(key, str) else key
-    pairs = F.regexp_extract_all(F.hex(F.encode(col, "UTF-8")), F.lit("(..)"), 1)
-    signed = F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("bigint"))
-    signed = F.transform(signed, lambda b: F.when(b > 127, b - 256).otherwise(b))
-    h32 = F.aggregate(signed, F.lit(1).cast("bigint"), lambda acc, b: F.pmod(acc * 31 + b, F.lit(1 << 32)))
-    return F.pmod(h32.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(parts)).cast("int")
-
-
-def write_hadoop_parts(lines: Column, df: DataFrame, key: str, parts: int, path: str) -> None:
-    """K4/O8 with the MapReduce layout: rows go to ``<path>/part=<n>`` by
-    ``hadoop_text_part``, sorted by ``key`` within each part.
-
-    The rows are range-partitioned on (part, key), so a large part is written by several
-    tasks holding consecutive key ranges; its files, taken in name order, form one sorted
-    run. A part is never gathered into one task (one reducer per part does not scale),
-    and a small part still comes out as one file."""
-    placed = df.withColumn("part", hadoop_text_part(key, parts))
-    (
-        placed.repartitionByRange("part", key)
-        .sortWithinPartitions("part", key)
-        .select(lines.alias("value"), "part")
-        .write.partitionBy("part")
-        .mode("errorifexists")
-        .text(path)
-    )
-
-
-def hashed_sorted(df: DataFrame, partitions: int, key: str) -> DataFrame:
-    """``partitions`` hash parts on ``key``, each sorted by ``key``. The part
-    count is the task count, so this layout suits aggregated or otherwise bounded
-    outputs; ``write_hadoop_parts`` spreads a large part over several tasks."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+def hashed_sorted(df: DataFrame, key: str) -> DataFrame:
+    """As many hash parts on ``key`` as the session has shuffle partitions, each
+    sorted by ``key``."""
+    return df.repartition(key).sortWithinPartitions(key)
+
+
+def write_key_ranges(lines: Column, df: DataFrame, key: str, path: str) -> None:
+    """K4: parts by ranges of ``key``, each sorted; their files in name order are one run."""
+    ranged = df.repartitionByRange(key).sortWithinPartitions(key)
+    ranged.select(lines.alias("value")).write.mode("errorifexists").text(path)
 
 
 def write_lines(lines: Column, df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -73,12 +46,7 @@ def write_lines(lines: Column, df: DataFrame, path: str, mode: str = "errorifexi
     df.select(lines.alias("value")).write.mode(mode).text(path)
 
 
-def write_sorted_lines(
-    lines: Column, df: DataFrame, order: list[str | Column], path: str, single_file: bool = False
-) -> None:
-    """Globally sorted text output. The sort is range-partitioned over all tasks;
-    ``single_file`` merges the sorted parts into one file and is meant for small results."""
-    ordered = df.orderBy(*order).select(lines.alias("value"))
-    if single_file:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("errorifexists").text(path)
+def write_sorted_lines(lines: Column, df: DataFrame, order: list[str | Column], path: str) -> None:
+    """Globally sorted text output: a range-partitioned sort over all tasks, whose part
+    files in name order are one sorted run."""
+    df.orderBy(*order).select(lines.alias("value")).write.mode("errorifexists").text(path)

@@ -28,22 +28,17 @@ def start_word_count(
     spark: SparkSession,
     folder: str,
     query_name: str,
-    sink: str = "memory",
+    output_path: str,
+    sink: str = "parquet",
     checkpoint_location: str | None = None,
-    output_path: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream. ``sink="memory"`` keeps the totals in a table named
-    ``query_name`` (for small runs and tests, complete mode); any other file sink gets
-    one row per word whose count changed in each batch (update mode, via foreachBatch
-    into ``output_path/batch_id=<n>``, rewritten if the batch runs again). The checkpoint goes under the session's shared
-    checkpoint folder unless given."""
+    """Start the stream. Each batch writes one row per word whose count changed in it
+    (update mode, via foreachBatch) to ``output_path/batch_id=<n>``, rewritten if the batch
+    runs again. The checkpoint goes under the session's shared checkpoint folder unless
+    given."""
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", query_name)
     counts = word_count_stream(spark, folder)
     writer = counts.writeStream.queryName(query_name).option("checkpointLocation", location)
-    if sink == "memory":
-        return writer.outputMode("complete").format("memory").start()
-    if output_path is None:
-        raise ValueError("output_path is required for a file sink")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch, overwritten: a batch re-run after a failure replaces its

@@ -22,7 +22,7 @@ def spark():
         "local[*]",
         app_name="sheaf-tests",
         shuffle_partitions=8,
-        extra={"spark.sql.warehouse.dir": warehouse},
+        extra={"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sheaf-shared-")},
     )
     yield session
     session.stop()

@@ -18,19 +18,21 @@ def test_listing_lines_shape(spark):
     assert lines.count() == n + 1
     assert lines.filter(F.col("value") == derive.LISTING_HEADER).count() == 1
     widths = {r.w for r in lines.select(quoted_field_count(F.col("value")).alias("w")).distinct().collect()}
-    assert widths == {9}
+    assert widths == {8, 9, 10}
     caps = lines.select(F.from_csv("value", "a STRING, b STRING, c STRING, cap STRING").alias("r")).select("r.cap")
     kinds = {
         r.kind
         for r in caps.select(
             F.when(F.col("cap") == "n/a", "na")
             .when(F.col("cap").endswith("B"), "billions")
+            .when(F.col("cap").contains("B"), "b_inside")
             .when(F.col("cap").endswith("M"), "millions")
+            .when(F.col("cap").isNull(), "blank")
             .otherwise("plain")
             .alias("kind")
         ).collect()
     }
-    assert {"na", "billions", "millions", "plain"} <= kinds
+    assert {"na", "billions", "b_inside", "millions", "blank", "plain"} <= kinds
 
 
 def test_fundamentals_lines_shape(spark):
@@ -64,3 +66,26 @@ def test_loyalty_rows_are_one_per_customer(spark):
     assert loyalty.select("cust_id").distinct().count() == loyalty.count()
     row = loyalty.filter(F.size("status_orders") > 0).first()
     assert sum(row.order_counts) == sum(int(v) for v in row.status_orders.values())
+
+
+def test_order_lines_hold_every_case(spark):
+    from sheaf.operators import growth
+
+    orders = table(spark, SF_SMALL, "orders")
+    lines = derive.fundamentals_order_lines(orders)
+    side = growth.fundamentals_side(lines).collect()
+    assert len(side) == lines.count() - 1  # the header
+    assert {"", "n/a"} <= {r.dividend for r in side} and {"n/a", "0"} <= {r.week52_low for r in side}
+    assert "n/a" in {r.week52_high for r in side}
+    assert len(side) > len({r.symbol for r in side})
+
+
+def test_rollup_rules_differ_and_caps_fail_to_parse(spark):
+    from sheaf.plans.registry import queries
+
+    one = {tuple(r) for r in queries()["sector_rollup"](spark, SF_SMALL).collect()}
+    two = {tuple(r) for r in queries()["sector_rollup_substring"](spark, SF_SMALL).collect()}
+    assert not one & two
+    assert all(r[3] > 0 for r in one)
+    growths = [r.growth for r in queries()["listing_growth"](spark, SF_SMALL).collect()]
+    assert any(g is None for g in growths) and any(g is not None for g in growths)

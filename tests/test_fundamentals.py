@@ -27,12 +27,11 @@ LINES = [
 
 def test_extract_rules(spark):
     got = {r.symbol: r for r in fundamentals.extract(lines_df(spark, LINES)).collect()}
-    # SHIFT passes with the shifted fields (price as dividend, dividend as P/E), as the
-    # plain split makes it do.
+    # SHIFT's quoted comma leaves its fields in place
     assert set(got) == {"OK", "NODIV", "NOPE", "SHIFT"}
     assert (got["NODIV"].dividend, got["NODIV"].pe) == ("0.0", "3.10")
     assert got["NOPE"].pe == "-Infinity" and got["NOPE"].pe_value == float("-inf")
-    assert (got["SHIFT"].dividend, got["SHIFT"].pe) == ("10.00", "4.00")
+    assert (got["SHIFT"].dividend, got["SHIFT"].pe) == ("4.00", "5.00")
 
 
 def test_quality_counts_events(spark):
@@ -40,10 +39,10 @@ def test_quality_counts_events(spark):
     assert q.total_lines == 9
     assert q.valid == 4
     assert q.no_dividend == 1
-    # wrong width or blank field: NODIV, NOPE, SHIFT (16 fields), SHORT -> 4 events;
+    # wrong width or blank field: NODIV, NOPE, SHORT -> 3 events;
     # filtered: header, NA, INT, NEG, SHORT -> 5 more events (D3).
-    assert q.invalid_events == 9
-    assert q.invalid_rows == 8
+    assert q.invalid_events == 8
+    assert q.invalid_rows == 7
 
 
 def test_naive_scan_flags_shifted_rows(spark):

@@ -9,7 +9,8 @@ def orders(spark):
     # FIXTURES.md 2, "orders_text_dates"
     days = ["2014-05-16 23:59:59", "2014-05-17 00:00:00", "2014-05-17", "2014-05-18 00:00:00"]
     rows = [(i * 2 + j, d, s) for i, d in enumerate(days) for j, s in enumerate(["COMPLETE", "PENDING"])]
-    return spark.createDataFrame(rows, "order_id INT, order_datestr STRING, order_status STRING")
+    df = spark.createDataFrame(rows, "order_id INT, order_datestr STRING, order_status STRING")
+    return df.withColumn("order_ts", F.col("order_datestr").cast("timestamp_ntz"))
 
 
 def test_date_text_filters(spark):
@@ -94,8 +95,7 @@ def test_day_epoch_seconds_orders_like_the_day(spark):
     o = orders(spark)
     cut = spark.createDataFrame([("2014-05-17",)], "d STRING").select(day_epoch_seconds(F.col("d")).alias("s")).first().s
     assert cut == 1400284800
-    n = o.filter((F.col("order_status") == "COMPLETE") & (day_epoch_seconds(F.col("order_datestr")) <= F.lit(cut))).count()
-    assert n == retail.count_until(o, "COMPLETE", "2014-05-17").first().n_orders
+    assert retail.count_until_epoch(o, "COMPLETE", cut).first().n_orders == retail.count_until(o, "COMPLETE", "2014-05-17").first().n_orders
 
 
 def test_revenue_beyond_ten_digit_decimal(spark):
@@ -104,3 +104,34 @@ def test_revenue_beyond_ten_digit_decimal(spark):
     items = spark.createDataFrame([(0, 99999999.99)] * 12, "oid INT, subtotal DOUBLE")
     got = retail.semi_join_revenue(items, o, "oid", "subtotal", "COMPLETE", "2014-05-17").first().revenue
     assert got == Decimal("1199999999.88")
+
+
+def test_money_keeps_its_digits(spark):
+    from sheaf.functions.money import money_value
+
+    caps = {
+        "$1.2345M": "1234500.00", "$0.004M": "4000.00", "$1500": "1500.00", "$2.005": "2.01", "$2B": None, "n/a": None,
+        "": None, "$900000000000000.37": "900000000000000.37", "$9007199254740993.5M": None, "$12345678901.2345678901M": "12345678901234567.89",
+    }
+    df = spark.createDataFrame([(c,) for c in caps], "cap STRING")
+    got = {r.cap: r.v for r in df.select("cap", money_value(F.col("cap")).cast("string").alias("v")).collect()}
+    for cap, value in caps.items():
+        if cap != "$9007199254740993.5M":
+            assert got[cap] == value, cap
+    assert got["$9007199254740993.5M"] == "9007199254740993500000.00"
+    big = spark.createDataFrame([(Decimal("23000000000000000.37"),)], "r DECIMAL(38,2)")
+    assert retail.as_dollars(big, "r", "t").first().t == "$23000000000000000.37"
+
+
+def test_plain_decimal_is_a_full_match(spark):
+    from sheaf.functions.numbers import is_plain_decimal
+
+    texts = ["1.0", "1.0\n", "1.0\u0085", ".", "1", "-1.0", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = {r.i: r.p for r in df.select("i", is_plain_decimal(F.col("t")).alias("p")).collect()}
+    assert [got[i] for i in range(len(texts))] == [True, False, False, True, False, False, False]
+
+
+def test_sums_do_not_depend_on_binary_fractions(spark):
+    items = spark.createDataFrame([(1, 0.1)] * 10 + [(2, 0.7)], "k INT, v DOUBLE")
+    assert [(r.k, r.s) for r in retail.top_sum(items, "k", "v", 2, "s").collect()] == [(1, Decimal("1.00")), (2, Decimal("0.70"))]

@@ -5,11 +5,13 @@ from sheaf.session import checkpoint_dir, scale_settings
 from tests.conftest import SF_SMALL
 
 
-def test_scale_settings_grow_with_input_and_stay_bounded():
+def test_scale_settings_grow_with_input():
     small = scale_settings(10 * 1024**2, cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = scale_settings(100 * 1024**4, cores=8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "204800"
+    bounded = scale_settings(100 * 1024**4, cores=8000, most_reducers=100_000)
+    assert bounded["spark.sql.shuffle.partitions"] == "100000"
     assert int(scale_settings(1024**4, cores=100)["spark.sql.shuffle.partitions"]) == 2048
 
 

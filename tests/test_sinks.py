@@ -16,19 +16,34 @@ def test_run_path_and_renderings(spark):
     assert (row.t, row.nested, row.tab) == ("(dig,4)", "(dig,(x,4))", "dig\t4")
 
 
-def test_hashed_sorted_and_single_sorted_file(spark, tmp_path):
+def read_parts(folder):
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    return [open(os.path.join(folder, p)).read().splitlines() for p in parts]
+
+
+def test_hashed_sorted_and_sorted_files(spark, tmp_path):
     words = spark.createDataFrame([(w, i) for i, w in enumerate("the cat sat on a mat by the door".split())], "word STRING, n INT")
-    hashed = sinks.hashed_sorted(words, 17, "word")
-    assert hashed.rdd.getNumPartitions() == 17
-    for part in hashed.rdd.glom().collect():
+    for part in sinks.hashed_sorted(words, "word").rdd.glom().collect():
         keys = [r.word for r in part]
         assert keys == sorted(keys)
     out = sinks.run_path(str(tmp_path / "sorted"), 1)
-    sinks.write_sorted_lines(sinks.tuple_text("word", "n"), words, ["word", "n"], out, single_file=True)
-    files = [f for f in os.listdir(out) if f.startswith("part-")]
-    assert len(files) == 1
-    lines = open(os.path.join(out, files[0])).read().splitlines()
-    assert lines[0] == "(a,4)" and lines[-1] == "(the,7)"
+    sinks.write_sorted_lines(sinks.tuple_text("word", "n"), words, ["word", "n"], out)
+    lines = sum(read_parts(out), [])
+    assert lines[0] == "(a,4)" and lines[-1] == "(the,7)" and lines == sorted(lines)
     tab_out = str(tmp_path / "tab")
     sinks.write_lines(sinks.tab_text("word", "n"), words, tab_out)
     assert spark.read.text(tab_out).count() == 9
+
+
+def test_key_ranges_are_one_sorted_run_over_several_files(spark, tmp_path):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        words = spark.range(20000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"), F.lit(1).alias("n"))
+        out = str(tmp_path / "ranges")
+        sinks.write_key_ranges(sinks.tab_text("word", "n"), words, "word", out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    files = read_parts(out)
+    run = sum(files, [])
+    assert len(files) > 1 and len(run) == 20000 and run == sorted(run)

@@ -62,3 +62,24 @@ def test_recursive_text_scan(spark, tmp_path):
     assert read_lines(spark, str(tmp_path), recursive=True).count() == 2
     with_ids = read_lines(spark, str(tmp_path), line_id=True, recursive=True)
     assert with_ids.select("_line_id").distinct().count() == 2
+
+
+def test_quotes_inside_fields_and_backslashes(spark, tmp_path):
+    lines = ['"a ""x"" b","y","z"', '"C:\\","q","s"', '"","1,2",', 'p,,"q"']
+    from sheaf.sources.delimited import parse_quoted
+
+    df = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    got = [tuple(r) for r in parse_quoted(df, "a STRING, b STRING, c STRING").collect()]
+    assert got == [("a x b", "y", "z", 3), ("C:\\", "q", "s", 3), ("", "1,2", "", 3), ("p", "", "q", 3)]
+    (tmp_path / "f.csv").write_text("\n".join(lines[:2]) + "\n")
+    rows = [tuple(r) for r in read_quoted(spark, str(tmp_path), "a STRING, b STRING, c STRING").collect()]
+    assert rows == [("a x b", "y", "z"), ("C:\\", "q", "s")]
+
+
+def test_large_ids_survive_the_ratings_table(spark):
+    from sheaf.sources import derive
+    from sheaf.sources.delimited import parse_tab
+
+    line = "2014-01-02 03:04:05\t3000000000\t5000000000\t4\tok"
+    row = parse_tab(spark.createDataFrame([(line,)], "value STRING"), derive.RATINGS_SCHEMA).first()
+    assert (row.cust_id, row.prod_id) == (3000000000, 5000000000)

@@ -3,19 +3,24 @@ import os
 from sheaf.streaming.wordcount import start_word_count
 
 
+def latest(spark, out):
+    """Each word's count in the last batch that changed it."""
+    rows = sorted((r.batch_id, r.word, r.occurrences) for r in spark.read.parquet(out).collect())
+    return {word: n for _, word, n in rows}
+
+
 def test_stream_counts_grow_with_new_files(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
+    out = str(tmp_path / "out")
     (folder / "a.txt").write_text("the cat\nthe hat\n")
-    q = start_word_count(spark, str(folder), "wc_stream_test", checkpoint_location=str(tmp_path / "ckpt"))
+    q = start_word_count(spark, str(folder), "wc_stream_test", out, checkpoint_location=str(tmp_path / "ckpt"))
     try:
         q.processAllAvailable()
-        got = {r.word: r.occurrences for r in spark.table("wc_stream_test").collect()}
-        assert got == {"the": 2, "cat": 1, "hat": 1}
+        assert latest(spark, out) == {"the": 2, "cat": 1, "hat": 1}
         (folder / "b.txt").write_text("The cat sat\n")
         q.processAllAvailable()
-        got = {r.word: r.occurrences for r in spark.table("wc_stream_test").collect()}
-        assert got == {"the": 2, "The": 1, "cat": 2, "hat": 1, "sat": 1}
+        assert latest(spark, out) == {"the": 2, "The": 1, "cat": 2, "hat": 1, "sat": 1}
     finally:
         q.stop()
 
