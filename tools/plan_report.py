@@ -19,8 +19,9 @@ NOTES = {
     "word_count": "explode + partial count per task, one shuffle on the word; a hot word ships one row per task",
     "word_count_raw": "same as word_count, with two generators (lines, then pieces); no per-line reference back to the whole text",
     "word_count_sorted": "word_count, then a range exchange on the (unique) word: the sort spreads over all reducers",
-    "word_count_hashed": "word_count re-partitioned into 17 hash parts, each sorted locally (no global sort)",
-    "word_count_parts": "word_count plus a per-word part number (column functions over the word's bytes), no extra shuffle",
+    "word_count_hashed": "word_count in hash parts on the word, each sorted locally (no global sort)",
+    "key_lookup": "the key reaches both scans; one customer's rows are aggregated",
+    "orders_until_epoch": "filter on the parsed text, one partial count per task",
     "fundamentals_sorted": "row-wise extract, then a range-partitioned sort on the symbol",
     "csv_quoted_scan": "row-wise parse, no shuffle; the parser runs once per line (inline generator)",
     "market_cap_parse": "row-wise, no shuffle",
@@ -59,7 +60,6 @@ NOTES = {
     "array_index": "as map_lookup",
     "struct_field": "as map_lookup",
     "rename_column": "a projection; no data rewritten",
-    "describe_schema": "schema metadata only",
 }
 
 
