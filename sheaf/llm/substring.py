@@ -186,7 +186,7 @@ class Known:
 def _with_phrases(docs: pa.Table) -> pa.Table:
     """Phrase names (second half 0) and names of whole texts."""
     found = []
-    for block in blocks(docs.to_batches(), "_id", "_text"):
+    for block in blocks(docs.to_batches(), "_id", "text"):
         names, names2, first = _word_names(block)
         _, doc, best = phrase_names(names, first)
         new = np.ones(len(best), bool)
@@ -202,7 +202,7 @@ def _with_windows(docs: pa.Table, sent: pa.Table) -> pa.Table:
     """Names of the windows under shared phrases, but for texts that are copies of a whole
     smaller document."""
     known, found = Known(sent), []
-    for block in blocks(docs.to_batches(), "_id", "_text"):
+    for block in blocks(docs.to_batches(), "_id", "text"):
         names, names2, first = _word_names(block)
         copied = known.least_of(*text_names(names, names2, first)) < block.ids
         start, doc, best = phrase_names(names, first)
@@ -234,7 +234,7 @@ def _shorten(docs: pa.Table, sent: pa.Table, names_out: list[str]) -> pa.Table:
     known, made = Known(sent), []
     kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
     schema = pa.schema([(n, kinds[n] if n in kinds else docs.schema.field(n).type) for n in names_out])
-    for block in blocks(docs.to_batches(), "_id", "_text"):
+    for block in blocks(docs.to_batches(), "_id", "text"):
         names, names2, first = _word_names(block)
         size = np.diff(first)
         drop = np.zeros(len(names) + 1, np.int64)
@@ -269,11 +269,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, n_removed and kept: the words left, joined by one space."""
     spark = docs.sparkSession
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    passed = [c for c in docs.columns if c not in (*RESULT, "_id", "_text", "_group")]
+    passed = [c for c in docs.columns if c not in (*RESULT, "_id", "_group")]
     held = docs.select(
-        *passed,
+        *[F.col(c).cast("string").alias(c) if c == "text" else c for c in passed],
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST - 1)).alias("_id"),
-        F.col("text").cast("string").alias("_text"),
     )
     # one exchange of the texts serves all three passes
     held = held.withColumn("_group", _group(F.col("_id"), groups)).repartition("_group")
@@ -295,7 +294,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     repeated = sent_back(found).unionByName(shared.filter(F.col("h2") != 0))
 
     names_out = [*passed, *RESULT]
-    kinds = [docs.schema[c] for c in passed]
+    kinds = [held.schema[c] for c in passed]
     result = StructType([
         *kinds, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType()),
     ])
