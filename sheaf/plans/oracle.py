@@ -336,9 +336,13 @@ FROM customer
 """,
 }
 
-# Order and layout do not change the rows: the sorted and hash-partitioned forms share
-# the oracle of the plain query.
-ORACLE_SQL["word_count_sorted"] = ORACLE_SQL["word_count"]
+# The sorted forms number their rows; the layout of hash parts does not change the rows.
+ORACLE_SQL["word_count_sorted"] = f"""
+SELECT word, occurrences, row_number() OVER (ORDER BY word) AS place FROM ({ORACLE_SQL["word_count"]})
+"""
 ORACLE_SQL["word_count_hashed"] = ORACLE_SQL["word_count"]
-ORACLE_SQL["fundamentals_sorted"] = ORACLE_SQL["fundamentals_extract"]
+ORACLE_SQL["fundamentals_sorted"] = _FUNDAMENTALS + """
+SELECT symbol, dividend, pe, TRY_CAST(pe AS DOUBLE) AS pe_value, row_number() OVER (ORDER BY symbol) AS place
+FROM e WHERE is_valid
+"""
 ORACLE_SQL["revenue_semi_join_sql"] = ORACLE_SQL["revenue_semi_join"]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.nested import array_item, map_value
 from sheaf.operators import catalog, fundamentals, growth, nested, retail, screener, wordcount
+from sheaf.operators.ordering import numbered
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
 from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
@@ -64,8 +65,9 @@ def word_count_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("word_count_sorted")
 def word_count_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    """The counts in global byte order (range-partitioned sort)."""
-    return wordcount.sorted_by_word(wordcount.word_count(_documents(spark, sf), "text"))
+    """The counts in global byte order (range-partitioned sort), with each word's
+    place in it."""
+    return numbered(wordcount.sorted_by_word(wordcount.word_count(_documents(spark, sf), "text")))
 
 
 @query("word_count_hashed")
@@ -158,8 +160,8 @@ def fundamentals_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("fundamentals_sorted")
 def fundamentals_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    """O2: the extract in ascending symbol order."""
-    return fundamentals.sorted_by_symbol(fundamentals.extract(_fundamentals_lines(spark, sf)))
+    """O2: the extract in ascending symbol order, with each row's place in it."""
+    return numbered(fundamentals.sorted_by_symbol(fundamentals.extract(_fundamentals_lines(spark, sf))))
 
 
 @query("fundamentals_quality")
