@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from sheaf.plans import registry as entry
 from sheaf.sources.tables import TABLES, table
 from tests.conftest import SF_SMALL
 from tests.test_oracle import canon

@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from sheaf.plans import registry as entry
 from sheaf.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -48,7 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_entry_smoke(spark):
-    df = entry.entry(spark)
+    import __spark_entry__
+
+    df = __spark_entry__.entry(spark)
     assert df.columns == ["sector", "ticker_count", "total_cap", "unparsed_caps"]
     assert df.count() > 0
 
