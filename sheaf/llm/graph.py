@@ -1,26 +1,15 @@
-"""Small helpers for steps of many rounds: written tables, bounded broadcasts, components."""
+"""Small helpers for steps of many rounds: bounded broadcasts and components."""
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.session import checkpoint_dir
+from sheaf.session import stored
 
 BROADCAST_ROWS = 500_000
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to a new Parquet table below the checkpoint folder, and read back."""
-    spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4()}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def few(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` (a stored table of one number a row) marked for broadcast if it has at most
     ``limit`` rows; a larger one is joined by a shuffle."""

@@ -3,8 +3,8 @@
 A document is the set of its shingles (five lower-cased words); documents link at a
 Jaccard similarity of 0.8. Under any one order of all shingles, two linked sets share a
 shingle among the first n - ceil(0.8 n) + 1 of each, so a candidate pair must share one
-under every order used. The orders put frequent shingles last (the few that make up a
-millionth of all are counted first), and are otherwise two different hashes.
+under every order used. The orders put frequent shingles last (those that make up
+more than FREQUENT of all are counted first), and are otherwise two different hashes.
 
 1. Each document gets its set's size and 128-bit fingerprint; documents with equal sets
    are one class, named by its smallest document.
@@ -34,15 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.arrays import IN_WORD, LOWER, U64, Block, Rolling, blocks, mix, signed, spans
-from sheaf.llm.graph import components, few, stored
+from sheaf.llm.graph import BROADCAST_ROWS, components, few
+from sheaf.session import stored
 
 WORDS = 5
 ORDERS = 2
-# share of all shingles from which one is counted as frequent: at most 1 / FREQUENT are
-FREQUENT = 1e-6
-LOCAL_LEAST = 3
-COUNTED = 2_000_000
-SMALL_GROUP = 16
+# share of all shingles from which one is counted as frequent: at most 1 / FREQUENT are,
+# which bounds their table to 9 bytes times that. Tasks report what recurs LOCAL_LEAST
+# times among COUNTED shingles. Any table gives right results; a good one small groups.
+FREQUENT = 2.5e-7
+LOCAL_LEAST = 2
+COUNTED = 4_000_000
+SMALL_GROUP = 32
 
 _WORD, _WORD2, _SPAN, _SPAN2 = (Rolling(s) for s in (201, 202, 203, 204))
 _SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -131,7 +134,7 @@ def frequent_shingles(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts = found.filter("kind = 1").groupBy("k1").agg(F.sum("n").alias("n"))
     rows = counts.filter(F.col("n") >= max(2, FREQUENT * total)).toArrow()
     names = np.asarray(rows["k1"].combine_chunks()).view(U64)
-    level = np.ceil(np.log2(np.maximum(np.asarray(rows["n"].combine_chunks()), 2))).astype(np.uint64)
+    level = np.ceil(np.log2(np.maximum(np.asarray(rows["n"].combine_chunks()), 2))).astype(np.uint8)
     by = np.argsort(names)
     return names[by], level[by]
 
@@ -142,7 +145,7 @@ def _ordered(h1: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], order: int
     key = mix(h1 ^ _SALT[order]) >> U64(6)
     if len(names) and len(h1):
         at = np.minimum(np.searchsorted(names, h1), len(names) - 1)
-        key |= np.where(names[at] == h1, level[at], U64(0)) << U64(58)
+        key |= np.where(names[at] == h1, level[at], 0).astype(U64) << U64(58)
     return key
 
 
@@ -190,6 +193,23 @@ def _pairs_of(ids: np.ndarray, n: np.ndarray, pos: np.ndarray, i: np.ndarray, j:
     return (ids[i] != ids[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
 
 
+def _with_partner(n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which members of one group (sorted by size) have any other they could be linked to,
+    this being their first shared shingle: 9 (n - pos) - 4 n must reach 4 times the other's
+    size, both ways."""
+    reach = (9 * (n - pos) - 4 * n) // 4
+    until = np.searchsorted(n, reach, "right")  # members whose size is within reach
+    most = np.maximum.accumulate(reach)
+    holder = np.maximum.accumulate(np.where(reach == most, np.arange(len(n)), 0))
+    rest = reach.copy()
+    rest[0] = -1
+    rest[1:] = np.minimum(reach[1:], most[:-1])  # the second largest so far
+    second = np.maximum.accumulate(rest)
+    at = np.maximum(until - 1, 0)
+    best = np.where(holder[at] == np.arange(len(n)), second[at], most[at])
+    return (until > 0) & (best >= n)
+
+
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One partition of prefix shingles: candidate pairs (a < b, with the bit of their
     order), and the members of large groups (id in a, b null)."""
@@ -226,6 +246,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hub[large] = lead
             left.append(members)
             right.append(hub[of[members]])
+        partner = [_with_partner(n[at[g]:at[g] + size[g]], pos[at[g]:at[g] + size[g]]) for g in large]
+        members = members[np.concatenate(partner)]
     i, j = np.concatenate(left), np.concatenate(right)
     ok = _pairs_of(ids, n, pos, i, j)
     i, j = i[ok], j[ok]
@@ -287,7 +309,13 @@ def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     classes = some.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
     member = stored(some.join(classes, ["n", "k1", "k2"]).select("id", "rep").distinct())
 
+    # Copies of a class need no prefixes of their own. Where they are too many to broadcast,
+    # each task still leaves out the sets it has met, and by_class names the rest alike.
     told = docs.filter(F.col("doc_id").isNotNull())
+    named = F.max((F.col("rep") == F.col("id")).cast("int"))
+    copies = stored(member.groupBy("id").agg(named.alias("_named")).filter("_named = 0").select("id"))
+    if copies.count() <= BROADCAST_ROWS:
+        told = told.join(F.broadcast(copies), F.col("doc_id") == F.col("id"), "left_anti")
     grouped = stored(prefixes(told, frequent, orders).repartition("token").mapInArrow(_grouped, FOUND))
 
     def by_class(pairs: DataFrame) -> DataFrame:
