@@ -10,8 +10,8 @@ more than FREQUENT of all are counted first), and are otherwise two different ha
    are one class, named by its smallest document.
 2. Prefix shingles are grouped. A group is cut where sizes are too far apart, and a pair
    is left out where its positions in the order leave too few shingles to share. Small
-   groups give all pairs; large ones give the pairs with two hubs, among them the member
-   whose prefix starts with shared shingles.
+   groups give all pairs; large ones give the pairs with a hub, the member whose prefix
+   starts with shared shingles.
 3. Pairs found under all orders are verified on the whole sets and joined to components.
 4. Large groups whose members are not yet all connected give every pair between different
    components, again under all orders, so no link is lost; these are verified as well.
@@ -238,14 +238,13 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     large = np.flatnonzero(size > SMALL_GROUP)
     members = np.flatnonzero((size > SMALL_GROUP)[of])
     if len(members):
-        # hubs: the member whose shared shingles come first, and the smallest document
-        for keys in ((ids[members], pos[members], of[members]), (ids[members], of[members])):
-            order = members[np.lexsort(keys)]
-            lead = order[np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))]
-            hub = np.full(len(at), -1)
-            hub[large] = lead
-            left.append(members)
-            right.append(hub[of[members]])
+        # the hub: the member whose shared shingles come first, so has fewest of its own
+        order = members[np.lexsort((ids[members], pos[members], of[members]))]
+        lead = order[np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))]
+        hub = np.full(len(at), -1)
+        hub[large] = lead
+        left.append(members)
+        right.append(hub[of[members]])
         partner = [_with_partner(n[at[g]:at[g] + size[g]], pos[at[g]:at[g] + size[g]]) for g in large]
         members = members[np.concatenate(partner)]
     i, j = np.concatenate(left), np.concatenate(right)
