@@ -33,6 +33,7 @@ CLASS = 16
 # Fixed values of the format: the id behind each document, the tokenizer's separator.
 END_ID = 2
 SEPARATOR = "<|startoftext|>"
+WORD_END = "</w>"
 BLOCK = 8 << 20
 REMEMBERED = 600_000
 
@@ -58,6 +59,9 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for w, i in vocab.items() if w.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
@@ -80,16 +84,28 @@ class WordIds:
             else:
                 plain.add(p)
         new = [p for p in plain if p not in self.known]
-        for a in range(0, len(new), 20_000):
-            part = new[a:a + 20_000]
+        # a piece of Latin-1 letters is one word, and ends where its last id says so
+        one_word = [p.isalpha() and max(p) <= "\xff" for p in new]
+        words = [p for p, one in zip(new, one_word, strict=True) if one]
+        for a in range(0, len(words), 20_000):
+            part = words[a:a + 20_000]
+            ids = self._ids(" ".join(part))
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            self._remember(part, ids, [0, *ends[:-1]], ends)
+        others = [p for p, one in zip(new, one_word, strict=True) if not one]
+        for a in range(0, len(others), 20_000):
+            part = others[a:a + 20_000]
             ids = self._ids(SEPARATOR.join(part))
             cut = np.flatnonzero(ids == self.separator).tolist()
-            raw = ids.tobytes()
-            for p, s, e in zip(part, [0, *[x + 1 for x in cut]], [*cut, len(ids)], strict=True):
-                self.known[p] = raw[4 * s:4 * e]
+            self._remember(part, ids, [0, *[x + 1 for x in cut]], [*cut, len(ids)])
         for p, (core, tail) in cores.items():
             self.known[p] = self.known[core] + self.known[tail]
 
+    def _remember(self, pieces: list[str], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
+        raw = ids.tobytes()
+        for p, s, e in zip(pieces, starts, ends, strict=True):
+            self.known[p] = raw[4 * s:4 * e]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
