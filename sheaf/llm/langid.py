@@ -119,7 +119,8 @@ def fit(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE
         usable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     )
     chosen = sampling.per_label(rows, "lang", "doc_id", per_language).select("doc_id")
-    return sampling.fit(rows.join(chosen, "doc_id", "left_semi").select("doc_id", "text", "lang"), train)
+    # the chosen ids are per_language a language at most
+    return sampling.fit(rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "lang"), train)
 
 
 def _without_letter(block: Block) -> np.ndarray:
@@ -163,12 +164,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents whose language can be told at all (not ``und``), unchanged."""
+    """The documents whose language can be told at all (not ``und``), unchanged. Without a
+    model nothing can be told apart, and every document with a letter stays."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "doc_id", "text"):
             names, _, _ = _answers(shared.value, block)
-            yield block.rows.filter(pa.array([x != UNDETERMINED for x in names]))
+            told = ~_without_letter(block) if shared.value is None else [x != UNDETERMINED for x in names]
+            yield block.rows.filter(pa.array(told))
 
     return docs.mapInArrow(task, docs.schema)

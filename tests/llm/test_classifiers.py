@@ -67,6 +67,9 @@ def test_odd_texts_and_no_labels(spark):
     assert langid.fit(unlabelled, F.lit(True)) is None
     assert {r.lang_pred for r in langid.predict(unlabelled, None).collect()} == {"und"}
     assert langid.predict(docs_df(spark, []), model).count() == 0
+    kept = langid.keep_identified(unlabelled, None)
+    assert kept.columns == unlabelled.columns
+    assert kept.count() == sum(t is not None and any(c.isalpha() for c in t) for _, t in rows)
     one = langid.fit(corpus(spark, 20, ("aa",)), F.lit(True))
     assert {r.lang_pred for r in langid.predict(corpus(spark, 20, ("aa",)), one).collect()} == {"aa"}
 
