@@ -63,14 +63,15 @@ def axes(x: np.ndarray, flips: np.ndarray, probes: int) -> np.ndarray:
 
 
 def vectors(rows: DataFrame) -> DataFrame:
-    """vec_id and ``point`` (array of doubles) of the rows that take part."""
+    """vec_id and ``point`` (the vector as stored) of the rows that take part."""
     own = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     own = own.filter(F.exists("embedding", lambda x: x != 0))
-    return own.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("point"))
+    return own.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("point"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    values = np.asarray(column.flatten())
+    """The vectors as doubles; they travel as they are stored."""
+    values = np.asarray(column.flatten()).astype(np.float64)
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
@@ -92,7 +93,7 @@ def _hashed(points: DataFrame, width: int, tables: int, probes: int) -> DataFram
                         "bucket": pa.array(found.ravel(), pa.int64()),
                     })
 
-    return points.mapInArrow(task, "vec_id long, point array<double>, bucket long")
+    return points.mapInArrow(task, f"vec_id long, point {points.schema['point'].dataType.simpleString()}, bucket long")
 
 
 def _nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> list[tuple]:

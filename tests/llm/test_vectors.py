@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm import ann, mips
 
+SF = "/root/testdata/sf0.1"
 VECTORS = "vec_id long, embedding array<float>, label int, point string, score int"
 
 
@@ -107,3 +108,15 @@ def test_hadamard_keeps_lengths():
     x = np.random.default_rng(5).normal(size=(7, 16))
     y = ann.hadamard(x)
     assert np.allclose((y**2).sum(1), (x**2).sum(1)) and np.allclose(ann.hadamard(y), x)
+
+
+def test_recall_of_the_registered_query(spark):
+    from sheaf.llm.queries import QUERIES
+
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = QUERIES["op1_ann"](spark, SF).collect()
+    want = brute_nearest(good(rows, len(rows[0][1]), False), [i for i, _ in rows if i % 100 == 0])
+    hits = sum(r.vec_id in {i for i, _ in want[r.query_id]} for r in got)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    scores = {(q, i): s for q, best in want.items() for i, s in best}
+    assert all(r.score == pytest.approx(scores[r.query_id, r.vec_id], abs=1e-12) for r in got if (r.query_id, r.vec_id) in scores)
