@@ -100,13 +100,16 @@ def profiles(docs: DataFrame) -> DataFrame:
         held, size = [], 0
 
         def frequent():
-            names, count = np.unique(np.concatenate(held), return_counts=True)
+            names = np.concatenate(held)
+            held.clear()
+            names.sort()  # in place: np.unique would hold several copies
+            at = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            count = np.diff(np.append(at, len(names)))
             often = count >= max(LOCAL_LEAST, FREQUENT * size)
             k = int(often.sum())
             zero = np.zeros(k, np.int64)
             return pa.record_batch({
-                "kind": np.ones(k, np.int32), "id": zero, "n": count[often].astype(np.int64),
-                "k1": signed(names[often]), "k2": zero,
+                "kind": np.ones(k, np.int32), "id": zero, "n": count[often], "k1": signed(names[at[often]]), "k2": zero,
             })
 
         for block in blocks(batches, "doc_id", "text"):
@@ -120,7 +123,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             size += len(h1)
             if size >= COUNTED:
                 yield frequent()
-                held, size = [], 0
+                size = 0
         if held:
             yield frequent()
 
@@ -216,8 +219,19 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = [b for b in batches if b.num_rows]
     if not held:
         return
-    token, ids, place = (np.concatenate([np.asarray(b.column(k)) for b in held]) for k in range(3))
-    del held
+    token = np.concatenate([np.asarray(b.column(0)) for b in held])
+    # most shingles are met once: only the others' rows are kept
+    by = np.argsort(token)
+    same = token[by[1:]] == token[by[:-1]]
+    again = np.zeros(len(token), bool)
+    again[by[1:][same]] = True
+    again[by[:-1][same]] = True
+    del by, same
+    token = token[again]
+    ids, place = (np.concatenate([np.asarray(b.column(k)) for b in held])[again] for k in (1, 2))
+    del held, again
+    if not len(token):
+        return
     n, pos = place >> 32, place & 0xFFFFFFFF
     by = np.lexsort((ids, n, token))
     token, ids, n, pos, place = token[by], ids[by], n[by], pos[by], place[by]
