@@ -16,6 +16,9 @@ more than FREQUENT of all are counted first), and are otherwise two different ha
 4. Large groups whose members are not yet all connected give every pair between different
    components, again under all orders, so no link is lost; these are verified as well.
 
+``join`` gives components, for which a hub's pairs do; ``links`` gives every link between
+different sets: large groups give all pairs there, dealt by token and salt.
+
 Cases: a null text or one without words has no shingles and links with nothing; under five
 words the whole sequence is the one shingle; a null doc_id is reported with its size and a
 null component and links with nothing; rows that share a doc_id count as one document;
@@ -27,6 +30,7 @@ ids only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,8 @@ FREQUENT = 2.5e-7
 LOCAL_LEAST = 2
 COUNTED = 4_000_000
 SMALL_GROUP = 32
+# members of a large group that one task pairs with all of it
+SALT_ROWS = 256
 
 _WORD, _WORD2, _SPAN, _SPAN2 = (Rolling(s) for s in (201, 202, 203, 204))
 _SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -312,8 +318,18 @@ def _under_all(pairs: DataFrame, orders: int) -> DataFrame:
     return met.filter(F.col("_met") == (1 << orders) - 1).select("a", "b")
 
 
-def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+@dataclass
+class _Found:
+    """What one pass over the documents gives: a profile a row, each document's classes by
+    their smallest document, the documents that prefixes came from, and their groups."""
+
+    own: DataFrame  # id, n, k1, k2
+    member: DataFrame  # id, rep
+    told: DataFrame  # doc_id, text
+    grouped: DataFrame  # FOUND
+
+
+def _find(docs: DataFrame, orders: int) -> _Found:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(profiles(docs))
     frequent = frequent_shingles(found)
@@ -323,26 +339,57 @@ def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     member = stored(some.join(classes, ["n", "k1", "k2"]).select("id", "rep").distinct())
 
     # Copies of a class need no prefixes of their own. Where they are too many to broadcast,
-    # each task still leaves out the sets it has met, and by_class names the rest alike.
+    # each task still leaves out the sets it has met, and _by_class names the rest alike.
     told = docs.filter(F.col("doc_id").isNotNull())
     named = F.max((F.col("rep") == F.col("id")).cast("int"))
     copies = stored(member.groupBy("id").agg(named.alias("_named")).filter("_named = 0").select("id"))
     if copies.count() <= BROADCAST_ROWS:
         told = told.join(F.broadcast(copies), F.col("doc_id") == F.col("id"), "left_anti")
     grouped = stored(prefixes(told, frequent, orders).repartition("token").mapInArrow(_grouped, FOUND))
+    return _Found(own, member, told, grouped)
+
+
+def _by_class(pairs: DataFrame, member: DataFrame) -> DataFrame:
+    """Pairs of documents as pairs of their classes' smallest documents."""
+    one = member.select(F.col("id").alias("a"), F.col("rep").alias("_a"))
+    two = member.select(F.col("id").alias("b"), F.col("rep").alias("_b"))
+    named = pairs.join(one, "a").join(two, "b").filter(F.col("_a") != F.col("_b"))
+    return named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "orders")
+
+
+def links(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
+    """a, b (a < b) of every link between different sets of ``docs`` (doc_id, text), each
+    named by its class's smallest document. A family of near copies gives all its pairs, so
+    rows may grow with the square of its different texts; copies add none."""
+    found = _find(docs, orders)
+    small = found.grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")
+    n, pos = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
+    large = found.grouped.filter(F.col("b").isNull()).select("token", "orders", F.col("a").alias("id"), n.alias("n"), (n - pos).alias("left"))
+    named = large.join(found.member, "id").groupBy("token", "orders", F.col("rep").alias("id"), "n").agg(F.max("left").alias("left"))
+    named = stored(named)
+    # a group's members are dealt by salt; each salt meets all members
+    sizes = stored(named.groupBy("token").agg(F.floor(F.count("*") / SALT_ROWS).cast("int").alias("_salts")).filter("_salts > 0"))
+    rows = named.join(few(sizes), "token", "left").withColumn("_salts", F.coalesce("_salts", F.lit(0)))
+    one = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_salts") + 1).cast("int")).drop("_salts")
+    two = rows.select(
+        "token", *[F.col(c).alias(f"_{c}") for c in ("id", "n", "left")], F.explode(F.sequence(F.lit(0), "_salts")).alias("salt")
+    )
+    need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
+    met = one.join(two, ["token", "salt"]).filter((F.col("id") < F.col("_id")) & (F.least("left", "_left") >= need))
+    pairs = met.select(F.col("id").alias("a"), F.col("_id").alias("b"), "orders")
+    return verified(found.told, stored(_under_all(pairs.union(_by_class(small, found.member)), orders)))
+
 
-    def by_class(pairs: DataFrame) -> DataFrame:
-        """Pairs of documents as pairs of their classes' smallest documents."""
-        one = member.select(F.col("id").alias("a"), F.col("rep").alias("_a"))
-        two = member.select(F.col("id").alias("b"), F.col("rep").alias("_b"))
-        named = pairs.join(one, "a").join(two, "b").filter(F.col("_a") != F.col("_b"))
-        return named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "orders")
+def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+    found = _find(docs, orders)
+    own, member, told, grouped = found.own, found.member, found.told, found.grouped
 
     # documents with equal sets are linked without a look at the texts
     same = member.filter(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    near = stored(_under_all(by_class(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")), orders))
-    links = stored(verified(told, near).union(same))
-    label = components(links)
+    near = stored(_under_all(_by_class(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders"), member), orders))
+    edges = stored(verified(told, near).union(same))
+    label = components(edges)
 
     # what large groups leave open: every pair of members in different components
     large = grouped.filter(F.col("b").isNull()).select("token", "orders", "place", F.col("a").alias("id"))
@@ -359,11 +406,11 @@ def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
         )
         pairs = met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"), "orders")
         # a pair may share its shingles under one order in a large group, under the other in a small one
-        pairs = by_class(pairs.union(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")))
+        pairs = _by_class(pairs.union(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")), member)
         more = stored(_under_all(pairs, orders).join(near, ["a", "b"], "left_anti"))
         if not more.isEmpty():
-            links = stored(links.union(verified(told, more)))
-            label = components(links)
+            edges = stored(edges.union(verified(told, more)))
+            label = components(edges)
     ids = label.select(F.col("id").alias("_id"), "component")
     return own.join(ids, F.col("id") == F.col("_id"), "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")

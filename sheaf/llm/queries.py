@@ -116,3 +116,8 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op9_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.links(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -92,3 +92,37 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 200)] + [(500, 600)], "a long, b long")
     got = {r["id"]: r["component"] for r in graph.components(edges).collect()}
     assert got == {**dict.fromkeys(range(1, 201), 1), 500: 500, 600: 500}
+
+
+def shingle_sets(rows):
+    """The smallest document of each different set."""
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall((t or "").lower())
+        own = frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+        if i is not None and own:
+            sets[own] = min(i, sets.get(own, i))
+    return sets
+
+
+def brute_links(rows):
+    sets = list(shingle_sets(rows).items())
+    return sorted({
+        (min(i, j), max(i, j)) for x, (s, i) in enumerate(sets) for t, j in sets[:x]
+        if i != j and 100 * len(s & t) >= 80 * len(s | t)
+    })
+
+
+def test_every_link_inside_a_large_family(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SALT_ROWS", 20)
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(150)]
+    texts = variants(rng, words, 150, 2) + [" ".join(words)] * 20
+    texts += variants(rng, [f"v{k}" for k in range(90)], 20, 4)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts)) + [(1000 + (i or 0) if i else i, t) for i, t in odd_texts(300)]
+    want = brute_links(rows)
+    assert len(want) > 10 * len(texts)
+    got = sorted(tuple(r) for r in jaccard.links(docs_df(spark, rows)).collect())
+    assert got == want
+    assert jaccard.links(docs_df(spark, [])).count() == 0
