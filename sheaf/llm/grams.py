@@ -29,6 +29,17 @@ def ids(data: np.ndarray, width: int, bits: int) -> np.ndarray:
     return (h >> np.uint32(32 - bits)).astype(np.int32)
 
 
+def within(data: np.ndarray, offsets: np.ndarray, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed n-grams that lie inside one document, and the offsets of each document's."""
+    count = np.maximum(np.diff(offsets) - width + 1, 0)
+    first = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
+    inside = np.ones(len(data), bool)
+    for back in range(1, width):
+        # a document shorter than that reaches into those before it, which end there as well
+        inside[np.maximum(offsets[1:] - back, offsets[:-1])[np.diff(offsets) > 0]] = False
+    return ids(data, width, bits)[inside], first
+
+
 def per_document(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of ``values`` rows between consecutive offsets; an empty document sums to 0."""
     out = np.zeros((len(offsets) - 1, *values.shape[1:]), np.float64)

@@ -62,13 +62,13 @@ class Model:
 
 
 def _bit_margins(model: Model, block: Block) -> np.ndarray:
-    """Mean log-odds of every bit, times the evidence."""
+    """Mean log-odds of every bit over the n-grams inside each document, times the evidence."""
     data = grams.lower(block.data)
     total = np.zeros((len(block), model.code.shape[1]))
     for width, weights in zip(WIDTHS, model.weights, strict=True):
-        total += grams.per_document(weights[grams.ids(data, width, BITS)], block.offsets)
-    size = np.diff(block.offsets)[:, None]
-    return total / np.maximum(size, 1) * np.minimum(size, EVIDENCE)
+        own, first = grams.within(data, block.offsets, width, BITS)
+        total += grams.per_document(weights[own], first) / np.maximum(np.diff(first), 1)[:, None]
+    return total * np.minimum(np.diff(block.offsets), EVIDENCE)[:, None]
 
 
 def _losses(model: Model, margins: np.ndarray) -> np.ndarray:
@@ -89,9 +89,9 @@ def train(sample: pa.Table) -> Model:
         data, own = grams.lower(block.data), label[at:at + len(block)]
         at += len(block)
         held.append((block, own))
-        of_byte = np.repeat(own, np.diff(block.offsets))
         for width, count in zip(WIDTHS, counts, strict=True):
-            flat = of_byte * (1 << BITS) + grams.ids(data, width, BITS)
+            found, first = grams.within(data, block.offsets, width, BITS)
+            flat = np.repeat(own, np.diff(first)) * (1 << BITS) + found
             count += np.bincount(flat, minlength=count.size).reshape(count.shape)
     weights = []
     for count in counts:

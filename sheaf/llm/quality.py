@@ -38,16 +38,18 @@ def features(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(feature ids, offsets of each document in them) of every kind of feature. The kinds
     have a quarter of the table each."""
     for kind, width in enumerate(GRAMS):
-        yield grams.ids(block.data, width, BITS - 2) + (kind << BITS - 2), block.offsets
+        own, inside = grams.within(block.data, block.offsets, width, BITS - 2)
+        yield own + (kind << BITS - 2), inside
     starts, ends = spans(IN_WORD[block.data], block.offsets)
     name = _WORDS.of_bytes(block.data, starts, ends)
     first = np.searchsorted(starts, block.offsets)
     yield (name >> np.uint64(64 - BITS + 2)).astype(np.int32) + (2 << BITS - 2), first
-    # word order: is a word one of the five before it?
+    # word order: is a word one of the five before it in its document?
     again = np.zeros(len(name), np.int32)
+    doc = np.repeat(np.arange(len(block)), np.diff(first))
     for back in range(1, 6):
         if len(name) > back:
-            again[back:] |= name[back:] == name[:-back]
+            again[back:] |= (name[back:] == name[:-back]) & (doc[back:] == doc[:-back])
     size = np.minimum(ends - starts, 31).astype(np.int32)
     yield (mix((again * 32 + size).astype(np.uint64)) >> np.uint64(64 - BITS + 2)).astype(np.int32) + (3 << BITS - 2), first
 

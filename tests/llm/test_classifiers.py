@@ -151,3 +151,28 @@ def test_registered_classifiers_on_held_out_documents(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = QUERIES["op6_quality"](spark, SF).join(labels, "doc_id").filter("held_out").collect()
     assert sum(r.predicted == r.quality for r in got) >= 0.9 * len(got)
+
+
+def test_neighbours_in_a_block_change_no_result(spark):
+    from sheaf.llm.arrays import blocks
+
+    docs, labels = quality_rows(60)
+    short = [(1000 + k, t) for k, t in enumerate(["ka", "k", "", "ung", "qué", "lo", "ander of", "of the", "the", "of"])]
+    mixed = docs_df(spark, docs + short).coalesce(1).toArrow()
+    good = quality.fit(docs_df(spark, docs), spark.createDataFrame(labels, "doc_id long, label int"), F.lit(True))
+    model = langid.fit(corpus(spark, 60), F.lit(True))
+    turned = mixed.take(list(reversed(range(len(mixed)))))
+    found = []
+    for table, limit in ((mixed, 1 << 20), (mixed, 1), (turned, 1 << 20)):
+        own = {}
+        for b in blocks(table.to_batches(), "doc_id", "text", limit):
+            names, score, unsure = langid._answers(model, b)
+            for row in zip(b.key.to_pylist(), names, score, unsure, quality._scores(good, b), strict=True):
+                own[row[0]] = row[1:]
+        found.append(own)
+    whole = found[0]
+    for own in found[1:]:
+        assert own.keys() == whole.keys()
+        for i, row in own.items():
+            assert row[0] == whole[i][0] and row[2] == whole[i][2]
+            assert np.allclose([row[1], row[3]], [whole[i][1], whole[i][3]], rtol=0, atol=1e-6)
