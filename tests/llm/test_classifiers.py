@@ -176,3 +176,21 @@ def test_neighbours_in_a_block_change_no_result(spark):
         for i, row in own.items():
             assert row[0] == whole[i][0] and row[2] == whole[i][2]
             assert np.allclose([row[1], row[3]], [whole[i][1], whole[i][3]], rtol=0, atol=1e-6)
+
+
+def test_language_stage_drops_noise_and_keeps_short_clean_texts(spark):
+    import base64
+
+    import corpus_pipeline
+
+    df = spark.read.parquet(f"{SF}/documents.parquet").filter("text IS NOT NULL AND lang IS NOT NULL")
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("asdfghjklqwertyuiopzxcvbnm ") for _ in range(n)) for n in (60, 400, 3000)]
+    noise += [base64.b64encode(rng.randbytes(n)).decode() for n in (100, 1000)]
+    rows = spark.createDataFrame([(10_000_000 + k, t) for k, t in enumerate(noise)], "doc_id long, text string")
+    clean = df.select("doc_id", "text", "lang")
+    short = clean.select((F.col("doc_id") + 20_000_000).alias("doc_id"), F.substring("text", 1, 60).alias("text"), F.lit(None).cast("string").alias("lang"))
+    docs = clean.unionByName(rows.withColumn("lang", F.lit(None).cast("string"))).unionByName(short)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()}
+    want = {r.doc_id for r in clean.unionByName(short).filter("text RLIKE '[A-Za-z]'").select("doc_id").collect()}
+    assert kept == want
