@@ -23,18 +23,21 @@ Cases: a null text or one without words has no shingles and links with nothing;
 words the whole sequence is the one shingle; a null doc_id is reported with its size and a
 null component and links with nothing; rows that share a doc_id count as one document;
 ties and repeated rows need no rule beyond that; an empty table gives none; extra columns
-are not read. Texts of any length are read whole; groups need memory for their members'
-ids only.
+are not read. Texts of any length are read whole. Groups are read in the order of a sort:
+a task holds one batch and a group of up to SMALL_GROUP rows. Shingles of more than
+2**(HOT_LEVEL - 1) documents are dealt over SALTS; of others the frequent table misses
+one document a counting window at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.llm.arrays import IN_WORD, LOWER, U64, Block, Rolling, blocks, mix, signed, spans
@@ -52,6 +55,9 @@ COUNTED = 4_000_000
 SMALL_GROUP = 32
 # members of a large group that one task pairs with all of it
 SALT_ROWS = 256
+# level (logarithm of the count) from which a shingle's rows are dealt over several tasks
+HOT_LEVEL = 12
+SALTS = 64
 
 _WORD, _WORD2, _SPAN, _SPAN2 = (Rolling(s) for s in (201, 202, 203, 204))
 _SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -158,14 +164,16 @@ def _ordered(h1: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], order: int
     return key
 
 
-TOKENS = "token long, id long, place long"
+TOKENS = "token long, id long, place long, salt long"
 
 
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], orders: int = ORDERS) -> DataFrame:
     """token (a shingle under one order: its lowest bit or bits name the order), id, place
-    (size * 2**32 + position) of every prefix shingle. Sets that a task has met before are
-    left out; the class is found by its first document there."""
+    (size * 2**32 + position) of every prefix shingle, and salt: 0, or 1 to SALTS where the
+    shingle is hot. Sets that a task has met before are left out; the class is found by its
+    first document there."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    hot, salts = U64(HOT_LEVEL), U64(SALTS)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[tuple[int, int]] = set()
@@ -181,13 +189,16 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], orders: i
             doc = np.repeat(np.arange(len(block)), size)
             take = np.where(new, prefix_length(size), 0)
             for order in range(orders):
-                by = np.lexsort((_ordered(h1, shared.value, order), doc))
+                key = _ordered(h1, shared.value, order)
+                by = np.lexsort((key, doc))
                 place = np.arange(len(doc)) - first[:-1][doc]
                 kept = place < take[doc]
                 rows, own, place = by[kept], doc[kept], place[kept]
                 token = (mix(h1[rows] + _SALT[order]) & ~U64(3)) | U64(order)
+                dealt = mix(block.ids[own].view(U64)) % salts + U64(1)
                 yield pa.record_batch({
                     "token": signed(token), "id": block.ids[own], "place": (size[own] << 32) + place,
+                    "salt": np.where(key[rows] >> U64(58) >= hot, signed(dealt), 0),
                 })
 
     return docs.mapInArrow(task, TOKENS)
@@ -202,91 +213,80 @@ def _pairs_of(ids: np.ndarray, n: np.ndarray, pos: np.ndarray, i: np.ndarray, j:
     return (ids[i] != ids[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
 
 
-def _with_partner(n: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Which members of one group (sorted by size) have any other they could be linked to,
-    this being their first shared shingle: 9 (n - pos) - 4 n must reach 4 times the other's
-    size, both ways."""
-    reach = (9 * (n - pos) - 4 * n) // 4
-    until = np.searchsorted(n, reach, "right")  # members whose size is within reach
-    most = np.maximum.accumulate(reach)
-    holder = np.maximum.accumulate(np.where(reach == most, np.arange(len(n)), 0))
-    rest = reach.copy()
-    rest[0] = -1
-    rest[1:] = np.minimum(reach[1:], most[:-1])  # the second largest so far
-    second = np.maximum.accumulate(rest)
-    at = np.maximum(until - 1, 0)
-    best = np.where(holder[at] == np.arange(len(n)), second[at], most[at])
-    return (until > 0) & (best >= n)
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefix shingles in the order of token and place: candidate pairs (a < b, with the bit
+    of their order) of small groups, and the members of large or hot ones (id in a, b null).
+    A new group begins with a token, or where the smaller sets before are too small."""
+    held = [np.zeros(0, np.int64)] * 4  # the last group, while it may still grow
+    going = None  # token and size of the last row, where its large group may go on
+    for batch in chain(batches, [None]):
+        more = [np.asarray(batch.column(k)) for k in range(4)] if batch is not None else [held[0][:0]] * 4
+        token, ids, place, salt = rows = [np.concatenate(x) for x in zip(held, more, strict=True)]
+        if not len(token):
+            continue
+        n, pos = place >> 32, place & 0xFFFFFFFF
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (5 * n[:-1] < 4 * n[1:])
+        at = np.flatnonzero(new)
+        size = np.diff(np.append(at, len(token)))
+        of = np.cumsum(new) - 1
+        large = (size > SMALL_GROUP) | (salt[at] > 0)
+        large[0] |= going is not None and going[0] == token[0] and 5 * going[1] >= 4 * n[0]
+        going = (token[-1], n[-1]) if large[-1] else None
+        until = len(token) if large[-1] or batch is None else at[-1]
+        held = [x[until:] for x in rows]
+        # all pairs of small groups: each member with the one k further on
+        one = np.flatnonzero((~large & (size > 1))[of[:until]])
+        left = size[of[one]] - 1 - (one - at[of[one]])
+        pairs = []
+        while len(one := one[left > len(pairs)]):
+            left = left[left > len(pairs)]
+            pairs.append((one, one + len(pairs) + 1))
+        if pairs:
+            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            ok = _pairs_of(ids, n, pos, i, j)
+            i, j = i[ok], j[ok]
+            a, b, order = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), token[i] & 3
+            by = np.lexsort((order, b, a))
+            a, b, order = a[by], b[by], order[by]
+            once = np.ones(len(a), bool)
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (order[1:] != order[:-1])
+            a, b, order = a[once], b[once], order[once]
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.record_batch({
+                "a": pa.array(a), "b": pa.array(b), "orders": pa.array((1 << order).astype(np.int32)), "token": none, "place": none,
+            })
+        members = np.flatnonzero(large[of[:until]])
+        if len(members):
+            yield pa.record_batch({
+                "a": pa.array(ids[members]), "b": pa.nulls(len(members), pa.int64()),
+                "orders": pa.array((1 << (token[members] & 3)).astype(np.int32)),
+                "token": pa.array(token[members]), "place": pa.array(place[members]),
+            })
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition of prefix shingles: candidate pairs (a < b, with the bit of their
-    order), and the members of large groups (id in a, b null)."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
-        return
-    token = np.concatenate([np.asarray(b.column(0)) for b in held])
-    # most shingles are met once: only the others' rows are kept
-    by = np.argsort(token)
-    same = token[by[1:]] == token[by[:-1]]
-    again = np.zeros(len(token), bool)
-    again[by[1:][same]] = True
-    again[by[:-1][same]] = True
-    del by, same
-    token = token[again]
-    ids, place = (np.concatenate([np.asarray(b.column(k)) for b in held])[again] for k in (1, 2))
-    del held, again
-    if not len(token):
-        return
-    n, pos = place >> 32, place & 0xFFFFFFFF
-    by = np.lexsort((ids, n, token))
-    token, ids, n, pos, place = token[by], ids[by], n[by], pos[by], place[by]
-    # a new group begins with a token, or where the smaller sets before are too small
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (5 * n[:-1] < 4 * n[1:])
-    at = np.flatnonzero(new)
-    size = np.diff(np.append(at, len(token)))
-    of = np.cumsum(new) - 1
-    left, right = [], []
-    # all pairs of small groups: each member with the one k further on
-    small = (size > 1) & (size <= SMALL_GROUP)
-    rank = np.arange(len(token)) - at[of]
-    for k in range(1, SMALL_GROUP):
-        i = np.flatnonzero(small[of] & (rank + k < size[of]))
-        left.append(i)
-        right.append(i + k)
-    large = np.flatnonzero(size > SMALL_GROUP)
-    members = np.flatnonzero((size > SMALL_GROUP)[of])
-    if len(members):
-        # the hub: the member whose shared shingles come first, so has fewest of its own
-        order = members[np.lexsort((ids[members], pos[members], of[members]))]
-        lead = order[np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))]
-        hub = np.full(len(at), -1)
-        hub[large] = lead
-        left.append(members)
-        right.append(hub[of[members]])
-        partner = [_with_partner(n[at[g]:at[g] + size[g]], pos[at[g]:at[g] + size[g]]) for g in large]
-        members = members[np.concatenate(partner)]
-    i, j = np.concatenate(left), np.concatenate(right)
-    ok = _pairs_of(ids, n, pos, i, j)
-    i, j = i[ok], j[ok]
-    a, b, order = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), token[i] & 3
-    by = np.lexsort((order, b, a))
-    a, b, order = a[by], b[by], order[by]
-    once = np.ones(len(a), bool)
-    once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (order[1:] != order[:-1])
-    a, b, order = a[once], b[once], order[once]
-    none = pa.nulls(len(a), pa.int64())
-    yield pa.record_batch({
-        "a": pa.array(a), "b": pa.array(b), "orders": pa.array((1 << order).astype(np.int32)), "token": none, "place": none,
-    })
-    k = len(members)
-    # a group's own number tells apart what a token was cut into
-    part = signed(mix(token[members].view(U64) + U64(1)) + (of[members] - of[np.searchsorted(token, token[members])]).astype(U64))
-    yield pa.record_batch({
-        "a": pa.array(ids[members]), "b": pa.nulls(k, pa.int64()),
-        "orders": pa.array((1 << (token[members] & 3)).astype(np.int32)), "token": pa.array(part), "place": pa.array(place[members]),
-    })
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """Members of large groups (token, orders, place, id) as token (a group's own number),
+    orders, id, n, left (shingles from its position on), and the hub of the group with its
+    n and left: the member whose shared shingles come first, so has fewest of its own.
+    Members that no other's size allows a link with have a false ``able``."""
+    n, pos = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
+    rows = members.select("token", "orders", "id", n.alias("n"), pos.alias("pos"), (n - pos).alias("left"))
+    # each task passes on one row a token and size; groups are cut where sizes are too far apart
+    reach = F.floor((9 * F.col("left") - 4 * F.col("n")) / 4)
+    sizes = rows.groupBy("token", "n").agg(F.min(F.struct("pos", "id", "n", "left")).alias("lead"), F.max(reach).alias("reach"))
+    by_size = Window.partitionBy("token").orderBy("n")
+    far = F.coalesce(5 * F.lag("n").over(by_size) < 4 * F.col("n"), F.lit(False))
+    cut = sizes.withColumn("far", far.cast("int")).withColumn("part", F.sum("far").over(by_size))
+    group = Window.partitionBy("token", "part")
+    hubs = stored(cut.select(
+        "token", "n", "part", F.min("lead").over(group).alias("hub"), F.min("n").over(group).alias("least"), F.max("reach").over(group).alias("most")
+    ))
+    return rows.join(few(hubs), ["token", "n"]).select(
+        F.xxhash64("token", "part").alias("token"), "orders", "id", "n", "left",
+        F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.left").alias("hub_left"),
+        ((reach >= F.col("least")) & (F.col("n") <= F.col("most"))).alias("able"),
+    )
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -321,12 +321,14 @@ def _under_all(pairs: DataFrame, orders: int) -> DataFrame:
 @dataclass
 class _Found:
     """What one pass over the documents gives: a profile a row, each document's classes by
-    their smallest document, the documents that prefixes came from, and their groups."""
+    their smallest document, the documents that prefixes came from, the pairs of small groups and
+    of hubs, and the members of large groups."""
 
     own: DataFrame  # id, n, k1, k2
     member: DataFrame  # id, rep
     told: DataFrame  # doc_id, text
-    grouped: DataFrame  # FOUND
+    pairs: DataFrame  # a, b, orders
+    large: DataFrame  # token, orders, id, n, left
 
 
 def _find(docs: DataFrame, orders: int) -> _Found:
@@ -345,8 +347,15 @@ def _find(docs: DataFrame, orders: int) -> _Found:
     copies = stored(member.groupBy("id").agg(named.alias("_named")).filter("_named = 0").select("id"))
     if copies.count() <= BROADCAST_ROWS:
         told = told.join(F.broadcast(copies), F.col("doc_id") == F.col("id"), "left_anti")
-    grouped = stored(prefixes(told, frequent, orders).repartition("token").mapInArrow(_grouped, FOUND))
-    return _Found(own, member, told, grouped)
+    tokens = prefixes(told, frequent, orders).repartition("token", "salt").sortWithinPartitions("token", "place", "id")
+    grouped = stored(tokens.mapInArrow(_grouped, FOUND))
+    large = stored(_with_hubs(grouped.filter(F.col("b").isNull()).select("token", "orders", "place", F.col("a").alias("id"))))
+    need = F.floor((4 * (F.col("n") + F.col("hub_n")) + 8) / 9)
+    led = large.filter((F.col("id") != F.col("hub")) & (F.least("left", "hub_left") >= need)).select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "orders"
+    )
+    pairs = grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders").union(led)
+    return _Found(own, member, told, pairs, large.filter("able").select("token", "orders", "id", "n", "left"))
 
 
 def _by_class(pairs: DataFrame, member: DataFrame) -> DataFrame:
@@ -362,10 +371,7 @@ def links(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     named by its class's smallest document. A family of near copies gives all its pairs, so
     rows may grow with the square of its different texts; copies add none."""
     found = _find(docs, orders)
-    small = found.grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")
-    n, pos = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-    large = found.grouped.filter(F.col("b").isNull()).select("token", "orders", F.col("a").alias("id"), n.alias("n"), (n - pos).alias("left"))
-    named = large.join(found.member, "id").groupBy("token", "orders", F.col("rep").alias("id"), "n").agg(F.max("left").alias("left"))
+    named = found.large.join(found.member, "id").groupBy("token", "orders", F.col("rep").alias("id"), "n").agg(F.max("left").alias("left"))
     named = stored(named)
     # a group's members are dealt by salt; each salt meets all members
     sizes = stored(named.groupBy("token").agg(F.floor(F.count("*") / SALT_ROWS).cast("int").alias("_salts")).filter("_salts > 0"))
@@ -377,28 +383,26 @@ def links(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
     met = one.join(two, ["token", "salt"]).filter((F.col("id") < F.col("_id")) & (F.least("left", "_left") >= need))
     pairs = met.select(F.col("id").alias("a"), F.col("_id").alias("b"), "orders")
-    return verified(found.told, stored(_under_all(pairs.union(_by_class(small, found.member)), orders)))
+    return verified(found.told, stored(_under_all(pairs.union(_by_class(found.pairs, found.member)), orders)))
 
 
 def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     found = _find(docs, orders)
-    own, member, told, grouped = found.own, found.member, found.told, found.grouped
+    own, member, told = found.own, found.member, found.told
 
     # documents with equal sets are linked without a look at the texts
     same = member.filter(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    near = stored(_under_all(_by_class(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders"), member), orders))
+    near = stored(_under_all(_by_class(found.pairs, member), orders))
     edges = stored(verified(told, near).union(same))
     label = components(edges)
 
     # what large groups leave open: every pair of members in different components
-    large = grouped.filter(F.col("b").isNull()).select("token", "orders", "place", F.col("a").alias("id"))
-    placed = large.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = found.large.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
     kinds = placed.groupBy("token").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
     unsettled = stored(placed.join(kinds.filter("_least < _most").select("token"), "token", "left_semi"))
     if not unsettled.isEmpty():
-        n, pos = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-        rows = unsettled.select("token", "orders", "id", "component", n.alias("n"), (n - pos).alias("left"))
+        rows = unsettled.select("token", "orders", "id", "component", "n", "left")
         other = rows.select("token", *[F.col(c).alias(f"_{c}") for c in ("id", "component", "n", "left")])
         need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
         met = rows.join(other, "token").filter(
@@ -406,7 +410,7 @@ def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
         )
         pairs = met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"), "orders")
         # a pair may share its shingles under one order in a large group, under the other in a small one
-        pairs = _by_class(pairs.union(grouped.filter(F.col("b").isNotNull()).select("a", "b", "orders")), member)
+        pairs = _by_class(pairs.union(found.pairs), member)
         more = stored(_under_all(pairs, orders).join(near, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             edges = stored(edges.union(verified(told, more)))

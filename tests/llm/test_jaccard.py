@@ -126,3 +126,36 @@ def test_every_link_inside_a_large_family(spark, monkeypatch):
     got = sorted(tuple(r) for r in jaccard.links(docs_df(spark, rows)).collect())
     assert got == want
     assert jaccard.links(docs_df(spark, [])).count() == 0
+
+
+def test_grouping_holds_one_small_group_and_deals_hot_shingles(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute
+
+    # one token met 500 times, one met thrice, others once
+    token = np.sort(np.concatenate([np.full(500, 8), np.full(3, 16), np.arange(100, 500) * 4]))
+    rows = pa.table({"token": token, "id": np.arange(len(token)), "place": np.full(len(token), 100 << 32), "salt": np.zeros(len(token), np.int64)})
+    read = []
+
+    def batches():
+        for k, b in enumerate(rows.to_batches(max_chunksize=50)):
+            read.append(k)
+            yield b
+
+    out = jaccard._grouped(batches())
+    first = next(out)
+    assert len(read) == 1 and first.num_rows == 50  # nothing waits for the rest of the token
+    rest = pa.Table.from_batches([first, *out])
+    assert rest.filter(pa.compute.is_null(rest["b"])).num_rows == 500 and rest.num_rows == 503
+
+    monkeypatch.setattr(jaccard, "HOT_LEVEL", 4)
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(120)]
+    family = list(enumerate(variants(rng, words, 100, 3) + variants(rng, words[:70], 60, 3) + variants(rng, [f"v{k}" for k in range(60)], 5, 2)))
+    df = docs_df(spark, family)
+    tokens = jaccard.prefixes(df, jaccard.frequent_shingles(jaccard.profiles(df)))
+    assert tokens.groupBy("token").agg({"salt": "max", "id": "count"}).filter("`count(id)` > 40 and `max(salt)` = 0").count() == 0
+    assert tokens.filter("salt > 0").select("salt").distinct().count() > 20
+    assert run(spark, family) == brute(family)
+    assert sorted(tuple(r) for r in jaccard.links(df).collect()) == brute_links(family)
