@@ -53,3 +53,29 @@ def keep_cap_by_suffix(text: Column) -> Column:
 def truncated_float_long(value: Column) -> Column:
     """The value cut to a 32-bit float, then truncated to a long."""
     return value.cast("float").cast("bigint")
+
+
+# Bits of the low limb of a sum of cents. Its sums fit a long up to 2**39 rows a group, those of
+# the high limb up to 2**87 cents; beyond that the sum is an error, never a wrong number.
+LIMB_BITS = 24
+
+
+def cents(amount: Column) -> Column:
+    """A floating-point amount in whole cents, as a DECIMAL with two places rounds it. The
+    product is exact enough but close to half a cent and beyond 2**50, where the DECIMAL decides."""
+    scaled = amount * F.lit(100.0)
+    whole = F.round(scaled)
+    unsure = (F.abs(F.abs(scaled - whole) - F.lit(0.5)) < F.lit(1e-3)) | (F.abs(scaled) > F.lit(2.0**50))
+    exact = (amount.cast(DecimalType(18, 2)) * F.lit(100)).cast("bigint")
+    return F.when(unsure, exact).otherwise(whole.cast("bigint"))
+
+
+def limbs(whole: Column) -> tuple[Column, Column]:
+    """A long as (high, low): ``high * 2**LIMB_BITS + low``, low not negative."""
+    return F.shiftright(whole, LIMB_BITS), whole.bitwiseAND(F.lit((1 << LIMB_BITS) - 1).cast("bigint"))
+
+
+def merged_cents(high: Column, low: Column) -> Column:
+    """The DECIMAL amount of summed limbs of cents; NULL if there were none."""
+    total = high.cast("decimal(20,0)") * F.lit(1 << LIMB_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    return (total.cast("decimal(34,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(CAP_TYPE)

@@ -10,7 +10,7 @@ such as a per-symbol aggregate, is not shuffled again). Top lists use ``limit``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -71,6 +71,19 @@ def top_k(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return df.orderBy(F.col(column).desc_nulls_last(), F.col(KEY).asc()).limit(k).select(KEY, column)
 
 
+def top_lists(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
+    """The ``k`` largest of each of ``columns`` in one pass: list (the column), place
+    (from 1), symbol, value (DOUBLE), by the order of ``top_k``.
+
+    Every row stands once in each list; each task keeps ``k`` rows a list before the lists
+    meet, so what is shuffled does not grow with the input."""
+    entries = F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).cast("double").alias("value")) for c in columns])
+    lists = df.select(KEY, F.inline(entries))
+    order = Window.partitionBy("list").orderBy(F.col("value").desc_nulls_last(), F.col(KEY).asc())
+    placed = lists.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return placed.select("list", "place", KEY, "value")
+
+
 def _sorted_with_ties_split(df: DataFrame, *order) -> DataFrame:
     """``orderBy(*order)`` plus a row id as the last key, so copies of one key can be
     split over range partitions. Used on stored rows only: there the ids are
@@ -84,10 +97,16 @@ def growth_report(fundamentals: DataFrame, listings: DataFrame, k: int = 10) ->
     two sorted listings all read it, so the join runs once and survives executor loss."""
     joined = stored(join_on_symbol(fundamentals, listings))
     table = growth_table(joined)
+    lists = stored(top_lists(table, ["growth", "dividend"], k))
+
+    def listed(column: str) -> DataFrame:
+        return lists.filter(F.col("list") == column).orderBy("place").select(KEY, F.col("value").alias(column))
+
     return {
         "joined": _sorted_with_ties_split(joined, F.col(KEY).asc()),
         "count": count_symbols(joined),
-        "top_growth": top_k(table, "growth", k),
-        "top_dividend": top_k(table, "dividend", k),
+        "top_growth": listed("growth"),
+        "top_dividend": listed("dividend"),
+        "top_lists": lists,
         "by_growth": _sorted_with_ties_split(table, F.col("growth").desc_nulls_last(), F.col(KEY).asc()),
     }

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.dates import on_day, on_or_before, on_or_before_lexical, until_epoch
+from sheaf.functions.money import cents, limbs, merged_cents
 
 MONEY = "decimal(38,2)"
 
@@ -58,14 +59,21 @@ def group_count_ranked_named(
     )
 
 
-def _exact_sum(value: str) -> Column:
-    return F.sum(F.col(value).cast("decimal(18,2)"))
+def _limb_sums(value: str) -> list[Column]:
+    """Exact sums of amounts as two longs per group, in whole cents; a DECIMAL buffer
+    would be rebuilt for every row. They are merged once, after the last aggregation."""
+    high, low = limbs(cents(F.col(value)))
+    return [F.sum(high).alias("_high"), F.sum(low).alias("_low")]
+
+
+def _with_sum(df: DataFrame, alias: str) -> DataFrame:
+    return df.withColumn(alias, merged_cents(F.col("_high"), F.col("_low"))).drop("_high", "_low")
 
 
 def top_sum(df: DataFrame, key: str, value: str, k: int, alias: str) -> DataFrame:
     """Exact sum per key (a DECIMAL, whatever the order of the rows), the ``k``
     largest, ties by key."""
-    return df.groupBy(key).agg(_exact_sum(value).alias(alias)).orderBy(F.col(alias).desc(), F.col(key)).limit(k)
+    return _with_sum(df.groupBy(key).agg(*_limb_sums(value)), alias).orderBy(F.col(alias).desc(), F.col(key)).limit(k)
 
 
 def top_sum_named(
@@ -76,14 +84,10 @@ def top_sum_named(
     The facts are summed per key before the join and the partial sums re-added per
     (key, name) after it, which equals join-then-group for any multiplicity of the
     key in ``dims`` and joins one row per key instead of every fact row."""
-    per_key = facts.groupBy(fact_key).agg(_exact_sum(value).alias("_part"))
+    per_key = facts.groupBy(fact_key).agg(*_limb_sums(value))
     joined = per_key.join(dims.select(F.col(dim_key).alias(fact_key), name), fact_key, "inner")
-    return (
-        joined.groupBy(fact_key, name)
-        .agg(F.sum("_part").alias(alias))
-        .orderBy(F.col(alias).desc(), F.col(fact_key), F.col(name))
-        .limit(k)
-    )
+    added = joined.groupBy(fact_key, name).agg(F.sum("_high").alias("_high"), F.sum("_low").alias("_low"))
+    return _with_sum(added, alias).orderBy(F.col(alias).desc(), F.col(fact_key), F.col(name)).limit(k)
 
 
 def _count_where(df: DataFrame, predicate: Column, counted: str, alias: str) -> DataFrame:
@@ -126,7 +130,7 @@ def semi_join_revenue(
         F.col("order_id").alias(item_order_key)
     )
     kept = items.join(keys, item_order_key, "left_semi")
-    return kept.agg(F.sum(F.col(amount).cast("decimal(18,2)")).cast(MONEY).alias(alias))
+    return _with_sum(kept.agg(*_limb_sums(amount)), alias)
 
 
 def as_dollars(df: DataFrame, column: str, alias: str) -> DataFrame:

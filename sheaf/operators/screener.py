@@ -4,8 +4,8 @@ Records are parsed quote-aware, the header is dropped by value, lines of the wro
 and caps that are unknown or in billions are dropped, and the cap text becomes an exact
 DECIMAL. Per sector: ticker count and capital (partial + final aggregate, so a sector
 holding a third of all listings still ships one row per task). The ticker list of a
-sector is returned as rows ``(sector, ticker)`` in sorted order, never gathered into one
-value, because a sector's list grows with the data.
+sector is returned as rows ``(sector, ticker)`` in sorted order or as text in chunks of
+bounded size, never gathered into one value, because a sector's list grows with the data.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from sheaf.functions.money import (
     money_value,
     truncated_float_long,
 )
+from sheaf.operators.ordering import joined_chunks
 from sheaf.sources.delimited import drop_header, parse_quoted
 
 # The header's sector text, the width and fields of a listing line (the
@@ -104,6 +105,13 @@ def sector_tickers(screened: DataFrame, *tiebreak: str) -> DataFrame:
     return screened.orderBy("sector", "ticker", *tiebreak).select("sector", "ticker")
 
 
+def sector_ticker_text(screened: DataFrame, chunk_bytes: int = 1 << 16) -> DataFrame:
+    """A4 as text: ``sector, chunk, tickers``; a sector's chunks one after another are its
+    sorted tickers joined by commas. Only chunks of bounded size are gathered."""
+    chunks = joined_chunks(screened.orderBy("sector", "ticker").select("sector", "ticker"), "sector", "ticker", chunk_bytes)
+    return chunks.withColumnRenamed("ticker", "tickers")
+
+
 def sector_report(screened: DataFrame) -> DataFrame:
     """One report per sector (P11, X17): the RDD job's ``(sector,(Sector capital = ...,
     Ticker count = ...))`` and the MapReduce job's totals lines."""

@@ -346,3 +346,56 @@ SELECT symbol, dividend, pe, TRY_CAST(pe AS DOUBLE) AS pe_value, row_number() OV
 FROM e WHERE is_valid
 """
 ORACLE_SQL["revenue_semi_join_sql"] = ORACLE_SQL["revenue_semi_join"]
+
+# A sector's tickers in order with the byte at which each starts; a chunk holds those that start in it.
+ORACLE_SQL["sector_ticker_text"] = _LISTING + """
+, o AS (
+  SELECT sector, ticker, row_number() OVER w AS i,
+         coalesce(sum(octet_length(encode(ticker)) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM screened WINDOW w AS (PARTITION BY sector ORDER BY ticker))
+SELECT sector, CAST(start // 4096 AS BIGINT) AS chunk,
+       string_agg(CASE WHEN start = 0 THEN ticker ELSE ',' || ticker END, '' ORDER BY i) AS tickers
+FROM o GROUP BY 1, 2
+"""
+ORACLE_SQL["top_lists"] = _JOINED + """
+, t AS (SELECT 'growth' AS list, symbol, growth AS value FROM g UNION ALL SELECT 'dividend', symbol, dividend FROM g),
+p AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY value DESC NULLS LAST, symbol) AS n FROM t)
+SELECT list, CAST(n AS INTEGER) AS place, symbol, value FROM p WHERE n <= 10
+"""
+# What the loyalty lines say, from the base columns: nothing is rendered or parsed here.
+_STATEMENTS = r"""
+WITH n AS (SELECT o_custkey, ceil(count(*) / 64) AS parts FROM orders GROUP BY 1),
+s AS (
+  SELECT o_custkey, CAST(o_orderkey % parts AS BIGINT) AS statement, list(o_orderkey ORDER BY o_orderkey) AS ids,
+         min(o_totalprice) AS lo, max(o_totalprice) AS hi, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
+  FROM orders JOIN n USING (o_custkey) GROUP BY 1, 2),
+l AS (
+  SELECT c_custkey AS k, c_name, c_acctbal, coalesce(statement, 0) AS statement, lo, hi, cents, len(ids) AS n_ids,
+         CASE WHEN c_custkey % 9 = 5 THEN NULL WHEN c_custkey % 9 = 4 THEN list_prepend(NULL, coalesce(ids, CAST([] AS BIGINT[])))
+              ELSE coalesce(ids, []) END AS order_ids
+  FROM customer LEFT JOIN s ON o_custkey = c_custkey),
+r AS (
+  SELECT k AS cust_id, statement, string_split(c_name, '#')[1] AS fname, string_split(c_name, '#')[-1] AS lname,
+         'c' || k || '@mail.example' AS email,
+         CASE WHEN c_acctbal >= 5000 THEN 'GOLD' WHEN c_acctbal >= 1000 THEN 'SILVER' ELSE 'BRONZE' END AS level,
+         CASE WHEN k % 6 IN (1, 2, 5) THEN '555-' || k END AS home_phone,
+         CAST(CASE k % 6 WHEN 0 THEN 0 WHEN 2 THEN 2 WHEN 4 THEN 2 ELSE 1 END AS BIGINT) AS n_phones,
+         order_ids,
+         CASE WHEN k % 17 <> 0 THEN CAST(floor(lo) AS BIGINT) END AS value_min,
+         CASE WHEN k % 17 <> 0 THEN CAST(floor(hi) AS BIGINT) END AS value_max,
+         CASE WHEN k % 17 <> 0 AND k % 7 <> 2 THEN cents // (n_ids * 100) END AS value_avg,
+         CASE WHEN k % 17 <> 0 AND k % 7 NOT IN (2, 3) THEN cents // 100 END AS value_total
+  FROM l)
+"""
+ORACLE_SQL["loyalty_load"] = _STATEMENTS + """
+SELECT cust_id, statement, fname, lname, email, level, home_phone, n_phones,
+       CAST(len(order_ids) AS VARCHAR) AS n_orders, CAST(order_ids[1] AS VARCHAR) AS first_order,
+       CAST(order_ids[3] AS VARCHAR) AS third_order,
+       CAST(CASE WHEN order_ids IS NOT NULL THEN coalesce(list_sum(order_ids), 0) END AS VARCHAR) AS sum_of_ids,
+       CAST(value_min AS VARCHAR) AS value_min, CAST(value_max AS VARCHAR) AS value_max,
+       CAST(value_avg AS VARCHAR) AS value_avg, CAST(value_total AS VARCHAR) AS value_total
+FROM r
+"""
+ORACLE_SQL["third_order"] = _STATEMENTS + """
+SELECT cust_id, CAST(order_ids[3] AS VARCHAR) AS third FROM r
+"""

@@ -16,6 +16,7 @@ from sheaf.operators import catalog, fundamentals, growth, nested, retail, scree
 from sheaf.operators.ordering import numbered
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
+from sheaf.sources.nested_text import parse_nested
 from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
 from sheaf.sources.tables import table
 
@@ -29,6 +30,8 @@ CUTOFF_DAY = "1998-10-03"
 
 # The cut-off in seconds since the epoch: midnight UTC of that day.
 CUTOFF_SECONDS = 907372800
+# Bytes of a chunk of a sector's tickers.
+TEXT_CHUNK = 4096
 # The customer that the key lookup asks for.
 LOOKUP_KEY = 42
 
@@ -127,6 +130,11 @@ def sector_report(spark: SparkSession, sf: str) -> DataFrame:
     return screener.sector_report(_screened(spark, sf))
 
 
+@query("sector_ticker_text")
+def sector_ticker_text(spark: SparkSession, sf: str) -> DataFrame:
+    return screener.sector_ticker_text(_screened(spark, sf), TEXT_CHUNK)
+
+
 @query("rendered_rows")
 def rendered_rows(spark: SparkSession, sf: str) -> DataFrame:
     per_nation = table(spark, sf, "customer", "c_nationkey").groupBy("c_nationkey").agg(
@@ -204,6 +212,12 @@ def top_dividend(spark: SparkSession, sf: str) -> DataFrame:
     return growth.top_k(growth.growth_table(_joined(spark, sf)), "dividend", 10)
 
 
+@query("top_lists")
+def top_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Both top-10 lists from one scan of each input and one join."""
+    return growth.top_lists(growth.growth_table(_joined(spark, sf)), ["growth", "dividend"], 10)
+
+
 # ---- retail questions -----------------------------------------------------------------
 
 @query("like_and_equals_filter")
@@ -376,6 +390,34 @@ def key_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("loyalty_load")
+def loyalty_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of the loyalty file read back into map, array and struct; nullable
+    numbers leave the query as text."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    rows = parse_nested(derive.loyalty_lines(_customer(spark, sf), orders), derive.LOYALTY_SCHEMA)
+    value = F.col("order_value")
+    return rows.select(
+        "cust_id", "statement", "fname", "lname", "email", "level",
+        map_value(F.col("phone"), "HOME").alias("home_phone"),
+        F.size("phone").cast("bigint").alias("n_phones"),
+        F.array_size("order_ids").cast("string").alias("n_orders"),
+        array_item(F.col("order_ids"), 0).cast("string").alias("first_order"),
+        array_item(F.col("order_ids"), 2).cast("string").alias("third_order"),
+        F.aggregate("order_ids", F.lit(0).cast("bigint"), lambda s, x: s + F.coalesce(x, F.lit(0))).cast("string").alias("sum_of_ids"),
+        *[value[x].cast("string").alias(f"value_{x}") for x in ("min", "max", "avg", "total")],
+    )
+
+
+@query("third_order")
+def third_order(spark: SparkSession, sf: str) -> DataFrame:
+    """X15 on the loyalty rows: the third order id of every statement, NULL where it is short."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    rows = parse_nested(derive.loyalty_lines(_customer(spark, sf), orders), derive.LOYALTY_SCHEMA)
+    found = nested.lookup_array(rows, "order_ids", 2, "third", key="cust_id")
+    return found.select("cust_id", F.col("third").cast("string").alias("third"))
+
+
 @query("struct_field")
 def struct_field(spark: SparkSession, sf: str) -> DataFrame:
     return nested.lookup_struct(_loyalty(spark, sf), "order_value", "total", "total_value")

@@ -219,6 +219,10 @@ def orders_with_text_dates(orders: DataFrame) -> DataFrame:
 ORDER_STATUSES = ("F", "O", "P")
 
 
+def loyalty_level(balance: Column) -> Column:
+    return F.when(balance >= 5000, F.lit("GOLD")).when(balance >= 1000, F.lit("SILVER")).otherwise(F.lit("BRONZE"))
+
+
 def loyalty_program(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """The nested ``loyalty_program`` shape, one row per customer:
     ``cust_id, fname, lname, email, level, status_orders MAP<STRING,STRING>,
@@ -248,18 +252,76 @@ def loyalty_program(customer: DataFrame, orders: DataFrame) -> DataFrame:
         F.expr("_cents div (_n * 100)").alias("avg"),
         F.expr("_cents div 100").alias("total"),
     )
-    level = (
-        F.when(F.col("c_acctbal") >= 5000, F.lit("GOLD"))
-        .when(F.col("c_acctbal") >= 1000, F.lit("SILVER"))
-        .otherwise(F.lit("BRONZE"))
-    )
     return joined.select(
         F.col("c_custkey").alias("cust_id"),
         F.substring_index(F.col("c_name"), "#", 1).alias("fname"),
         F.substring_index(F.col("c_name"), "#", -1).alias("lname"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@mail.example")).alias("email"),
-        level.alias("level"),
+        loyalty_level(F.col("c_acctbal")).alias("level"),
         status_map.alias("status_orders"),
         F.array(*[F.coalesce(F.col(f"_n_{s}"), F.lit(0)) for s in ORDER_STATUSES]).alias("order_counts"),
         order_value.alias("order_value"),
     )
+
+
+LOYALTY_SCHEMA = (
+    "cust_id BIGINT, statement BIGINT, fname STRING, lname STRING, email STRING, level STRING, phone MAP<STRING,STRING>, "
+    "order_ids ARRAY<BIGINT>, order_value STRUCT<min:BIGINT,max:BIGINT,avg:BIGINT,total:BIGINT>"
+)
+# About so many order ids stand in one line.
+STATEMENT_ORDERS = 64
+
+
+def loyalty_lines(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of the loyalty file: ``|`` between fields, ``,`` between items, ``:`` behind map
+    keys. A customer has one line (statement 0) for every ``STATEMENT_ORDERS`` orders or part of
+    it, with order numbers dealt by their remainder, so every order id stands in some line and
+    no line grows with a customer's orders; one without orders has a line with an empty array.
+
+    By customer: the phone map is empty, holds HOME, HOME and WORK, ``home``, a key without a
+    number or HOME twice; some id arrays start with a bad number or are ``\\N``; some value
+    structs are short or end in a bad number; every 17th line lacks its last field."""
+    sizes = orders.groupBy(F.col("o_custkey").alias("_cust")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / F.lit(STATEMENT_ORDERS)).cast("bigint")
+    dealt = orders.join(sizes, F.col("o_custkey") == F.col("_cust")).withColumn("_statement", F.pmod("o_orderkey", parts))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    statements = dealt.groupBy("o_custkey", "_statement").agg(
+        F.sort_array(F.collect_list("o_orderkey")).alias("_ids"),
+        F.min("o_totalprice").alias("_min"),
+        F.max("o_totalprice").alias("_max"),
+        F.sum(cents).alias("_cents"),
+    )
+    rows = customer.join(statements, F.col("c_custkey") == F.col("o_custkey"), "left")
+    k = F.col("c_custkey")
+    text = k.cast("string")
+    home, work = F.concat(F.lit("HOME:555-"), text), F.concat(F.lit("WORK:556-"), text)
+    style = F.pmod(k, 6)
+    phone = (
+        F.when(style == 0, F.lit(""))
+        .when(style == 2, F.concat_ws(",", home, work))
+        .when(style == 3, F.concat(F.lit("home:555-"), text))
+        .when(style == 4, F.concat(F.lit("HOME,"), work))
+        .when(style == 5, F.concat(home, F.lit(",HOME:999")))
+        .otherwise(home)
+    )
+    ids = F.coalesce(F.array_join("_ids", ","), F.lit(""))
+    ids = F.when(F.pmod(k, 9) == 5, F.lit(r"\N")).when(F.pmod(k, 9) == 4, F.concat_ws(",", F.lit("x"), F.array_join("_ids", ","))).otherwise(ids)
+    value = [F.floor("_min"), F.floor("_max"), F.expr("_cents div (size(_ids) * 100)"), F.expr("_cents div 100")]
+    cells = [F.coalesce(v.cast("string"), F.lit(r"\N")) for v in value]
+    order_value = (
+        F.when(F.pmod(k, 7) == 2, F.concat_ws(",", *cells[:2]))
+        .when(F.pmod(k, 7) == 3, F.concat_ws(",", *cells[:3], F.lit("n/a")))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    fields = [
+        text,
+        F.coalesce(F.col("_statement"), F.lit(0)).cast("string"),
+        F.substring_index("c_name", "#", 1),
+        F.substring_index("c_name", "#", -1),
+        F.concat(F.lit("c"), text, F.lit("@mail.example")),
+        loyalty_level(F.col("c_acctbal")),
+        phone,
+        ids,
+    ]
+    short = F.concat_ws("|", *fields)
+    return rows.select(F.when(F.pmod(k, 17) == 0, short).otherwise(F.concat_ws("|", short, order_value)).alias("value"))
