@@ -16,6 +16,7 @@ a third of all items is ranked in as many parts as there are shuffle partitions.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.llm.arrays import blocks
+from sheaf.llm.bpe import byte_letters
 from sheaf.session import cut_lineage
 
 SEQUENCE = 4096
@@ -33,9 +35,10 @@ CLASS = 16
 # Fixed values of the format: the id behind each document, the tokenizer's separator.
 END_ID = 2
 SEPARATOR = "<|startoftext|>"
-WORD_END = "</w>"
-BLOCK = 8 << 20
-REMEMBERED = 600_000
+LATIN_WORD = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([,.]?)")
+BLOCK = 1 << 20
+REMEMBERED_BYTES = 96 << 20
+ENTRY_BYTES = 240  # of a piece in a dict, besides its text and its ids
 
 # pieces of up to SHORT ids share an item until it has BUNDLE ids
 SHORT = 256
@@ -47,10 +50,37 @@ ITEMS = (
 )
 
 
+class Remembered:
+    """Values by piece of text, ``limit`` bytes of them at most (about): the newest, and from
+    the ones before them those that were asked for again."""
+
+    def __init__(self, limit: int = REMEMBERED_BYTES):
+        self.limit, self.size = limit, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __setitem__(self, piece: str, value: bytes) -> None:
+        self.new[piece] = value
+        self.size += ENTRY_BYTES + len(piece) + len(value)
+
+    def get(self, piece: str) -> bytes | None:
+        value = self.new.get(piece)
+        if value is None and (value := self.old.get(piece)) is not None:
+            self[piece] = value
+        return value
+
+    def missing(self, pieces: set[str]) -> list[str]:
+        """Those that are not held; the others are in ``new`` now."""
+        return [p for p in pieces if p not in self.new and self.get(p) is None]
+
+    def age(self) -> None:
+        if self.size > self.limit // 2:
+            self.old, self.new, self.size = self.new, {}, 0
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and never joins over it.
-    Pieces between spaces and line ends are encoded once, all new ones of a block in one
-    call with a special token between them, and remembered up to a bound."""
+    Pieces between spaces and line ends are encoded once and remembered up to a bound."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,62 +89,66 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends_word[[i for w, i in vocab.items() if w.endswith(WORD_END)]] = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        self.merge = self.tokenizer.model.tokenize
+        self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(True) + 1)]
+        # bytes that a byte-level vocabulary does not write as the Latin-1 letter of their value
+        self.letters = {b: c for b, c in enumerate(byte_letters()) if ord(c) != b}
+        self.known = Remembered()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a lower-case word of Latin-1 letters: nothing of it is folded or cut
+        before its merges, so the model alone encodes it."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.merge(word)])
 
     def _learn(self, pieces: list[str]) -> None:
-        plain: set[str] = set()
-        cores: dict[str, tuple[str, str]] = {}
+        known, others = self.known, []
         for p in pieces:
-            if "<|" in p:  # may hold the separator
-                self.known[p] = self._ids(p).tobytes()
+            m = LATIN_WORD.fullmatch(p)
+            if m is None:
+                others.append(p)
                 continue
-            # a word and a comma or full stop never merge; Latin-1 letters fold one by one
-            core, tail = (p[:-1], p[-1]) if p[-1] in ",." and p[:-1].isalpha() else (p, "")
-            if max(core) <= "\xff":
-                core = core.lower()
+            # Latin-1 letters fold one by one; a word and a comma or full stop never merge
+            core, tail = m.groups()
+            core = core.lower()
+            if (ids := known.get(core)) is None:
+                known[core] = ids = self._word(core)
             if tail or core != p:
-                cores[p] = core, tail
-                plain.update((core, tail))
-            else:
-                plain.add(p)
-        new = [p for p in plain if p not in self.known]
-        # a piece of Latin-1 letters is one word, and ends where its last id says so
-        one_word = [p.isalpha() and max(p) <= "\xff" for p in new]
-        words = [p for p, one in zip(new, one_word, strict=True) if one]
-        for a in range(0, len(words), 20_000):
-            part = words[a:a + 20_000]
-            ids = self._ids(" ".join(part))
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
-            self._remember(part, ids, [0, *ends[:-1]], ends)
-        others = [p for p, one in zip(new, one_word, strict=True) if not one]
+                known[p] = ids + self._mark(tail)
         for a in range(0, len(others), 20_000):
             part = others[a:a + 20_000]
-            ids = self._ids(SEPARATOR.join(part))
-            cut = np.flatnonzero(ids == self.separator).tolist()
-            self._remember(part, ids, [0, *[x + 1 for x in cut]], [*cut, len(ids)])
-        for p, (core, tail) in cores.items():
-            self.known[p] = self.known[core] + self.known[tail]
+            odd = [p for p in part if "<|" in p]  # may hold the separator
+            for p in odd:
+                known[p] = self._encoded(p).tobytes()
+            plain = [p for p in part if "<|" not in p]
+            ids = self._encoded(SEPARATOR.join(plain))
+            cut = (4 * np.flatnonzero(ids == self.separator)).tolist()
+            raw = ids.tobytes()
+            for p, x, y in zip(plain, [0, *[x + 4 for x in cut]], [*cut, len(raw)], strict=bool(plain)):
+                known[p] = raw[x:y]
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _remember(self, pieces: list[str], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
-        raw = ids.tobytes()
-        for p, s, e in zip(pieces, starts, ends, strict=True):
-            self.known[p] = raw[4 * s:4 * e]
+    def _mark(self, tail: str) -> bytes:
+        if not tail:
+            return b""
+        if (ids := self.known.get(tail)) is None:
+            self.known[tail] = ids = self._encoded(tail).tobytes()
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
+        self.known.age()
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new: set[str] = set()
+        wanted: set[str] = set()
         for own in split:
-            new.update(own)
-        self._learn([p for p in new if p not in self.known])
-        return [b"".join(map(self.known.__getitem__, own)) for own in split]
+            wanted.update(own)
+        wanted.discard("")
+        self._learn(self.known.missing(wanted))
+        self.known.new[""] = b""
+        return [b"".join(map(self.known.new.__getitem__, own)) for own in split]
 
 
 @cache
