@@ -8,6 +8,8 @@ independent ones (``seed``) into 128 bits.
 
 from __future__ import annotations
 
+import ctypes
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -66,6 +68,22 @@ def blocks(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, limit:
             rows = batch.slice(a, b - a)
             yield Block(key, ids[a:b], data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], null[a:b], rows)
             a = b
+    give_back()
+
+
+_given = [0.0]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, once in a while: a worker is used again by later
+    stages, and what an earlier one has freed would stay with it beside their own."""
+    if time.monotonic() - _given[0] < 1:
+        return
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    _given[0] = time.monotonic()
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.arrays import blocks
+from sheaf.llm.arrays import blocks, give_back
 from sheaf.llm.bpe import byte_letters
 from sheaf.session import cut_lineage
 
@@ -37,7 +37,7 @@ END_ID = 2
 SEPARATOR = "<|startoftext|>"
 LATIN_WORD = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([,.]?)")
 BLOCK = 1 << 20
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 64 << 20
 ENTRY_BYTES = 240  # of a piece in a dict, besides its text and its ids
 
 # pieces of up to SHORT ids share an item until it has BUNDLE ids
@@ -71,7 +71,17 @@ class Remembered:
 
     def missing(self, pieces: set[str]) -> list[str]:
         """Those that are not held; the others are in ``new`` now."""
-        return [p for p in pieces if p not in self.new and self.get(p) is None]
+        new, old, out = self.new, self.old, []
+        for p in pieces:
+            if p not in new:
+                if p in old:
+                    self[p] = old[p]
+                else:
+                    out.append(p)
+        return out
+
+    def forget(self) -> None:
+        self.new, self.old, self.size = {}, {}, 0
 
     def age(self) -> None:
         if self.size > self.limit // 2:
@@ -186,6 +196,9 @@ def items(docs: DataFrame, path: str) -> DataFrame:
             yield _item_batch(made)
         if short:
             yield _item_batch([short])
+        # workers are used again, by other stages too
+        tok.known.forget()
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(task, ITEMS)
