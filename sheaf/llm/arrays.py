@@ -79,6 +79,7 @@ def give_back() -> None:
     stages, and what an earlier one has freed would stay with it beside their own."""
     if time.monotonic() - _given[0] < 1:
         return
+    POWERS.forget()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -118,33 +119,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Powers:
+    """The powers of one odd number modulo 2**64 and their inverses, for slices of any length;
+    every ``Rolling`` uses them, as they are as long as the longest block."""
+
+    def __init__(self):
+        self.base = 0x9E3779B97F4A7C15 | 1
+        self.forget()
+
+    def forget(self) -> None:
+        self.powers = self.inverses = np.ones(1, U64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.powers) <= n:
+            n = max(n + 1, 2 * len(self.powers))
+            self.powers, self.inverses = (self._of(x, n) for x in (self.base, pow(self.base, -1, 1 << 64)))
+        return self.powers, self.inverses
+
+    @staticmethod
+    def _of(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, U64)
+        out[0] = 1
+        return np.multiply.accumulate(out, out=out)
+
+
+POWERS = Powers()
+
+
 class Rolling:
     """Hashes of many slices of one array from prefix sums modulo 2**64: value * P**index
-    summed, then moved to index 0 by the inverse power."""
+    summed, then moved to index 0 by the inverse power. Each has byte values of its own, so
+    two hashes of bytes are independent; of one array of symbols all are the same hash."""
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.table = rng.integers(0, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
-        self.base = (int(rng.integers(1 << 61, 1 << 62)) << 1) | 1
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.powers = np.ones(1, U64)
-        self.inverses = np.ones(1, U64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) <= n:
-            n = max(n + 1, 2 * len(self.powers))
-            for name, base in (("powers", self.base), ("inverses", self.inverse)):
-                out = np.full(n, base, U64)
-                out[0] = 1
-                setattr(self, name, np.multiply.accumulate(out))
+        # symbols are multiplied by a number of this hash's own before they are summed
+        self.spread = (int(rng.integers(1 << 61, 1 << 62)) << 1) | 1
 
     def slices(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A hash of values[s:e] for every (s, e)."""
-        self._grow(len(values))
+        powers, inverses = POWERS.upto(len(values))
         prefix = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * self.powers[:len(values)], out=prefix[1:])
-        h = (prefix[ends] - prefix[starts]) * self.inverses[starts]
-        return mix(h + (ends - starts).astype(U64))
+        np.multiply(values, powers[:len(values)], out=prefix[1:])
+        np.cumsum(prefix, out=prefix)
+        h = (prefix[ends] - prefix[starts]) * inverses[starts]
+        return mix(h * U64(self.spread) + (ends - starts).astype(U64))
 
     def of_bytes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return self.slices(self.table[data], starts, ends)
