@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,3 +45,33 @@ def until_epoch(text: Column, seconds: int) -> Column:
 def on_day(text: Column, day: str) -> Column:
     """the parsed day is ``day``."""
     return text_to_date(text) == F.lit(day).cast("date")
+
+
+def stamped_until(stamp: Column, day: str) -> Column:
+    """The stored time is on ``day`` or before, as a bound on the column itself, which
+    reaches the scan (no day is computed from it)."""
+    return stamp < next_midnight(day)
+
+
+def stamped_on(stamp: Column, day: str) -> Column:
+    """the stored time is on ``day``, as two bounds on the column itself."""
+    return (stamp >= F.lit(day).cast("timestamp_ntz")) & (stamp < next_midnight(day))
+
+
+def next_midnight(day: str) -> Column:
+    return F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
+
+
+def day_of_epoch(seconds: int) -> str:
+    """The calendar day (UTC) that ``seconds`` since the epoch lie in."""
+    return (datetime.date(1970, 1, 1) + datetime.timedelta(days=seconds // 86400)).isoformat()
+
+
+def partitions_until(dated: Column, day: str, unit: str = "day") -> Column:
+    """The partitions of a dated table that can hold times until ``day``."""
+    return dated <= F.date_trunc(unit, F.lit(day).cast("date")).cast("date")
+
+
+def partition_of(dated: Column, day: str, unit: str = "day") -> Column:
+    """The partition of a dated table that holds ``day``."""
+    return dated == F.date_trunc(unit, F.lit(day).cast("date")).cast("date")

@@ -26,8 +26,9 @@ def _sql_text(value: str) -> str:
 
 
 def load_into(df: DataFrame, name: str) -> None:
-    """Append rows to an existing table (by position, like ``LOAD DATA``)."""
-    df.write.insertInto(name, overwrite=False)
+    """Append rows to an existing table (by position, like ``LOAD DATA``); run twice, it
+    appends twice (``loads`` has the repeatable form)."""
+    df.write.insertInto(base_table(df.sparkSession, name), overwrite=False)
 
 
 def save_as_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -43,23 +44,55 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "
 
 
 def rename_column_view(spark: SparkSession, table: str, old: str, new: str, view: str) -> DataFrame:
-    """A view exposing ``table`` with ``old`` renamed to ``new``; no data rewrite.
-
-    The session catalog refuses ``ALTER TABLE ... RENAME COLUMN`` on a Parquet table, so
-    the rename is a projection that queries reach by the view name."""
+    """T2/T5 for one session: a view exposing ``table`` with ``old`` renamed to ``new``."""
     df = spark.table(table).withColumnRenamed(old, new)
     df.createOrReplaceTempView(view)
     return df
 
 
+# The property of a renaming view that names the table behind it.
+BASE = "sheaf.base_table"
+
+
+def base_table(spark: SparkSession, name: str) -> str:
+    """The table that holds the rows of ``name``: its own, or that behind its renaming view."""
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return properties.get(BASE, name)
+
+
+def rename_column(spark: SparkSession, name: str, old: str, new: str) -> None:
+    """A column of a catalog table renamed for every session; no data is rewritten.
+
+    The session catalog refuses to rename a Parquet table's column, so the table steps behind a
+    view of its own name that maps the columns; further renames change the view's map. The
+    name can be queried, described, renamed, loaded (``load_into``) and dropped as before."""
+    columns = spark.table(name).columns
+    if old not in columns or new in columns:
+        raise ValueError(f"cannot rename {old!r} to {new!r} in {name} with the columns {columns}")
+    base = base_table(spark, name)
+    if base == name:
+        base = f"{name}__base"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {base}")
+        spark.sql(f"CREATE VIEW {name} TBLPROPERTIES ('{BASE}' = '{base}') AS SELECT * FROM {base}")
+    shown = [new if c == old else c for c in columns]
+    pairs = zip(spark.table(base).columns, shown, strict=True)
+    spark.sql(f"ALTER VIEW {name} AS SELECT {', '.join(f'`{c}` AS `{as_}`' for c, as_ in pairs)} FROM {base}")
+
+
 def rename_table(spark: SparkSession, old: str, new: str) -> None:
-    """T4: ``ALTER TABLE old RENAME TO new``; the data stays where it is."""
-    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    """T4: ``ALTER TABLE old RENAME TO new`` (or its renaming view); the data stays."""
+    kind = "TABLE" if base_table(spark, old) == old else "VIEW"
+    spark.sql(f"ALTER {kind} {old} RENAME TO {new}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """T6."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """The table, and where columns were renamed its view as well."""
+    if not spark.catalog.tableExists(name):
+        return
+    base = base_table(spark, name)
+    if base != name:
+        spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {base}")
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:

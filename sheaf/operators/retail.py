@@ -10,8 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.dates import on_day, on_or_before, on_or_before_lexical, until_epoch
+from sheaf.functions.dates import (
+    day_of_epoch,
+    next_midnight,
+    on_day,
+    on_or_before,
+    on_or_before_lexical,
+    partition_of,
+    partitions_until,
+    stamped_on,
+    stamped_until,
+    until_epoch,
+)
 from sheaf.functions.money import cents, limbs, merged_cents
+from sheaf.sources.sinks import DATED
 
 MONEY = "decimal(38,2)"
 
@@ -100,22 +112,40 @@ def count_until_lexical(orders: DataFrame, status: str, day: str, alias: str = "
     return _count_where(orders, pred, "order_id", alias)
 
 
+def _stamped(orders: DataFrame, predicate, text_predicate) -> Column:
+    """The day bound on the stored time where the rows have it, else on the date text."""
+    return predicate(F.col("order_ts")) if "order_ts" in orders.columns else text_predicate(F.col("order_datestr"))
+
+
 def count_until(orders: DataFrame, status: str, day: str, alias: str = "n_orders") -> DataFrame:
-    """The parsed day on or before ``day``."""
-    pred = (F.col("order_status") == status) & on_or_before(F.col("order_datestr"), day)
-    return _count_where(orders, pred, "order_id", alias)
+    """The day on or before ``day``. Rows with the stored time ``order_ts`` are bounded
+    on it, so the bound reaches the scan; date text (``order_datestr``) is parsed."""
+    until = _stamped(orders, lambda c: stamped_until(c, day), lambda c: on_or_before(c, day))
+    return _count_where(orders, (F.col("order_status") == status) & until, "order_id", alias)
 
 
 def count_until_epoch(orders: DataFrame, status: str, seconds: int, alias: str = "n_orders") -> DataFrame:
-    """The parsed day compared in seconds since the epoch."""
-    pred = (F.col("order_status") == status) & until_epoch(F.col("order_datestr"), seconds)
-    return _count_where(orders, pred, "order_id", alias)
+    """The day compared in seconds since the epoch: those whose midnight is not after
+    ``seconds``."""
+    until = _stamped(orders, lambda c: stamped_until(c, day_of_epoch(seconds)), lambda c: until_epoch(c, seconds))
+    return _count_where(orders, (F.col("order_status") == status) & until, "order_id", alias)
 
 
 def count_on(orders: DataFrame, status: str, day: str, alias: str = "n_orders") -> DataFrame:
     """orders on ``day`` itself (what the question asks)."""
-    pred = (F.col("order_status") == status) & on_day(F.col("order_datestr"), day)
-    return _count_where(orders, pred, "order_id", alias)
+    on = _stamped(orders, lambda c: stamped_on(c, day), lambda c: on_day(c, day))
+    return _count_where(orders, (F.col("order_status") == status) & on, "order_id", alias)
+
+
+def read_dated_until(dated: DataFrame, stamp: str, day: str, unit: str = "day") -> DataFrame:
+    """F11 on a table written by ``sinks.write_dated``: only its partitions until ``day`` are
+    listed and read."""
+    return dated.filter(partitions_until(F.col(DATED), day, unit) & stamped_until(F.col(stamp), day))
+
+
+def read_dated_on(dated: DataFrame, stamp: str, day: str, unit: str = "day") -> DataFrame:
+    """F12 on a table written by ``sinks.write_dated``: one partition is read."""
+    return dated.filter(partition_of(F.col(DATED), day, unit) & stamped_on(F.col(stamp), day))
 
 
 def semi_join_revenue(
@@ -125,8 +155,7 @@ def semi_join_revenue(
     a day on or before ``day``. The day is bounded on the stored date ``order_ts``, so the
     bound reaches the scan. Joined on the order key (D9) as a left semi-join: an item is
     kept once however its order matches; the order side is only keys."""
-    next_day = F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
-    keys = orders.filter((F.col("order_status") == status) & (F.col("order_ts") < next_day)).select(
+    keys = orders.filter((F.col("order_status") == status) & (F.col("order_ts") < next_midnight(day))).select(
         F.col("order_id").alias(item_order_key)
     )
     kept = items.join(keys, item_order_key, "left_semi")

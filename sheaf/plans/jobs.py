@@ -1,27 +1,30 @@
 """The batch programs as whole jobs over files: read, compute, write to a fresh
-``<base>_<millis>`` folder. Each returns the output folder (and the totals the programs
-print, as values).
+``<base>_<millis>`` folder, which appears when all of it is written. Each returns the output
+folder (and the totals the programs print, as values); the tables that a job keeps on its way
+are dropped when it ends.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.operators import fundamentals, growth, screener, wordcount
-from sheaf.session import stored
+from sheaf.operators import fundamentals, growth, loads, screener, wordcount
+from sheaf.session import storage_scope, stored
+from sheaf.sources.nested_text import NestedFormat
+from sheaf.sources.publish import publication
 from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_key_ranges, write_sorted_lines
 from sheaf.sources.text import LINE_ID, read_lines
 
 
-def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False) -> str:
+def word_count_job(
+    spark: SparkSession, input_path: str, output_base: str, keep_empty: bool = False, parts: int | None = None
+) -> str:
     """Word count of a folder of text files.
 
     ``keep_empty=False``: the MapReduce job, ``word<TAB>count`` in parts by ranges of the
-    word, each sorted. ``keep_empty=True``: the RDD job (empty word counted),
-    ``(word,count)`` lines globally sorted by word."""
+    word, each sorted, ``parts`` of them if set. ``keep_empty=True``: the RDD job (empty word
+    counted), ``(word,count)`` lines globally sorted by word."""
     out = run_path(output_base)
     lines = read_lines(spark, input_path)
     if keep_empty:
@@ -29,7 +32,7 @@ def word_count_job(spark: SparkSession, input_path: str, output_base: str, keep_
         write_sorted_lines(tuple_text("word", "occurrences"), counts, ["word"], out)
     else:
         counts = wordcount.word_count(lines, "value")
-        write_key_ranges(tab_text("word", "occurrences"), counts, "word", out)
+        write_key_ranges(tab_text("word", "occurrences"), counts, "word", out, parts)
     return out
 
 
@@ -40,19 +43,19 @@ def screener_job(
     sector, ``<out>/tickers`` the ``sector<TAB>ticker`` lines, both sorted. The defaults
     are the MapReduce program's filter; ``rule="substring", check_width=False`` is the
     RDD program's."""
-    out = run_path(output_base)
     # Lines go through the column parser, which also counts the quote-aware fields that
     # the width check needs (the CSV file reader does not expose a count).
     records = screener.listing_records(read_lines(spark, input_path, line_id=True), "value", LINE_ID)
-    # parsed once: both outputs, and the sampling before each sort, read the stored rows
-    screened = stored(screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,)))
-    report = screener.sector_report(screened)
-    write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], os.path.join(out, "sectors"))
-    # the line id splits copies of one listing across range partitions
-    write_sorted_lines(
-        tab_text("sector", "ticker"), screened, ["sector", "ticker", LINE_ID], os.path.join(out, "tickers")
-    )
-    return out
+    with storage_scope(spark), publication(spark, output_base) as run:
+        # parsed once: both outputs, and the sampling before each sort, read the stored rows
+        screened = stored(screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,)))
+        report = screener.sector_report(screened)
+        write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], run.output("sectors"))
+        # the line id splits copies of one listing across range partitions
+        write_sorted_lines(
+            tab_text("sector", "ticker"), screened, ["sector", "ticker", LINE_ID], run.output("tickers")
+        )
+    return run.path
 
 
 def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) -> tuple[str, dict]:
@@ -63,9 +66,10 @@ def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) ->
     lines = read_lines(spark, input_path, line_id=True)
     observed = Observation("fundamentals_quality")
     classified = fundamentals.classify(lines, "value", LINE_ID).observe(observed, *fundamentals.quality_metrics())
-    kept = stored(classified.filter("valid").select("symbol", "dividend", "pe", LINE_ID))
-    # the line id splits copies of one symbol across range partitions
-    write_sorted_lines(tuple_text("symbol", "dividend", "pe"), kept, ["symbol", LINE_ID], out)
+    with storage_scope(spark):
+        kept = stored(classified.filter("valid").select("symbol", "dividend", "pe", LINE_ID))
+        # the line id splits copies of one symbol across range partitions
+        write_sorted_lines(tuple_text("symbol", "dividend", "pe"), kept, ["symbol", LINE_ID], out)
     return out, dict(observed.get)
 
 
@@ -76,14 +80,25 @@ def growth_job(
     range, both top-``k`` lists. ``<out>/joined`` lists each matched symbol with the
     fields of both files (sorted by symbol), ``<out>/growth`` the growth table sorted by
     growth. Both files are read quote-aware, headers dropped on both sides; the join is
-    stored once and every output reads it."""
-    out = run_path(output_base)
+    stored once and every output reads it. The report reads it too: it lasts until the
+    caller's storage scope ends, or else the application."""
     fund = growth.fundamentals_side(read_lines(spark, fundamentals_path))
     listings = screener.listing_records(read_lines(spark, listings_path)).select("symbol", "name", "sector", "market_cap")
     report = growth.growth_report(fund, listings, k)
     # Both frames are already sorted (ties split by row id); writing keeps that order.
     joined = report["joined"]
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in joined.columns]
-    joined.select(F.concat_ws("\t", *fields)).write.text(os.path.join(out, "joined"))
-    report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(os.path.join(out, "growth"))
-    return out, report
+    with publication(spark, output_base) as run:
+        joined.select(F.concat_ws("\t", *fields)).write.text(run.output("joined"))
+        report["by_growth"].select(tuple_text("symbol", "dividend", "growth")).write.text(run.output("growth"))
+    return run.path, report
+
+
+def loyalty_job(
+    spark: SparkSession, input_path: str, table: str, load_id: str, schema: str, fmt: NestedFormat = NestedFormat()
+) -> int:
+    """The loyalty file into its table: nested text files as load ``load_id``, which takes the
+    place of an earlier try of the same load. Returns the rows of the load."""
+    loads.create_loaded_table(spark, table, schema)
+    loads.load_nested(spark, input_path, table, load_id, fmt)
+    return spark.table(table).filter(F.col(loads.LOAD_ID) == load_id).count()

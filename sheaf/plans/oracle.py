@@ -399,3 +399,4 @@ FROM r
 ORACLE_SQL["third_order"] = _STATEMENTS + """
 SELECT cust_id, CAST(order_ids[3] AS VARCHAR) AS third FROM r
 """
+ORACLE_SQL["orders_until_dated"] = ORACLE_SQL["orders_until_date"]

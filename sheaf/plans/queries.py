@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from sheaf.functions.nested import array_item, map_value
 from sheaf.operators import catalog, fundamentals, growth, nested, retail, screener, wordcount
 from sheaf.operators.ordering import numbered
+from sheaf.session import own_path
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
 from sheaf.sources.nested_text import parse_nested
-from sheaf.sources.sinks import hashed_sorted, tab_text, tuple_text
+from sheaf.sources.sinks import hashed_sorted, read_dated, tab_text, tuple_text, write_dated
 from sheaf.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,6 +293,17 @@ def orders_on_date(spark: SparkSession, sf: str) -> DataFrame:
     return retail.count_on(_orders_text(spark, sf), COMPLETE, CUTOFF_DAY)
 
 
+@query("orders_until_dated")
+def orders_until_dated(spark: SparkSession, sf: str) -> DataFrame:
+    """F11 on the orders written as a table partitioned by month: later months are not read."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
+    path = own_path(spark)
+    write_dated(orders, "o_orderdate", path, "month")
+    dated = read_dated(spark, path, "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderstatus STRING")
+    until = retail.read_dated_until(dated, "o_orderdate", CUTOFF_DAY, "month")
+    return retail.count_column(until.filter(F.col("o_orderstatus") == COMPLETE), "o_orderkey", "n_orders")
+
+
 def _revenue(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice")
     return retail.semi_join_revenue(items, _orders_text(spark, sf), "l_orderkey", "l_extendedprice", COMPLETE, CUTOFF_DAY)

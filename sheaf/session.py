@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import os
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +22,11 @@ DEFAULTS = {
     # the measured size of the build side, larger sides use a shuffled join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # the Python call site of every column expression is not recorded (errors name the
+    # expression instead)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # files of checkpoints that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -111,10 +119,64 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to a new Parquet table below the checkpoint folder, and read back:
-    like ``cut_lineage``, but compressed, and later reads take only the columns they need."""
-    spark = df.sparkSession
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its path object."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+class Scope:
+    """The tables that ``stored`` has written for one piece of work."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def drop(self) -> None:
+        """Delete the tables; what a failed write has left goes too."""
+        while self.paths:
+            fs, target = file_system(self.spark, self.paths[-1])
+            fs.delete(target, True)
+            self.paths.pop()
+
+
+_open_scopes = threading.local()
+
+
+@contextmanager
+def storage_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Tables that ``stored`` writes inside belong to this scope (the innermost one of the
+    thread) and are dropped when it ends, also after an error. Results that are needed
+    longer must have been written elsewhere by then, or stored for an outer scope."""
+    scopes = _open_scopes.__dict__.setdefault("scopes", [])
+    scope = Scope(spark)
+    scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        scopes.remove(scope)
+        scope.drop()
+
+
+def own_path(spark: SparkSession, scope: Scope | None = None) -> str:
+    """A new path for a table below the checkpoint folder.
+
+    It belongs to ``scope`` or else to the innermost open one. Outside of any scope it lasts as
+    long as the application, as a lazy result may read it at any time."""
     path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4()}")
+    scopes = _open_scopes.__dict__.get("scopes", [])
+    owner = scope or (scopes[-1] if scopes else None)
+    if owner is not None:
+        owner.paths.append(path)
+    else:
+        fs, target = file_system(spark, path)
+        fs.deleteOnExit(target)
+    return path
+
+
+def stored(df: DataFrame, scope: Scope | None = None) -> DataFrame:
+    """``df`` written to a new Parquet table at an ``own_path``, and read back: like
+    ``cut_lineage``, but compressed, and later reads take only the columns they need."""
+    path = own_path(df.sparkSession, scope)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 QUOTED_SPAN = r'"[^"]*"'
 
@@ -47,14 +47,18 @@ def parse_quoted(df: DataFrame, schema: str, line_col: str = "value", *keep: str
     ones too. An empty text field is an empty text, one past the end of a short line is
     NULL; cells that do not fit their type become NULL.
     """
-    rec = F.from_csv(F.col(line_col), schema, QUOTED_OPTIONS)
-    parsed = project_once(df, keep, _rec=rec, field_count=quoted_field_count(F.col(line_col)))
-    fields = parsed.schema["_rec"].dataType.fields
-    out = parsed.select(*keep, "_rec.*", "field_count")
-    return out.withColumns({
-        f.name: F.when(F.col("field_count") > i, F.coalesce(_unquoted(f.name), F.lit("")))
-        for i, f in enumerate(fields) if f.dataType == StringType()
-    })
+    texts = [f.name for f in StructType.fromDDL(schema).fields if f.dataType == StringType()]
+    names = StructType.fromDDL(schema).fieldNames()
+    options = ", ".join(f"'{k}', '{v}'" for k, v in QUOTED_OPTIONS.items())
+    outside = f"regexp_replace(`{line_col}`, '{QUOTED_SPAN}', '')"
+    # one generator, so that each row is parsed once (project_once)
+    parsed = df.selectExpr(*keep, f"""inline(array(named_struct(
+        '_rec', from_csv(`{line_col}`, '{schema}', map({options})),
+        'field_count', length({outside}) - length(replace({outside}, ',', '')) + 1)))""")
+    return parsed.selectExpr(*keep, *[
+        f"CASE WHEN field_count > {i} THEN coalesce(replace(_rec.`{n}`, '\"', ''), '') END AS `{n}`" if n in texts else f"_rec.`{n}`"
+        for i, n in enumerate(names)
+    ], "field_count")
 
 
 def _unquoted(name: str) -> Column:

@@ -25,13 +25,9 @@ FUNDAMENTALS_HEADER = (
 RATINGS_SCHEMA = "posted TIMESTAMP_NTZ, cust_id BIGINT, prod_id BIGINT, rating TINYINT, message STRING"
 
 
-def _money2(c: Column) -> Column:
+def _money2(amount: str, name: str) -> str:
     """A two-decimal amount as text, e.g. ``-994.28``, ``100.00``."""
-    return c.cast("decimal(12,2)").cast("string")
-
-
-def _ticker(key: Column) -> Column:
-    return F.concat(F.lit("T"), key.cast("string"))
+    return f"string(CAST({amount} AS DECIMAL(12,2))) AS {name}"
 
 
 def _with_header(lines: DataFrame, header: str) -> DataFrame:
@@ -39,12 +35,6 @@ def _with_header(lines: DataFrame, header: str) -> DataFrame:
     return head.unionByName(lines)
 
 
-def _decimals(key: Column, factor: int, digits: int) -> Column:
-    """``<key mod 1000>.<digits decimals>``, the decimals taken from the key as well."""
-    part = F.lpad(F.pmod(key * factor, 10**digits).cast("string"), digits, "0")
-    return F.concat(F.pmod(key, 1000).cast("string"), F.lit("."), part)
-
-
 def listing_lines(customer: DataFrame, with_header: bool = True) -> DataFrame:
     """NASDAQ-style lines: 8 quoted fields and a trailing comma (9 fields).
 
@@ -54,41 +44,30 @@ def listing_lines(customer: DataFrame, with_header: bool = True) -> DataFrame:
     ``$<bal>M``, ``$<bal>B``, ``$<bal>``, blank, no number, four or more decimals with and
     without ``M``, a ``B`` that is not at the end, or ``n/a`` with a remark behind it.
     """
-    k = F.col("c_custkey")
-    bal = _money2(F.col("c_acctbal"))
-    ticker = F.when(F.pmod(k, 50) == 0, F.rpad(_ticker(k), 14, " ")).otherwise(_ticker(k))
-    style = F.pmod(k, 16)
-    cap = (
-        F.when(style == 0, F.lit("n/a"))
-        .when(style == 2, F.concat(F.lit("$"), bal, F.lit("B")))
-        .when(style == 3, F.concat(F.lit("$"), bal))
-        .when(style == 4, F.lit(""))
-        .when(style == 5, F.lit("unknown"))
-        .when(style == 6, F.concat(F.lit("$"), _decimals(k, 37, 4), F.lit("M")))
-        .when(style == 7, F.concat(F.lit("$0.00"), F.pmod(k, 10).cast("string"), F.lit("M")))
-        .when(style == 8, F.concat(F.lit("$"), bal, F.lit("BM")))
-        .when(style == 9, F.lit("n/a est."))
-        .when(style == 10, F.concat(F.lit("$"), _decimals(k, 7919, 6)))
-        .otherwise(F.concat(F.lit("$"), bal, F.lit("M")))
-    )
-    name = (
-        F.when(F.pmod(k, 11) == 3, F.concat(F.col("c_name"), F.lit(' ""Q"" Inc.')))
-        .when(F.pmod(k, 11) == 5, F.concat(F.col("c_name"), F.lit("\\")))
-        .otherwise(F.concat(F.col("c_name"), F.lit(", Inc.")))
-    )
-    fields = [
-        ticker,
-        name,
-        bal,
-        cap,
-        (F.lit(1990) + F.col("c_nationkey")).cast("string"),
-        F.col("c_mktsegment"),
-        F.concat(F.lit("Industry "), F.col("c_nationkey").cast("string")),
-        F.concat(F.lit("quote/"), _ticker(k)),
-    ]
-    quoted = [F.concat(F.lit('"'), f, F.lit('"')) for f in fields]
-    end = F.when(F.pmod(k, 13) == 4, F.lit("")).when(F.pmod(k, 13) == 9, F.lit(",extra,")).otherwise(F.lit(","))
-    lines = customer.select(F.concat(F.concat_ws(",", *quoted), end).alias("value"))
+    parts = customer.selectExpr("c_custkey AS k", "c_name", "c_nationkey", "c_mktsegment", _money2("c_acctbal", "bal"))
+    lines = parts.selectExpr(r"""
+        concat('"', concat_ws('","',
+            CASE WHEN pmod(k, 50) = 0 THEN rpad(concat('T', k), 14, ' ') ELSE concat('T', k) END,
+            CASE pmod(k, 11) WHEN 3 THEN concat(c_name, ' ""Q"" Inc.') WHEN 5 THEN concat(c_name, '\\')
+                             ELSE concat(c_name, ', Inc.') END,
+            bal,
+            CASE pmod(k, 16)
+                WHEN 0 THEN 'n/a'
+                WHEN 2 THEN concat('$', bal, 'B')
+                WHEN 3 THEN concat('$', bal)
+                WHEN 4 THEN ''
+                WHEN 5 THEN 'unknown'
+                WHEN 6 THEN concat('$', pmod(k, 1000), '.', lpad(pmod(k * 37, 10000), 4, '0'), 'M')
+                WHEN 7 THEN concat('$0.00', pmod(k, 10), 'M')
+                WHEN 8 THEN concat('$', bal, 'BM')
+                WHEN 9 THEN 'n/a est.'
+                WHEN 10 THEN concat('$', pmod(k, 1000), '.', lpad(pmod(k * 7919, 1000000), 6, '0'))
+                ELSE concat('$', bal, 'M') END,
+            string(1990 + c_nationkey),
+            c_mktsegment,
+            concat('Industry ', c_nationkey),
+            concat('quote/T', k)),
+        '"', CASE pmod(k, 13) WHEN 4 THEN '' WHEN 9 THEN ',extra,' ELSE ',' END) AS value""")
     return _with_header(lines, LISTING_HEADER) if with_header else lines
 
 
@@ -99,43 +78,22 @@ def fundamentals_lines(customer: DataFrame, with_header: bool = True) -> DataFra
     dividend is blank, ``n/a``, a whole number or ``d.dd``; P/E is blank, negative or the
     balance; every 17th line lacks its last field.
     """
-    k = F.col("c_custkey")
-    bal = _money2(F.col("c_acctbal"))
-    name = (
-        F.when(F.pmod(k, 13) == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(', Inc."')))
-        .when(F.pmod(k, 13) == 6, F.concat(F.lit('"'), F.col("c_name"), F.lit(' ""Q"" Co"')))
-        .otherwise(F.col("c_name"))
-    )
-    whole = F.pmod(k, 500).cast("string")
-    decimal = F.concat(whole, F.lit("."), F.lpad(F.pmod(k * 7, 100).cast("string"), 2, "0"))
-    div_style = F.pmod(k, 7)
-    dividend = (
-        F.when(div_style == 0, F.lit(""))
-        .when(div_style == 1, F.lit("n/a"))
-        .when(div_style == 2, whole)
-        .otherwise(decimal)
+    parts = customer.selectExpr(
+        "c_custkey AS k", "c_name", "c_nationkey", "c_mktsegment", _money2("c_acctbal", "bal"),
+        _money2("abs(c_acctbal)", "low"), _money2("abs(c_acctbal) * 2", "high"),
+        "concat(pmod(c_custkey, 500), '.', lpad(pmod(c_custkey * 7, 100), 2, '0')) AS dec",
     )
-    pe_style = F.pmod(k, 11)
-    pe = F.when(pe_style == 0, F.lit("")).when(pe_style == 1, F.concat(F.lit("-"), decimal)).otherwise(bal)
-    fields = [
-        _ticker(k),
-        name,
-        F.col("c_mktsegment"),
-        bal,
-        dividend,
-        pe,
-        F.col("c_nationkey").cast("string"),
-        F.lit("1.00"),
-        _money2(F.abs(F.col("c_acctbal"))),
-        _money2(F.abs(F.col("c_acctbal")) * 2),
-        bal,
-        F.lit("0"),
-        F.lit("1.50"),
-        F.lit("2.50"),
-        F.concat(F.lit("filings/"), _ticker(k)),
-    ]
-    line = F.when(F.pmod(k, 17) == 0, F.concat_ws(",", *fields[:14])).otherwise(F.concat_ws(",", *fields))
-    lines = customer.select(line.alias("value"))
+    lines = parts.selectExpr(r"""
+        concat_ws(',',
+            concat('T', k),
+            CASE pmod(k, 13) WHEN 0 THEN concat('"', c_name, ', Inc."') WHEN 6 THEN concat('"', c_name, ' ""Q"" Co"') ELSE c_name END,
+            c_mktsegment,
+            bal,
+            CASE pmod(k, 7) WHEN 0 THEN '' WHEN 1 THEN 'n/a' WHEN 2 THEN string(pmod(k, 500)) ELSE dec END,
+            CASE pmod(k, 11) WHEN 0 THEN '' WHEN 1 THEN concat('-', dec) ELSE bal END,
+            string(c_nationkey),
+            '1.00', low, high, bal, '0', '1.50', '2.50',
+            CASE WHEN pmod(k, 17) <> 0 THEN concat('filings/T', k) END) AS value""")
     return _with_header(lines, FUNDAMENTALS_HEADER) if with_header else lines
 
 
@@ -145,23 +103,16 @@ def fundamentals_order_lines(orders: DataFrame) -> DataFrame:
     By key: dividend is blank, ``n/a`` or the number of finished orders; the low is
     ``n/a``, ``0`` or the smallest order price, the high ``n/a`` or the largest; some names
     are quoted and hold a comma."""
-    g = fundamentals_by_customer(orders)
-    k = F.col("symbol")
-    name = F.when(F.pmod(k, 13) == 0, F.concat(F.lit('"Co '), k.cast("string"), F.lit(', Inc."'))).otherwise(
-        F.concat(F.lit("Co "), k.cast("string"))
-    )
-    dividend = F.when(F.pmod(k, 7) == 0, F.lit("")).when(F.pmod(k, 7) == 1, F.lit("n/a")).otherwise(F.col("dividend"))
-    low = F.when(F.pmod(k, 19) == 0, F.lit("n/a")).when(F.pmod(k, 29) == 0, F.lit("0")).otherwise(
-        F.col("week52_low").cast("decimal(18,2)").cast("string")
-    )
-    high = F.when(F.pmod(k, 23) == 0, F.lit("n/a")).otherwise(F.col("week52_high").cast("decimal(18,2)").cast("string"))
-    filler = [F.lit(x) for x in ("1.0", "1", "1.00")]
-    fields = [
-        _ticker(k), name, F.lit("S"), F.lit("1.00"), dividend, *filler, low, high,
-        *[F.lit(x) for x in ("0", "0", "1.50", "2.50")], F.concat(F.lit("filings/"), _ticker(k)),
-    ]
-    copies = F.when(F.pmod(k, 31) == 0, F.lit(2)).otherwise(F.lit(1))
-    lines = g.select(F.concat_ws(",", *fields).alias("value"), F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
+    lines = fundamentals_by_customer(orders).withColumnRenamed("symbol", "k").selectExpr(r"""
+        concat_ws(',',
+            concat('T', k),
+            CASE WHEN pmod(k, 13) = 0 THEN concat('"Co ', k, ', Inc."') ELSE concat('Co ', k) END,
+            'S', '1.00',
+            CASE pmod(k, 7) WHEN 0 THEN '' WHEN 1 THEN 'n/a' ELSE dividend END,
+            '1.0', '1', '1.00',
+            CASE WHEN pmod(k, 19) = 0 THEN 'n/a' WHEN pmod(k, 29) = 0 THEN '0' ELSE string(CAST(week52_low AS DECIMAL(18,2))) END,
+            CASE WHEN pmod(k, 23) = 0 THEN 'n/a' ELSE string(CAST(week52_high AS DECIMAL(18,2))) END,
+            '0', '0', '1.50', '2.50', concat('filings/T', k)) AS value""", "explode(sequence(1, if(pmod(k, 31) = 0, 2, 1))) AS _copy")
     return _with_header(lines.select("value"), FUNDAMENTALS_HEADER)
 
 

@@ -1,3 +1,5 @@
+import pytest
+
 from sheaf.operators import catalog
 
 
@@ -53,3 +55,32 @@ def test_tab_delimited_table_in_sql(spark, tmp_path):
         assert spark.sql("SELECT count(*) AS n FROM ratings").first().n == 3
     finally:
         catalog.drop_table(spark, "ratings")
+
+
+def test_renamed_column_outlives_the_session(spark):
+    for name in ("loyalty_t", "reward_t"):
+        catalog.drop_table(spark, name)
+    catalog.create_table(spark, "loyalty_t", "cust_id INT, level STRING, phone MAP<STRING,STRING>")
+    rows = spark.createDataFrame([(1200866, "SILVER", {"HOME": "1"}), (7, "GOLD", None)], "cust_id INT, level STRING, phone MAP<STRING,STRING>")
+    try:
+        catalog.load_into(rows, "loyalty_t")
+        catalog.rename_column(spark, "loyalty_t", "level", "status")
+        other = spark.newSession()
+        assert other.sql("SELECT status FROM loyalty_t WHERE cust_id = 1200866").first().status == "SILVER"
+        assert [r.col_name for r in catalog.describe_table(other, "loyalty_t").collect()] == ["cust_id", "status", "phone"]
+        catalog.rename_table(spark, "loyalty_t", "reward_t")
+        other = spark.newSession()
+        assert not other.catalog.tableExists("loyalty_t")
+        assert other.sql("SELECT status FROM reward_t WHERE cust_id = 1200866").first().status == "SILVER"
+        # the map follows further renames, and loads reach the rows behind it
+        catalog.rename_column(other, "reward_t", "phone", "numbers")
+        catalog.load_into(rows.limit(1), "reward_t")
+        got = spark.sql("SELECT cust_id, status, numbers['HOME'] AS home FROM reward_t").collect()
+        assert len(got) == 3 and sum(r.home == "1" for r in got) >= 1
+        with pytest.raises(ValueError):
+            catalog.rename_column(spark, "reward_t", "level", "x")
+        with pytest.raises(ValueError):
+            catalog.rename_column(spark, "reward_t", "status", "cust_id")
+    finally:
+        catalog.drop_table(spark, "reward_t")
+    assert not spark.catalog.tableExists("reward_t") and not spark.catalog.tableExists("loyalty_t__base")

@@ -1,0 +1,162 @@
+"""Outputs published together, stored tables that are dropped, tables partitioned by time."""
+
+import datetime
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sheaf.functions.dates import day_of_epoch
+from sheaf.operators import retail
+from sheaf.plans import jobs
+from sheaf.plans.registry import queries
+from sheaf.session import checkpoint_dir, storage_scope, stored
+from sheaf.sources import publish, sinks
+from tests.conftest import SF_SMALL
+from tests.test_plans import physical
+
+LISTING = '"AAA","A","1","$1.5M","n/a","Tech","x","u",\n"BBB","B","1","$2M","n/a","Tech","x","u",\n'
+
+
+def tables(spark):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    return set(glob.glob(os.path.join(folder, "table-*")))
+
+
+def test_both_outputs_appear_together(spark, tmp_path):
+    base = str(tmp_path / "screen")
+    with publish.publication(spark, base) as run:
+        spark.range(3).write.csv(run.output("sectors"))
+        assert not os.path.exists(run.path) and publish.published(spark, run.path) is None
+        spark.range(5).write.csv(run.output("tickers"))
+    outputs = publish.published(spark, run.path)
+    assert set(outputs) == {"sectors", "tickers"}
+    assert [spark.read.csv(outputs[x]).count() for x in ("sectors", "tickers")] == [3, 5]
+    assert os.listdir(tmp_path) == [os.path.basename(run.path)]
+
+
+def test_a_run_that_fails_leaves_nothing(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), publish.publication(spark, str(tmp_path / "x")) as run:
+        spark.range(3).write.csv(run.output("sectors"))
+        1 / 0  # noqa: B018
+    assert os.listdir(tmp_path) == []
+
+
+def test_two_runs_in_one_millisecond(spark, tmp_path):
+    base = str(tmp_path / "r")
+    first = publish.Publication(spark, base, 1478473144935)
+    second = publish.Publication(spark, base, 1478473144935)
+    first.publish()
+    third = publish.Publication(spark, base, 1478473144935)
+    assert [os.path.basename(x.path) for x in (first, second, third)] == [f"r_147847314493{n}" for n in (5, 6, 7)]
+    second.publish()
+    assert publish.published(spark, first.path) == {} and publish.published(spark, second.path) == {}
+    third.discard()
+
+
+def test_a_manifest_without_its_files_is_no_run(spark, tmp_path):
+    with publish.publication(spark, str(tmp_path / "r")) as run:
+        spark.range(3).coalesce(1).write.csv(run.output("a"))
+    part = glob.glob(os.path.join(run.path, "a", "part-*"))[0]
+    os.remove(part)
+    assert publish.published(spark, run.path) is None
+
+
+def test_stored_tables_go_with_their_scope(spark):
+    before = tables(spark)
+    with storage_scope(spark) as outer:
+        with storage_scope(spark):
+            kept = stored(spark.range(10), outer)
+            own = stored(spark.range(5))
+            assert (kept.count(), own.count()) == (10, 5) and len(tables(spark) - before) == 2
+        assert len(tables(spark) - before) == 1 and kept.count() == 10
+    assert tables(spark) == before
+    with pytest.raises(Exception, match="no day"), storage_scope(spark):
+        stored(spark.range(3))
+        stored(spark.range(100).select(F.when(F.col("id") < 99, 1).otherwise(F.raise_error(F.lit("no day"))).alias("x")))
+    assert tables(spark) == before
+
+
+def test_jobs_leave_no_tables(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "n.csv").write_text(LISTING)
+    before = tables(spark)
+    out = jobs.screener_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    jobs.fundamentals_job(spark, str(tmp_path / "in"), str(tmp_path / "fund"))
+    with storage_scope(spark):
+        _, report = jobs.growth_job(spark, str(tmp_path / "in"), str(tmp_path / "in"), str(tmp_path / "growth"))
+        assert report["count"].first().n_symbols == 2
+        for frame in report.values():
+            frame.collect()
+    with storage_scope(spark):
+        queries()["word_count_sorted"](spark, SF_SMALL).count()
+    assert tables(spark) == before
+    assert set(publish.published(spark, out)) == {"sectors", "tickers"}
+
+
+def test_word_count_parts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t").write_text(" ".join(f"w{i}" for i in range(500)))
+    for parts in (1, 17):
+        out = jobs.word_count_job(spark, str(tmp_path / "in"), str(tmp_path / f"out{parts}"), parts=parts)
+        files = sorted(glob.glob(os.path.join(out, "part-*")))
+        assert len(files) == parts
+        lines = [line for f in files for line in open(f).read().splitlines()]
+        assert len(lines) == 500 and lines == sorted(lines)
+    words = spark.range(100).select(F.col("id").cast("string").alias("word"))
+    assert sinks.hashed_sorted(words, "word", 5).rdd.getNumPartitions() == 5
+
+
+def test_loyalty_job_can_be_run_again(spark, tmp_path):
+    (tmp_path / "loyalty_data.txt").write_text("1|a:b|1,2\n2||\n")
+    spark.sql("DROP TABLE IF EXISTS loyalty_job_t")
+    try:
+        for _ in range(2):
+            assert jobs.loyalty_job(spark, str(tmp_path), "loyalty_job_t", "d1", "id INT, m MAP<STRING,STRING>, l ARRAY<INT>") == 2
+        assert spark.table("loyalty_job_t").count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS loyalty_job_t")
+
+
+@pytest.fixture
+def whole_plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_day_bounds_reach_the_scan(spark, whole_plans):
+    for name in ("orders_until_date", "orders_until_epoch"):
+        assert "LessThan(o_orderdate,1998-10-04" in physical(queries()[name](spark, SF_SMALL)), name
+    on = physical(queries()["orders_on_date"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1998-10-03" in on and "LessThan(o_orderdate,1998-10-04" in on
+    dated = physical(queries()["orders_until_dated"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(dated" in dated and "dated#" in dated.split("PartitionFilters")[1].split("]")[0]
+    assert "LessThan(o_orderdate,1998-10-04" in dated
+
+
+def test_dated_tables(spark, tmp_path):
+    rows = [(i, datetime.datetime(2014, 5, 1) + datetime.timedelta(hours=7 * i), "x") for i in range(400)] + [(-1, None, "y")]
+    df = spark.createDataFrame(rows, "k INT, at TIMESTAMP_NTZ, t STRING")
+    for unit in ("day", "month"):
+        path = str(tmp_path / unit)
+        sinks.write_dated(df, "at", path, unit)
+        back = sinks.read_dated(spark, path, "k INT, at TIMESTAMP_NTZ, t STRING")
+        assert sorted(map(str, back.drop("dated").collect())) == sorted(map(str, df.collect()))
+        for day in ("2014-05-17", "2014-04-30", "2020-01-01"):
+            until = datetime.datetime.fromisoformat(day) + datetime.timedelta(days=1)
+            got = {r.k for r in retail.read_dated_until(back, "at", day, unit).collect()}
+            assert got == {k for k, at, _ in rows if at and at < until}
+            on = {r.k for r in retail.read_dated_on(back, "at", day, unit).collect()}
+            assert on == {k for k, at, _ in rows if at and at.date().isoformat() == day}
+        files = retail.read_dated_on(back, "at", "2014-05-17", unit).select(F.input_file_name()).distinct().count()
+        assert files == 1
+
+
+def test_text_dates_are_still_parsed(spark):
+    df = spark.createDataFrame([(1, "2014-05-17 10:00:00", "C"), (2, "2014-05-18 00:00:00", "C"), (3, "bad", "C")], "order_id INT, order_datestr STRING, order_status STRING")
+    assert retail.count_until(df, "C", "2014-05-17").first().n_orders == 1
+    assert retail.count_on(df, "C", "2014-05-18").first().n_orders == 1
+    assert retail.count_until_epoch(df, "C", 1400284800).first().n_orders == 1
+    assert day_of_epoch(1400284800) == "2014-05-17" == day_of_epoch(1400284800 + 86399)
