@@ -17,7 +17,8 @@ more than FREQUENT of all are counted first), and are otherwise two different ha
    components, again under all orders, so no link is lost; these are verified as well.
 
 ``join`` gives components, for which a hub's pairs do; ``links`` gives every link between
-different sets: large groups give all pairs there, dealt by token and salt.
+different sets: large groups give all pairs there, dealt by token and salt. ``link_counts`` has
+a row a document, with its class and its number of links.
 
 Cases: a null text or one without words has no shingles and links with nothing; under five
 words the whole sequence is the one shingle; a null doc_id is reported with its size and a
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.llm.arrays import IN_WORD, LOWER, U64, Block, Rolling, blocks, mix, signed, spans
-from sheaf.llm.graph import BROADCAST_ROWS, components, few
+from sheaf.llm.graph import components, few
 from sheaf.session import stored
 
 WORDS = 5
@@ -58,6 +59,8 @@ SALT_ROWS = 256
 # level (logarithm of the count) from which a shingle's rows are dealt over several tasks
 HOT_LEVEL = 12
 SALTS = 64
+# sets that a task remembers to leave out repeated rows
+MET = 1 << 18
 
 _WORD, _WORD2, _SPAN, _SPAN2 = (Rolling(s) for s in (201, 202, 203, 204))
 _SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -181,6 +184,8 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], orders: i
             h1, h2, first = shingles(block)
             k1, k2 = _fingerprints(h1, h2, first)
             new = np.zeros(len(block), bool)
+            if len(met) > MET:
+                met.clear()  # what comes again is named like its class later
             for i, key in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
                 if key not in met:
                     met.add(key)
@@ -340,13 +345,11 @@ def _find(docs: DataFrame, orders: int) -> _Found:
     classes = some.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
     member = stored(some.join(classes, ["n", "k1", "k2"]).select("id", "rep").distinct())
 
-    # Copies of a class need no prefixes of their own. Where they are too many to broadcast,
-    # each task still leaves out the sets it has met, and _by_class names the rest alike.
+    # copies of a class need no prefixes of their own
     told = docs.filter(F.col("doc_id").isNotNull())
     named = F.max((F.col("rep") == F.col("id")).cast("int"))
     copies = stored(member.groupBy("id").agg(named.alias("_named")).filter("_named = 0").select("id"))
-    if copies.count() <= BROADCAST_ROWS:
-        told = told.join(F.broadcast(copies), F.col("doc_id") == F.col("id"), "left_anti")
+    told = told.join(few(copies), F.col("doc_id") == F.col("id"), "left_anti")
     tokens = prefixes(told, frequent, orders).repartition("token", "salt").sortWithinPartitions("token", "place", "id")
     grouped = stored(tokens.mapInArrow(_grouped, FOUND))
     large = stored(_with_hubs(grouped.filter(F.col("b").isNull()).select("token", "orders", "place", F.col("a").alias("id"))))
@@ -366,26 +369,57 @@ def _by_class(pairs: DataFrame, member: DataFrame) -> DataFrame:
     return named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "orders")
 
 
+def _met(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Pairs of members of one group (token) that their positions allow a link: ``columns`` of
+    the one, and of the other with an underscore. A group's members are dealt by salt, and each
+    salt meets all members, so a large group is spread over many tasks."""
+    sizes = stored(rows.groupBy("token").agg(F.floor(F.count("*") / SALT_ROWS).cast("int").alias("_salts")).filter("_salts > 0"))
+    rows = rows.join(few(sizes), "token", "left").withColumn("_salts", F.coalesce("_salts", F.lit(0)))
+    one = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_salts") + 1).cast("int")).drop("_salts")
+    two = rows.select(
+        "token", *[F.col(c).alias(f"_{c}") for c in columns], F.explode(F.sequence(F.lit(0), "_salts")).alias("salt")
+    )
+    need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
+    return one.join(two, ["token", "salt"]).filter(F.least("left", "_left") >= need)
+
+
 def links(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     """a, b (a < b) of every link between different sets of ``docs`` (doc_id, text), each
     named by its class's smallest document. A family of near copies gives all its pairs, so
     rows may grow with the square of its different texts; copies add none."""
-    found = _find(docs, orders)
+    return _links(_find(docs, orders), orders)
+
+
+def _links(found: _Found, orders: int) -> DataFrame:
     named = found.large.join(found.member, "id").groupBy("token", "orders", F.col("rep").alias("id"), "n").agg(F.max("left").alias("left"))
     named = stored(named)
-    # a group's members are dealt by salt; each salt meets all members
-    sizes = stored(named.groupBy("token").agg(F.floor(F.count("*") / SALT_ROWS).cast("int").alias("_salts")).filter("_salts > 0"))
-    rows = named.join(few(sizes), "token", "left").withColumn("_salts", F.coalesce("_salts", F.lit(0)))
-    one = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_salts") + 1).cast("int")).drop("_salts")
-    two = rows.select(
-        "token", *[F.col(c).alias(f"_{c}") for c in ("id", "n", "left")], F.explode(F.sequence(F.lit(0), "_salts")).alias("salt")
-    )
-    need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
-    met = one.join(two, ["token", "salt"]).filter((F.col("id") < F.col("_id")) & (F.least("left", "_left") >= need))
+    met = _met(named, ("id", "n", "left")).filter(F.col("id") < F.col("_id"))
     pairs = met.select(F.col("id").alias("a"), F.col("_id").alias("b"), "orders")
     return verified(found.told, stored(_under_all(pairs.union(_by_class(found.pairs, found.member)), orders)))
 
 
+def link_counts(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
+    """doc_id, class_id (the smallest document with an equal set) and n_links (how many other
+    documents it links with, copies included): one row for each document, and for each of its
+    sets where rows with one doc_id differ. Documents without shingles are a class of their
+    own without links; rows without an id are left out. With ``links`` between classes and this
+    membership every link between documents is told, in rows that copies do not multiply."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _find(docs, orders)
+    between = stored(_links(found, orders))
+    size = stored(found.member.groupBy(F.col("rep").alias("class_id")).agg(F.count(F.lit(1)).alias("_size")))
+    ends = between.select(F.col("a").alias("class_id"), F.col("b").alias("_other")).union(between.select("b", "a"))
+    sizes = size.select(F.col("class_id").alias("_other"), F.col("_size").alias("_more"))
+    beyond = ends.join(sizes, "_other").groupBy("class_id").agg(F.sum("_more").alias("_beyond"))
+    counted = size.join(beyond, "class_id", "left").select(
+        "class_id", (F.col("_size") - 1 + F.coalesce("_beyond", F.lit(0))).alias("n_links")
+    )
+    named = found.member.select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id")).join(counted, "class_id")
+    empty = found.own.filter(F.col("id").isNotNull() & (F.col("n") == 0)).select(F.col("id").alias("doc_id")).distinct()
+    alone = empty.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return named.select("doc_id", "class_id", "n_links").union(alone)
+
+
 def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     found = _find(docs, orders)
@@ -402,12 +436,8 @@ def join(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     kinds = placed.groupBy("token").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
     unsettled = stored(placed.join(kinds.filter("_least < _most").select("token"), "token", "left_semi"))
     if not unsettled.isEmpty():
-        rows = unsettled.select("token", "orders", "id", "component", "n", "left")
-        other = rows.select("token", *[F.col(c).alias(f"_{c}") for c in ("id", "component", "n", "left")])
-        need = F.floor((4 * (F.col("n") + F.col("_n")) + 8) / 9)
-        met = rows.join(other, "token").filter(
-            (F.col("component") < F.col("_component")) & (F.least("left", "_left") >= need)
-        )
+        columns = ("id", "component", "n", "left")
+        met = _met(unsettled.select("token", "orders", *columns), columns).filter(F.col("component") < F.col("_component"))
         pairs = met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"), "orders")
         # a pair may share its shingles under one order in a large group, under the other in a small one
         pairs = _by_class(pairs.union(found.pairs), member)

@@ -135,7 +135,7 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.links(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return jaccard.link_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @query

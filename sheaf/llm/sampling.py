@@ -15,11 +15,20 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(divisor))
 
 
+# Parts in which a label's rows are ranked before the best of all parts are.
+PARTS = 64
+
+
 def per_label(rows: DataFrame, label: str, key: str, limit: int) -> DataFrame:
     """For every label the ``limit`` rows with the smallest hash of ``key``. Only label and
-    key are ranked, and each task passes on ``limit`` rows a label at most."""
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(key), key))
-    return rows.select(label, key).withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+    key are ranked, first in ``PARTS`` parts of a label, so that one task ranks what the parts have
+    left: ``PARTS * limit`` rows a label at most, however many there are."""
+    order = [F.xxhash64(key), F.col(key)]
+    dealt = rows.select(label, key).withColumn("_part", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(PARTS)))
+    for by in ([label, "_part"], [label]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        dealt = dealt.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+    return dealt.drop("_part")
 
 
 def fit(rows: DataFrame, train: Callable[[pa.Table], object]):

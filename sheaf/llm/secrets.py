@@ -5,7 +5,8 @@ ends where a rule stops accepting; an automaton of the mirrored rule, run back f
 end (not past the rule's previous match), gives the leftmost start. That equals leftmost
 non-overlapping greedy matching for rules that end in a repeated class no earlier part of
 the rule can cross, as all of these do. Matches that fail a rule's least length are dropped
-after they have consumed their text.
+after they have consumed their text. A private key's span runs from its first line to its last
+one, or to the end of the text where that is missing, so its body goes with it.
 
 Cases: a null text counts as empty; a null doc_id is kept; every row gives one row, also
 repeated ones; an empty table gives no rows; extra columns are not read. Offsets are code
@@ -39,6 +40,7 @@ class Rule:
     least: int = 0
     ignore_case: bool = False
     value_only: bool = False
+    until: str = ""  # the kind of the rule that closes a span; such a rule gives none itself
 
 
 # The base kinds, in the order they are listed, and further token formats.
@@ -54,7 +56,8 @@ BASE = (
     Rule("hex", r"[0-9a-f]{16,}"),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", until="key_end"),
+    Rule("key_end", r"-----END ([A-Z]+ )*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
 )
 RULES = BASE + MORE
@@ -116,7 +119,26 @@ def find(data: bytes, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, i
             else:
                 close(before, size)
     spans.sort()
-    return spans
+    return _closed(spans, rules, size)
+
+
+def _closed(spans: list[tuple[int, int, int]], rules: tuple[Rule, ...], size: int) -> list[tuple[int, int, int]]:
+    """Spans of rules with an ``until`` run to the end of the next span of that kind, or of
+    the text; what opens inside one is part of it. The closing spans themselves go."""
+    kinds = [r.kind for r in rules]
+    closing = {k: kinds.index(r.until) for k, r in enumerate(rules) if r.until in kinds}
+    if not any(k in closing for _, k, _ in spans):
+        return [x for x in spans if x[1] not in closing.values()] if closing else spans
+    out, at = [], dict.fromkeys(closing, 0)
+    for s, k, e in spans:
+        if k in closing:
+            if s < at[k]:
+                continue
+            e = next((y for x, c, y in spans if c == closing[k] and x >= e), size)
+            at[k] = e
+        if k not in closing.values():
+            out.append((s, k, e))
+    return out
 
 
 def _value_length(body: str) -> int:

@@ -10,7 +10,9 @@ record numbers are shuffled for that, and each archive then gets its own list of
 Cases: a null html is an empty payload; a null url is ``unknown:``, white space in a url is
 percent-encoded; a null page_id stays null and sorts behind all others; of repeated rows one
 is the response, the others revisit it; an empty table gives no rows; extra columns are not
-read. A payload of any length lies in one archive of its own.
+read. A payload of any length lies in one archive of its own. Payloads may be any bytes. A record
+that cannot be read (a header line without its fields, a cut-off block) stops nothing: it becomes a
+metadata record, ``bad_records`` lists it, and reading goes on at the next header line.
 """
 
 from __future__ import annotations
@@ -74,7 +76,9 @@ def _arc_record(version: int, name: str, at: int, page_id: int | None, url: str
 
 
 def _texts(found: list[bytes]) -> pa.Array:
-    return pa.array(found, pa.binary()).cast(pa.string())
+    """Bytes for Spark's text writer, which writes a string's bytes as they are, UTF-8 or not."""
+    raw = pa.array(found, pa.binary())
+    return pa.StringArray.from_buffers(len(raw), raw.buffers()[1], raw.buffers()[2])
 
 
 def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -106,30 +110,56 @@ def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES)
     archives.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 1).text(folder)
 
 
+# What a record's header line ends in: date, type and further fields, length.
+HEADER_LINE = re.compile(rb"(?m)^(?=\S)[^\r\n]* \d{1,20} [^ \r\n]*(?: [^ \r\n]*){0,5} \d+\r?\n")
+
+
+def _header(line: bytes, fields: tuple[str, ...]) -> dict[str, str]:
+    """A header line's fields, from the right: blanks beyond their number are the URL's, and
+    bytes that are no ASCII are kept as Latin-1."""
+    parts = line.decode("latin-1").rstrip("\r").rsplit(" ", len(fields) - 1)
+    if len(parts) < len(fields):
+        raise ValueError(f"{len(parts)} of {len(fields)} fields")
+    if not parts[-1].isdigit():
+        raise ValueError("no length")
+    return dict(zip(fields, parts, strict=True))
+
+
 def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record, version blocks too. A version block sets
-    the fields of the lines behind it."""
+    the fields of the lines behind it.
+
+    A line that is no header, or a record that is cut off, comes as a head with ``Bad`` (the
+    reason) and ``At`` (its byte), with its bytes up to the next line that looks like a header."""
     at, fields = 0, ARC_FIELDS[1]
     while at < len(data):
         end = data.find(b"\n", at)
-        if end < 0:
-            break
-        line = data[at:end].decode()
-        at = end + 1
+        end = len(data) if end < 0 else end
+        line = data[at:end]
         if not line.strip():
+            at = end + 1
             continue
-        parts = line.split(" ")
-        size = int(parts[-1])  # the length is the last field of either version
-        block = data[at:at + size]
-        if len(block) < size:
-            raise ValueError(f"record of {size} bytes is cut off at {len(block)}")
-        at += size
-        if parts[0].startswith("filedesc://"):
-            version = int(block.split(b" ", 1)[0])
-            fields = ARC_FIELDS[version]
-            yield {"URL": parts[0], "Archive-date": parts[2], "Content-type": "text/plain", "Version": str(version)}, block
-        else:
-            yield dict(zip(fields, parts, strict=True)), block
+        try:
+            if line.startswith(b"filedesc://"):  # its own version is only known from its block
+                head = _header(line, ARC_FIELDS[2 if len(line.split(b" ")) >= len(ARC_FIELDS[2]) else 1])
+            else:
+                head = _header(line, fields)
+            size = int(head["Archive-length"])
+            block = data[end + 1:end + 1 + size]
+            if len(block) < size:
+                raise ValueError(f"record of {size} bytes is cut off at {len(block)}")
+            if line.startswith(b"filedesc://"):
+                version = int(block.split(b" ", 1)[0])
+                fields = ARC_FIELDS[version]
+                head = {k: head[k] for k in ("URL", "Archive-date")} | {"Content-type": "text/plain", "Version": str(version)}
+        except (ValueError, KeyError) as e:
+            following = HEADER_LINE.search(data, end + 1)
+            until = following.start() if following else len(data)
+            yield {"Bad": str(e), "At": str(at)}, data[at:until]
+            at = until
+            continue
+        at = end + 1 + size
+        yield head, block
 
 
 # ---- WARC ------------------------------------------------------------------------------
@@ -159,12 +189,33 @@ def _warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return LINE.join(x.encode() for x in lines) + LINE + LINE + block
 
 
+def _warc_date(stamp: str) -> str:
+    """ARC's fourteen digits; shorter stamps start their unit, and what is no date is the epoch."""
+    try:
+        found = datetime.strptime((stamp + "00000101000000"[len(stamp):])[:14], "%Y%m%d%H%M%S")
+    except ValueError:
+        found = datetime(1970, 1, 1)
+    return found.strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def _uri(url: str) -> str:
+    """The URL in ASCII without blanks; what it has of others is percent-encoded by byte."""
+    return quote(url.encode("latin-1"), safe="!#$%&'()*+,/:;=?@[]~-._")
+
+
 def to_warc(data: bytes, archive: str, revisits: dict[int, dict]) -> bytes:
-    """One ARC file as WARC text, without the end of its last record. ``revisits``: by
-    record number, what it repeats (refers_to, uri, date)."""
+    """One ARC file as WARC bytes, without the end of its last record. ``revisits``: by record
+    number, the record it repeats (archive, n, page_id, uri, date). Bad records become metadata
+    records that hold their bytes and the reason."""
     out = []
     for n, (head, block) in enumerate(arc_records(data)):
-        date = datetime.strptime(head["Archive-date"], "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+        if "Bad" in head:
+            out.append(_warc_record([
+                ("WARC-Type", "metadata"), ("WARC-Record-ID", _record_id(archive, str(n))), ("WARC-Date", _warc_date("")),
+                ("X-Bad-Record", f"byte {head['At']}: {head['Bad']}"), ("Content-Type", "application/octet-stream"),
+            ], block))
+            continue
+        date = _warc_date(head["Archive-date"])
         fields = [("WARC-Record-ID", _record_id(archive, str(n))), ("WARC-Date", date)]
         if head["URL"].startswith("filedesc://"):
             info = f"software: legacy archive converter\r\nformat: ARC {head['Version']}\r\n".encode()
@@ -172,7 +223,7 @@ def to_warc(data: bytes, archive: str, revisits: dict[int, dict]) -> bytes:
             out.append(_warc_record(fields, info))
             continue
         http, payload = _split_http(block)
-        fields += [("WARC-Target-URI", head["URL"]), ("WARC-IP-Address", head["IP-address"])]
+        fields += [("WARC-Target-URI", _uri(head["URL"])), ("WARC-IP-Address", head["IP-address"])]
         fields.append(("WARC-Payload-Digest", f"sha256:{_sha256(payload)}"))
         if n in revisits and http:
             of, block = revisits[n], http
@@ -180,6 +231,8 @@ def to_warc(data: bytes, archive: str, revisits: dict[int, dict]) -> bytes:
                 ("WARC-Type", "revisit"), *fields,
                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
                 ("WARC-Refers-To", _record_id(of["archive"], str(of["n"]))),
+                ("WARC-Refers-To-Target-URI", of["uri"]),
+                ("WARC-Refers-To-Date", of["date"]),
                 ("WARC-Refers-To-Page", "" if of["page_id"] is None else str(of["page_id"])),
             ]
         else:
@@ -195,26 +248,32 @@ def _archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
 
 
-INDEX = "archive string, n long, page_id long, bytes long, digest string"
+INDEX = "archive string, n long, page_id long, bytes long, digest string, uri string, date string, bad string"
 
 
 def _index(archives: DataFrame) -> DataFrame:
-    """Page, payload length and digest of every record but version blocks."""
+    """Page, payload length and digest, URL and date of every record but version blocks; of bad
+    records the reason alone."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("archive").to_pylist(), batch.column("content"), strict=True):
                 rows = []
                 for n, (head, block) in enumerate(arc_records(gzip.decompress(content.as_py()))):
-                    if not head["URL"].startswith("filedesc://"):
+                    if "Bad" in head:
+                        rows.append((name, n, None, None, None, None, None, f"byte {head['At']}: {head['Bad']}"))
+                    elif not head["URL"].startswith("filedesc://"):
                         http, payload = _split_http(block)
-                        rows.append((name, n, _page_id(http), len(payload), _sha256(payload)))
+                        rows.append((
+                            name, n, _page_id(http), len(payload), _sha256(payload), _uri(head["URL"]),
+                            _warc_date(head["Archive-date"]), None,
+                        ))
                 if rows:
-                    a, n, p, b, d = map(list, zip(*rows, strict=True))
+                    names = [x.split() for x in INDEX.split(", ")]
+                    columns = zip(*rows, strict=True)
                     yield pa.record_batch({
-                        "archive": pa.array(a, pa.string()), "n": pa.array(n, pa.int64()),
-                        "page_id": pa.array(p, pa.int64()), "bytes": pa.array(b, pa.int64()),
-                        "digest": pa.array(d, pa.string()),
+                        x: pa.array(c, pa.int64() if kind == "long" else pa.string())
+                        for (x, kind), c in zip(names, columns, strict=True)
                     })
 
     return archives.mapInArrow(task, INDEX)
@@ -224,14 +283,19 @@ def revisits(index: DataFrame, least: int = LEAST) -> DataFrame:
     """archive and ``repeats``: number of each of its records that repeats a payload, and
     the record it repeats. The lists are as long as an archive's records at most."""
     long_enough = index.filter(F.col("bytes") >= least)
-    rank = F.struct(F.coalesce("page_id", F.lit(NO_PAGE)).alias("rank"), "archive", "n", "page_id")
+    rank = F.struct(F.coalesce("page_id", F.lit(NO_PAGE)).alias("rank"), "archive", "n", "page_id", "uri", "date")
     first = long_enough.groupBy("digest", "bytes").agg(F.min(rank).alias("of"), F.count(F.lit(1)).alias("_copies"))
     own = long_enough.join(first.filter(F.col("_copies") > 1), ["digest", "bytes"])
     again = own.filter((F.col("archive") != F.col("of.archive")) | (F.col("n") != F.col("of.n")))
-    entry = F.struct("n", F.struct("of.archive", "of.n", "of.page_id").alias("of"))
+    entry = F.struct("n", F.struct("of.archive", "of.n", "of.page_id", "of.uri", "of.date").alias("of"))
     return again.groupBy("archive").agg(F.collect_list(entry).alias("repeats"))
 
 
+def bad_records(spark: SparkSession, arc_folder: str) -> DataFrame:
+    """archive, n and the reason of every record of a folder's ARC files that cannot be read."""
+    return _index(_archives(spark, arc_folder)).filter("bad IS NOT NULL").select("archive", "n", F.col("bad").alias("reason"))
+
+
 def convert(spark: SparkSession, arc_folder: str, warc_folder: str, least: int = LEAST) -> None:
     """Every ARC file of one folder as a WARC file in the other."""
     archives = _archives(spark, arc_folder)
@@ -256,7 +320,7 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         end = data.find(b"\r\n\r\n", at)
         if end < 0:
             break
-        version, *lines = data[at:end].decode().split("\r\n")
+        version, *lines = data[at:end].decode("latin-1").split("\r\n")
         if not version.startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
         head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
@@ -284,7 +348,8 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
         size = len(payload)
         if head["WARC-Type"] == "revisit":
-            size = int(re.search(rb"(?m)^Content-Length: (\d+)\r?$", http)[1])
+            said = re.search(rb"(?mi)^Content-Length: *(\d+)\r?$", http)
+            size = int(said[1]) if said else None
         elif _sha256(payload) != digest:
             raise ValueError(f"digest of {head['WARC-Record-ID']} does not agree with its payload")
         of = head.get("WARC-Refers-To-Page") or None
@@ -299,7 +364,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 found = warc_records(gzip.decompress(content.as_py()))
-                rows = [row(head, block) for head, block in found if head["WARC-Type"] != "warcinfo"]
+                rows = [row(head, block) for head, block in found if head["WARC-Type"] not in ("warcinfo", "metadata")]
                 columns = zip(*rows, strict=True) if rows else [()] * len(names)
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 

@@ -128,6 +128,29 @@ def test_every_link_inside_a_large_family(spark, monkeypatch):
     assert jaccard.links(docs_df(spark, [])).count() == 0
 
 
+def test_link_counts_of_every_document(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SALT_ROWS", 20)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(120)]
+    texts = variants(rng, words, 60, 2) + [" ".join(words)] * 30 + variants(rng, [f"v{k}" for k in range(40)], 9, 3)
+    rng.shuffle(texts)
+    rows = [(5 * k + 100, t) for k, t in enumerate(texts)] + [(i, t) for i, t in odd_texts(300) if i != 7] + [(None, texts[0])]
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall((t or "").lower())
+        if i is not None:
+            sets[i] = frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    named = shingle_sets(rows)
+    want = sorted(
+        (i, named.get(s, i), sum(j != i and bool(s) and 100 * len(s & t) >= 80 * len(s | t) for j, t in sets.items()))
+        for i, s in sets.items()
+    )
+    got = jaccard.link_counts(docs_df(spark, rows))
+    assert got.columns == ["doc_id", "class_id", "n_links"]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert jaccard.link_counts(docs_df(spark, [])).count() == 0
+
+
 def test_grouping_holds_one_small_group_and_deals_hot_shingles(spark, monkeypatch):
     import numpy as np
     import pyarrow as pa

@@ -79,9 +79,48 @@ def test_version_blocks_set_the_fields():
     assert heads[1]["WARC-Type"] == "resource" and heads[1]["WARC-Date"] == "2001-02-03T04:05:06Z"
 
 
-def test_cut_off_records_are_errors():
-    with pytest.raises(ValueError, match="cut off"):
-        list(warc.arc_records(b"http://x 1.2.3.4 20010203040506 text/html 30\nabc\n"))
+def test_bad_records_are_reported_and_stop_nothing():
+    data = (
+        b"filedesc://a 0.0.0.0 20000101000000 text/plain 10\n1 0 legacy\n"
+        b"no header line\nmore of it\n"
+        b"http://x/a b?c=d 1.2.3.4 20010203040506 text/html 3\nabc\n"
+        b"http://y 1.2.3.4 20010203040506 text/html many\nxyz\n"
+        b"http://caf\xe9/ 1.2.3.4 200102 image/png 4\n\x89PN\xff\n"
+        b"http://z 1.2.3.4 20010203040506 text/html 30\nabc\n"
+    )
+    found = list(warc.arc_records(data))
+    assert [h.get("URL") for h, _ in found] == ["filedesc://a", None, "http://x/a b?c=d", None, "http://caf\xe9/", None]
+    assert [h["Bad"] for h, _ in found if "Bad" in h] == ["3 of 5 fields", "no length", "record of 30 bytes is cut off at 4"]
+    assert found[1][1] == b"no header line\nmore of it\n" and found[4][1] == b"\x89PN\xff"
+    heads = [h for h, _ in warc.warc_records(warc.to_warc(data, "a", {}) + b"\r\n\r\n")]
+    assert [h["WARC-Type"] for h in heads] == ["warcinfo", "metadata", "resource", "metadata", "resource", "metadata"]
+    assert heads[2]["WARC-Target-URI"] == "http://x/a%20b?c=d" and heads[4]["WARC-Target-URI"] == "http://caf%E9/"
+    assert heads[4]["WARC-Date"] == "2001-02-01T00:00:00Z" and heads[3]["X-Bad-Record"].endswith("no length")
+
+
+def test_archives_of_any_bytes(spark, tmp_path):
+    """Binary payloads, blanks in URLs and bad records in files that others wrote."""
+    png = bytes(range(256)) * 3
+    http = b"HTTP/1.0 200 OK\r\nContent-Type: image/png\r\nContent-Length: %d\r\nX-Page-Id: %%d\r\n\r\n" % len(png)
+    body = b"filedesc://a 0.0.0.0 20000101000000 text/plain 10\n1 0 legacy\n"
+    for k in range(3):
+        block = http % k + png
+        body += b"http://h/a picture %d.png 1.2.3.4 20010203040506 image/png %d\n" % (k, len(block)) + block + b"\n"
+    body += b"broken line\n"
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc.gz").write_bytes(gzip.compress(body))
+    warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    got = {r.page_id: r for r in warc.read_warc(spark, str(tmp_path / "warc")).collect()}
+    assert {k: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for k, r in got.items()} == {
+        k: (len(png), hashlib.sha256(png).hexdigest(), "revisit" if k else "response", 0 if k else None) for k in range(3)
+    }
+    bad = warc.bad_records(spark, str(tmp_path / "arc")).collect()
+    assert [(r.archive, r.reason.split(": ")[1]) for r in bad] == [("a.arc.gz", "2 of 5 fields")]
+    files = list((tmp_path / "warc").glob("*.gz"))
+    heads = [h for f in files for h, _ in warc.warc_records(gzip.decompress(f.read_bytes()))]
+    again = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(again) == 2
+    assert all(h["WARC-Refers-To-Target-URI"] == "http://h/a%20picture%200.png" and h["WARC-Refers-To-Date"] == "2001-02-03T04:05:06Z" for h in again)
 
 
 def test_empty_table(spark):
