@@ -18,12 +18,14 @@ for the window, and neighbouring windows mostly share theirs. Spark then
    words they cover are dropped.
 
 A group of documents reports a name once however many of its documents share it, so one
-passage in a third of all documents is no more rows than there are groups.
+passage in a third of all documents is no more rows than there are groups. Groups have about
+``GROUP_BYTES`` of text, so their number grows with the input.
 
 Cases: a null text has no words; a null doc_id counts as larger than all others and stays
-null; rows with the same doc_id never shorten each other; texts under ``width`` words stay
-whole; an empty table gives none. Extra columns are passed on; one that is called like a
-result column is replaced by it. Texts of any length are read whole.
+null (such rows are spread by their text); rows with the same doc_id never shorten each other
+and share a group; texts under ``width`` words stay whole; an empty table gives none. Extra
+columns are passed on; one that is called like a result column is replaced by it. Texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -43,8 +45,15 @@ WIDTH = 13
 PHRASE = 5
 ROUNDS = 1
 GROUPS_PER_PARTITION = 4
+# text bytes of a group of documents, which a task holds
+GROUP_BYTES = 32 << 20
 LAST = 2**62
+# rows without an id have numbers from here on, by their text: they are spread over groups, and
+# compare as one document behind all others
+NO_ID = LAST - 2**20
 RESULT = ("n_words", "n_removed", "kept")
+# columns of this module's own, beside those of the documents
+ID, GROUP = "substring dedup id", "substring dedup group"
 
 _WORD, _PHRASE = Rolling(101), Rolling(102)
 _WORD2, _SPAN, _SPAN2 = Rolling(103), Rolling(104), Rolling(105)
@@ -183,10 +192,15 @@ class Known:
         return np.where(same, self.least[at], LAST)
 
 
+def _place(ids: np.ndarray) -> np.ndarray:
+    """The documents' order: rows without an id are one, the last."""
+    return np.minimum(ids, NO_ID)
+
+
 def _with_phrases(docs: pa.Table) -> pa.Table:
     """Phrase names (second half 0) and names of whole texts."""
     found = []
-    for block in blocks(docs.to_batches(), "_id", "text"):
+    for block in blocks(docs.to_batches(), ID, "text"):
         names, names2, first = _word_names(block)
         _, doc, best = phrase_names(names, first)
         new = np.ones(len(best), bool)
@@ -202,9 +216,9 @@ def _with_windows(docs: pa.Table, sent: pa.Table) -> pa.Table:
     """Names of the windows under shared phrases, but for texts that are copies of a whole
     smaller document."""
     known, found = Known(sent), []
-    for block in blocks(docs.to_batches(), "_id", "text"):
+    for block in blocks(docs.to_batches(), ID, "text"):
         names, names2, first = _word_names(block)
-        copied = known.least_of(*text_names(names, names2, first)) < block.ids
+        copied = known.least_of(*text_names(names, names2, first)) < _place(block.ids)
         start, doc, best = phrase_names(names, first)
         shared = (known.least_of(best, 0) < LAST) & ~copied[doc]
         found.append((*window_names(names, names2, start[shared]), block.ids[doc[shared]]))
@@ -230,25 +244,41 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"own": own[rows], "h1": h1[rows], "h2": h2[rows], "least": least[of[rows]]})
 
 
-def _shorten(docs: pa.Table, sent: pa.Table, names_out: list[str]) -> pa.Table:
+def _without(text: bytes, starts: np.ndarray, dropped: np.ndarray) -> bytes:
+    """``text`` without its dropped words, each with the white space behind it."""
+    ends = np.append(starts[1:], len(text))
+    parts, at = [], 0
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], dropped.astype(np.int8), [0]])))
+    for first, behind in zip(edges[::2], edges[1::2], strict=True):
+        parts.append(text[at:starts[first]])
+        at = int(ends[behind - 1])
+    return b"".join([*parts, text[at:]])
+
+
+def _shorten(docs: pa.Table, sent: pa.Table, names_out: list[str], layout: bool) -> pa.Table:
     known, made = Known(sent), []
     kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
     schema = pa.schema([(n, kinds[n] if n in kinds else docs.schema.field(n).type) for n in names_out])
-    for block in blocks(docs.to_batches(), "_id", "text"):
+    for block in blocks(docs.to_batches(), ID, "text"):
         names, names2, first = _word_names(block)
         size = np.diff(first)
         drop = np.zeros(len(names) + 1, np.int64)
         start, doc = windows(first, WIDTH)
-        gone = known.least_of(*window_names(names, names2, start)) < block.ids[doc]
+        gone = known.least_of(*window_names(names, names2, start)) < _place(block.ids)[doc]
         np.add.at(drop, start[gone], 1)
         np.add.at(drop, start[gone] + WIDTH, -1)
         dropped = np.cumsum(drop)[:-1] > 0
-        copied = (known.least_of(*text_names(names, names2, first)) < block.ids) & (size >= WIDTH)
+        copied = (known.least_of(*text_names(names, names2, first)) < _place(block.ids)) & (size >= WIDTH)
         dropped |= np.repeat(copied, size)
         kept = []
+        starts = words(block)[0] if layout else None
         for i in range(len(block)):
-            own = block.text(i).split()  # bytes split at the same six separators
             mask = dropped[first[i]:first[i + 1]]
+            if layout:
+                text = block.text(i)
+                kept.append(_without(text, starts[first[i]:first[i + 1]] - block.offsets[i], mask) if mask.any() else text)
+                continue
+            own = block.text(i).split()  # bytes split at the same six separators
             kept.append(b" ".join(compress(own, ~mask) if mask.any() else own))
         ahead = np.concatenate([[0], np.cumsum(dropped)])
         results = {
@@ -265,22 +295,25 @@ def _group(own_id: Column, groups: int) -> Column:
     return F.pmod(F.xxhash64(own_id), F.lit(groups))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words, n_removed and kept: the words left, joined by one space."""
+def dedup(docs: DataFrame, layout: bool = False) -> DataFrame:
+    """``docs`` with n_words, n_removed and kept: the words left, joined by one space, or with
+    ``layout`` the text as it was, but for the words that went and the white space behind them."""
     spark = docs.sparkSession
-    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    passed = [c for c in docs.columns if c not in (*RESULT, "_id", "_group")]
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    groups = max(GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
+    passed = [c for c in docs.columns if c not in RESULT]
+    unnamed = F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(LAST - NO_ID))
     held = docs.select(
-        *[F.col(c).cast("string").alias(c) if c == "text" else c for c in passed],
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST - 1)).alias("_id"),
+        *[F.col(c).cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in passed],
+        F.coalesce(F.col("doc_id").cast("long"), unnamed).alias(ID),
     )
     # one exchange of the texts serves all three passes
-    held = held.withColumn("_group", _group(F.col("_id"), groups)).repartition("_group")
+    held = held.withColumn(GROUP, _group(F.col(ID), groups)).repartition(GROUP)
 
     def sent_back(names: DataFrame) -> DataFrame:
         found = names.repartition("h1").mapInArrow(_resolve, "own long, h1 long, h2 long, least long")
         own = F.shiftright("own", 1)
-        return found.select(_group(own, groups).alias("_group"), "h1", "h2", "least")
+        return found.select(_group(own, groups).alias(GROUP), "h1", "h2", "least")
 
     def phrases(rows: pa.Table) -> pa.Table:
         return _with_phrases(rows)
@@ -288,9 +321,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     def under_shared(rows: pa.Table, sent: pa.Table) -> pa.Table:
         return _with_windows(rows, sent)
 
-    shared = sent_back(held.groupBy("_group").applyInArrow(phrases, NAMES_DDL))
-    by_group = held.groupBy("_group")
-    found = by_group.cogroup(shared.groupBy("_group")).applyInArrow(under_shared, NAMES_DDL)
+    shared = sent_back(held.groupBy(GROUP).applyInArrow(phrases, NAMES_DDL))
+    by_group = held.groupBy(GROUP)
+    found = by_group.cogroup(shared.groupBy(GROUP)).applyInArrow(under_shared, NAMES_DDL)
     repeated = sent_back(found).unionByName(shared.filter(F.col("h2") != 0))
 
     names_out = [*passed, *RESULT]
@@ -300,6 +333,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     ])
 
     def shorten(rows: pa.Table, sent: pa.Table) -> pa.Table:
-        return _shorten(rows, sent, names_out)
+        return _shorten(rows, sent, names_out, layout)
 
-    return by_group.cogroup(repeated.groupBy("_group")).applyInArrow(shorten, result)
+    return by_group.cogroup(repeated.groupBy(GROUP)).applyInArrow(shorten, result)

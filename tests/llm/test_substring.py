@@ -74,3 +74,29 @@ def test_equal_windows_get_equal_names(rounds):
         seen: dict[bytes, int] = {}
         for s, b in zip(start, best.tolist(), strict=True):
             assert seen.setdefault(words[s:s + substring.WIDTH].tobytes(), b) == b
+
+
+def test_a_third_of_the_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(substring, "GROUP_BYTES", 4096)
+    texts = random_texts(5, 150, [f"w{k}" for k in range(40)], 60)
+    rows = [(None if k % 3 == 0 else k, t) for k, t in enumerate(texts)]
+    rows += [(None, texts[1]), (None, texts[1]), (None, texts[0])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_the_layout_of_what_stays(spark):
+    passage = " ".join(f"p{k}" for k in range(13))
+    texts = {
+        1: f"{passage}\n", 2: f"def f():\n    return 1\n\n{passage}\n\ttail  end\n", 3: f"  {passage}", 4: f"a\n{passage}\nb {passage}",
+        5: "left  as\tit\n was", 6: None, 7: f"é\n{passage} ü",
+    }
+    got = {r.doc_id: r.kept for r in substring.dedup(docs_df(spark, list(texts.items())), layout=True).collect()}
+    assert got == {
+        1: texts[1], 2: "def f():\n    return 1\n\ntail  end\n", 3: "  ", 4: "a\nb ", 5: texts[5], 6: "", 7: "é\nü",
+    }
+
+
+def test_columns_that_are_called_like_its_own(spark):
+    df = spark.createDataFrame([(1, "a b", 5, 6, 7)], f"doc_id long, text string, `{substring.GROUP}x` int, _id int, _group int")
+    out = substring.dedup(df)
+    assert out.columns == [*df.columns, "n_words", "n_removed", "kept"] and tuple(out.first())[:5] == (1, "a b", 5, 6, 7)
