@@ -16,17 +16,18 @@ a third of all items is ranked in as many parts as there are shuffle partitions.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.arrays import blocks, give_back
+from sheaf.llm.arrays import Block, blocks, give_back
 from sheaf.llm.bpe import byte_letters
 from sheaf.session import cut_lineage
 
@@ -35,8 +36,10 @@ CLASS = 16
 # Fixed values of the format: the id behind each document, the tokenizer's separator.
 END_ID = 2
 SEPARATOR = "<|startoftext|>"
-LATIN_WORD = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([,.]?)")
-BLOCK = 1 << 20
+# Latin-1 letters; ASCII punctuation but for quotes, < > | and backslash.
+LETTERS = "[A-Za-zªµºÀ-ÖØ-öø-ÿ]+"
+MARKS = r"""[!"#$%&()*+,./:;=?@^`{}~\[\]-]{0,3}"""
+BLOCK = 4 << 20
 REMEMBERED_BYTES = 64 << 20
 ENTRY_BYTES = 240  # of a piece in a dict, besides its text and its ids
 
@@ -51,46 +54,61 @@ ITEMS = (
 
 
 class Remembered:
-    """Values by piece of text, ``limit`` bytes of them at most (about): the newest, and from
+    """Ids (as bytes) by text, ``limit`` bytes of them at most (about): the newest, and from
     the ones before them those that were asked for again."""
 
     def __init__(self, limit: int = REMEMBERED_BYTES):
-        self.limit, self.size = limit, 0
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def __setitem__(self, piece: str, value: bytes) -> None:
-        self.new[piece] = value
-        self.size += ENTRY_BYTES + len(piece) + len(value)
-
-    def get(self, piece: str) -> bytes | None:
-        value = self.new.get(piece)
-        if value is None and (value := self.old.get(piece)) is not None:
-            self[piece] = value
-        return value
-
-    def missing(self, pieces: set[str]) -> list[str]:
-        """Those that are not held; the others are in ``new`` now."""
-        new, old, out = self.new, self.old, []
-        for p in pieces:
-            if p not in new:
-                if p in old:
-                    self[p] = old[p]
-                else:
-                    out.append(p)
-        return out
+        self.limit = limit
+        self.forget()
 
     def forget(self) -> None:
-        self.new, self.old, self.size = {}, {}, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
 
-    def age(self) -> None:
+    def all(self, texts: list[str], learn: Callable[[list[str]], None]) -> list[bytes]:
+        """The ids of every text; ``learn`` puts those that are not held into ``new``."""
         if self.size > self.limit // 2:
             self.old, self.new, self.size = self.new, {}, 0
+        missing = set(texts).difference(self.new)
+        # three bytes a letter: the text and its ids
+        self.size += ENTRY_BYTES * len(missing) + 3 * sum(map(len, missing))
+        again = missing.intersection(self.old)
+        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        learn(list(missing - again))
+        return list(map(self.new.__getitem__, texts))
+
+
+@dataclass
+class Ids:
+    """Rows of ids: one after another, and where each row starts (one more at the end)."""
+
+    flat: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[bytes]) -> Ids:
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+        return cls(np.frombuffer(b"".join(rows), "<u4"), np.concatenate([[0], np.cumsum(sizes)]))
+
+    def take(self, rows: np.ndarray) -> Ids:
+        sizes = np.diff(self.first)[rows]
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        return Ids(self.flat[np.repeat(self.first[rows] - first[:-1], sizes) + np.arange(first[-1])], first)
+
+    def joined(self, first: np.ndarray) -> Ids:
+        """Rows first[i] to first[i + 1] as row i."""
+        return Ids(self.flat, self.first[first])
 
 
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and never joins over it.
-    Pieces between spaces and line ends are encoded once and remembered up to a bound."""
+
+    Arrow splits a block's texts at spaces and line ends and numbers the different pieces.
+    Pieces of Latin-1 letters, perhaps with punctuation behind them, are words in lower case and
+    marks, which never merge with each other; a word folds letter by letter and is not cut before its
+    merges, so the model alone encodes it. Other pieces go through the whole tokenizer, all new
+    ones in one call with a special token between them. Both are remembered up to a bound."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -103,62 +121,60 @@ class WordIds:
         self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(True) + 1)]
         # bytes that a byte-level vocabulary does not write as the Latin-1 letter of their value
         self.letters = {b: c for b, c in enumerate(byte_letters()) if ord(c) != b}
-        self.known = Remembered()
-
-    def _word(self, word: str) -> bytes:
-        """The ids of a lower-case word of Latin-1 letters: nothing of it is folded or cut
-        before its merges, so the model alone encodes it."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        raw = self.raw
-        return b"".join([raw[t.id] for t in self.merge(word)])
-
-    def _learn(self, pieces: list[str]) -> None:
-        known, others = self.known, []
-        for p in pieces:
-            m = LATIN_WORD.fullmatch(p)
-            if m is None:
-                others.append(p)
-                continue
-            # Latin-1 letters fold one by one; a word and a comma or full stop never merge
-            core, tail = m.groups()
-            core = core.lower()
-            if (ids := known.get(core)) is None:
-                known[core] = ids = self._word(core)
-            if tail or core != p:
-                known[p] = ids + self._mark(tail)
-        for a in range(0, len(others), 20_000):
-            part = others[a:a + 20_000]
-            odd = [p for p in part if "<|" in p]  # may hold the separator
-            for p in odd:
-                known[p] = self._encoded(p).tobytes()
-            plain = [p for p in part if "<|" not in p]
+        self.words, self.others = Remembered(), Remembered(REMEMBERED_BYTES // 4)
+
+    def forget(self) -> None:
+        self.words.forget()
+        self.others.forget()
+
+    def _learn_words(self, words: list[str]) -> None:
+        new, raw, merge, letters = self.words.new, self.raw, self.merge, self.letters
+        for word in words:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+            new[word] = b"".join([raw[t.id] for t in merge(shown)])
+
+    def _learn_others(self, pieces: list[str]) -> None:
+        new = self.others.new
+        for a in range(0, len(pieces), 20_000):
+            part = pieces[a:a + 20_000]
+            for p in part:
+                if "<|" in p or not p:  # may hold the separator
+                    new[p] = self._encoded(p).tobytes()
+            plain = [p for p in part if "<|" not in p and p]
             ids = self._encoded(SEPARATOR.join(plain))
             cut = (4 * np.flatnonzero(ids == self.separator)).tolist()
             raw = ids.tobytes()
             for p, x, y in zip(plain, [0, *[x + 4 for x in cut]], [*cut, len(raw)], strict=bool(plain)):
-                known[p] = raw[x:y]
+                new[p] = raw[x:y]
 
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _mark(self, tail: str) -> bytes:
-        if not tail:
-            return b""
-        if (ids := self.known.get(tail)) is None:
-            self.known[tail] = ids = self._encoded(tail).tobytes()
-        return ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        self.known.age()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted: set[str] = set()
-        for own in split:
-            wanted.update(own)
-        wanted.discard("")
-        self._learn(self.known.missing(wanted))
-        self.known.new[""] = b""
-        return [b"".join(map(self.known.new.__getitem__, own)) for own in split]
+    def _of_pieces(self, pieces: pa.Array) -> Ids:
+        """The ids of different pieces: of each a word (or another piece) and its marks."""
+        is_word = pc.match_substring_regex(pieces, f"^{LETTERS}{MARKS}$")
+        found = pieces.filter(is_word)
+        marks = pc.replace_substring_regex(found, f"^{LETTERS}", "").dictionary_encode()
+        words = pc.utf8_lower(pc.replace_substring_regex(found, f"{MARKS}$", "", max_replacements=1)).dictionary_encode()
+        others = pieces.filter(pc.invert(is_word)).to_pylist() + marks.dictionary.to_pylist()
+        ids = Ids.of(self.words.all(words.dictionary.to_pylist(), self._learn_words) + self.others.all(others, self._learn_others))
+        n_words, n_marks = len(words.dictionary), len(marks.dictionary)
+        rows = np.full((len(pieces), 2), len(ids.first) - 1)  # a row behind the last, which is empty
+        at = np.asarray(is_word)
+        rows[at, 0], rows[at, 1] = np.asarray(words.indices), np.asarray(marks.indices) + len(ids.first) - 1 - n_marks
+        rows[~at, 0] = n_words + np.arange(len(others) - n_marks)
+        both = Ids(ids.flat, np.append(ids.first, ids.first[-1])).take(rows.ravel())
+        return both.joined(np.arange(0, len(both.first), 2))
+
+    def encode(self, block: Block) -> Ids:
+        """The ids of every document of the block."""
+        data = block.data.copy()
+        data[data == 0x0A] = 0x20
+        texts = pa.LargeStringArray.from_buffers(len(block), pa.py_buffer(block.offsets.astype(np.int64)), pa.py_buffer(data))
+        split = pc.split_pattern(texts, " ")
+        pieces = split.values.dictionary_encode()
+        of_pieces = self._of_pieces(pieces.dictionary)
+        return of_pieces.take(np.asarray(pieces.indices)).joined(np.asarray(split.offsets))
 
 
 @cache
@@ -175,9 +191,9 @@ def items(docs: DataFrame, path: str) -> DataFrame:
         short: list[dict] = []
         for block in blocks(batches, "doc_id", "text", BLOCK):
             made: list[list[dict]] = []
-            keys = block.key.to_pylist()
-            for key, raw in zip(keys, tok.encode([block.text(k).decode() for k in range(len(block))]), strict=True):
-                raw += end
+            ids = tok.encode(block)
+            for key, a, b in zip(block.key.to_pylist(), ids.first[:-1].tolist(), ids.first[1:].tolist(), strict=True):
+                raw = ids.flat[a:b].tobytes() + end
                 n = len(raw) // 4
                 for a in range(0, n, SEQUENCE):
                     b = min(a + SEQUENCE, n)
@@ -197,7 +213,7 @@ def items(docs: DataFrame, path: str) -> DataFrame:
         if short:
             yield _item_batch([short])
         # workers are used again, by other stages too
-        tok.known.forget()
+        tok.forget()
         give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
