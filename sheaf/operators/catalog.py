@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sheaf.session import file_system
 from sheaf.sources.delimited import TAB_OPTIONS
 
 
@@ -17,11 +18,11 @@ def create_delimited_table(spark: SparkSession, name: str, schema: str, location
     form of ``ROW FORMAT DELIMITED FIELDS TERMINATED BY``), read with the same options
     as ``delimited.read_tab``: no quoting, a bad cell reads as NULL."""
     options = {**TAB_OPTIONS, "sep": sep, "path": location}
-    clause = ", ".join(f"{k} '{_sql_text(v)}'" for k, v in options.items())
+    clause = ", ".join(f"{k} '{sql_text(v)}'" for k, v in options.items())
     spark.sql(f"CREATE TABLE {name} ({schema}) USING csv OPTIONS ({clause})")
 
 
-def _sql_text(value: str) -> str:
+def sql_text(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'").replace("\t", "\\t")
 
 
@@ -50,14 +51,19 @@ def rename_column_view(spark: SparkSession, table: str, old: str, new: str, view
     return df
 
 
-# The property of a renaming view that names the table behind it.
+# The properties of a renaming view that names the table behind it, and of a table whose files
+# lie in a folder that goes with it.
 BASE = "sheaf.base_table"
+OWN_FOLDER = "sheaf.own_folder"
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def base_table(spark: SparkSession, name: str) -> str:
     """The table that holds the rows of ``name``: its own, or that behind its renaming view."""
-    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return properties.get(BASE, name)
+    return _properties(spark, name).get(BASE, name)
 
 
 def rename_column(spark: SparkSession, name: str, old: str, new: str) -> None:
@@ -92,7 +98,11 @@ def drop_table(spark: SparkSession, name: str) -> None:
     base = base_table(spark, name)
     if base != name:
         spark.sql(f"DROP VIEW {name}")
+    folder = _properties(spark, base).get(OWN_FOLDER)
     spark.sql(f"DROP TABLE IF EXISTS {base}")
+    if folder:
+        fs, target = file_system(spark, folder)
+        fs.delete(target, True)
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:

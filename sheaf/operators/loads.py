@@ -7,20 +7,31 @@ got lost, is simply run again: twice equals once, and no other load is touched.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.operators.catalog import OWN_FOLDER, base_table, sql_text
 from sheaf.sources.nested_text import NestedFormat, read_nested
 
 LOAD_ID = "load_id"
 
 
-def create_loaded_table(spark: SparkSession, name: str, schema: str, fmt: str = "parquet") -> None:
+def create_loaded_table(spark: SparkSession, name: str, schema: str, fmt: str = "parquet", location: str | None = None) -> None:
     """An empty table of ``schema`` (nested types too), partitioned by the load. An
-    overwrite replaces the partitions it has rows for, when it commits."""
+    overwrite replaces the partitions it has rows for, when it commits.
+
+    Its files lie in a folder of their own (``location``, by default a new one below the
+    warehouse), which a renamed table keeps and ``catalog.drop_table`` deletes."""
+    if spark.catalog.tableExists(name):
+        return
+    folder = location or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), f"loads-{uuid.uuid4()}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schema}, {LOAD_ID} STRING) USING {fmt} "
-        f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({LOAD_ID})"
+        f"CREATE TABLE {name} ({schema}, {LOAD_ID} STRING) USING {fmt} "
+        f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({LOAD_ID}) "
+        f"LOCATION '{sql_text(folder)}' TBLPROPERTIES ('{OWN_FOLDER}' = '{sql_text(folder)}')"
     )
 
 
@@ -31,11 +42,20 @@ def load(df: DataFrame, name: str, load_id: str) -> None:
     if len(df.columns) != len(names):
         raise ValueError(f"{name} has the columns {names}, the load has {df.columns}")
     marked = df.toDF(*names).withColumn(LOAD_ID, F.lit(load_id))
+    base = base_table(df.sparkSession, name)
     if df.isEmpty():  # an overwrite by partition leaves alone what it has no rows for
-        quoted = load_id.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({LOAD_ID} = '{quoted}')")
+        _empty(df, base, load_id)
         return
-    marked.write.insertInto(name, overwrite=True)
+    marked.write.insertInto(base, overwrite=True)
+
+
+def _empty(rows: DataFrame, base: str, load_id: str) -> None:
+    """A load without rows: its partition and files go (the files of a folder of its own stay
+    behind a dropped partition, so an overwrite empties it first)."""
+    spark, partition = rows.sparkSession, f"PARTITION ({LOAD_ID} = '{sql_text(load_id)}')"
+    none = spark.createDataFrame([], rows.schema)
+    spark.sql(f"INSERT OVERWRITE TABLE {base} {partition} SELECT * FROM {{none}}", none=none)
+    spark.sql(f"ALTER TABLE {base} DROP IF EXISTS {partition}")
 
 
 def load_nested(

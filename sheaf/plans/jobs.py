@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sheaf.operators import fundamentals, growth, loads, screener, wordcount
 from sheaf.session import storage_scope, stored
 from sheaf.sources.nested_text import NestedFormat
-from sheaf.sources.publish import publication
+from sheaf.sources.publish import Publication, publication
 from sheaf.sources.sinks import run_path, tab_text, tuple_text, write_key_ranges, write_sorted_lines
 from sheaf.sources.text import LINE_ID, read_lines
 
@@ -47,17 +47,20 @@ def screener_job(
     # the width check needs (the CSV file reader does not expose a count).
     records = screener.listing_records(read_lines(spark, input_path, line_id=True), "value", LINE_ID)
     with storage_scope(spark), publication(spark, output_base) as run:
-        # parsed once: both outputs, and the sampling before each sort, read the stored rows
-        screened = stored(screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,)))
-        report = screener.sector_report(screened)
-        write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], run.output("sectors"))
-        # the line id splits copies of one listing across range partitions
-        write_sorted_lines(
-            tab_text("sector", "ticker"), screened, ["sector", "ticker", LINE_ID], run.output("tickers")
-        )
+        write_screened(screener.screen(records, rule=rule, check_width=check_width, keep=(LINE_ID,)), run)
     return run.path
 
 
+def write_screened(screened: DataFrame, run: Publication) -> None:
+    """Both outputs of the screener: ``sectors`` and ``tickers``. ``screened`` has a line id."""
+    # parsed once: both outputs, and the sampling before each sort, read the stored rows
+    screened = stored(screened)
+    report = screener.sector_report(screened)
+    write_sorted_lines(F.concat_ws("\t", "capital_line", "totals_line"), report, ["sector"], run.output("sectors"))
+    # the line id splits copies of one listing across range partitions
+    write_sorted_lines(tab_text("sector", "ticker"), screened, ["sector", "ticker", LINE_ID], run.output("tickers"))
+
+
 def fundamentals_job(spark: SparkSession, input_path: str, output_base: str) -> tuple[str, dict]:
     """Fundamentals extract: ``(symbol,dividend,pe)`` lines sorted by symbol, and the
     record-quality totals, gathered through an ``Observation`` while the one parse of the

@@ -400,3 +400,12 @@ ORACLE_SQL["third_order"] = _STATEMENTS + """
 SELECT cust_id, CAST(order_ids[3] AS VARCHAR) AS third FROM r
 """
 ORACLE_SQL["orders_until_dated"] = ORACLE_SQL["orders_until_date"]
+ORACLE_SQL["sector_files"] = f"""
+SELECT 'sectors' AS output, capital_line || chr(9) || totals_line AS line FROM ({ORACLE_SQL["sector_report"]})
+UNION ALL SELECT 'tickers', sector || chr(9) || ticker FROM ({ORACLE_SQL["sector_tickers"]})
+"""
+ORACLE_SQL["loyalty_table"] = _STATEMENTS + """
+SELECT 'load ' || (cust_id % 2) AS load_id, level AS status, count(*) AS n_statements, count(home_phone) AS n_home,
+       count(order_ids[1]) AS n_first_orders, CAST(sum(value_total) AS BIGINT) AS total_value
+FROM r GROUP BY 1, 2
+"""

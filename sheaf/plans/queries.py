@@ -6,20 +6,25 @@ plan; output columns carry the same names as the oracle SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.nested import array_item, map_value
-from sheaf.operators import catalog, fundamentals, growth, nested, retail, screener, wordcount
+from sheaf.operators import catalog, fundamentals, growth, loads, nested, retail, screener, wordcount
 from sheaf.operators.ordering import numbered
-from sheaf.session import own_path
+from sheaf.plans import jobs
+from sheaf.session import own_path, storage_scope, stored
 from sheaf.sources import derive
 from sheaf.sources.delimited import parse_tab
 from sheaf.sources.nested_text import parse_nested
+from sheaf.sources.publish import publication, published
 from sheaf.sources.sinks import hashed_sorted, read_dated, tab_text, tuple_text, write_dated
 from sheaf.sources.tables import table
+from sheaf.sources.text import LINE_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +141,20 @@ def sector_ticker_text(spark: SparkSession, sf: str) -> DataFrame:
     return screener.sector_ticker_text(_screened(spark, sf), TEXT_CHUNK)
 
 
+@query("sector_files")
+def sector_files(spark: SparkSession, sf: str) -> DataFrame:
+    """K1-K5: the screener's two outputs written and published as one run, and its files read
+    back: output, line."""
+    lines = derive.listing_lines(_customer(spark, sf)).withColumn(LINE_ID, F.monotonically_increasing_id())
+    records = screener.listing_records(lines, "value", LINE_ID)
+    base = os.path.join(own_path(spark), "run")  # the files outlast the scope below
+    with storage_scope(spark), publication(spark, base) as run:
+        jobs.write_screened(screener.screen(records, keep=(LINE_ID,)), run)
+    files = [spark.read.text(path).select(F.lit(name).alias("output"), F.col("value").alias("line"))
+             for name, path in sorted(published(spark, run.path).items())]
+    return files[0].unionByName(files[1])
+
+
 @query("rendered_rows")
 def rendered_rows(spark: SparkSession, sf: str) -> DataFrame:
     per_nation = table(spark, sf, "customer", "c_nationkey").groupBy("c_nationkey").agg(
@@ -421,6 +440,29 @@ def loyalty_load(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("loyalty_table")
+def loyalty_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The loyalty lines loaded into a catalog table in two loads, one of them run
+    again; a column and then the table renamed; counted under the new names; dropped."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    rows = parse_nested(derive.loyalty_lines(_customer(spark, sf), orders), derive.LOYALTY_SCHEMA)
+    own = uuid.uuid4().hex
+    name = f"loyalty_program_{own}"
+    loads.create_loaded_table(spark, name, derive.LOYALTY_SCHEMA)
+    try:
+        for part in (0, 1, 1):
+            loads.load(rows.filter(F.pmod("cust_id", F.lit(2)) == part), name, f"load {part}")
+        catalog.rename_column(spark, name, "level", "status")
+        catalog.rename_table(spark, name, f"reward_program_{own}")
+        name = f"reward_program_{own}"
+        return stored(catalog.run_sql(spark, f"""
+            SELECT load_id, status, count(*) AS n_statements, count(phone['HOME']) AS n_home,
+                   count(order_ids[0]) AS n_first_orders, sum(order_value.total) AS total_value
+            FROM {name} GROUP BY load_id, status"""))
+    finally:
+        catalog.drop_table(spark, name)
+
+
 @query("third_order")
 def third_order(spark: SparkSession, sf: str) -> DataFrame:
     """X15 on the loyalty rows: the third order id of every statement, NULL where it is short."""

@@ -21,7 +21,7 @@ NOTES = {
     "word_count_sorted": "word_count, then a range exchange on the (unique) word: the sort spreads over all reducers",
     "word_count_hashed": "word_count in hash parts on the word, each sorted locally (no global sort)",
     "key_lookup": "the key reaches both scans; one customer's rows are aggregated",
-    "orders_until_epoch": "filter on the parsed text, one partial count per task",
+    "orders_until_epoch": "status and the bound on the stored time pushed to the scan; one partial count per task",
     "fundamentals_sorted": "row-wise extract, then a range-partitioned sort on the symbol",
     "csv_quoted_scan": "row-wise parse, no shuffle; the parser runs once per line (inline generator)",
     "market_cap_parse": "row-wise, no shuffle",
@@ -30,11 +30,18 @@ NOTES = {
     "sector_rollup_substring": "as sector_rollup, under the other filter rule",
     "sector_tickers": "range exchange on (sector, ticker): a large sector spreads over many tasks; no collect",
     "sector_report": "as sector_rollup; the ticker list is in sector_tickers",
+    "sector_ticker_text": "range exchange on (sector, ticker), stored once; offsets run inside the sort's partitions; only chunks of bounded bytes are gathered",
+    "sector_files": "the rollup and the range sort read one stored table; files are published by one rename",
+    "top_lists": "one join; both lists through one window whose group limit keeps ten rows a list and task before the exchange",
+    "loyalty_load": "orders dealt into statements of bounded size, joined to customer; the parse is row-wise",
+    "loyalty_table": "as loyalty_load, written as one partition a load; the count is partial per task",
+    "third_order": "as loyalty_load",
+    "orders_until_dated": "written partitioned by month (rebalanced by size); the bound prunes partitions and is pushed to the files left",
     "rendered_rows": "customers counted per nation before the join; nation joined by size-checked broadcast",
     "csv_naive_scan": "row-wise, no shuffle",
     "fundamentals_extract": "row-wise, no shuffle",
     "fundamentals_quality": "one aggregate pass, partial per task, one row to the final task",
-    "listing_join": "orders aggregated per customer (already partitioned on the key); customer broadcast only below the threshold, else sort-merge with only customer moving",
+    "listing_join": "orders aggregated per customer (already partitioned on the key); customer broadcast only below the threshold, else sort-merge, both sides exchanged on the parsed symbol",
     "listing_join_count": "as listing_join, then a global count of partials",
     "listing_growth": "as listing_join, row-wise arithmetic after it",
     "top_growth": "as listing_join, then per-task top-10 and a merge (TakeOrderedAndProject), no full sort",
@@ -47,8 +54,8 @@ NOTES = {
     "top3_quantity": "partial sums per part, then per-task top-3 and a merge",
     "top3_quantity_named": "line items summed per part before the join; the second aggregate reuses the join's partitioning",
     "orders_until_date_lexical": "status filter pushed to the scan; partial count",
-    "orders_until_date": "as above",
-    "orders_on_date": "as above",
+    "orders_until_date": "status and the bound on the stored time pushed to the scan; partial count",
+    "orders_on_date": "as above, with two bounds",
     "revenue_semi_join": "left-semi join on the order key: broadcast of order keys below the threshold, else sort-merge with AQE skew split",
     "revenue_decimal": "as revenue_semi_join",
     "revenue_semi_join_sql": "the SQL text plans the same left-semi join as revenue_semi_join",
