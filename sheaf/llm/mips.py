@@ -1,23 +1,25 @@
 """Exact top-k by inner product with one KD-tree per shard.
 
-Vectors are dealt to shards by a hash of their id, queries to blocks. A task holds one
-shard and one block of queries: it splits the shard at medians of its widest axis, keeps
-the tight box of every node, and walks the tree for each query best box first: the largest
-inner product a box allows is the sum of the better of its two corners on every axis. A box
-whose bound does not exceed the query's k-th score so far is left out. That k-th score
-starts from the query's own floor: its k-th best over a small leading set that every task
-has. The k best of each shard are then merged.
+Vectors are dealt to shards by a hash of id and vector, and every query visits every shard. A
+task reads its shards in order, the vectors of each before its queries: it splits the shard at
+medians of its widest axis, keeps the tight box of every node, and walks that one tree for each
+query as it streams by, best box first: the largest inner product a box allows is the sum of the
+better of its two corners on every axis. A box whose bound does not exceed the query's k-th score
+so far is left out. That k-th score starts from the query's own floor: its k-th best over a small
+leading set that every task has. The k best of each shard are then merged.
 
 Cases: vectors that are null, of another length than most, or hold null or non-finite
 components take no part, nor do rows without an id; of repeated rows each counts, and a
 query never finds rows with its own id; ties go to the smaller id; a query with fewer than
-k candidates gets them all; an empty table gives none; extra columns are not read. A shard
-has about ``SHARD`` rows and a block ``BLOCK`` queries whatever the table's size.
+k candidates gets them all; an empty table gives none; extra columns are not read. A shard has
+about ``SHARD`` rows whatever the table's size: a task holds one shard and a batch of queries. A
+vector moves once, a query once a shard.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD = 8192
-BLOCK = 2048
 LEAF = 256
 FLOORS = 512
 
@@ -116,7 +117,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 RESULT = "query_id long, vec_id long, score long"
 
 
-def search(points: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def search(points: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score. ``points`` has vec_id and point (long arrays of one
     length); queries are those rows that ``is_query`` holds for."""
     width = points.groupBy(F.size("point").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -125,28 +126,44 @@ def search(points: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD,
     points = points.filter(F.size("point") == width["n"])
     total = points.count()
     queries = points.filter(is_query).dropDuplicates(["vec_id"])
-    asked = queries.count()
-    shards, blocks = -(-total // shard), max(1, -(-asked // block))
+    shards = -(-total // shard)
     leading = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FLOORS).toArrow()  # a fixed number of rows
     lead_ids, lead = np.asarray(leading["vec_id"].combine_chunks()), _matrix(leading["point"])
-
-    def one_shard(own: pa.Table, asking: pa.Table) -> pa.Table:
-        kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-        if not own.num_rows or not asking.num_rows:
-            return kinds.empty_table()
-        tree = Tree(_matrix(own["point"]).copy(), np.asarray(own["vec_id"].combine_chunks()).copy())
+    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        going, held, tree = -1, [], None
+        for batch in batches:
+            own, asks = np.asarray(batch.column("shard")), np.asarray(batch.column("asks"))
+            cuts = np.flatnonzero((np.diff(own) != 0) | (np.diff(asks) != 0)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(own)], strict=True):
+                if a == b:
+                    continue
+                if own[a] != going:
+                    going, held, tree = own[a], [], None
+                part = pa.table(batch.slice(a, b - a).select(["vec_id", "point"]))
+                if not asks[a]:
+                    held.append(part)
+                    continue
+                if held and tree is None:
+                    rows = pa.concat_tables(held)
+                    tree = Tree(_matrix(rows["point"]).copy(), np.asarray(rows["vec_id"].combine_chunks()).copy())
+                if tree is not None:
+                    yield _answers(tree, part)
+
+    def _answers(tree: Tree, asking: pa.Table) -> pa.RecordBatch:
         found: list[tuple[int, int, int]] = []
         for q, query in zip(asking["vec_id"].to_pylist(), _matrix(asking["point"]), strict=True):
             others = (lead @ query)[lead_ids != q]
             floor = np.partition(others, -k)[-k] if len(others) >= k else -np.inf
             found += [(q, i, s) for s, i in tree.search(query, q, k, floor)]
-        return pa.table([list(x) for x in zip(*found, strict=True)] if found else [[], [], []], schema=kinds)
+        return pa.record_batch([list(x) for x in zip(*found, strict=True)] if found else [[], [], []], schema=kinds)
 
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    put = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-    put = put.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    best = dealt.groupBy("shard", "block").cogroup(put.groupBy("shard", "block")).applyInArrow(one_shard, RESULT)
+    dealt = points.select(F.pmod(F.xxhash64("vec_id", "point"), F.lit(shards)).alias("shard"), F.lit(0).alias("asks"), "vec_id", "point")
+    visits = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
+    asked = queries.select(visits.alias("shard"), F.lit(1).alias("asks"), "vec_id", "point")
+    ordered = dealt.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "asks")
+    best = ordered.mapInArrow(task, RESULT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     ranked = best.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -1,14 +1,15 @@
 """Quality classifier from supervised subword embeddings.
 
-A document is the average of the vectors of its features: words, pairs of a word with
-whether the next one repeats it, and character n-grams of the raw bytes, all hashed into
-one table. A softmax layer on the average gives the class. Vectors and layer are learned
-together by stochastic gradient descent on a bounded sample. After training only each
-feature's contribution to the log-odds is kept, so scoring is one look-up a feature.
+A document is the average of the vectors of its features: words, pairs of neighbouring words,
+and character n-grams of the raw bytes, all hashed into one table. A softmax layer on the
+average gives the class. Vectors and layer are learned together by stochastic gradient descent on
+a bounded sample. After training only each feature's contribution to the log-odds is kept, so
+scoring is one look-up a feature.
 
 Cases: a null or empty text has no features and scores the sample's share of label 1; null
-ids stay; every row gives one row; an empty table gives none; without labelled rows every
-score is 0.5. Whole texts are scored in time linear in their length.
+ids stay; every row gives one row, repeated ones too; an empty table gives none; without labelled
+rows every score is 0.5; a score at the threshold is predicted 1. Further columns are not read.
+Whole texts are scored in time linear in their length.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import grams, sampling
-from sheaf.llm.arrays import IN_WORD, Block, Rolling, blocks, mix, spans
+from sheaf.llm.arrays import Block, Rolling, blocks, mix, words
 
-BITS = 16
+BITS = 18
 GRAMS = (2, 4)
 DIM = 8
-EPOCHS = 4
-RATE = 0.5
+EPOCHS = 8
+# steps of the layer, and of the vectors, whose gradients are shares of a document's average
+RATE = 0.1
+VECTOR_RATE = 20.0
 SAMPLE_PER_LABEL = 1000
 THRESHOLD = 0.7
 _WORDS = Rolling(11)
@@ -40,18 +43,14 @@ def features(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for kind, width in enumerate(GRAMS):
         own, inside = grams.within(block.data, block.offsets, width, BITS - 2)
         yield own + (kind << BITS - 2), inside
-    starts, ends = spans(IN_WORD[block.data], block.offsets)
+    starts, ends, first = words(block)
     name = _WORDS.of_bytes(block.data, starts, ends)
-    first = np.searchsorted(starts, block.offsets)
     yield (name >> np.uint64(64 - BITS + 2)).astype(np.int32) + (2 << BITS - 2), first
-    # word order: is a word one of the five before it in its document?
-    again = np.zeros(len(name), np.int32)
+    count = np.maximum(np.diff(first) - 1, 0)
     doc = np.repeat(np.arange(len(block)), np.diff(first))
-    for back in range(1, 6):
-        if len(name) > back:
-            again[back:] |= (name[back:] == name[:-back]) & (doc[back:] == doc[:-back])
-    size = np.minimum(ends - starts, 31).astype(np.int32)
-    yield (mix((again * 32 + size).astype(np.uint64)) >> np.uint64(64 - BITS + 2)).astype(np.int32) + (3 << BITS - 2), first
+    left = np.flatnonzero(doc[1:] == doc[:-1])
+    pair = mix(name[left] * np.uint64(0x9E3779B97F4A7C15) + name[left + 1])
+    yield (pair >> np.uint64(64 - BITS + 2)).astype(np.int32) + (3 << BITS - 2), np.concatenate([[0], np.cumsum(count)])
 
 
 @dataclass
@@ -62,7 +61,9 @@ class Model:
     prior: float
 
 
-def train(sample: pa.Table, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 3) -> Model:
+def train(
+    sample: pa.Table, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, vector_rate: float = VECTOR_RATE, seed: int = 3
+) -> Model:
     label = np.array(sample["label"].to_pylist())
     docs: list[tuple[np.ndarray, np.ndarray]] = []  # distinct features and their weights
     for block in blocks(sample.to_batches(), "doc_id", "text"):
@@ -84,18 +85,16 @@ def train(sample: pa.Table, dim: int = DIM, epochs: int = EPOCHS, rate: float =
     for _ in range(epochs):
         for i in rng.permutation(len(docs)):
             at, weight = docs[i]
-            lr = rate * (1 - done / steps)
-            done += 1
             hidden = weight @ table[at]
             z = layer @ hidden + bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[label[i]] -= 1
-            p *= lr * balance[label[i]]
+            p *= balance[label[i]] * (1 - done / steps)
+            done += 1
             back = p @ layer
-            layer -= np.outer(p, hidden)
-            # a feature's own gradient is small in a long text: scale it back up
-            table[at] -= np.outer(np.sqrt(weight), back)
+            layer -= rate * np.outer(p, hidden)
+            table[at] -= vector_rate * np.outer(weight, back)
     odds = table @ (layer[1] - layer[0])
     return Model(odds.astype(np.float32), float(bias[1] - bias[0]))
 
@@ -123,7 +122,7 @@ def _scores(model: Model | None, block: Block) -> np.ndarray:
     for ids, off in features(block):
         total += grams.per_document(model.odds[ids], off) / np.maximum(np.diff(off), 1)
         kinds += 1
-    return 1 / (1 + np.exp(-(total / kinds + model.prior)))
+    return 1 / (1 + np.exp(-np.clip(total / kinds + model.prior, -500, 500)))
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:

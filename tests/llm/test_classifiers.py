@@ -84,8 +84,7 @@ def test_one_text_scores_alike_in_any_block(spark):
     whole = [s for b in blocks(table.to_batches(), "doc_id", "text") for s in langid._answers(model, b)[1]]
     parts = [s for b in blocks(table.to_batches(), "doc_id", "text", 1) for s in langid._answers(model, b)[1]]
     assert len(parts) == 60 and isinstance(table, pa.Table)
-    # n-grams that reach over a text's end are the only difference
-    assert np.allclose(whole, parts, atol=0.2)
+    assert np.allclose(whole, parts, rtol=0, atol=1e-6)
 
 
 def test_sample_is_bounded_and_smallest_by_hash(spark):
@@ -136,6 +135,52 @@ def test_quality_odd_texts(spark):
     assert quality.score(docs_df(spark, []), model).count() == 0
 
 
+def test_scores_and_languages_by_their_definition(spark):
+    """Scores of a trained model, recomputed for each text by plain loops over its features;
+    languages by the losses of every codeword."""
+    import pyarrow as pa
+
+    from sheaf.llm import grams
+    from sheaf.llm.arrays import blocks
+
+    docs, labels = quality_rows(90)
+    odd = [(900 + k, t) for k, t in enumerate(["", "one", "two words", "é ü", "a  b\nc", None])]
+    df = docs_df(spark, docs + odd)
+    model = quality.fit(df, spark.createDataFrame(labels, "doc_id long, label int"), F.lit(True))
+    languages = langid.fit(corpus(spark, 60), F.lit(True))
+
+    def name(data: bytes) -> int:
+        return int(quality._WORDS.of_bytes(np.frombuffer(data, np.uint8), np.array([0]), np.array([len(data)]))[0])
+
+    def hashed(data: bytes, width: int, bits: int) -> list[int]:
+        return [int(grams.ids(np.frombuffer(data[k:k + width], np.uint8), width, bits)[0]) for k in range(len(data) - width + 1)]
+
+    got = {r.doc_id: r.score for r in quality.score(df, model).collect()}
+    quarter = 1 << quality.BITS - 2
+    for i, text in docs[::7] + odd:
+        data = (text or "").encode()
+        own = [name(w) for w in data.split()]
+        kinds = [[k * quarter + x for x in hashed(data, width, quality.BITS - 2)] for k, width in enumerate(quality.GRAMS)]
+        kinds.append([2 * quarter + (x >> 64 - quality.BITS + 2) for x in own])
+        pairs = [(a * 0x9E3779B97F4A7C15 + b) % 2**64 for a, b in zip(own, own[1:])]
+        kinds.append([3 * quarter + (int(quality.mix(np.array([x], np.uint64))[0]) >> 64 - quality.BITS + 2) for x in pairs])
+        odds = sum(float(np.mean(model.odds[k])) if k else 0.0 for k in kinds) / 4 + model.prior
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-5)
+
+    table = pa.table({"doc_id": [1, 2, 3], "text": ["aa bb", "de la casa", "ung ander"]})
+    for block in blocks(table.to_batches(), "doc_id", "text"):
+        names, score, _ = langid._answers(languages, block)
+        for i in range(len(block)):
+            data = grams.lower(np.frombuffer(block.text(i), np.uint8)).tobytes()
+            margin = sum(
+                np.mean([weights[x] for x in hashed(data, width, langid.BITS)], axis=0)
+                for width, weights in zip(langid.WIDTHS, languages.weights, strict=True)
+            ) * min(len(data), langid.EVIDENCE)
+            losses = [float((np.logaddexp(0, -margin * code) * languages.trust).sum()) for code in languages.code]
+            assert names[i] == languages.languages[int(np.argmin(losses))]
+            assert score[i] == pytest.approx(1 / sum(np.exp(min(losses) - x) for x in losses), abs=1e-6)
+
+
 def test_conflicting_labels_do_not_count(spark):
     docs, labels = quality_rows(30)
     marks = spark.createDataFrame(labels + [(k, 1 - v) for k, v in labels], "doc_id long, label int")

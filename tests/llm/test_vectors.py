@@ -39,7 +39,7 @@ def test_exact_top_k(spark):
     rows = odd_rows(np.random.default_rng(1))
     own = {i: np.floor(1024 * v.astype(float)).astype(np.int64) for i, v in good(rows, 10, True).items()}
     got = mips.search(mips.scaled(table_of(spark, rows).filter("not (vec_id = 3 and embedding is null)").dropDuplicates(["vec_id", "embedding"])),
-                      F.col("vec_id") % 100 == 0, shard=128, block=4)
+                      F.col("vec_id") % 100 == 0, shard=128)
     want = []
     for q in (i for i in own if i % 100 == 0):
         best = sorted(((-int(own[q] @ v), i) for i, v in own.items() if i != q))[:10]
