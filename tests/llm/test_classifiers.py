@@ -74,6 +74,20 @@ def test_odd_texts_and_no_labels(spark):
     assert {r.lang_pred for r in langid.predict(corpus(spark, 20, ("aa",)), one).collect()} == {"aa"}
 
 
+def test_short_noise_goes_and_short_words_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, F.lit(True))
+    rng = random.Random(7)
+    noise = [(k, "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(20))) for k in range(200)]
+    clean = [r for r in docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", F.substring("text", 1, 20).alias("text")).collect()
+             if any(c.isalpha() for c in r.text)]
+    rows = [(k, t) for k, t in noise] + [(10_000 + k, r.text) for k, r in enumerate(clean)] + [(99_999, "q")]
+    kept = {r.doc_id for r in langid.keep_identified(docs_df(spark, rows), model).collect()}
+    assert sum(k < 200 for k in kept) <= 10
+    assert sum(10_000 <= k < 99_999 for k in kept) >= 0.98 * len(clean)
+    assert 99_999 in kept  # too short for any n-gram: nothing tells against it
+
+
 def test_one_text_scores_alike_in_any_block(spark):
     import pyarrow as pa
 
