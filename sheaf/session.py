@@ -163,15 +163,16 @@ def own_path(spark: SparkSession, scope: Scope | None = None) -> str:
 
     It belongs to ``scope`` or else to the innermost open one. Outside of any scope it lasts as
     long as the application, as a lazy result may read it at any time."""
-    path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4()}")
+    folder = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4()}")
     scopes = _open_scopes.__dict__.get("scopes", [])
     owner = scope or (scopes[-1] if scopes else None)
     if owner is not None:
-        owner.paths.append(path)
+        owner.paths.append(folder)
     else:
-        fs, target = file_system(spark, path)
+        fs, target = file_system(spark, folder)
+        fs.mkdirs(target)  # only what is there is noted for deletion
         fs.deleteOnExit(target)
-    return path
+    return os.path.join(folder, "rows")
 
 
 def stored(df: DataFrame, scope: Scope | None = None) -> DataFrame:

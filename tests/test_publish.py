@@ -3,6 +3,9 @@
 import datetime
 import glob
 import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from sheaf.plans import jobs
 from sheaf.plans.registry import queries
 from sheaf.session import checkpoint_dir, storage_scope, stored
 from sheaf.sources import publish, sinks
-from tests.conftest import SF_SMALL
+from tests.conftest import ROOT, SF_SMALL
 from tests.test_plans import physical
 
 LISTING = '"AAA","A","1","$1.5M","n/a","Tech","x","u",\n"BBB","B","1","$2M","n/a","Tech","x","u",\n'
@@ -78,6 +81,24 @@ def test_stored_tables_go_with_their_scope(spark):
     assert tables(spark) == before
 
 
+def test_tables_outside_of_scopes_go_with_the_application(tmp_path):
+    code = f"""
+from sheaf.session import get_session, stored
+spark = get_session("local[1]", extra={{"spark.sql.warehouse.dir": "{tmp_path}/w", "spark.checkpoint.dir": "{tmp_path}/c"}})
+df = stored(spark.range(3))
+assert df.count() == 3
+import glob
+print("kept", len(glob.glob("{tmp_path}/c/*/table-*/rows/part-*")) > 0)
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert "kept True" in out.stdout, out.stderr
+    for _ in range(50):  # the JVM ends a moment after its driver
+        if not glob.glob(f"{tmp_path}/c/*/table-*"):
+            break
+        time.sleep(0.2)
+    assert glob.glob(f"{tmp_path}/c/*/table-*") == []
+
+
 def test_jobs_leave_no_tables(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "n.csv").write_text(LISTING)
