@@ -93,8 +93,9 @@ def _sorted_with_ties_split(df: DataFrame, *order) -> DataFrame:
 
 def growth_report(fundamentals: DataFrame, listings: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     """The whole job. The join (J1/J2, both inputs' columns) is written once as a Parquet
-    table below the shared checkpoint folder (K6), of which each output reads its columns; the growth table, the count, both top lists and the
-    two sorted listings all read it, so the join runs once and survives executor loss."""
+    table below the shared checkpoint folder (K6), of which each output reads its columns; the
+    growth table, the count, both top lists (one pass) and the two sorted listings all read it,
+    so the join runs once and survives executor loss."""
     joined = stored(join_on_symbol(fundamentals, listings))
     table = growth_table(joined)
     lists = stored(top_lists(table, ["growth", "dividend"], k))
