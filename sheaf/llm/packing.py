@@ -39,7 +39,7 @@ SEPARATOR = "<|startoftext|>"
 # Latin-1 letters; ASCII punctuation but for quotes, < > | and backslash.
 LETTERS = "[A-Za-zªµºÀ-ÖØ-öø-ÿ]+"
 MARKS = r"""[!"#$%&()*+,./:;=?@^`{}~\[\]-]{0,3}"""
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 REMEMBERED_BYTES = 64 << 20
 ENTRY_BYTES = 240  # of a piece in a dict, besides its text and its ids
 
@@ -94,7 +94,10 @@ class Ids:
     def take(self, rows: np.ndarray) -> Ids:
         sizes = np.diff(self.first)[rows]
         first = np.concatenate([[0], np.cumsum(sizes)])
-        return Ids(self.flat[np.repeat(self.first[rows] - first[:-1], sizes) + np.arange(first[-1])], first)
+        kind = np.int32 if max(len(self.flat), first[-1]) < 1 << 31 else np.int64
+        at = np.repeat((self.first[rows] - first[:-1]).astype(kind), sizes)
+        at += np.arange(len(at), dtype=kind)
+        return Ids(self.flat[at], first)
 
     def joined(self, first: np.ndarray) -> Ids:
         """Rows first[i] to first[i + 1] as row i."""
