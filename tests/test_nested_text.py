@@ -1,11 +1,15 @@
 import datetime
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sheaf.operators import catalog, loads, nested
+from sheaf.plans.oracle import ORACLE_SQL
+from sheaf.plans.queries import QUERIES
 from sheaf.sources.nested_text import DEFAULT_DELIMITED, NestedFormat, nested_line, parse_nested, read_nested
+from sheaf.sources.tables import SCHEMAS
 from tests.conftest import lines_df
 
 # FIXTURES.md 2, "loyalty". The nested schema and the stated answers.
@@ -127,3 +131,17 @@ def test_files_of_the_default_delimiters(spark, tmp_path):
     (tmp_path / "a.txt").write_text("1\x01k\x03v\n2\x01\n")
     rows = read_nested(spark, str(tmp_path), "a INT, m MAP<STRING,STRING>", DEFAULT_DELIMITED).orderBy("a").collect()
     assert [tuple(r) for r in rows] == [(1, {"k": "v"}), (2, {})]
+
+
+def test_loyalty_table_with_customers_without_orders(spark, tmp_path):
+    customers = [(k, f"Customer#{k:09d}", 1, 900.0 * (k % 8), "AUTO") for k in range(60)]
+    orders = [(100 + k, k % 7, "F", 10.0 + k, None, "1-URGENT") for k in range(30)]
+    for name, rows in (("customer", customers), ("orders", orders)):
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("customer", "orders"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(f"SELECT load_id, status, n_statements, n_home, n_first_orders, total_value FROM ({ORACLE_SQL['loyalty_table']})").fetchall()
+    got = [tuple(r) for r in QUERIES["loyalty_table"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
+    assert sum(r[2] for r in got) == 60 and 0 < sum(r[4] for r in got) <= 7
