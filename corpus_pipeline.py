@@ -6,14 +6,16 @@ stage works on everything its predecessor kept, whether that is read back from P
 (as ``run`` does) or not.
 
 1. language: documents whose language cannot be told go: null texts, those without a letter,
-   and those that fit no learned language (``langid.keep_identified``).
+   and those that do not fit the language that the classifier names. That language is the
+   document's ``lang`` from here on; ambiguous ones and those of a few letters keep the label
+   they came with (``langid.keep_identified``).
 2. near_duplicates: of each group of linked documents the one with the smallest doc_id
    stays; documents without words link with nothing and stay, and so do rows without an id.
 3. substrings: words in windows of 13 that also start in a smaller document go, with the
    white space behind them; all else of a text stays as it is, line breaks too. A document
    may end up empty; it stays.
 4. secrets: every span found is replaced by its kind in brackets, a private key whole.
-5. packing: pieces of at most 4096 ids with their place in a sequence.
+5. packing: pieces of at most 4096 ids with their place in a sequence, and their ``lang``.
 
 n_chars follows the text where a stage changes it. Empty tables pass through all stages. Null
 texts go in stage 1 and rows with a null doc_id count as documents of their own, but are never
@@ -63,7 +65,8 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.items(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json")))
+    label = "lang" if "lang" in docs.columns else None
+    return packing.pack(packing.items(docs, tokenizer_path("word_bpe_49k.json"), label))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

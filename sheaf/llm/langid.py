@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import grams, sampling
-from sheaf.llm.arrays import Block, blocks
+from sheaf.llm.arrays import BLOCK_BYTES, Block, blocks
 
 BITS = 16
 WIDTHS = (2, 3)
@@ -41,6 +42,8 @@ MARGIN = 0.1
 NOISE_GRAMS = 32
 LEAST_FIT = 0.0
 LOOSER = 8.0
+# The pipeline's stage reads the bits' and the fit's tables for each block: half a block at once.
+STAGE_BLOCK = BLOCK_BYTES // 2
 
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
@@ -87,6 +90,11 @@ def _losses(model: Model, margins: np.ndarray) -> np.ndarray:
     return (np.logaddexp(0, z) * model.trust).sum(-1)
 
 
+def _ambiguous(losses: np.ndarray) -> np.ndarray:
+    ordered = np.sort(losses, 1)
+    return ordered[:, 1] - ordered[:, 0] < MARGIN if losses.shape[1] > 1 else np.zeros(len(losses), bool)
+
+
 def train(sample: pa.Table) -> Model:
     langs = sample["lang"].to_pylist()
     languages = sorted(set(langs))
@@ -150,8 +158,7 @@ def _answers(model: Model | None, block: Block) -> tuple[list[str], np.ndarray,
     best = losses.argmin(1)
     likely = np.exp(-(losses - losses.min(1, keepdims=True)))
     score = 1 / likely.sum(1)
-    ordered = np.sort(losses, 1)
-    unsure = ordered[:, 1] - ordered[:, 0] < MARGIN if losses.shape[1] > 1 else np.zeros(len(block), bool)
+    unsure = _ambiguous(losses)
     none = _without_letter(block)
     names = np.array(model.languages, object)[best]
     names[none] = UNDETERMINED
@@ -174,27 +181,42 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(task, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
-def _identified(model: Model | None, block: Block) -> np.ndarray:
-    """Which documents have a letter and fit a learned language; fitting two alike is no noise.
-    The fewer n-grams tell it, the worse the fit may be. Without a model every document with a
-    letter."""
+def _identified(model: Model | None, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Which documents have a letter and fit the language that the output codes name, and that
+    language. Ambiguous documents, and those shorter than EVIDENCE, get None and may fit any
+    learned language; fitting two alike is no noise. The fewer n-grams tell it, the worse the
+    fit may be. Without a model every document with a letter, and no language."""
+    lettered = ~_without_letter(block)
     if model is None:
-        return ~_without_letter(block)
+        return lettered, np.full(len(block), None, object)
+    losses = _losses(model, _bit_margins(model, block))
+    best = losses.argmin(1)
+    told = ~_ambiguous(losses) & (np.diff(block.offsets) >= EVIDENCE)
     own, first = grams.within(grams.lower(block.data), block.offsets, WIDTHS[-1], BITS)
     count = np.diff(first)
-    fit = (grams.per_document(model.fit[own], first) / np.maximum(count, 1)[:, None]).max(1)
+    fits = grams.per_document(model.fit[own], first) / np.maximum(count, 1)[:, None]
+    fit = np.where(told, fits[np.arange(len(block)), best], fits.max(1))
     few = np.maximum(1 / np.sqrt(np.maximum(count, 1)) - 1 / np.sqrt(NOISE_GRAMS), 0)
-    return ~_without_letter(block) & ((count == 0) | (fit >= LEAST_FIT - LOOSER * few))
+    keep = lettered & ((count == 0) | (fit >= LEAST_FIT - LOOSER * few))
+    return keep, np.where(told, np.array(model.languages, object)[best], None)
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents whose language can be told (not ``und``, nor noise that fits none of
-    the languages), unchanged. Without a model nothing can be told apart, and every document
-    with a letter stays."""
+    """The documents whose language can be told (not ``und``, nor noise that does not fit the
+    language named), with that language as their ``lang``, where there is such a column; ambiguous
+    and very short ones keep the label they have. All else is unchanged. Without a model nothing
+    can be told apart, and every document with a letter stays as it is."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "doc_id", "text"):
-            yield block.rows.filter(pa.array(_identified(shared.value, block)))
+        for block in blocks(batches, "doc_id", "text", STAGE_BLOCK):
+            keep, names = _identified(shared.value, block)
+            rows = block.rows
+            at = rows.schema.get_field_index("lang")
+            if at >= 0:
+                field = rows.schema.field(at)
+                named = pa.array(names.tolist(), pa.string()).cast(field.type)
+                rows = rows.set_column(at, field, pc.coalesce(named, rows.column(at)))
+            yield rows.filter(pa.array(keep))
 
     return docs.mapInArrow(task, docs.schema)

@@ -185,9 +185,11 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def items(docs: DataFrame, path: str) -> DataFrame:
+def items(docs: DataFrame, path: str, label: str | None = None) -> DataFrame:
     """Each document's ids and end id, cut every ``SEQUENCE`` ids: ITEMS of one piece or of
-    some short ones, each with the length ``ahead`` of it in the item."""
+    some short ones, each with the length ``ahead`` of it in the item. Pieces carry their
+    document's ``label``, a column of texts, if one is named."""
+    piece_type = pa.struct([*PIECE, *([(label, pa.string())] if label else [])])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = word_ids(path), END_ID.to_bytes(4, "little")
@@ -195,7 +197,9 @@ def items(docs: DataFrame, path: str) -> DataFrame:
         for block in blocks(batches, "doc_id", "text", BLOCK):
             made: list[list[dict]] = []
             ids = tok.encode(block)
-            for key, a, b in zip(block.key.to_pylist(), ids.first[:-1].tolist(), ids.first[1:].tolist(), strict=True):
+            labels = block.rows.column(label).to_pylist() if label else [None] * len(block)
+            ends = ids.first[1:].tolist()
+            for key, own, a, b in zip(block.key.to_pylist(), labels, ids.first[:-1].tolist(), ends, strict=True):
                 raw = ids.flat[a:b].tobytes() + end
                 n = len(raw) // 4
                 for a in range(0, n, SEQUENCE):
@@ -204,6 +208,8 @@ def items(docs: DataFrame, path: str) -> DataFrame:
                         "doc_id": key, "start": a, "length": b - a, "ids_crc32": zlib.crc32(raw[4 * a:4 * b]),
                         "doc_tokens": n, "ahead": 0,
                     }
+                    if label:
+                        piece[label] = own
                     if b - a > SHORT:
                         made.append([piece])
                         continue
@@ -212,21 +218,22 @@ def items(docs: DataFrame, path: str) -> DataFrame:
                     if piece["ahead"] + piece["length"] >= BUNDLE:
                         made.append(short)
                         short = []
-            yield _item_batch(made)
+            yield _item_batch(made, piece_type)
         if short:
-            yield _item_batch([short])
+            yield _item_batch([short], piece_type)
         # workers are used again, by other stages too
         tok.forget()
         give_back()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, ITEMS)
+    kinds = {"doc_id": "long", "text": "string"} | ({label: "string"} if label else {})
+    rows = docs.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+    return rows.mapInArrow(task, ITEMS.replace("ahead:long", f"ahead:long,{label}:string") if label else ITEMS)
 
 
-def _item_batch(made: list[list[dict]]) -> pa.RecordBatch:
+def _item_batch(made: list[list[dict]], piece_type: pa.DataType) -> pa.RecordBatch:
     length = [parts[-1]["ahead"] + parts[-1]["length"] for parts in made]
     return pa.record_batch({
-        "length": pa.array(length, pa.int64()), "parts": pa.array(made, pa.list_(pa.struct(PIECE))),
+        "length": pa.array(length, pa.int64()), "parts": pa.array(made, pa.list_(piece_type)),
     })
 
 
@@ -317,7 +324,7 @@ def ranked(items: DataFrame, order: list[Column], parts: int) -> DataFrame:
 
 
 def pack(cut: DataFrame, room: int = SEQUENCE, width: int = CLASS) -> DataFrame:
-    """The pieces of ITEMS with sequence_id and offset. ``cut`` is kept in the checkpoint
+    """The pieces of ITEMS with sequence_id and offset, and their label last. ``cut`` is kept in the checkpoint
     folder, as its counts and its ranks must come from the same rows."""
     spark = cut.sparkSession
     held = cut_lineage(cut.withColumn("class", F.ceil(F.col("length") / width)))
@@ -332,7 +339,8 @@ def pack(cut: DataFrame, room: int = SEQUENCE, width: int = CLASS) -> DataFrame:
     row = Window.partitionBy("sequence_id").orderBy(F.desc("class"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("at", F.coalesce(F.sum("length").over(row), F.lit(0)))
     pieces = placed.select("sequence_id", "at", F.explode("parts").alias("p"))
+    fields = cut.schema["parts"].dataType.elementType.names
     return pieces.select(
         "p.doc_id", "p.start", "p.length", "p.ids_crc32", "p.doc_tokens", "sequence_id",
-        (F.col("at") + F.col("p.ahead")).alias("offset"),
+        (F.col("at") + F.col("p.ahead")).alias("offset"), *[f"p.{c}" for c in fields[len(PIECE):]],
     )

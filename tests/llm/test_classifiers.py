@@ -253,3 +253,30 @@ def test_language_stage_drops_noise_and_keeps_short_clean_texts(spark):
     kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()}
     want = {r.doc_id for r in clean.unionByName(short).filter("text RLIKE '[A-Za-z]'").select("doc_id").collect()}
     assert kept == want
+
+
+def test_the_language_named_goes_on_to_the_packed_pieces(spark):
+    import corpus_pipeline
+
+    clean = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) >= 200 AND lang IS NOT NULL").limit(150)
+    known = {r.doc_id: r.lang for r in clean.select("doc_id", "lang").collect()}
+    own = F.pmod("doc_id", F.lit(3))  # the stage learns from remainders 0 and 2
+    wrong = F.when(F.col("lang") == "en", F.lit("de")).otherwise(F.lit("en"))
+    docs = clean.withColumn("lang", F.when(own != 1, F.col("lang")).when(F.pmod("doc_id", F.lit(2)) == 0, wrong))
+    docs = docs.unionByName(spark.createDataFrame([(10_000_000, "a", "es", "x", 1)], docs.schema))
+    kept = corpus_pipeline.language(spark, docs, SF)
+    assert kept.schema == docs.schema
+    got = {r.doc_id: r.lang for r in kept.select("doc_id", "lang").collect()}
+    assert got.pop(10_000_000) == "es"  # too short to tell: its label stays
+    assert sum(got[i] == x for i, x in known.items()) >= 0.98 * len(known)
+    pieces = corpus_pipeline.sequences(spark, kept, SF).select("doc_id", "lang").distinct().collect()
+    assert {r.doc_id: r.lang for r in pieces} == got | {10_000_000: "es"}
+    assert "lang" not in corpus_pipeline.sequences(spark, kept.drop("lang"), SF).columns
+
+
+def test_a_text_must_fit_the_language_named(spark):
+    model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(True))
+    model.fit[:, 1:] = -9  # of these languages no n-gram is known
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) >= 200")
+    first = {r.doc_id for r in langid.predict(docs, model).collect() if r.lang_pred == model.languages[0] or r.ambiguous}
+    assert {r.doc_id for r in langid.keep_identified(docs, model).select("doc_id").collect()} == first
