@@ -35,22 +35,25 @@ from pyspark.sql import functions as F
 from sheaf.llm import jaccard, langid, packing, sampling, secrets, substring
 from sheaf.llm.graph import few
 from sheaf.llm.queries import tokenizer_path
-from sheaf.session import Scope, storage_scope, stored
+from sheaf.session import Scope, bounded_batches, storage_scope, stored
 from sheaf.sources.tables import table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = langid.fit(docs, sampling.remainder(F.col("doc_id"), 3) != 1)
     return langid.keep_identified(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     linked = jaccard.join(docs.select("doc_id", "text"))
     gone = stored(linked.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
     return docs.join(few(gone), "doc_id", "left_anti").select(docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     own = {c: f"own {k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}  # clashes with no result
     shortened = substring.dedup(docs.withColumnsRenamed(own), layout=True)
     changed = F.col("n_removed") > 0
@@ -61,10 +64,12 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return secrets.redact(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     label = "lang" if "lang" in docs.columns else None
     return packing.pack(packing.items(docs, tokenizer_path("word_bpe_49k.json"), label))
 

@@ -1,7 +1,8 @@
 """Words of Arrow text columns as numpy arrays, without a Python object per word.
 
-Tasks walk their Arrow batches in blocks of a few megabytes of text (``blocks``), so a
-task's memory is bounded by the block size or its longest single document. Hashes are
+Tasks walk their Arrow batches in blocks of half a megabyte of text (``blocks``), as their arrays of
+64-bit words take many times that, so a task's memory is bounded by its batch and the block
+size or its longest single document. Hashes are
 64-bit polynomials over random byte values; callers that decide by hash alone combine two
 independent ones (``seed``) into 128 bits.
 """
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 U64 = np.uint64
 
 # The separators of the word pattern [^\x20\x09-\x0D]+.

@@ -107,24 +107,27 @@ def _fingerprints(h1: np.ndarray, h2: np.ndarray, first: np.ndarray) -> tuple[np
     return mix(_sums(mix(h1 + _SALT[2]), first)), mix(_sums(mix(h2 + _SALT[1]), first))
 
 
+def _recurring(names: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``names``, which are sorted in place, that come ``least`` times, and how often."""
+    names.sort()  # np.unique would hold several copies
+    new = np.append(True, names[1:] != names[:-1])[:max(len(names) - least + 1, 0)]
+    at = np.flatnonzero(new & (names[:len(new)] == names[least - 1:]))
+    often = names[at]
+    return often, np.searchsorted(names, often, "right") - at
+
+
 def profiles(docs: DataFrame) -> DataFrame:
     """A row (kind 0) for each document: id, n and fingerprint; and rows (kind 1) for
     shingles that recur in a task: their name in k1 and in n how many documents had it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = np.empty(COUNTED, U64), 0  # memory only as far as it is filled
 
         def frequent():
-            names = np.concatenate(held)
-            held.clear()
-            names.sort()  # in place: np.unique would hold several copies
-            at = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-            count = np.diff(np.append(at, len(names)))
-            often = count >= max(LOCAL_LEAST, FREQUENT * size)
-            k = int(often.sum())
-            zero = np.zeros(k, np.int64)
+            names, count = _recurring(held[:size], max(LOCAL_LEAST, int(np.ceil(FREQUENT * size))))
+            zero = np.zeros(len(names), np.int64)
             return pa.record_batch({
-                "kind": np.ones(k, np.int32), "id": zero, "n": count[often], "k1": signed(names[at[often]]), "k2": zero,
+                "kind": np.ones(len(names), np.int32), "id": zero, "n": count, "k1": signed(names), "k2": zero,
             })
 
         for block in blocks(batches, "doc_id", "text"):
@@ -134,12 +137,14 @@ def profiles(docs: DataFrame) -> DataFrame:
                 "kind": np.zeros(len(block), np.int32), "id": block.key, "n": np.diff(first).astype(np.int64),
                 "k1": signed(k1), "k2": signed(k2),
             })
-            held.append(h1)
+            if size + len(h1) > len(held):
+                held.resize(size + len(h1), refcheck=False)
+            held[size:size + len(h1)] = h1
             size += len(h1)
             if size >= COUNTED:
                 yield frequent()
-                size = 0
-        if held:
+                held, size = np.empty(COUNTED, U64), 0
+        if size:
             yield frequent()
 
     return docs.mapInArrow(task, "kind int, id long, n long, k1 long, k2 long")

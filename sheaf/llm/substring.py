@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sheaf.llm.arrays import U64, Block, Rolling, blocks, mix, signed, windows, words
+from sheaf.llm.arrays import U64, Block, Rolling, blocks, give_back, mix, signed, windows, words
 
 WIDTH = 13
 PHRASE = 5
@@ -160,15 +160,22 @@ NAMES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("own", pa.int64())])
 NAMES_DDL = "h1 long, h2 long, own long"
 
 
+def _sorted(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The rows in the order of the first two columns. The list is emptied, and a column goes once
+    it is copied."""
+    by = np.lexsort((columns[1], columns[0]))
+    return [columns.pop(0)[by] for _ in range(len(columns))]
+
+
 def _reported(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
     """Distinct names with ``own``: twice the smallest document, plus 1 if others share it."""
     if not found:
         return NAMES.empty_table()
-    h1, h2, ids = (np.concatenate(x) for x in zip(*found, strict=True))
-    if not len(h1):
+    rows = [np.concatenate(x) for x in zip(*found, strict=True)]
+    found.clear()
+    if not len(rows[0]):
         return NAMES.empty_table()
-    by = np.lexsort((h2, h1))
-    h1, h2, ids = h1[by], h2[by], ids[by]
+    h1, h2, ids = _sorted(rows)
     at = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
     low, high = np.minimum.reduceat(ids, at), np.maximum.reduceat(ids, at)
     return pa.table([signed(h1[at]), signed(h2[at]), 2 * low + (low != high)], schema=NAMES)
@@ -231,9 +238,9 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = [b for b in batches if b.num_rows]
     if not held:
         return
-    h1, h2, own = (np.concatenate([np.asarray(b.column(k)) for b in held]) for k in range(3))
-    by = np.lexsort((h2, h1))
-    h1, h2, own = h1[by], h2[by], own[by]
+    rows = [np.concatenate([np.asarray(b.column(k)) for b in held]) for k in range(3)]
+    held.clear()
+    h1, h2, own = _sorted(rows)
     at = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
     of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(h1))))
     least, most = np.minimum.reduceat(own >> 1, at), np.maximum.reduceat(own >> 1, at)
@@ -242,6 +249,8 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for a in range(0, len(h1), 100_000):
         rows = np.flatnonzero(back[a:a + 100_000]) + a
         yield pa.record_batch({"own": own[rows], "h1": h1[rows], "h2": h2[rows], "least": least[of[rows]]})
+    del h1, h2, own, at, of, least, most, several, back
+    give_back()
 
 
 def _without(text: bytes, starts: np.ndarray, dropped: np.ndarray) -> bytes:

@@ -55,6 +55,20 @@ def get_session(
     return spark
 
 
+# of rows that Spark sends to a Python worker at once
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of about ``BATCH_BYTES`` in this session, unless it names a size of its own.
+    Spark's 10,000 rows or 64 MB are a whole partition of long texts, which an executor and its
+    Python worker then hold next to each other. Only the size of batches changes: lazy results
+    run later, so it stays."""
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def scale_settings(
     input_bytes: int,
     cores: int,

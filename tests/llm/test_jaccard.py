@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sheaf.llm import graph, jaccard
@@ -182,3 +186,54 @@ def test_grouping_holds_one_small_group_and_deals_hot_shingles(spark, monkeypatc
     assert tokens.filter("salt > 0").select("salt").distinct().count() > 20
     assert run(spark, family) == brute(family)
     assert sorted(tuple(r) for r in jaccard.links(df).collect()) == brute_links(family)
+
+
+class TaskOnly:
+    """Takes a frame's place: what is mapped over it comes back as it is."""
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+def profiled(texts):
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    return pa.Table.from_batches(jaccard.profiles(TaskOnly())(iter([batch])))
+
+
+def test_a_task_works_in_little_memory(monkeypatch):
+    monkeypatch.setattr(jaccard, "COUNTED", 1 << 20)
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(5000)]
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(1000)]
+    tracemalloc.start()
+    try:
+        found = profiled(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.num_rows == 1000
+    assert peak < 50e6
+
+
+def test_recurring_shingles_are_counted():
+    texts = ["a b c d e f", "b c d e f g", None, "", "a b c d e f g h", "b c d e f"] + ["x y"] * 3
+    # a-e twice, b-f four times, c-g twice, x y three times
+    assert sorted(r["n"] for r in profiled(texts).to_pylist() if r["kind"] == 1) == [2, 2, 3, 4]
+
+
+@pytest.mark.parametrize("counted", [1, 5])
+def test_a_text_longer_than_the_count(monkeypatch, counted):
+    monkeypatch.setattr(jaccard, "COUNTED", counted)
+    monkeypatch.setattr(jaccard, "WORDS", 1)
+    rows = profiled(["a b a b c d e f g", "x x y"]).to_pylist()
+    assert [r["n"] for r in rows if r["kind"] == 0] == [7, 2] and not [r for r in rows if r["kind"] == 1]
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 50])
+def test_recurring_names(least):
+    rng = np.random.default_rng(least)
+    for n in (0, 1, 2, 3, 400):
+        names = rng.integers(0, 90, n).astype(np.uint64)
+        expected = sorted((k, c) for k, c in Counter(names.tolist()).items() if c >= least)
+        often, count = jaccard._recurring(names, least)
+        assert list(zip(often.tolist(), count.tolist(), strict=True)) == expected

@@ -3,10 +3,12 @@ from __future__ import annotations
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from sheaf.llm.queries import ORACLE_SQL, QUERIES
+from sheaf.session import BATCH_BYTES, BATCH_SETTING
 from tests.llm import test_jaccard, test_packing, test_substring
 from tests.llm.conftest import odd_texts
 from tests.llm.test_secrets import brute as brute_secrets
@@ -138,3 +140,37 @@ def test_op9_and_op2_against_brute_force_on_the_smallest_tables(spark):
     assert got == test_jaccard.brute(docs)
     want = [(i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in test_substring.brute(docs)]
     assert sorted((tuple(r) for r in QUERIES["op2_substring"](spark, SF).collect()), key=str) == sorted(want, key=str)
+
+
+def test_every_stage_bounds_its_batches(monkeypatch):
+    class Bounded(Exception):
+        pass
+
+    def bounded(spark):
+        raise Bounded
+
+    monkeypatch.setattr(corpus_pipeline, "bounded_batches", bounded)
+    for _, stage in corpus_pipeline.STAGES:
+        with pytest.raises(Bounded):
+            stage(None, None, "")
+
+
+def test_a_stage_sends_long_texts_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"n": [b.num_rows], "bytes": [b.nbytes]})
+
+    own = spark.newSession()
+    rows = [(i, f"{i} " + "word " * 2000, "en", "src0", 0) for i in range(1200)]
+    docs = own.createDataFrame(rows, COLUMNS).coalesce(1)
+    redacted = corpus_pipeline.secret_spans(own, docs, SF)
+    sent = redacted.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in sent) == 1200
+    assert max(r.bytes for r in sent) < BATCH_BYTES + 20_000  # a row more at most
+
+
+def test_a_batch_size_that_is_set_stays(spark):
+    own = spark.newSession()
+    own.conf.set(BATCH_SETTING, "12345678")
+    corpus_pipeline.bounded_batches(own)
+    assert int(own.conf.get(BATCH_SETTING).rstrip("b")) == 12345678

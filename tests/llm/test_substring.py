@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
 
 from sheaf.llm import substring
@@ -100,3 +101,9 @@ def test_columns_that_are_called_like_its_own(spark):
     df = spark.createDataFrame([(1, "a b", 5, 6, 7)], f"doc_id long, text string, `{substring.GROUP}x` int, _id int, _group int")
     out = substring.dedup(df)
     assert out.columns == [*df.columns, "n_words", "n_removed", "kept"] and tuple(out.first())[:5] == (1, "a b", 5, 6, 7)
+
+
+def test_sorted_rows_leave_no_second_copy():
+    columns = [np.array([2, 1, 2, 1]), np.array([1, 5, 0, 5]), np.array([10, 20, 30, 40])]
+    assert [c.tolist() for c in substring._sorted(columns)] == [[1, 1, 2, 2], [5, 5, 0, 1], [20, 40, 30, 10]]
+    assert columns == []
